@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.lexicons import TOP_KEYWORDS, stop_words
-from ..session import BROADCAST_MAX_ROWS, has_at_most
+from ..session import cut_lineage
 
 
 def content_terms(text) -> Column:
@@ -66,14 +66,15 @@ def corpus_keywords(df: DataFrame, id_col: str = "speech_id", text: str = "speec
     (id, term, cnt, weight, rank) for the top k per speech.
 
     Term counts come from the row-local K1 arrays (map side); document frequencies are a
-    per-term partial aggregation; the idf table is broadcast only when proven small (its size
-    is the vocabulary), otherwise joined by shuffle where AQE splits hot terms."""
-    tc = df.select(id_col, F.inline(term_counts(F.col(text))))
-    n_docs = df.count()
+    per-term partial aggregation. The per-speech counts are checkpointed once (they feed the
+    document count, the frequencies and the join); the idf join is left to AQE, which
+    broadcasts the idf table only when its measured size is under the broadcast threshold and
+    otherwise keeps a shuffle join whose hot terms it splits."""
+    local = cut_lineage(df.select(id_col, term_counts(F.col(text)).alias("__tc")))
+    n_docs = local.count()
+    tc = local.select(id_col, F.inline("__tc"))
     dfreq = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = dfreq.select("term", (F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1)) + 1).alias("idf"))
-    if has_at_most(dfreq, BROADCAST_MAX_ROWS):
-        idf = F.broadcast(idf)
     w = tc.join(idf, "term").withColumn("tfidf", F.col("cnt") * F.col("idf"))
     by_doc = Window.partitionBy(id_col)
     ranked = Window.partitionBy(id_col).orderBy(F.col("tfidf").desc(), F.col("term"))

@@ -52,12 +52,24 @@ def narrative_text(n: Column) -> Column:
 
 # ---- A3-A8 readability -------------------------------------------------------------------
 
+_PLAIN_VOWELS = ["a", "e", "i", "o", "u", "y"]
+
+
+def _ends_consonant_then(lw: Column, tail: str) -> Column:
+    """``lw`` ends with ``tail`` right after a character outside ``aeiouy`` (regex
+    ``[^aeiouy]tail$`` spelled with string functions)."""
+    n = len(tail) + 1
+    return (lw.endswith(tail) & (F.length(lw) >= n)
+            & ~F.substring(lw, -n, 1).isin(*_PLAIN_VOWELS))
+
+
 def syllables(word: Column) -> Column:
     """Vowel groups, minus a silent final ``e`` (not ``-le``), at least one."""
-    lw = F.lower(word)
-    v = F.size(F.regexp_extract_all(lw, F.lit(T.VOWELS), 0))
-    silent = (v > 1) & lw.rlike("[^aeiouy]e$") & ~lw.rlike("[^aeiouy]le$")
-    return F.greatest(F.lit(1), v - silent.cast("int"))
+    def count(lw):
+        return T.let(F.regexp_count(lw, F.lit(T.VOWELS)), lambda v: F.greatest(
+            F.lit(1), v - ((v > 1) & _ends_consonant_then(lw, "e")
+                           & ~_ends_consonant_then(lw, "le")).cast("int")))
+    return T.let(F.lower(word), count)
 
 
 def add_counters(df: DataFrame, text: str = "speech", out: str = "counters") -> DataFrame:
@@ -109,7 +121,10 @@ def persuasion_tokens(text) -> Column:
 
 
 def is_superlative(t: Column) -> Column:
-    return t.isin(*SUPERLATIVE_WORDS) | (t.rlike(r"^\p{L}{3,}est$") & ~t.isin(*NOT_SUPERLATIVE))
+    """``most/least/best/worst`` or a word of 3+ letters followed by ``est`` that is not in the
+    exclusion list (cheap tests first; the letters-only regex runs on ``…est`` tokens only)."""
+    return t.isin(*SUPERLATIVE_WORDS) | (t.endswith("est") & (F.length(t) >= 6) & ~t.isin(*NOT_SUPERLATIVE)
+                                         & t.rlike(r"^\p{L}+$"))
 
 
 def add_persuasion(df: DataFrame, text: str = "speech", out: str = "persuasion") -> DataFrame:

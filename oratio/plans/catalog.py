@@ -14,6 +14,7 @@ from ..functions import text as T
 from ..functions.lexicons import PROBE, PROBE_TONE, PROPAGANDA, TOXICITY, PERSUASION
 from ..operators import clean, keywords as K, lexicon as L, propaganda as P, stats as S, windows as G
 from ..operators import profiles as J, responses as R, embed as E
+from ..session import spread
 from ..sources.tables import speeches_raw, table
 
 R6 = 6
@@ -33,7 +34,7 @@ def usable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
 def with_links(c):

@@ -21,6 +21,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # broadcast decisions from measured sizes at run time, not from plan estimates
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
@@ -69,5 +72,18 @@ def join_dimension(facts: DataFrame, dim: DataFrame, on, how: str = "left",
     return facts.join(dim, on, how)
 
 
+def spread(df: DataFrame, key=None) -> DataFrame:
+    """Make sure CPU-heavy row-local work has at least one partition per core.
+
+    A large input already scans into many partitions and is returned unchanged (no shuffle);
+    a small or single-row-group input is hash-partitioned on ``key`` (deterministic on retry),
+    or round-robin when no key is given."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    keys = [key] if isinstance(key, str) else list(key or [])
+    return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
 def env_dir(name: str, default: str) -> str:
     return os.environ.get(name, default)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import join_dimension
+from ..session import join_dimension, spread
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -23,6 +23,8 @@ def speeches_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(speech_id, surname, code, speech) before any cleaning; unlabelled rows get a null code."""
     docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("speech_id"), F.col("source").alias("surname"), F.col("text").alias("speech"))
+    # partitioned on part of the dedup key, so the dedup that follows needs no further exchange
+    docs = spread(docs, ["surname", "speech"])
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("speech_id"),
                                                    F.col("toxic").alias("code"))
     return join_dimension(docs, labels, "speech_id", "left").select("speech_id", "surname", "code", "speech")
