@@ -99,6 +99,33 @@ def sql_str(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+# ---- Spark SQL text forms (for expressions generated as SQL, see ``sqlexpr``) ----------
+
+def sql_words(x: str) -> str:
+    return f"filter(split({x}, '{_esc(WS)}+', -1), w_ -> w_ <> '')"
+
+
+def sql_sentences(x: str) -> str:
+    return f"split({x}, '{_esc(SENTENCE_BREAK)}', -1)"
+
+
+def sql_terms(x: str) -> str:
+    return f"regexp_extract_all(lower({x}), '{_esc(TERM)}', 0)"
+
+
+def sql_ptokens(x: str) -> str:
+    return f"regexp_extract_all(lower({x}), '{_esc(PTOKEN)}', 0)"
+
+
+def sql_let(value: str, var: str, body: str) -> str:
+    """SQL form of ``let``: ``body`` sees ``value`` evaluated once as ``var``."""
+    return f"element_at(transform(array({value}), {var} -> {body}), 1)"
+
+
+def _esc(pattern: str) -> str:
+    return pattern.replace("\\", "\\\\").replace("'", "\\'")
+
+
 # ---- DuckDB oracle fragments ----------------------------------------------------------
 
 def duck_words(x: str) -> str:

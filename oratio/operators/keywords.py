@@ -12,15 +12,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import sqlexpr as Q
 from ..functions import text as T
 from ..functions.lexicons import TOP_KEYWORDS, stop_words
 from ..session import cut_lineage
 
 
-def content_terms(text) -> Column:
-    """Lower-cased terms of two or more word characters, stop words removed."""
-    stops = list(stop_words())
-    return F.filter(T.terms(text), lambda t: ~t.isin(*stops))
+def content_terms(text: str) -> Column:
+    """Lower-cased terms of two or more word characters, stop words removed (``text``: column
+    name or SQL; the stop-word list becomes a hash-set test)."""
+    return F.expr(f"filter({T.sql_terms(text)}, t -> NOT t IN {Q.in_list(stop_words())})")
 
 
 def term_counts(text) -> Column:
@@ -44,7 +45,7 @@ def add_term_weights(df: DataFrame, text: str = "speech", out: str = "term_weigh
         norm = F.sqrt(F.aggregate(tc, F.lit(0.0), lambda acc, x: acc + x["cnt"] * x["cnt"]))
         return T.let(norm, lambda nv: F.transform(tc, lambda x: F.struct(
             x["term"].alias("term"), x["cnt"].alias("cnt"), (x["cnt"] / nv).alias("weight"))))
-    return df.withColumn(out, T.let(term_counts(F.col(text)), weigh))
+    return df.withColumn(out, T.let(term_counts(text), weigh))
 
 
 def top_terms(weights: Column, k: int = TOP_KEYWORDS) -> Column:
@@ -70,7 +71,7 @@ def corpus_keywords(df: DataFrame, id_col: str = "speech_id", text: str = "speec
     document count, the frequencies and the join); the idf join is left to AQE, which
     broadcasts the idf table only when its measured size is under the broadcast threshold and
     otherwise keeps a shuffle join whose hot terms it splits."""
-    local = cut_lineage(df.select(id_col, term_counts(F.col(text)).alias("__tc")))
+    local = cut_lineage(df.select(id_col, term_counts(text).alias("__tc")))
     n_docs = local.count()
     tc = local.select(id_col, F.inline("__tc"))
     dfreq = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -82,3 +83,29 @@ def corpus_keywords(df: DataFrame, id_col: str = "speech_id", text: str = "speec
              .withColumn("rank", F.row_number().over(ranked))
              .where(F.col("rank") <= k)
              .select(id_col, "term", "cnt", "weight", F.col("rank").cast("bigint").alias("rank")))
+
+
+def topics(df: DataFrame, id_col: str = "speech_id", text: str = "speech", k: int = 5, vocab_size: int = 4096,
+           top_terms_per_topic: int = 5, max_iter: int = 10, seed: int = 42) -> DataFrame:
+    """K5: LDA topic per speech, (id, topic, topic_weight, topic_terms).
+
+    Vocabulary (at most ``vocab_size`` terms) and the k x vocab model are the only driver-side
+    state, both bounded by parameters; term counting and inference run in the executors; the
+    k-row topic description is joined by broadcast (size k)."""
+    from pyspark.ml.clustering import LDA
+    from pyspark.ml.feature import CountVectorizer
+    from pyspark.ml.functions import vector_to_array
+
+    toks = df.select(id_col, content_terms(text).alias("__terms"))
+    cv = CountVectorizer(inputCol="__terms", outputCol="__tf", vocabSize=vocab_size, minDF=2.0).fit(toks)
+    tf = cv.transform(toks)
+    lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", featuresCol="__tf",
+              topicDistributionCol="__dist").fit(tf)
+    vocab = F.array(*[F.lit(t) for t in cv.vocabulary])
+    desc = lda.describeTopics(top_terms_per_topic).select(
+        F.col("topic").cast("int").alias("topic"),
+        F.array_join(F.transform("termIndices", lambda i: F.element_at(vocab, i + 1)), ", ").alias("topic_terms"))
+    dist = lda.transform(tf).select(id_col, vector_to_array("__dist").alias("__d"))
+    best = dist.select(id_col, F.array_max("__d").alias("topic_weight"),
+                       (F.array_position("__d", F.array_max("__d")) - 1).cast("int").alias("topic"))
+    return best.join(F.broadcast(desc), "topic", "left").select(id_col, "topic", "topic_weight", "topic_terms")

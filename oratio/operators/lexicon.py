@@ -1,7 +1,9 @@
 """Phrase-lexicon scoring.
 
 All work is per row and JVM-side: a category's hits are a plain sum of ``contains`` terms on
-the lower-cased text, computed once per row; no shuffle, no Python.
+the lower-cased text, computed once per row; no shuffle, no Python. Expressions are generated
+as SQL text (``functions.sqlexpr``) and take the lower-cased text as a SQL expression ``lc``
+(a column name or a lambda variable field).
 """
 
 from __future__ import annotations
@@ -9,93 +11,84 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import text as T
+from ..functions import sqlexpr as Q
 
 
-def category_hits(lower_col: Column, lexicon) -> list[Column]:
+def category_hits(lc: str, lexicon) -> list[Column]:
     """L1 per category: number of distinct phrases present as substrings (presence, not
-    occurrences). ``lower_col`` must already be lower-cased."""
-    out = []
-    for _, phrases in lexicon:
-        e = F.lit(0)
-        for p in phrases:
-            e = e + lower_col.contains(p).cast("int")
-        out.append(e)
-    return out
+    occurrences). ``lc`` is SQL for the already lower-cased text."""
+    return [F.expr(h) for h in Q.hits(lc, lexicon)]
 
 
-def predominant(hits: list[Column], lexicon) -> Column:
+def predominant(lc: str, lexicon) -> Column:
     """L2: category with the most hits, ties to the earlier category; null when none hit."""
-    top = F.greatest(*hits) if len(hits) > 1 else hits[0]
-    e = None
-    for (cat, _), h in zip(lexicon, hits):
-        cond = (h == top) & (h > 0)
-        e = F.when(cond, F.lit(cat)) if e is None else e.when(cond, F.lit(cat))
-    return e
+    return F.expr(Q.predominant(Q.hits(lc, lexicon), lexicon))
 
 
-def hits_array(hits: list[Column], lexicon) -> Column:
+def hits_array_sql(lc: str, lexicon) -> str:
+    items = ", ".join(f"named_struct('category', {Q.lit(c)}, 'hits', {h})" for (c, _), h in zip(lexicon, Q.hits(lc, lexicon)))
+    return f"filter(array({items}), x -> x.hits > 0)"
+
+
+def hits_array(lc: str, lexicon) -> Column:
     """L1 as ``array<struct<category, hits>>`` in lexicon order, zero categories dropped, none -> null."""
-    arr = F.array(*[F.struct(F.lit(cat).alias("category"), h.alias("hits")) for (cat, _), h in zip(lexicon, hits)])
-    kept = F.filter(arr, lambda x: x["hits"] > 0)
-    return F.when(F.size(kept) > 0, kept)
+    a = hits_array_sql(lc, lexicon)
+    return F.expr(f"element_at(transform(array({a}), a -> CASE WHEN size(a) > 0 THEN a END), 1)")
 
 
-def hits_text(hits: list[Column], lexicon) -> Column:
+def hits_text(lc: str, lexicon) -> Column:
     """L3: ``Category Name: n`` lines in lexicon order (title case); none -> ''."""
-    parts = [F.when(h > 0, F.concat(T.title_label(F.lit(cat)), F.lit(": "), h.cast("string")))
-             for (cat, _), h in zip(lexicon, hits)]
-    return F.concat_ws("\n", *parts)
+    parts = ", ".join(f"CASE WHEN {h} > 0 THEN concat({Q.lit(Q.title(c) + ': ')}, CAST({h} AS STRING)) END"
+                      for (c, _), h in zip(lexicon, Q.hits(lc, lexicon)))
+    return F.expr(f"concat_ws('\\n', {parts})")
 
 
 def score_lexicon(df: DataFrame, lexicon, text: str = "speech", prefix: str = "lex") -> DataFrame:
     """Adds ``{prefix}_hits`` (array), ``{prefix}_type`` (predominant) and ``{prefix}_text``."""
     lc = f"__{prefix}_lc"
     df = df.withColumn(lc, F.lower(F.col(text)))
-    hits = category_hits(F.col(lc), lexicon)
-    return (df.withColumn(f"{prefix}_hits", hits_array(hits, lexicon))
-              .withColumn(f"{prefix}_type", predominant(hits, lexicon))
-              .withColumn(f"{prefix}_text", hits_text(hits, lexicon))
-              .drop(lc))
+    return df.select("*", hits_array(lc, lexicon).alias(f"{prefix}_hits"),
+                     predominant(lc, lexicon).alias(f"{prefix}_type"),
+                     hits_text(lc, lexicon).alias(f"{prefix}_text")).drop(lc)
 
 
 def hits_long(df: DataFrame, lexicon, id_col: str, text: str) -> DataFrame:
     """L1 as rows (id, category, cat_order, hits) for categories with hits > 0."""
-    lc = F.lower(F.col(text))
-    hits = category_hits(lc, lexicon)
-    arr = F.array(*[F.struct(F.lit(i).alias("cat_order"), F.lit(cat).alias("category"), h.alias("hits"))
-                    for i, ((cat, _), h) in enumerate(zip(lexicon, hits))])
-    return (df.select(id_col, F.inline(F.filter(arr, lambda x: x["hits"] > 0)))
-              .select(id_col, "category", F.col("cat_order").cast("bigint").alias("cat_order"),
-                      F.col("hits").cast("bigint").alias("hits")))
+    lc = f"lower({text})"
+    items = ", ".join(f"named_struct('cat_order', CAST({i} AS BIGINT), 'category', {Q.lit(c)}, 'hits', CAST({h} AS BIGINT))"
+                      for i, ((c, _), h) in enumerate(zip(lexicon, Q.hits(lc, lexicon))))
+    arr = F.expr(f"filter(array({items}), x -> x.hits > 0)")
+    return df.select(id_col, F.inline(arr)).select(id_col, "category", "cat_order", "hits")
 
 
-def _member_of(words):
-    # a fresh one-argument lambda per list (a two-argument lambda would receive the index)
-    return lambda t: t.isin(*words)
+def token_counts_sql(tokens: str, words) -> str:
+    return f"size(filter({tokens}, t -> t IN {Q.in_list(words)}))"
 
 
-def token_lexicon_counts(tokens: Column, lexicon) -> list[Column]:
+def token_lexicon_counts(tokens: str, lexicon) -> list[Column]:
     """Per category the number of tokens equal to a lexicon entry (occurrences).
-    Multi-word entries can never equal one token and count 0."""
-    return [F.size(F.filter(tokens, _member_of(words))) for _, words in lexicon]
+    Multi-word entries can never equal one token and count 0. ``tokens``: SQL for an array."""
+    return [F.expr(token_counts_sql(tokens, words)) for _, words in lexicon]
 
 
-def weighted_mean(tokens: Column, weighted_lexicon) -> Column:
+def weighted_mean(tokens: str, weighted_lexicon) -> Column:
     """Mean lexicon weight over tokens found in the lexicon; 0.0 when none match.
 
-    Entries are grouped by weight, each group a hash-set membership test, so the cost per
-    token is the number of distinct weights, not the lexicon size."""
+    Entries are grouped by weight, each group a set-membership test (hash set for long
+    lists), so the cost per token is the number of distinct weights, not the lexicon size."""
     groups: dict[float, list[str]] = {}
     for w, v in weighted_lexicon:
         groups.setdefault(float(v), []).append(w)
-    counts = [(v, F.size(F.filter(tokens, _member_of(ws)))) for v, ws in sorted(groups.items())]
-    n = sum((c for _, c in counts), F.lit(0))
-    s = sum((c * F.lit(v) for v, c in counts), F.lit(0.0))
-    return F.when(n > 0, s / n).otherwise(F.lit(0.0))
+    ordered = sorted(groups.items())
+    counts = ", ".join(token_counts_sql("tk", ws) for _, ws in ordered)
+    n = " + ".join(f"c[{i}]" for i in range(len(ordered)))
+    s = " + ".join(f"c[{i}] * CAST({v!r} AS DOUBLE)" for i, (v, _) in enumerate(ordered))
+    body = f"CASE WHEN ({n}) > 0 THEN (0.0D + {s}) / ({n}) ELSE 0.0D END"
+    return F.expr(f"element_at(transform(array({tokens}), tk -> element_at(transform(array(array({counts})), "
+                  f"c -> {body}), 1)), 1)")
 
 
-def tone(tokens: Column, weighted_lexicon, threshold: float = 0.5) -> tuple[Column, Column]:
+def tone(tokens: str, weighted_lexicon, threshold: float = 0.5) -> tuple[Column, Column]:
     """(subjectivity, label); label ``Formal`` below the threshold else ``Informal``."""
     subj = weighted_mean(tokens, weighted_lexicon)
     return subj, F.when(subj < threshold, F.lit("Formal")).otherwise(F.lit("Informal"))

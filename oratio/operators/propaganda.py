@@ -12,52 +12,50 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import sqlexpr as Q
 from ..functions import text as T
 from ..functions.lexicons import CHUNK_OVERLAP, CHUNK_SIZE, PROPAGANDA, TOP_TYPES
-from .lexicon import category_hits, predominant
-from .windows import windows_col
+from .windows import check_window
 
 UNSPECIFIED = "Unspecified"
 NOT_PROPAGANDA = "Not propaganda"
 NOT_IDENTIFIED = "Not identified"
 
 
-def findings_col(speech, lexicon=PROPAGANDA, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
-    """P1+P2: ``array<struct<chunk_no, sent_no, type, sentence>>`` of flagged sentences, in
-    window then sentence order. A window is kept only if some phrase occurs in it (P1); each of
-    its sentences is kept when its predominant category (L2) exists."""
-    phrases = [p for _, ps in lexicon for p in ps]
-    chunks = F.transform(windows_col(speech, size, overlap),
-                         lambda c, k: F.struct(k.alias("chunk_no"), c.alias("chunk")))
-    kept = F.filter(chunks, lambda x: T.contains_any(F.lower(x["chunk"]), phrases))
-    sents = F.flatten(F.transform(kept, lambda x: F.transform(
-        T.sentences(x["chunk"]),
-        lambda s, j: F.struct(x["chunk_no"].alias("chunk_no"), j.alias("sent_no"), s.alias("sentence"),
-                              F.lower(s).alias("ls")))))
-    # hits once per sentence (lambdas get no common-subexpression elimination), then the type
-    scored = F.transform(sents, lambda y: F.struct(
-        y["chunk_no"].alias("chunk_no"), y["sent_no"].alias("sent_no"), y["sentence"].alias("sentence"),
-        *[h.alias(f"h{i}") for i, h in enumerate(category_hits(y["ls"], lexicon))]))
-    typed = F.transform(scored, lambda z: F.struct(
-        z["chunk_no"].alias("chunk_no"), z["sent_no"].alias("sent_no"),
-        predominant([z[f"h{i}"] for i in range(len(lexicon))], lexicon).alias("type"),
-        z["sentence"].alias("sentence")))
-    return F.filter(typed, lambda z: z["type"].isNotNull())
-
-
-def _type_is(c: str):
-    return lambda f: f["type"] == F.lit(c)
-
-
-def type_counts_col(findings: Column, categories) -> Column:
+def findings_sql(speech: str, lexicon=PROPAGANDA, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> str:
+    """P1+P2 as SQL text: ``array<struct<chunk_no, sent_no, type, sentence>>`` of flagged
+    sentences, in window then sentence order. A window is kept only if some phrase occurs in it
+    (P1); each of its sentences is kept when its predominant category (L2) exists. Hits are
+    computed once per sentence (lambdas get no common-subexpression elimination)."""
+    step = check_window(size, overlap)
+    windows = T.sql_let(T.sql_words(speech), "w",
+                        f"CASE WHEN size(w) > 0 THEN transform(sequence(0, size(w) - 1, {step}), "
+                        f"i -> array_join(slice(w, i + 1, {size}), ' ')) ELSE CAST(array() AS ARRAY<STRING>) END")
+    chunks = f"transform({windows}, (c, k) -> named_struct('chunk_no', k, 'chunk', c))"
+    kept = f"filter({chunks}, x -> {Q.any_phrase('lower(x.chunk)', lexicon)})"
+    sents = (f"flatten(transform({kept}, x -> transform({T.sql_sentences('x.chunk')}, (s, j) -> "
+             f"named_struct('chunk_no', x.chunk_no, 'sent_no', j, 'sentence', s, 'ls', lower(s)))))")
+    hs = Q.hits("y.ls", lexicon)
+    scored = (f"transform({sents}, y -> named_struct('chunk_no', y.chunk_no, 'sent_no', y.sent_no, "
+              f"'sentence', y.sentence, " + ", ".join(f"'h{i}', {h}" for i, h in enumerate(hs)) + "))")
+    typ = Q.predominant([f"z.h{i}" for i in range(len(lexicon))], lexicon)
+    typed = (f"transform({scored}, z -> named_struct('chunk_no', z.chunk_no, 'sent_no', z.sent_no, "
+             f"'type', {typ}, 'sentence', z.sentence))")
+    return f"filter({typed}, z -> z.type IS NOT NULL)"
+
+
+def findings_col(speech: str, lexicon=PROPAGANDA, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
+    """P1+P2 as a column; ``speech`` is a column name (or SQL for a string)."""
+    return F.expr(findings_sql(speech, lexicon, size, overlap))
+
+
+def type_counts_col(findings: str, categories) -> Column:
     """Per type ``struct<neg_n, first_seen, type>`` (neg_n = -count, first_seen = index of the
-    type's first finding), types that occur only."""
-    types = findings["type"]
-    arr = F.array(*[F.struct(
-        (-F.size(F.filter(findings, _type_is(c)))).alias("neg_n"),
-        (F.array_position(types, F.lit(c)) - 1).alias("first_seen"),
-        F.lit(c).alias("type")) for c in categories])
-    return F.filter(arr, lambda x: x["neg_n"] < 0)
+    type's first finding), types that occur only. ``findings``: column name."""
+    items = ", ".join(
+        f"named_struct('neg_n', -size(filter({findings}, f -> f.type = {Q.lit(c)})), "
+        f"'first_seen', array_position({findings}.type, {Q.lit(c)}) - 1, 'type', {Q.lit(c)})" for c in categories)
+    return F.expr(f"filter(array({items}), x -> x.neg_n < 0)")
 
 
 def top_types_col(counts: Column, k: int = TOP_TYPES) -> Column:
@@ -98,8 +96,8 @@ def propaganda_search(df: DataFrame, lexicon=PROPAGANDA, speech: str = "speech",
     row without findings gets (``Not identified``, null)."""
     cats = [c for c, _ in lexicon]
     searched = F.col(code) == 1 if code else F.lit(True)
-    out = (df.withColumn("findings", F.when(searched, findings_col(F.col(speech), lexicon, size, overlap)))
-             .withColumn("type_counts", type_counts_col(F.col("findings"), cats)))
+    out = (df.withColumn("findings", F.when(searched, findings_col(speech, lexicon, size, overlap)))
+             .withColumn("type_counts", type_counts_col("findings", cats)))
     out = out.withColumn("top_spans", spans_col(F.col("findings"), top_types_col(F.col("type_counts"), k),
                                                 F.col(speech)))
     types_text, offsets_text = report_cols(F.col("top_spans"))

@@ -44,7 +44,8 @@ def parse_responses(df: DataFrame, col: str = "response") -> DataFrame:
         if name == "underlying_narrative":
             v = F.replace(v, F.lit(";"), F.lit("\n\n"))
         out = out.withColumn(name, v)
-    return out.withColumn("fields_found", F.coalesce(F.size(parts), F.lit(0)).cast("bigint")).drop("__parts")
+    found = F.when(F.col(col).isNull(), F.lit(0)).otherwise(F.size(parts))  # size(null) is -1, not null
+    return out.withColumn("fields_found", found.cast("bigint")).drop("__parts")
 
 
 def add_responses(df: DataFrame, latest: DataFrame, speech: str = "speech") -> DataFrame:

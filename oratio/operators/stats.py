@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.lexicons import (NOT_SUPERLATIVE, PERSUASION, PERSUASION_WEIGHTS, SUPERLATIVE_WORDS)
-from .lexicon import token_lexicon_counts
+from ..functions import sqlexpr as Q
+from .lexicon import token_counts_sql
 
 
 def _sum_int(arr: Column) -> Column:
@@ -120,35 +121,34 @@ def persuasion_tokens(text) -> Column:
     return F.regexp_extract_all(F.lower(T.col_(text)), F.lit(T.PTOKEN), 0)
 
 
-def is_superlative(t: Column) -> Column:
+def superlative_sql(t: str) -> str:
     """``most/least/best/worst`` or a word of 3+ letters followed by ``est`` that is not in the
     exclusion list (cheap tests first; the letters-only regex runs on ``…est`` tokens only)."""
-    return t.isin(*SUPERLATIVE_WORDS) | (t.endswith("est") & (F.length(t) >= 6) & ~t.isin(*NOT_SUPERLATIVE)
-                                         & t.rlike(r"^\p{L}+$"))
+    return (f"({t} IN {Q.in_list(SUPERLATIVE_WORDS)} OR (endswith({t}, 'est') AND length({t}) >= 6 "
+            f"AND NOT {t} IN {Q.in_list(NOT_SUPERLATIVE)} AND {t} RLIKE '^\\\\p{{L}}+$'))")
+
+
+def persuasion_counts_sql(text: str, tokens: str) -> str:
+    """A9 counts as SQL: superlatives, questions (sentences ending in ``?``), four lexicon
+    categories, total tokens."""
+    names = [n for n, _ in PERSUASION_WEIGHTS]
+    exprs = [f"size(filter({tokens}, t -> {superlative_sql('t')}))",
+             f"size(filter({T.sql_sentences(text)}, s -> s RLIKE '\\\\?{T._esc(T.WS)}*$'))"]
+    exprs += [token_counts_sql(tokens, ws) for _, ws in PERSUASION]
+    fields = ", ".join(f"'{n}', CAST({e} AS BIGINT)" for n, e in zip(names, exprs))
+    return f"named_struct({fields}, 'total_tokens', CAST(size({tokens}) AS BIGINT))"
 
 
 def add_persuasion(df: DataFrame, text: str = "speech", out: str = "persuasion") -> DataFrame:
     """Counts and weighted scores. score = count / total tokens * weight; total_score
     = their sum rounded to 3; no tokens -> all 0.0."""
-    df = df.withColumn("__pt", persuasion_tokens(F.col(text)))
-    tok = F.col("__pt")
-    counts = ([F.size(F.filter(tok, is_superlative)),
-               F.size(F.filter(T.sentences(F.col(text)), lambda s: s.rlike(r"\?" + T.WS + "*$")))]
-              + token_lexicon_counts(tok, PERSUASION))
-    names = [n for n, _ in PERSUASION_WEIGHTS]
-    df = df.withColumn("__pc", F.struct(*[c.cast("bigint").alias(n) for n, c in zip(names, counts)],
-                                        F.size(tok).cast("bigint").alias("total_tokens")))
-    pc = F.col("__pc")
-    total = pc["total_tokens"]
-    scores = [F.when(total > 0, pc[n] / total * F.lit(w)).otherwise(F.lit(0.0)).alias(n)
-              for n, w in PERSUASION_WEIGHTS]
-    ssum = None
-    for n, w in PERSUASION_WEIGHTS:
-        term = F.when(total > 0, pc[n] / total * F.lit(w)).otherwise(F.lit(0.0))
-        ssum = term if ssum is None else ssum + term
-    return (df.withColumn(out, F.struct(pc.alias("counts"), F.struct(*scores, F.round(ssum, 3).alias("total_score"))
-                                        .alias("scores")))
-              .drop("__pt", "__pc"))
+    pc = T.sql_let(persuasion_counts_sql(text, "pt"), "pc", "pc")
+    counts = T.sql_let(T.sql_ptokens(text), "pt", pc)
+    terms = [f"CASE WHEN pc.total_tokens > 0 THEN pc.{n} / pc.total_tokens * CAST({w!r} AS DOUBLE) ELSE 0.0D END"
+             for n, w in PERSUASION_WEIGHTS]
+    scores = ", ".join(f"'{n}', {e}" for (n, _), e in zip(PERSUASION_WEIGHTS, terms))
+    body = f"named_struct('counts', pc, 'scores', named_struct({scores}, 'total_score', round({' + '.join(terms)}, 3)))"
+    return df.withColumn(out, F.expr(T.sql_let(counts, "pc", body)))
 
 
 def persuasion_text(scores: Column) -> Column:

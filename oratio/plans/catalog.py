@@ -115,26 +115,23 @@ def q_lexicon_hits(lexicon):
 
 
 def q_predominant_category(spark, d):
-    lc = F.lower(F.col("text"))
     return docs(spark, d).select(
         "doc_id",
-        L.predominant(L.category_hits(lc, TOXICITY), TOXICITY).alias("toxicity_type"),
-        L.predominant(L.category_hits(lc, PROBE), PROBE).alias("probe_type"))
+        L.predominant("lower(text)", TOXICITY).alias("toxicity_type"),
+        L.predominant("lower(text)", PROBE).alias("probe_type"))
 
 
 def q_toxicity_text(spark, d):
-    lc = F.lower(F.col("text"))
-    return docs(spark, d).select("doc_id", L.hits_text(L.category_hits(lc, TOXICITY), TOXICITY).alias("toxicity"))
+    return docs(spark, d).select("doc_id", L.hits_text("lower(text)", TOXICITY).alias("toxicity"))
 
 
 def q_token_lexicon_counts(spark, d):
-    tok = S.persuasion_tokens(F.col("text"))
-    cols = L.token_lexicon_counts(tok, PERSUASION)
+    cols = L.token_lexicon_counts(T.sql_ptokens("text"), PERSUASION)
     return docs(spark, d).select("doc_id", *[c.cast("bigint").alias(n) for (n, _), c in zip(PERSUASION, cols)])
 
 
 def q_tone(spark, d):
-    subj, label = L.tone(T.terms(F.col("text")), PROBE_TONE)
+    subj, label = L.tone(T.sql_terms("text"), PROBE_TONE)
     return docs(spark, d).select("doc_id", _r(subj).alias("subjectivity"), label.alias("tone"))
 
 
@@ -280,6 +277,33 @@ def q_project_2d(spark, d):
     return E.project_2d(e, "vec_id", "embedding")
 
 
+def q_toxic_model(spark, d):
+    """M5/M6: classifier trained on the labelled usable speeches, applied to every document."""
+    from ..operators.models import fit_text_classifier, label_from_model
+    from ..session import cut_lineage
+    # iterative fit: read the cleaned training rows from a checkpoint, not the whole lineage
+    train = cut_lineage(usable(spark, d).select("speech", "code"))
+    model = fit_text_classifier(train, "speech", "code", num_features=1 << 16, max_iter=20)
+    out = label_from_model(model, docs(spark, d).withColumnRenamed("text", "speech"), "speech",
+                           ["not toxic", "toxic"], "toxicity", "p")
+    return out.select("doc_id", "toxicity", _r(F.col("p")).alias("p"))
+
+
+def q_topics(spark, d):
+    return K.topics(usable(spark, d), k=5)
+
+
+def q_speech_embeddings(spark, d):
+    e = E.speech_embeddings(usable(spark, d), "speech_id", "speech")
+    return e.select("speech_id", F.posexplode("embedding").alias("dim", "value")).select(
+        "speech_id", F.col("dim").cast("bigint").alias("dim"), _r(F.col("value")).alias("value"))
+
+
+def q_enrich(spark, d):
+    from .enrich import enrich_testdata
+    return enrich_testdata(spark, d)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drop_incomplete": q_drop_incomplete,
     "exact_dedup": q_exact_dedup,
@@ -321,4 +345,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mean_pool": q_mean_pool,
     "extract_profiles": q_extract_profiles,
     "project_2d": q_project_2d,
+    "toxic_model": q_toxic_model,
+    "topics": q_topics,
+    "speech_embeddings": q_speech_embeddings,
+    "enrich": q_enrich,
 }

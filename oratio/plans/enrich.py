@@ -39,14 +39,13 @@ OUTPUT_COLUMNS = [c for c, _ in OUTPUT]
 
 def analyse(df: DataFrame, tone_lexicon=None) -> DataFrame:
     """Row-local analysis columns (phases 3 and 4 without the model scorers)."""
-    lc = F.lower(F.col("speech"))
-    df = df.withColumn("toxicity_text_count", L.hits_text(L.category_hits(lc, TOXICITY), TOXICITY))
+    df = df.withColumn("toxicity_text_count", L.hits_text("lower(speech)", TOXICITY))
     df = P.propaganda_search(df).drop("findings", "type_counts", "top_spans")
     df = S.add_persuasion(df).withColumn("persuasion_score", S.persuasion_text(F.col("persuasion.scores")))
     df = K.add_term_weights(df).withColumn("tf_idf", K.keyword_text(K.top_terms(F.col("term_weights"))))
     df = S.add_narrative(df).withColumn("narrative_structure", S.narrative_text(F.col("narrative")))
     if tone_lexicon is not None:
-        df = df.withColumn("tone", L.tone(T.terms(F.col("speech")), tone_lexicon)[1])
+        df = df.withColumn("tone", L.tone(T.sql_terms("speech"), tone_lexicon)[1])
     else:
         df = df.withColumn("tone", F.lit(None).cast("string"))
     df = S.add_counters(df).withColumn("__read", S.readability(F.col("counters")))
