@@ -61,6 +61,11 @@ def sentences(c) -> Column:
     return F.split(col_(c), SENTENCE_BREAK, -1)
 
 
+def first_sentence(c) -> Column:
+    """First element of ``sentences``; the split stops at the first boundary."""
+    return F.split(col_(c), SENTENCE_BREAK, 2)[0]
+
+
 def nonempty_sentences(c) -> Column:
     return F.filter(sentences(c), lambda s: s != F.lit(""))
 

@@ -40,12 +40,16 @@ def term_counts(text) -> Column:
 
 
 def add_term_weights(df: DataFrame, text: str = "speech", out: str = "term_weights") -> DataFrame:
+    return df.withColumn(out, term_weights_col(text))
+
+
+def term_weights_col(text: str = "speech") -> Column:
     """K1: per speech ``array<struct<term, cnt, weight>>``, weight = cnt / sqrt(sum cnt^2)."""
     def weigh(tc):
         norm = F.sqrt(F.aggregate(tc, F.lit(0.0), lambda acc, x: acc + x["cnt"] * x["cnt"]))
         return T.let(norm, lambda nv: F.transform(tc, lambda x: F.struct(
             x["term"].alias("term"), x["cnt"].alias("cnt"), (x["cnt"] / nv).alias("weight"))))
-    return df.withColumn(out, T.let(term_counts(text), weigh))
+    return T.let(term_counts(text), weigh)
 
 
 def top_terms(weights: Column, k: int = TOP_KEYWORDS) -> Column:
@@ -109,3 +113,30 @@ def topics(df: DataFrame, id_col: str = "speech_id", text: str = "speech", k: in
     best = dist.select(id_col, F.array_max("__d").alias("topic_weight"),
                        (F.array_position("__d", F.array_max("__d")) - 1).cast("int").alias("topic"))
     return best.join(F.broadcast(desc), "topic", "left").select(id_col, "topic", "topic_weight", "topic_terms")
+
+
+def summary_sentences(df: DataFrame, id_col: str = "speech_id", text: str = "speech",
+                      max_words: int = 100) -> DataFrame:
+    """K6: extractive summary. Sentence score = mean per-speech term weight (K1) of its
+    content terms; sentences are ranked by score (rounded to 9 places, then position) and taken
+    while the running word count stays within ``max_words``. Rows (id, sent_no, rank, score,
+    n_words, sentence), in document order when sorted by sent_no.
+
+    Plan: sentences and term weights both come from the speech row (map side); the
+    (id, term) join and the per-sentence mean are shuffles on keys that never concentrate on
+    one value (a speech's sentences spread over its terms); the ranking is one window per id."""
+    sents = df.select(id_col, F.posexplode(T.nonempty_sentences(text)).alias("sent_no", "sentence")).select(
+        id_col, F.col("sent_no").cast("bigint").alias("sent_no"), "sentence",
+        F.size(T.words("sentence")).cast("bigint").alias("n_words"))
+    weights = df.select(id_col, F.inline(term_weights_col(text))).select(id_col, "term", "weight")
+    sterms = sents.select(id_col, "sent_no", F.explode(content_terms("sentence")).alias("term"))
+    scores = (sterms.join(weights, [id_col, "term"]).groupBy(id_col, "sent_no")
+              .agg(F.avg("weight").alias("score")))
+    ranked = sents.join(scores, [id_col, "sent_no"], "left")
+    order = Window.partitionBy(id_col).orderBy(F.round("score", 9).desc_nulls_last(), F.col("sent_no"))
+    return (ranked.withColumn("rank", F.row_number().over(order))
+                  .withColumn("words_so_far", F.sum("n_words").over(
+                      order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+                  .where(F.col("words_so_far") <= max_words)
+                  .select(id_col, "sent_no", F.col("rank").cast("bigint").alias("rank"), "score", "n_words",
+                          "sentence"))

@@ -21,7 +21,7 @@ def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search results over the driver tables: each document is a hit for its source, ranked by id,
     titled by its first sentence."""
     d = table(spark, sf_dir, "documents")
-    first = F.element_at(T.sentences("text"), 1)
+    first = T.first_sentence("text")
     return d.select(F.col("source").alias("surname"), F.col("doc_id").alias("rank"),
                     first.alias("title"), first.alias("first_sentence"))
 

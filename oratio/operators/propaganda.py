@@ -88,6 +88,39 @@ def report_cols(spans: Column) -> tuple[Column, Column]:
     return types_text, offsets_text
 
 
+def report_col(speech: str = "speech", code: str | None = "code", lexicon=PROPAGANDA, size: int = CHUNK_SIZE,
+               overlap: int = CHUNK_OVERLAP, k: int = TOP_TYPES) -> Column:
+    """F6+P1-P7 in one expression: ``struct<propaganda_type, offsets>``; intermediate arrays are
+    bound once (``let``), nothing is materialised as a column."""
+    cats = [c for c, _ in lexicon]
+
+    def with_findings(f):
+        def with_counts(tc):
+            spans = spans_col(f, top_types_col(tc, k), F.col(speech))
+            types_text, offsets_text = report_cols(spans)
+            return F.struct(types_text.alias("propaganda_type"), offsets_text.alias("offsets"))
+        return F.when(F.size(f) > 0, T.let(_type_counts_of(f, cats), with_counts)).otherwise(
+            F.struct(F.lit(NOT_IDENTIFIED).alias("propaganda_type"), F.lit(None).cast("string").alias("offsets")))
+
+    searched = T.let(findings_col(speech, lexicon, size, overlap), with_findings)
+    if code is None:
+        return searched
+    return F.when(F.col(code) == 1, searched).otherwise(
+        F.struct(F.lit(NOT_PROPAGANDA).alias("propaganda_type"), F.lit(None).cast("string").alias("offsets")))
+
+
+def _type_counts_of(f: Column, categories) -> Column:
+    """P3 on a findings array given as a Column (e.g. a bound lambda variable)."""
+    arr = F.array(*[F.struct((-F.size(F.filter(f, _type_is(c)))).alias("neg_n"),
+                             (F.array_position(f["type"], F.lit(c)) - 1).alias("first_seen"),
+                             F.lit(c).alias("type")) for c in categories])
+    return F.filter(arr, lambda x: x["neg_n"] < 0)
+
+
+def _type_is(c: str):
+    return lambda f: f["type"] == F.lit(c)
+
+
 def propaganda_search(df: DataFrame, lexicon=PROPAGANDA, speech: str = "speech", code: str | None = "code",
                       size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, k: int = TOP_TYPES) -> DataFrame:
     """Adds ``findings``, ``type_counts``, ``top_spans``, ``propaganda_type`` and ``offsets``.

@@ -35,10 +35,14 @@ def narrative_from_lengths(lengths: Column) -> Column:
     return T.let(lengths, stats)
 
 
-def add_narrative(df: DataFrame, text: str = "speech", out: str = "narrative") -> DataFrame:
+def narrative_col(text: str = "speech") -> Column:
     """A1 over the non-empty sentences (split rule of ``functions.text``)."""
     lengths = F.transform(T.nonempty_sentences(F.col(text)), lambda s: F.size(T.words(s)))
-    return df.withColumn(out, narrative_from_lengths(lengths))
+    return narrative_from_lengths(lengths)
+
+
+def add_narrative(df: DataFrame, text: str = "speech", out: str = "narrative") -> DataFrame:
+    return df.withColumn(out, narrative_col(text))
 
 
 def narrative_text(n: Column) -> Column:
@@ -73,6 +77,18 @@ def syllables(word: Column) -> Column:
     return T.let(F.lower(word), count)
 
 
+def counters_col(text: str = "speech") -> Column:
+    """A3 in one expression: struct(words, sentences, syllables, characters, polysyllables)."""
+    def with_words(w):
+        return T.let(F.transform(w, syllables), lambda syl: F.struct(
+            F.size(w).cast("bigint").alias("words"),
+            F.greatest(F.lit(1), F.size(T.nonempty_sentences(F.col(text)))).cast("bigint").alias("sentences"),
+            _sum_int(syl).alias("syllables"),
+            F.length(F.array_join(w, "")).cast("bigint").alias("characters"),
+            F.size(F.filter(syl, lambda x: x >= 3)).cast("bigint").alias("polysyllables")))
+    return T.let(F.regexp_extract_all(F.col(text), F.lit(T.WORD), 0), with_words)
+
+
 def add_counters(df: DataFrame, text: str = "speech", out: str = "counters") -> DataFrame:
     w = F.regexp_extract_all(F.col(text), F.lit(T.WORD), 0)
     df = (df.withColumn("__w", w)
@@ -140,6 +156,10 @@ def persuasion_counts_sql(text: str, tokens: str) -> str:
 
 
 def add_persuasion(df: DataFrame, text: str = "speech", out: str = "persuasion") -> DataFrame:
+    return df.withColumn(out, persuasion_col(text))
+
+
+def persuasion_col(text: str = "speech") -> Column:
     """Counts and weighted scores. score = count / total tokens * weight; total_score
     = their sum rounded to 3; no tokens -> all 0.0."""
     pc = T.sql_let(persuasion_counts_sql(text, "pt"), "pc", "pc")
@@ -148,7 +168,7 @@ def add_persuasion(df: DataFrame, text: str = "speech", out: str = "persuasion")
              for n, w in PERSUASION_WEIGHTS]
     scores = ", ".join(f"'{n}', {e}" for (n, _), e in zip(PERSUASION_WEIGHTS, terms))
     body = f"named_struct('counts', pc, 'scores', named_struct({scores}, 'total_score', round({' + '.join(terms)}, 3)))"
-    return df.withColumn(out, F.expr(T.sql_let(counts, "pc", body)))
+    return F.expr(T.sql_let(counts, "pc", body))
 
 
 def persuasion_text(scores: Column) -> Column:

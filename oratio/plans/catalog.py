@@ -71,7 +71,7 @@ def q_usable_filter(spark, d):
 
 
 def q_politician_predicate(spark, d):
-    return docs(spark, d).select("doc_id", clean.is_politician(F.element_at(T.sentences("text"), 1))
+    return docs(spark, d).select("doc_id", clean.is_politician(T.first_sentence("text"))
                                  .cast("bigint").alias("is_politician"))
 
 
@@ -277,6 +277,11 @@ def q_project_2d(spark, d):
     return E.project_2d(e, "vec_id", "embedding")
 
 
+def q_summary_sentences(spark, d):
+    return K.summary_sentences(usable(spark, d)).select(
+        "speech_id", "sent_no", "rank", _r(F.col("score")).alias("score"), "n_words", "sentence")
+
+
 def q_toxic_model(spark, d):
     """M5/M6: classifier trained on the labelled usable speeches, applied to every document."""
     from ..operators.models import fit_text_classifier, label_from_model
@@ -342,6 +347,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "term_weights": q_term_weights,
     "top_keywords": q_top_keywords,
     "corpus_keywords": q_corpus_keywords,
+    "summary_sentences": q_summary_sentences,
     "mean_pool": q_mean_pool,
     "extract_profiles": q_extract_profiles,
     "project_2d": q_project_2d,

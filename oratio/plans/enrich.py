@@ -38,20 +38,30 @@ OUTPUT_COLUMNS = [c for c, _ in OUTPUT]
 
 
 def analyse(df: DataFrame, tone_lexicon=None) -> DataFrame:
-    """Row-local analysis columns (phases 3 and 4 without the model scorers)."""
-    df = df.withColumn("toxicity_text_count", L.hits_text("lower(speech)", TOXICITY))
-    df = P.propaganda_search(df).drop("findings", "type_counts", "top_spans")
-    df = S.add_persuasion(df).withColumn("persuasion_score", S.persuasion_text(F.col("persuasion.scores")))
-    df = K.add_term_weights(df).withColumn("tf_idf", K.keyword_text(K.top_terms(F.col("term_weights"))))
-    df = S.add_narrative(df).withColumn("narrative_structure", S.narrative_text(F.col("narrative")))
-    if tone_lexicon is not None:
-        df = df.withColumn("tone", L.tone(T.sql_terms("speech"), tone_lexicon)[1])
-    else:
-        df = df.withColumn("tone", F.lit(None).cast("string"))
-    df = S.add_counters(df).withColumn("__read", S.readability(F.col("counters")))
-    for f in ("flesch_reading_ease", "flesch_kincaid_grade", "gunning_fog", "smog_index", "text_standard"):
-        df = df.withColumn(f, F.col(f"__read.{f}"))
-    return df.drop("persuasion", "term_weights", "narrative", "counters", "__read")
+    """Row-local analysis columns (phases 3 and 4 without the model scorers): one projection
+    computes each bundle once, a second one renders the output columns from the bundles."""
+    tone = (L.tone(T.sql_terms("speech"), tone_lexicon)[1] if tone_lexicon is not None
+            else F.lit(None).cast("string"))
+    bundles = df.select(
+        "*",
+        L.hits_text("lower(speech)", TOXICITY).alias("toxicity_text_count"),
+        P.report_col("speech", "code").alias("__prop"),
+        S.persuasion_col("speech").alias("__pers"),
+        K.term_weights_col("speech").alias("__tw"),
+        S.narrative_col("speech").alias("__narr"),
+        S.counters_col("speech").alias("__cnt"),
+        tone.alias("tone"))
+    read = S.readability(F.col("__cnt"))
+    keep = [c for c in df.columns]
+    return bundles.select(
+        *keep, "toxicity_text_count",
+        F.col("__prop.propaganda_type").alias("propaganda_type"), F.col("__prop.offsets").alias("offsets"),
+        S.persuasion_text(F.col("__pers.scores")).alias("persuasion_score"),
+        K.keyword_text(K.top_terms(F.col("__tw"))).alias("tf_idf"),
+        S.narrative_text(F.col("__narr")).alias("narrative_structure"),
+        "tone",
+        *[read[f].alias(f) for f in ("flesch_reading_ease", "flesch_kincaid_grade", "gunning_fog",
+                                     "smog_index", "text_standard")])
 
 
 def enrich(speeches: DataFrame, profiles: DataFrame | None = None, responses: DataFrame | None = None,

@@ -15,6 +15,7 @@ from ..functions.lexicons import (CHUNK_OVERLAP, CHUNK_SIZE, NOT_SUPERLATIVE, PE
 q = T.sql_str
 NL = "chr(10)"
 STEP = CHUNK_SIZE - CHUNK_OVERLAP
+SUMMARY_WORDS = 100
 
 
 def in_list(words) -> str:
@@ -242,6 +243,22 @@ rk AS (SELECT *, tfidf / sqrt(sum(tfidf * tfidf) OVER (PARTITION BY speech_id))
 SELECT speech_id, term, cnt, round(weight, 6) AS weight, CAST(rank AS BIGINT) AS rank FROM rk WHERE rank <= {TOP_KEYWORDS}"""
 
 
+def summary_sentences_sql():
+    return f"""{BASE}, {_term_counts_cte()},
+wt AS (SELECT speech_id, term, cnt / sqrt(sum(cnt * cnt) OVER (PARTITION BY speech_id)) AS weight FROM tcn),
+se AS (SELECT speech_id, unnest(ss) AS sentence, unnest(range(len(ss))) AS sent_no
+       FROM (SELECT speech_id, list_filter({T.duck_sentences('speech')}, lambda s: s <> '') AS ss FROM usable)),
+sw AS (SELECT speech_id, sent_no, sentence, len({T.duck_words('sentence')}) AS n_words FROM se),
+st AS (SELECT speech_id, sent_no, unnest({T.duck_terms('sentence')}) AS term FROM se),
+sc AS (SELECT st.speech_id, st.sent_no, avg(wt.weight) AS score FROM st JOIN wt USING (speech_id, term)
+       WHERE st.term NOT IN {in_list(stop_words())} GROUP BY st.speech_id, st.sent_no),
+rk AS (SELECT sw.*, sc.score, row_number() OVER w AS rank, sum(n_words) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS so_far
+       FROM sw LEFT JOIN sc USING (speech_id, sent_no)
+       WINDOW w AS (PARTITION BY speech_id ORDER BY round(sc.score, 9) DESC NULLS LAST, sent_no))
+SELECT speech_id, CAST(sent_no AS BIGINT) AS sent_no, CAST(rank AS BIGINT) AS rank, round(score, 6) AS score,
+       CAST(n_words AS BIGINT) AS n_words, sentence FROM rk WHERE so_far <= {SUMMARY_WORDS}"""
+
+
 # ---- joins, parsing --------------------------------------------------------------------------
 
 def _pick_cte():
@@ -372,6 +389,7 @@ ORACLE: dict[str, str] = {
     "term_weights": term_weights_sql(),
     "top_keywords": top_keywords_sql(),
     "corpus_keywords": corpus_keywords_sql(),
+    "summary_sentences": summary_sentences_sql(),
     "mean_pool": ("SELECT label, CAST(i - 1 AS BIGINT) AS dim, round(avg(v), 6) AS value FROM ("
                   "SELECT CAST(label AS BIGINT) AS label, unnest(embedding) AS v, unnest(range(1, len(embedding) + 1)) AS i "
                   "FROM embeddings) GROUP BY label, i"),

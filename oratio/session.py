@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # CPU-heavy rows: tiny local inputs keep one partition per shuffle slot
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # broadcast decisions from measured sizes at run time, not from plan estimates
         .config("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -53,9 +56,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage by writing a parquet table into the shared checkpoint folder and reading it
+    back: computed once (``Dataset.checkpoint`` computes its input twice), stored reliably, so a
+    lost executor never forces recomputation of what came before."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/oratio-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
