@@ -52,8 +52,10 @@ def words(c) -> Column:
 
 
 def remove_links(c) -> Column:
-    """Drop ``http…`` / ``www.…`` runs; the text is not re-trimmed."""
-    return F.regexp_replace(col_(c), LINK, "")
+    """Drop ``http…`` / ``www.…`` runs; the text is not re-trimmed. The regex only runs on
+    texts containing ``http`` or ``www.`` (it cannot match anywhere else)."""
+    c = col_(c)
+    return F.when(c.contains("http") | c.contains("www."), F.regexp_replace(c, LINK, "")).otherwise(c)
 
 
 def sentences(c) -> Column:

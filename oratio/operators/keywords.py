@@ -36,7 +36,7 @@ def term_counts(text) -> Column:
             F.element_at(s, p).alias("term"),
             (F.coalesce(F.try_element_at(st, k + 2), n + 1) - p).cast("bigint").alias("cnt"))))
 
-    return T.let(F.array_sort(content_terms(text)), lambda s: F.when(F.size(s) > 0, runs(s)).otherwise(empty))
+    return T.let(F.sort_array(content_terms(text)), lambda s: F.when(F.size(s) > 0, runs(s)).otherwise(empty))
 
 
 def add_term_weights(df: DataFrame, text: str = "speech", out: str = "term_weights") -> DataFrame:
@@ -54,7 +54,7 @@ def term_weights_col(text: str = "speech") -> Column:
 
 def top_terms(weights: Column, k: int = TOP_KEYWORDS) -> Column:
     """K2: k terms with the highest weight, ties alphabetical (count order = weight order)."""
-    ranked = F.array_sort(F.transform(weights, lambda x: F.struct(
+    ranked = F.sort_array(F.transform(weights, lambda x: F.struct(
         (-x["cnt"]).alias("neg"), x["term"].alias("term"), x["weight"].alias("weight"))))
     return F.slice(ranked, 1, k)
 

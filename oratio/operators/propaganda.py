@@ -60,7 +60,7 @@ def type_counts_col(findings: str, categories) -> Column:
 
 def top_types_col(counts: Column, k: int = TOP_TYPES) -> Column:
     """The k most frequent types, ties by first appearance (``Counter.most_common``)."""
-    return F.slice(F.array_sort(counts), 1, k)
+    return F.slice(F.sort_array(counts), 1, k)
 
 
 def spans_col(findings: Column, top: Column, speech) -> Column:

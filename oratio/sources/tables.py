@@ -23,8 +23,9 @@ def speeches_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(speech_id, surname, code, speech) before any cleaning; unlabelled rows get a null code."""
     docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("speech_id"), F.col("source").alias("surname"), F.col("text").alias("speech"))
-    # partitioned on part of the dedup key, so the dedup that follows needs no further exchange
-    docs = spread(docs, ["surname", "speech"])
+    # small inputs only: spread on the unique id (uniform even when one group of identical
+    # speeches holds a third of the rows); the dedup then combines copies map-side
+    docs = spread(docs, "speech_id")
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("speech_id"),
                                                    F.col("toxic").alias("code"))
     return join_dimension(docs, labels, "speech_id", "left").select("speech_id", "surname", "code", "speech")
