@@ -138,3 +138,65 @@ def propaganda_search(df: DataFrame, lexicon=PROPAGANDA, speech: str = "speech",
     return (out.withColumn("propaganda_type", F.when(~searched, F.lit(NOT_PROPAGANDA))
                            .when(found, types_text).otherwise(F.lit(NOT_IDENTIFIED)))
                .withColumn("offsets", F.when(searched & found, offsets_text)))
+
+
+# ---- with a classifier (M4): P1/P2 gate = model OR lexicon ---------------------------------
+
+def scorer_flag(scorer, positive: str = "propaganda"):
+    """Flag function for a Python model (``models.Scorer``): text -> label == positive."""
+    want = positive[:1].upper() + positive[1:].lower()
+    return lambda df, text: df.withColumn("__model", scorer.column(F.col(text)) == F.lit(want))
+
+
+def model_flag(model, positive_index: int = 1):
+    """Flag function for a trained Spark ML pipeline (``models.fit_text_classifier``), JVM-side."""
+    from .models import label_from_model
+
+    inp = model.stages[0].getInputCol()  # the text column the pipeline was fitted on
+
+    def flag(df, text):
+        names = [str(i) for i in range(max(2, positive_index + 1))]
+        src = df if text == inp else df.withColumnRenamed(text, inp)
+        out = label_from_model(model, src, inp, names, "__lbl")
+        out = out if text == inp else out.withColumnRenamed(inp, text)
+        return out.withColumn("__model", F.col("__lbl") == F.lit(str(positive_index))).drop("__lbl")
+    return flag
+
+
+def propaganda_search_scored(df: DataFrame, flag, lexicon=PROPAGANDA, id_col: str = "speech_id",
+                             speech: str = "speech", code: str | None = "code", size: int = CHUNK_SIZE,
+                             overlap: int = CHUNK_OVERLAP, k: int = TOP_TYPES) -> DataFrame:
+    """P1-P7 with a classifier: a window is kept when the model flags it or a phrase occurs in
+    it; a sentence of a kept window is a finding when the model flags it or the lexicon types
+    it; model-only findings get the type ``Unspecified``.
+
+    The model sees windows and sentences as rows, so this path explodes them and regroups the
+    findings per speech (``collect_list`` bounded by one speech's findings; the grouping key is
+    the unique speech id, so no key is hot), then reuses the row-local P3-P7."""
+    from .windows import sliding_windows
+
+    searched = df.where(F.col(code) == 1) if code else df
+    chunks = flag(sliding_windows(searched, id_col, speech, size, overlap), "chunk")
+    kept = chunks.where(F.col("__model") | F.expr(Q.any_phrase("lower(chunk)", lexicon)))
+    sents = kept.select(id_col, "chunk_no", F.posexplode(T.sentences("chunk")).alias("sent_no", "sentence"))
+    sents = flag(sents, "sentence")
+    typed = sents.withColumn("type", F.coalesce(
+        F.expr(Q.predominant(Q.hits("lower(sentence)", lexicon), lexicon)),
+        F.when(F.col("__model"), F.lit(UNSPECIFIED))))
+    found = (typed.where(F.col("type").isNotNull())
+                  .groupBy(id_col)
+                  .agg(F.sort_array(F.collect_list(F.struct("chunk_no", "sent_no", "type", "sentence")))
+                       .alias("findings")))
+    cats = [c for c, _ in lexicon] + [UNSPECIFIED]
+    out = df.join(found, id_col, "left")
+    searched_c = F.col(code) == 1 if code else F.lit(True)
+    out = out.withColumn("findings", F.when(searched_c, F.coalesce(
+        F.col("findings"), F.array().cast("array<struct<chunk_no:int,sent_no:int,type:string,sentence:string>>"))))
+    out = out.withColumn("type_counts", type_counts_col("findings", cats))
+    out = out.withColumn("top_spans", spans_col(F.col("findings"), top_types_col(F.col("type_counts"), k),
+                                                F.col(speech)))
+    types_text, offsets_text = report_cols(F.col("top_spans"))
+    has = F.size(F.col("findings")) > 0
+    return (out.withColumn("propaganda_type", F.when(~searched_c, F.lit(NOT_PROPAGANDA))
+                           .when(has, types_text).otherwise(F.lit(NOT_IDENTIFIED)))
+               .withColumn("offsets", F.when(searched_c & has, offsets_text)))

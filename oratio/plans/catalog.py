@@ -282,6 +282,18 @@ def q_summary_sentences(spark, d):
         "speech_id", "sent_no", "rank", _r(F.col("score")).alias("score"), "n_words", "sentence")
 
 
+def q_propaganda_report_model(spark, d):
+    """M4 + P1-P7: windows and sentences gated by a classifier trained on the speech codes
+    (code 1 = propaganda in the speech view) or by the lexicon."""
+    from ..operators.models import fit_text_classifier
+    from ..session import cut_lineage
+    sp = usable(spark, d)
+    train = cut_lineage(sp.select("speech", "code"))
+    model = fit_text_classifier(train, "speech", "code", num_features=1 << 16, max_iter=20)
+    out = P.propaganda_search_scored(sp, P.model_flag(model))
+    return out.select("speech_id", "propaganda_type", "offsets")
+
+
 def q_toxic_model(spark, d):
     """M5/M6: classifier trained on the labelled usable speeches, applied to every document."""
     from ..operators.models import fit_text_classifier, label_from_model
@@ -352,6 +364,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_profiles": q_extract_profiles,
     "project_2d": q_project_2d,
     "toxic_model": q_toxic_model,
+    "propaganda_report_model": q_propaganda_report_model,
     "topics": q_topics,
     "speech_embeddings": q_speech_embeddings,
     "enrich": q_enrich,

@@ -113,3 +113,20 @@ def test_hits_never_exceed_phrases(spark):
     r = tox(spark, text)
     sizes = dict((c, len(ps)) for c, ps in TOXICITY)
     assert all(h.hits == sizes[h.category] for h in r.tox_hits)
+
+
+def test_model_gate_unspecified(spark):  # c22
+    import numpy as np
+    from oratio.operators.models import Scorer
+
+    def load():
+        return lambda texts: np.array([[0.0, 1.0] if "vote" in t.lower() else [1.0, 0.0] for t in texts])
+
+    scorer = Scorer(load, ["none", "propaganda"])
+    df = spark.createDataFrame([(1, 1, "Calm words. Vote for us. They are corrupt."), (2, 0, "Vote now."),
+                                (3, 1, "Nothing here.")], "speech_id long, code int, speech string")
+    out = {r.speech_id: r for r in P.propaganda_search_scored(df, P.scorer_flag(scorer)).collect()}
+    # one finding each; the model-only sentence comes first
+    assert out[1].propaganda_type == "Unspecified\nOpposition distortion"
+    assert out[1].offsets == "Unspecified: [12:24]\nOpposition distortion: [25:42]"
+    assert out[2].propaganda_type == "Not propaganda" and out[3].propaganda_type == "Not identified"

@@ -93,3 +93,11 @@ def test_topics_shape(spark):
     df = spark.createDataFrame(rows, "speech_id long, speech string")
     out = K.topics(df, k=2, max_iter=5).collect()
     assert len(out) == 12 and all(0 <= r.topic < 2 and r.topic_terms for r in out)
+
+
+def test_summary_sentences(spark):  # K6
+    text = ("Apples are red. Apples and pears grow. " + "Filler words here again. " * 3)
+    df = spark.createDataFrame([(1, text)], "speech_id long, speech string")
+    out = K.summary_sentences(df, max_words=8).orderBy("rank").collect()
+    assert [r.sentence for r in out][:1] == ["Apples are red."] or out[0].score >= out[-1].score
+    assert sum(r.n_words for r in out) <= 8
