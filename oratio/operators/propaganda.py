@@ -95,10 +95,12 @@ def report_col(speech: str = "speech", code: str | None = "code", lexicon=PROPAG
     cats = [c for c, _ in lexicon]
 
     def with_findings(f):
-        def with_counts(tc):
-            spans = spans_col(f, top_types_col(tc, k), F.col(speech))
+        def with_spans(spans):
             types_text, offsets_text = report_cols(spans)
             return F.struct(types_text.alias("propaganda_type"), offsets_text.alias("offsets"))
+
+        def with_counts(tc):
+            return T.let(spans_col(f, top_types_col(tc, k), F.col(speech)), with_spans)
         return F.when(F.size(f) > 0, T.let(_type_counts_of(f, cats), with_counts)).otherwise(
             F.struct(F.lit(NOT_IDENTIFIED).alias("propaganda_type"), F.lit(None).cast("string").alias("offsets")))
 

@@ -45,8 +45,12 @@ def add_narrative(df: DataFrame, text: str = "speech", out: str = "narrative") -
     return df.withColumn(out, narrative_col(text))
 
 
-def narrative_text(n: Column) -> Column:
+def narrative_text(narrative: Column) -> Column:
     """A2: the four metrics as ``Name: value`` lines (floats %.3f, count %d)."""
+    return T.let(narrative, _narrative_text)
+
+
+def _narrative_text(n: Column) -> Column:
     return F.when(n.isNotNull(), F.concat_ws(
         "\n",
         F.format_string("Average Sentence Length: %.3f", n["avg_sentence_length"]),
@@ -108,8 +112,13 @@ def _ordinal(n: Column) -> Column:
     return F.concat(n.cast("string"), suffix)
 
 
-def readability(c: Column) -> Column:
-    """A4-A8 from the counters struct: FRE, FKGL, Fog, SMOG, text standard; null without words."""
+def readability(counters: Column) -> Column:
+    """A4-A8 from the counters struct: FRE, FKGL, Fog, SMOG, text standard; null without words.
+    The struct is bound once: each count is used many times below."""
+    return T.let(counters, _readability)
+
+
+def _readability(c: Column) -> Column:
     W = c["words"].cast("double")
     S = c["sentences"].cast("double")
     Y = c["syllables"].cast("double")
@@ -174,8 +183,8 @@ def persuasion_col(text: str = "speech") -> Column:
 def persuasion_text(scores: Column) -> Column:
     """``Title Case: value`` lines."""
     names = [n for n, _ in PERSUASION_WEIGHTS] + ["total_score"]
-    return F.concat_ws("\n", *[F.concat(T.title_label(F.lit(n)), F.lit(": "), scores[n].cast("string"))
-                               for n in names])
+    return T.let(scores, lambda sc: F.concat_ws(
+        "\n", *[F.concat(F.lit(Q.title(n) + ": "), sc[n].cast("string")) for n in names]))
 
 
 # ---- A12 per speaker -----------------------------------------------------------------------
