@@ -81,10 +81,20 @@ def syllables(word: Column) -> Column:
     return T.let(F.lower(word), count)
 
 
+def syllables_of(words: Column) -> Column:
+    """Per-word syllable counts, computed array-wise: one pass lower-cases every word and counts
+    its vowel groups, a second applies the silent-``e`` rule on those fields (no per-word
+    binding, so no per-word array allocations)."""
+    lv = F.transform(words, lambda x: T.let(F.lower(x), lambda lw: F.struct(
+        lw.alias("lw"), F.regexp_count(lw, F.lit(T.VOWELS)).alias("v"))))
+    return F.transform(lv, lambda s: F.greatest(F.lit(1), s["v"] - (
+        (s["v"] > 1) & _ends_consonant_then(s["lw"], "e") & ~_ends_consonant_then(s["lw"], "le")).cast("int")))
+
+
 def counters_col(text: str = "speech") -> Column:
     """A3 in one expression: struct(words, sentences, syllables, characters, polysyllables)."""
     def with_words(w):
-        return T.let(F.transform(w, syllables), lambda syl: F.struct(
+        return T.let(syllables_of(w), lambda syl: F.struct(
             F.size(w).cast("bigint").alias("words"),
             F.greatest(F.lit(1), F.size(T.nonempty_sentences(F.col(text)))).cast("bigint").alias("sentences"),
             _sum_int(syl).alias("syllables"),
@@ -112,9 +122,13 @@ def _ordinal(n: Column) -> Column:
     return F.concat(n.cast("string"), suffix)
 
 
-def readability(counters: Column) -> Column:
+def readability(counters) -> Column:
     """A4-A8 from the counters struct: FRE, FKGL, Fog, SMOG, text standard; null without words.
-    The struct is bound once: each count is used many times below."""
+
+    Give a column name to stay in generated code; any other expression is bound once first
+    (each count is used many times below, and an unbound expression would be re-evaluated)."""
+    if isinstance(counters, str):
+        return _readability(F.col(counters))
     return T.let(counters, _readability)
 
 

@@ -211,7 +211,7 @@ def q_text_counters(spark, d):
 
 
 def q_readability(spark, d):
-    r = S.readability(F.col("counters"))
+    r = S.readability("counters")
     return S.add_counters(usable(spark, d)).select(
         "speech_id", _r(r["flesch_reading_ease"]).alias("flesch_reading_ease"),
         _r(r["flesch_kincaid_grade"]).alias("flesch_kincaid_grade"), _r(r["gunning_fog"]).alias("gunning_fog"),
@@ -230,7 +230,7 @@ def q_persuasion_score(spark, d):
 
 def q_per_speaker(spark, d):
     p = S.add_persuasion(S.add_counters(usable(spark, d)))
-    r = S.readability(F.col("counters"))
+    r = S.readability("counters")
     out = S.per_speaker(p, {"avg_total_score": F.col("persuasion.scores.total_score"),
                             "avg_flesch_reading_ease": r["flesch_reading_ease"],
                             "avg_words": F.col("counters.words")})

@@ -51,7 +51,7 @@ def analyse(df: DataFrame, tone_lexicon=None) -> DataFrame:
         S.narrative_col("speech").alias("__narr"),
         S.counters_col("speech").alias("__cnt"),
         tone.alias("tone"))
-    read = S.readability(F.col("__cnt"))
+    read = S.readability("__cnt")
     keep = [c for c in df.columns]
     return bundles.select(
         *keep, "toxicity_text_count",

@@ -37,7 +37,9 @@ def test_persuasion_empty(spark):  # c27
 
 def test_readability(spark):  # c31 and formulas
     r = S.add_counters(df1(spark, "The cat sat. The dog ran.")).select(
-        "counters", S.readability(F.col("counters")).alias("r")).first()
+        "counters", S.readability("counters").alias("r")).first()
+    again = df1(spark, "The cat sat. The dog ran.").select(S.readability(S.counters_col("speech")).alias("r")).first()
+    assert again.r == r.r
     c, rd = r.counters, r.r
     assert (c.words, c.sentences, c.syllables, c.characters, c.polysyllables) == (6, 2, 6, 18, 0)
     assert rd.smog_index == 0.0
