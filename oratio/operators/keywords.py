@@ -115,28 +115,76 @@ def topics(df: DataFrame, id_col: str = "speech_id", text: str = "speech", k: in
     return best.join(F.broadcast(desc), "topic", "left").select(id_col, "topic", "topic_weight", "topic_terms")
 
 
+def summary_col(text: str = "speech", max_words: int = 100) -> Column:
+    """K6 inside the row: ``array<struct<sent_no, rank, score, n_words, sentence>>``.
+
+    Sentence score = mean per-speech term weight (K1) of its content terms. The (term, sentence)
+    pairs sorted by term line up with the speech's term weights expanded by their counts (the
+    pairs hold exactly the speech's terms), so no join is needed; sentences are ranked by
+    (score rounded to 9 places desc, position) and taken while the running word count stays
+    within ``max_words`` (a fold, linear in the number of sentences)."""
+    sents = T.nonempty_sentences(text)
+
+    def with_sents(ss):
+        pairs = F.flatten(F.transform(ss, lambda s, j: F.transform(
+            content_terms_of(s), lambda t: F.struct(t.alias("term"), j.alias("sent_no")))))
+
+        def with_weights(tw):
+            per_term = F.flatten(F.transform(tw, lambda x: F.array_repeat(x["weight"], x["cnt"].cast("int"))))
+            by_sent = F.sort_array(F.transform(F.arrays_zip(F.sort_array(pairs).alias("p"), per_term.alias("w")),
+                                               lambda z: F.struct(z["p"]["sent_no"].alias("sent_no"),
+                                                                  z["w"].alias("w"))))
+            return T.let(by_sent, lambda bs: _rank(ss, _sentence_means(bs), max_words))
+        return T.let(term_weights_col(text), with_weights)
+    return T.let(sents, with_sents)
+
+
+def content_terms_of(c: Column) -> Column:
+    """``content_terms`` for any string expression (e.g. a lambda variable)."""
+    stops = list(stop_words())
+    return F.filter(F.regexp_extract_all(F.lower(c), F.lit(T.TERM), 0), lambda t: ~t.isin(*stops))
+
+
+def _sentence_means(bs: Column) -> Column:
+    """Runs of equal ``sent_no`` in a sorted (sent_no, w) array -> (sent_no, mean w)."""
+    n = F.size(bs)
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+                      lambda i: (n > 0) & ((i == 1) | (F.element_at(bs, i)["sent_no"] != F.element_at(bs, i - 1)["sent_no"])))
+    return T.let(starts, lambda st: F.transform(st, lambda p, k: T.let(
+        F.coalesce(F.try_element_at(st, k + 2), n + 1) - p, lambda ln: F.struct(
+            F.element_at(bs, p)["sent_no"].alias("sent_no"),
+            (F.aggregate(F.slice(bs, p, ln), F.lit(0.0), lambda acc, x: acc + x["w"]) / ln).alias("score")))))
+
+
+def _rank(ss: Column, means: Column, max_words: int) -> Column:
+    def row(no_score, neg, j, score, s):
+        return F.struct(no_score.alias("no_score"), neg.alias("neg"), j.alias("sent_no"), score.alias("score"),
+                        F.size(T.words(s)).alias("n_words"), s.alias("sentence"))
+
+    # scored sentences straight from the means; sentences without content terms (no score) by
+    # a per-sentence test; both linear in the number of sentences
+    scored = F.transform(means, lambda m: T.let(F.element_at(ss, m["sent_no"] + 1), lambda s: row(
+        F.lit(False), -F.round(m["score"], 9), m["sent_no"], m["score"], s)))
+    unscored = F.transform(
+        F.filter(F.transform(ss, lambda s, j: F.struct(j.alias("j"), s.alias("s"))),
+                 lambda x: F.size(content_terms_of(x["s"])) == 0),
+        lambda x: row(F.lit(True), F.lit(None).cast("double"), x["j"], F.lit(None).cast("double"), x["s"]))
+    ranked = F.sort_array(F.concat(scored, unscored))
+
+    def take(rk):
+        fold = F.aggregate(rk, F.struct(F.lit(0).cast("bigint").alias("s"), F.lit(0).alias("k"), F.lit(False).alias("done")),
+                           lambda acc, x: F.when(acc["done"] | (acc["s"] + x["n_words"] > max_words),
+                                                 F.struct(acc["s"], acc["k"], F.lit(True).alias("done")))
+                           .otherwise(F.struct((acc["s"] + x["n_words"]).alias("s"), (acc["k"] + 1).alias("k"),
+                                               F.lit(False).alias("done"))))
+        return F.transform(F.slice(rk, 1, fold["k"]), lambda x, i: F.struct(
+            x["sent_no"].cast("bigint").alias("sent_no"), (i + 1).cast("bigint").alias("rank"), x["score"].alias("score"),
+            x["n_words"].cast("bigint").alias("n_words"), x["sentence"].alias("sentence")))
+    return T.let(ranked, lambda rk: F.when(F.size(rk) > 0, take(rk)).otherwise(
+        F.array().cast("array<struct<sent_no:bigint,rank:bigint,score:double,n_words:bigint,sentence:string>>")))
+
+
 def summary_sentences(df: DataFrame, id_col: str = "speech_id", text: str = "speech",
                       max_words: int = 100) -> DataFrame:
-    """K6: extractive summary. Sentence score = mean per-speech term weight (K1) of its
-    content terms; sentences are ranked by score (rounded to 9 places, then position) and taken
-    while the running word count stays within ``max_words``. Rows (id, sent_no, rank, score,
-    n_words, sentence), in document order when sorted by sent_no.
-
-    Plan: sentences and term weights both come from the speech row (map side); the
-    (id, term) join and the per-sentence mean are shuffles on keys that never concentrate on
-    one value (a speech's sentences spread over its terms); the ranking is one window per id."""
-    sents = df.select(id_col, F.posexplode(T.nonempty_sentences(text)).alias("sent_no", "sentence")).select(
-        id_col, F.col("sent_no").cast("bigint").alias("sent_no"), "sentence",
-        F.size(T.words("sentence")).cast("bigint").alias("n_words"))
-    weights = df.select(id_col, F.inline(term_weights_col(text))).select(id_col, "term", "weight")
-    sterms = sents.select(id_col, "sent_no", F.explode(content_terms("sentence")).alias("term"))
-    scores = (sterms.join(weights, [id_col, "term"]).groupBy(id_col, "sent_no")
-              .agg(F.avg("weight").alias("score")))
-    ranked = sents.join(scores, [id_col, "sent_no"], "left")
-    order = Window.partitionBy(id_col).orderBy(F.round("score", 9).desc_nulls_last(), F.col("sent_no"))
-    return (ranked.withColumn("rank", F.row_number().over(order))
-                  .withColumn("words_so_far", F.sum("n_words").over(
-                      order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-                  .where(F.col("words_so_far") <= max_words)
-                  .select(id_col, "sent_no", F.col("rank").cast("bigint").alias("rank"), "score", "n_words",
-                          "sentence"))
+    """K6 as rows (id, sent_no, rank, score, n_words, sentence); row-local, no shuffle."""
+    return df.select(id_col, F.inline(summary_col(text, max_words)))

@@ -4,8 +4,8 @@ Two ways to attach a classifier column:
 
 * ``Scorer``: any Python model given as a loader (called once per task, so weights are loaded
   once per executor task, not per row) returning ``texts -> (n, k) scores``; rows travel to it
-  in Arrow batches through an iterator pandas UDF. Input is cut to ``max_chars`` like a model's
-  token limit (only the start of a long speech counts).
+  in Arrow batches through an iterator pandas UDF. Whole texts are passed; any length limit is
+  the model's own (``max_chars`` exists for models that need an explicit cut).
 * Spark ML pipelines trained where labels exist (M6): tokenizer -> hashed TF -> IDF ->
   logistic regression, all JVM-side; ``label_from_model`` turns the probability vector into a
   capitalised label without leaving the JVM.
@@ -36,7 +36,7 @@ class Scorer:
     """M1: arg-max label of a Python model's class scores, label capitalised."""
 
     def __init__(self, load: Callable[[], Callable[[list[str]], np.ndarray]], labels: list[str],
-                 max_chars: int | None = 2048):
+                 max_chars: int | None = None):
         self.load, self.labels, self.max_chars = load, list(labels), max_chars
 
     def column(self, text: Column) -> Column:
