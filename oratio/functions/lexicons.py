@@ -106,9 +106,6 @@ PROBE_TONE = [("the", 0.1), ("and", 0.3), ("of", 0.2), ("le", 0.7), ("la", 0.8),
               ("tion", 0.6), ("er", 0.55)]
 
 
-def lexicon_rows(name: str, lexicon) -> list[tuple[str, int, str, str]]:
-    """Flatten a lexicon to (lexicon, cat_order, category, phrase) rows."""
-    return [(name, i, cat, p) for i, (cat, phrases) in enumerate(lexicon) for p in phrases]
 
 
 @lru_cache(maxsize=None)

@@ -88,9 +88,6 @@ def label_text(c) -> Column:
     return capitalize(F.regexp_replace(col_(c), "_", " "))
 
 
-def title_label(c) -> Column:
-    """Category key → ``Title Case`` label."""
-    return F.initcap(F.regexp_replace(col_(c), "_", " "))
 
 
 def contains_any(lower_col: Column, phrases) -> Column:

@@ -155,9 +155,6 @@ def _readability(c: Column) -> Column:
 
 # ---- A9-A11 persuasion -------------------------------------------------------------------
 
-def persuasion_tokens(text) -> Column:
-    """Word runs and single punctuation marks of the lower-cased text."""
-    return F.regexp_extract_all(F.lower(T.col_(text)), F.lit(T.PTOKEN), 0)
 
 
 def superlative_sql(t: str) -> str:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -91,6 +90,3 @@ def spread(df: DataFrame, key=None) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key or [])
     return df.repartition(target, *keys) if keys else df.repartition(target)
 
-
-def env_dir(name: str, default: str) -> str:
-    return os.environ.get(name, default)

@@ -3,7 +3,6 @@ fixtures c11-c16, c18-c22, c28, c29 and properties."""
 
 import pytest
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from oratio.functions import text as T
 from oratio.functions.lexicons import PERSUASION, PROPAGANDA, TOXICITY
