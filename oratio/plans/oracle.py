@@ -235,9 +235,9 @@ def top_keywords_sql():
 
 def corpus_keywords_sql():
     return f"""{BASE}, {_term_counts_cte()},
-nd AS (SELECT count(*) AS n FROM usable),
 dfr AS (SELECT term, count(*) AS df FROM tcn GROUP BY term),
-ti AS (SELECT speech_id, term, cnt, cnt * (ln((1.0 + n) / (df + 1)) + 1) AS tfidf FROM tcn JOIN dfr USING (term), nd),
+ti AS (SELECT speech_id, term, cnt, cnt * (ln((1.0 + (SELECT count(*) FROM usable)) / (df + 1)) + 1) AS tfidf
+       FROM tcn JOIN dfr USING (term)),
 rk AS (SELECT *, tfidf / sqrt(sum(tfidf * tfidf) OVER (PARTITION BY speech_id)) AS weight,
        row_number() OVER (PARTITION BY speech_id ORDER BY tfidf DESC, term) AS rank FROM ti)
 SELECT speech_id, term, cnt, round(weight, 6) AS weight, CAST(rank AS BIGINT) AS rank FROM rk WHERE rank <= {TOP_KEYWORDS}"""

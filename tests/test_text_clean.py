@@ -66,3 +66,21 @@ def test_first_qualifying_hit(spark):  # c6
                                  "surname string, rank long, title string, first_sentence string")
     r = pick_page(hits).first()
     assert (r.page_rank, r.title) == (2, "B")
+
+
+def test_dedup_hot_group_combines_map_side(spark, sf_dir):
+    """A third of all rows are copies of one speech: the result equals the plain dedup and the
+    plan collapses the copies before the exchange (partial aggregation), so no reducer sees them."""
+    from oratio.sources.tables import speeches_raw
+
+    raw = speeches_raw(spark, sf_dir)
+    n = raw.count()
+    hot = raw.where(F.col("code").isNotNull() & (F.length("speech") >= 200)).orderBy("speech_id").limit(1)
+    copies = hot.select("*", F.explode(F.sequence(F.lit(0), F.lit(n // 2 - 1))).alias("k")).select(
+        (F.col("speech_id") + 1_000_000 + F.col("k")).alias("speech_id"), "surname", "code", "speech")
+    skewed = raw.unionByName(copies)
+    assert copies.count() >= skewed.count() // 3
+    out = clean.clean_speeches(skewed)
+    assert sorted(r.speech_id for r in out.collect()) == sorted(r.speech_id for r in clean.clean_speeches(raw).collect())
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan
