@@ -294,6 +294,19 @@ def q_propaganda_report_model(spark, d):
     return out.select("speech_id", "propaganda_type", "offsets")
 
 
+def q_speech_file_roundtrip(spark, d):
+    """S2 -> S1 -> F1-F4: the speech view written as the TSV input format into the checkpoint
+    folder, read back and cleaned (ids come from file order, so they are left out)."""
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    from ..sources.files import read_speeches, write_speech_file
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/speech-tsv-{uuid.uuid4().hex}"
+    write_speech_file(speeches_raw(spark, d), path)
+    out = clean.clean_speeches(read_speeches(spark, path))
+    return out.select("surname", F.col("code").cast("bigint").alias("code"),
+                      F.length("speech").cast("bigint").alias("n_chars"), "speech")
+
+
 def q_toxic_model(spark, d):
     """M5/M6: classifier trained on the labelled usable speeches, applied to every document."""
     from ..operators.models import fit_text_classifier, label_from_model
@@ -326,6 +339,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "exact_dedup": q_exact_dedup,
     "remove_links": q_remove_links,
     "usable_filter": q_usable_filter,
+    "speech_file_roundtrip": q_speech_file_roundtrip,
     "politician_predicate": q_politician_predicate,
     "distinct_speakers": q_distinct_speakers,
     "first_qualifying_hit": q_first_qualifying_hit,

@@ -348,6 +348,8 @@ ORACLE: dict[str, str] = {
     "politician_predicate": ("SELECT doc_id, CAST(coalesce(" + " OR ".join(
         f"contains(lower({T.duck_sentences('text')}[1]), {q(k)})" for k in POLITICIAN_KEYWORDS)
         + ", false) AS BIGINT) AS is_politician FROM documents"),
+    "speech_file_roundtrip": f"{BASE} SELECT surname, CAST(code AS BIGINT) AS code, "
+                             "CAST(length(speech) AS BIGINT) AS n_chars, speech FROM usable",
     "distinct_speakers": f"{BASE} SELECT DISTINCT surname FROM usable",
     "first_qualifying_hit": f"WITH {_pick_cte()} SELECT surname, page_rank, title FROM pick",
     "profile_join": (f"{BASE}, {_pick_cte()} SELECT u.speech_id, u.surname, p.title AS full_name, p.page_rank "

@@ -32,6 +32,14 @@ def read_speeches(spark: SparkSession, path: str, quote: str | None = '"') -> Da
               .select("speech_id", "surname", "code", "speech"))
 
 
+def write_speech_file(df: DataFrame, path: str, mode: str = "error") -> None:
+    """The input format of S1: headerless, tab-separated (surname, code, speech); fields with
+    tabs, quotes or line breaks are quoted, quotes doubled."""
+    (df.select("surname", F.col("code").cast("string").alias("code"), "speech").write.mode(mode)
+       .option("sep", "\t").option("header", "false").option("quote", '"').option("escape", '"')
+       .option("nullValue", "").csv(path))
+
+
 def write_speeches(df: DataFrame, path: str, display_names: bool = True, mode: str = "overwrite") -> None:
     """Wide table as CSV with header (a directory of part files written in parallel); null
     and empty string stay distinct (empty is written as ``""``)."""
