@@ -57,10 +57,12 @@ def add_responses(df: DataFrame, latest: DataFrame, speech: str = "speech") -> D
 
 
 def extract_with(df: DataFrame, complete: Callable[[str | None, str], str], name: str = "full_name",
-                 speech: str = "speech", partitions: int | None = None) -> DataFrame:
+                 speech: str = "speech", partitions: int | None = None, materialize: bool = True) -> DataFrame:
     """M7: one call of ``complete(name, speech)`` per distinct (name, speech), spread over
     partitions; errors become a per-row ``error`` column instead of failing the job. The result
-    is a responses table (speech, response, seq, error) to be written and joined with J3."""
+    is a responses table (speech, response, seq, error) for J3. With ``materialize`` (default)
+    it is written to the checkpoint folder once, so later stages, retries and lost executors
+    never call the model again for rows already answered."""
     pairs = df.select(name, speech).distinct()
     pairs = pairs.repartition(partitions) if partitions else pairs
 
@@ -77,4 +79,8 @@ def extract_with(df: DataFrame, complete: Callable[[str | None, str], str], name
             yield pd.DataFrame({"speech": pdf[speech].values, "response": resp, "error": err})
 
     out = pairs.mapInPandas(run, "speech string, response string, error string")
-    return out.withColumn("seq", F.lit(0).cast("bigint"))
+    out = out.withColumn("seq", F.lit(0).cast("bigint"))
+    if materialize:
+        from ..session import cut_lineage
+        out = cut_lineage(out)
+    return out
