@@ -329,6 +329,18 @@ def q_speech_embeddings(spark, d):
         "speech_id", F.col("dim").cast("bigint").alias("dim"), _r(F.col("value")).alias("value"))
 
 
+def q_enrich_values(spark, d):
+    """Z1 columns without float-to-text rendering (those have their own numeric checks)."""
+    from .enrich import enrich_testdata
+    from ..operators.responses import FIELDS
+    e = enrich_testdata(spark, d)
+    return e.select("speech_id", "surname", F.col("code").cast("bigint").alias("code"), "speech", "full_name",
+                    "birthday", "birth_place", "death_day", "death_place", "party", *FIELDS,
+                    "toxicity_text_count", "propaganda_type", "offsets",
+                    *[_r(F.col(c)).alias(c) for c in ("flesch_reading_ease", "flesch_kincaid_grade", "gunning_fog",
+                                                       "smog_index")], "text_standard")
+
+
 def q_enrich(spark, d):
     from .enrich import enrich_testdata
     return enrich_testdata(spark, d)
@@ -382,4 +394,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topics": q_topics,
     "speech_embeddings": q_speech_embeddings,
     "enrich": q_enrich,
+    "enrich_values": q_enrich_values,
 }

@@ -259,6 +259,54 @@ SELECT speech_id, CAST(sent_no AS BIGINT) AS sent_no, CAST(rank AS BIGINT) AS ra
        CAST(n_words AS BIGINT) AS n_words, sentence FROM rk WHERE so_far <= {SUMMARY_WORDS}"""
 
 
+def enrich_values_sql():
+    """The enrichment's columns that involve no float-to-text rendering, composed from the
+    pieces above: profiles (J1/J2), responses (J3/X1/X2), toxicity text (L3), propaganda report
+    (F6/P1-P7), readability (A3-A8)."""
+    from ..functions.lexicons import RESPONSE_FIELDS
+    lab = T.duck_label("type")
+    fre, fk, fog, smog, cli, ari = _read_exprs()
+    grades = "[" + ", ".join(f"CAST(floor({g} + 0.5) AS BIGINT)" for g in (fk, fog, smog, cli, ari)) + "]"
+    hits = hits_sql("lower(u.speech)", TOXICITY)
+    tox = ", ".join(f"CASE WHEN {h} > 0 THEN {q(title_literal(c) + ': ')} || CAST({h} AS VARCHAR) END"
+                    for (c, _), h in zip(TOXICITY, hits))
+    fields = []
+    for i, n in enumerate(RESPONSE_FIELDS, start=1):
+        v = f"CASE WHEN len(r.parts) >= {i} THEN r.parts[{i}] ELSE 'N/A' END"
+        if n == "underlying_narrative":
+            v = f"replace({v}, ';', {NL} || {NL})"
+        fields.append(f"{v} AS {n}")
+    prof = ", ".join(f"CASE WHEN p.surname IS NOT NULL THEN {v} END AS {n}" for n, v in
+                     [("birthday", "'N/A'"), ("birth_place", "'N/A'"), ("death_day", "CAST(NULL AS VARCHAR)"),
+                      ("death_place", "CAST(NULL AS VARCHAR)"), ("party", "'N/A'")])
+    return _findings_ctes(PROPAGANDA, True) + f""",
+pt AS (SELECT speech_id, type, rank, coalesce(string_agg(CASE WHEN start >= 0 THEN '[' || start || ':' || (start + len) || ']' END,
+       ', ' ORDER BY chunk_no, sent_no), '') AS spans FROM so JOIN tt USING (speech_id, type) GROUP BY speech_id, type, rank),
+rep AS (SELECT speech_id, string_agg({lab}, {NL} ORDER BY rank) AS types_text,
+        string_agg({lab} || ': ' || spans, {NL} ORDER BY rank) AS offsets_text FROM pt GROUP BY speech_id),
+{_pick_cte()},
+resp AS (SELECT text AS speech, concat_ws('$', source, lang, CAST(n_chars AS VARCHAR), text) AS response,
+         doc_id AS seq FROM documents),
+latest AS (SELECT speech, arg_max(response, seq) AS response FROM resp GROUP BY speech),
+rr AS (SELECT u.speech_id, string_split(l.response, '$') AS parts FROM usable u LEFT JOIN latest l ON u.speech = l.speech),
+{COUNTERS},
+rd AS (SELECT speech_id, words, {fre} AS fre, {fk} AS fk, {fog} AS fog, {smog} AS smog, {grades} AS g FROM counters),
+md AS (SELECT *, list_sort(list_transform(g, lambda x: {{'neg': -len(list_filter(g, lambda y: y = x)), 'g': x}}))[1].g AS m FROM rd)
+SELECT u.speech_id, u.surname, CAST(u.code AS BIGINT) AS code, u.speech, p.title AS full_name, {prof},
+  {", ".join(fields)},
+  concat_ws({NL}, {tox}) AS toxicity_text_count,
+  CASE WHEN u.code <> 1 THEN 'Not propaganda' WHEN e.speech_id IS NULL THEN 'Not identified' ELSE e.types_text END
+    AS propaganda_type,
+  CASE WHEN u.code = 1 THEN e.offsets_text END AS offsets,
+  CASE WHEN md.words > 0 THEN round(md.fre, 6) END AS flesch_reading_ease,
+  CASE WHEN md.words > 0 THEN round(md.fk, 6) END AS flesch_kincaid_grade,
+  CASE WHEN md.words > 0 THEN round(md.fog, 6) END AS gunning_fog,
+  CASE WHEN md.words > 0 THEN round(md.smog, 6) END AS smog_index,
+  CASE WHEN md.words > 0 THEN {_ordinal('md.m - 1')} || ' and ' || {_ordinal('md.m')} || ' grade' END AS text_standard
+FROM usable u LEFT JOIN pick p USING (surname) JOIN rr r USING (speech_id) LEFT JOIN rep e USING (speech_id)
+  JOIN md USING (speech_id)"""
+
+
 # ---- joins, parsing --------------------------------------------------------------------------
 
 def _pick_cte():
@@ -392,6 +440,7 @@ ORACLE: dict[str, str] = {
     "top_keywords": top_keywords_sql(),
     "corpus_keywords": corpus_keywords_sql(),
     "summary_sentences": summary_sentences_sql(),
+    "enrich_values": enrich_values_sql(),
     "mean_pool": ("SELECT label, CAST(i - 1 AS BIGINT) AS dim, round(avg(v), 6) AS value FROM ("
                   "SELECT CAST(label AS BIGINT) AS label, unnest(embedding) AS v, unnest(range(1, len(embedding) + 1)) AS i "
                   "FROM embeddings) GROUP BY label, i"),
