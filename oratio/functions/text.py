@@ -17,6 +17,8 @@ NOT_WS = r"[^\s\x1c-\x1f\x85\p{Z}]"
 LINK = rf"http{NOT_WS}+|www\.{NOT_WS}+"
 # Sentence boundary: whitespace run that follows ., ! or ?.
 SENTENCE_BREAK = rf"(?<=[.!?]){WS}+"
+# First sentence: shortest prefix followed by a sentence boundary or the end of the text.
+FIRST_SENTENCE = rf"(?s)^.*?(?=(?<=[.!?]){WS}|\z)"
 # Term tokens: runs of two or more word characters (letters, digits, underscore).
 TERM = r"[\p{L}\p{N}_]{2,}"
 # Readability words: runs of letters/digits.
@@ -64,8 +66,9 @@ def sentences(c) -> Column:
 
 
 def first_sentence(c) -> Column:
-    """First element of ``sentences``; the split stops at the first boundary."""
-    return F.split(col_(c), SENTENCE_BREAK, 2)[0]
+    """First element of ``sentences``: the text up to the first boundary (or all of it). A
+    cached-pattern match; a split would copy and re-encode the rest of the document."""
+    return F.regexp_extract(col_(c), FIRST_SENTENCE, 0)
 
 
 def nonempty_sentences(c) -> Column:

@@ -32,11 +32,12 @@ ALPHABET = st.sampled_from(list("ab.!? \t\n  \x1c\x85xyzé") + ["http", "www.
 @given(st.lists(ALPHABET, max_size=30).map("".join))
 def test_primitives_match_python(spark, s):
     r = spark.createDataFrame([(s,)], "t string").select(
-        T.words("t"), T.sentences("t"), T.remove_links("t"), T.terms("t")).first()
+        T.words("t"), T.sentences("t"), T.remove_links("t"), T.terms("t"), T.first_sentence("t")).first()
     assert r[0] == s.split()
     assert r[1] == re.split(r"(?<=[.!?])\s+", s)
     assert r[2] == re.sub(r"http\S+|www\.\S+", "", s)
     assert r[3] == re.findall(r"(?u)\b\w\w+\b", s.lower())
+    assert r[4] == re.split(r"(?<=[.!?])\s+", s)[0]
 
 
 def test_usable_filter(spark):  # c3, c4
