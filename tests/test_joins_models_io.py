@@ -134,3 +134,22 @@ def test_entry_and_registry(spark):
     assert len(df.columns) == 32 and df.count() > 0
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs) and len(qs) >= 40
+
+
+def test_enrichment_to_csv(spark, sf_dir, tmp_path):  # Z1 -> S2
+    import csv
+
+    from oratio.plans.enrich import OUTPUT, enrich_testdata
+    from oratio.sources.files import write_speeches
+
+    out = tmp_path / "speech-b"
+    df = enrich_testdata(spark, sf_dir)
+    write_speeches(df, str(out))
+    rows = []
+    for f in sorted(out.glob("part-*.csv")):
+        with open(f, newline="") as fh:
+            rows.extend(list(csv.reader(fh)))
+    header = rows[0]
+    assert header == [name for _, name in OUTPUT]
+    data = [r for r in rows if r != header]
+    assert len(data) == df.count() and all(len(r) == 31 for r in data)
