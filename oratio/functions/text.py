@@ -133,6 +133,30 @@ def _esc(pattern: str) -> str:
     return pattern.replace("\\", "\\\\").replace("'", "\\'")
 
 
+def python_float_text_sql(x: str) -> str:
+    """SQL text rendering the double ``x`` as Python's ``str(float)``: the JVM's shortest digits
+    re-laid out in Python's notation (plain for decimal exponents -4..15, otherwise
+    ``7.5e-05`` style); values the JVM already prints plainly are the same in both."""
+    sci = _esc(r"^(-?)(\d)\.(\d+)E(-?\d+)$")
+    digits = "concat(p.d0, p.fr)"
+    plain = (f"CASE WHEN p.e < 0 THEN concat('0.', repeat('0', -p.e - 1), {digits}) "
+             f"WHEN length({digits}) <= p.e + 1 THEN concat({digits}, repeat('0', p.e + 1 - length({digits})), '.0') "
+             f"ELSE concat(substring({digits}, 1, p.e + 1), '.', substring({digits}, p.e + 2)) END")
+    expo = ("concat(p.d0, CASE WHEN p.fr <> '' THEN concat('.', p.fr) ELSE '' END, 'e', "
+            "CASE WHEN p.e < 0 THEN '-' ELSE '+' END, "
+            "CASE WHEN abs(p.e) < 10 THEN concat('0', CAST(abs(p.e) AS STRING)) ELSE CAST(abs(p.e) AS STRING) END)")
+    parts = (f"named_struct('sg', regexp_extract(s, '{sci}', 1), 'd0', regexp_extract(s, '{sci}', 2), "
+             f"'fr', regexp_replace(regexp_extract(s, '{sci}', 3), '0+$', ''), "
+             f"'e', CAST(regexp_extract(s, '{sci}', 4) AS INT))")
+    body = (f"CASE WHEN s LIKE '%E%' THEN " + sql_let(parts, "p", f"concat(p.sg, CASE WHEN p.e >= -4 AND p.e < 16 "
+                                                                   f"THEN {plain} ELSE {expo} END)") + " ELSE s END")
+    return sql_let(f"CAST({x} AS STRING)", "s", body)
+
+
+def python_float_text(x: str) -> Column:
+    return F.expr(python_float_text_sql(x))
+
+
 # ---- DuckDB oracle fragments ----------------------------------------------------------
 
 def duck_words(x: str) -> str:

@@ -191,11 +191,12 @@ def persuasion_col(text: str = "speech") -> Column:
     return F.expr(T.sql_let(counts, "pc", body))
 
 
-def persuasion_text(scores: Column) -> Column:
-    """``Title Case: value`` lines."""
+def persuasion_text(scores: str) -> Column:
+    """``Title Case: value`` lines, values printed as Python prints floats.
+    ``scores``: column path of the scores struct (e.g. ``persuasion.scores``)."""
     names = [n for n, _ in PERSUASION_WEIGHTS] + ["total_score"]
-    return T.let(scores, lambda sc: F.concat_ws(
-        "\n", *[F.concat(F.lit(Q.title(n) + ": "), sc[n].cast("string")) for n in names]))
+    lines = ", ".join(f"concat({Q.lit(Q.title(n) + ': ')}, {T.python_float_text_sql(f'{scores}.{n}')})" for n in names)
+    return F.expr(f"concat_ws('\\n', {lines})")
 
 
 # ---- A12 per speaker -----------------------------------------------------------------------

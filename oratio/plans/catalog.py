@@ -228,6 +228,11 @@ def q_persuasion_score(spark, d):
     return p.select("speech_id", *[_r(F.col(f"persuasion.scores.{n}")).alias(n) for n in names])
 
 
+def q_persuasion_text(spark, d):
+    return S.add_persuasion(usable(spark, d)).select("speech_id", S.persuasion_text("persuasion.scores")
+                                                     .alias("persuasion_text"))
+
+
 def q_per_speaker(spark, d):
     p = S.add_persuasion(S.add_counters(usable(spark, d)))
     r = S.readability("counters")
@@ -381,6 +386,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "readability": q_readability,
     "persuasion_counts": q_persuasion_counts,
     "persuasion_score": q_persuasion_score,
+    "persuasion_text": q_persuasion_text,
     "per_speaker": q_per_speaker,
     "term_weights": q_term_weights,
     "top_keywords": q_top_keywords,

@@ -56,7 +56,7 @@ def analyse(df: DataFrame, tone_lexicon=None) -> DataFrame:
     return bundles.select(
         *keep, "toxicity_text_count",
         F.col("__prop.propaganda_type").alias("propaganda_type"), F.col("__prop.offsets").alias("offsets"),
-        S.persuasion_text(F.col("__pers.scores")).alias("persuasion_score"),
+        S.persuasion_text("__pers.scores").alias("persuasion_score"),
         K.keyword_text(K.top_terms(F.col("__tw"))).alias("tf_idf"),
         S.narrative_text(F.col("__narr")).alias("narrative_structure"),
         "tone",

@@ -194,6 +194,15 @@ def persuasion_score_sql():
             + f", round(round({total}, 3), 6) AS total_score FROM pc")
 
 
+def persuasion_text_sql():
+    """DuckDB prints doubles the way Python does, so the cast is the reference rendering."""
+    sc = _score_exprs()
+    total = " + ".join(e for _, e in sc)
+    items = [(n, e) for n, e in sc] + [("total_score", f"round({total}, 3)")]
+    lines = ", ".join(f"{q(title_literal(n) + ': ')} || CAST({e} AS VARCHAR)" for n, e in items)
+    return f"{BASE}, {_persuasion_cte()}\nSELECT speech_id, concat_ws({NL}, {lines}) AS persuasion_text FROM pc"
+
+
 def per_speaker_sql():
     fre = _read_exprs()[0]
     total = " + ".join(e for _, e in _score_exprs())
@@ -435,6 +444,7 @@ ORACLE: dict[str, str] = {
     "readability": readability_sql(),
     "persuasion_counts": persuasion_counts_sql(),
     "persuasion_score": persuasion_score_sql(),
+    "persuasion_text": persuasion_text_sql(),
     "per_speaker": per_speaker_sql(),
     "term_weights": term_weights_sql(),
     "top_keywords": top_keywords_sql(),
