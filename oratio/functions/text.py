@@ -157,6 +157,51 @@ def python_float_text(x: str) -> Column:
     return F.expr(python_float_text_sql(x))
 
 
+def _pow2_decimal(k: str) -> str:
+    """2^k as an exact DECIMAL(38,0) for 0 <= k <= 124 (two exact 64-bit shifts multiplied)."""
+    return (f"(CAST(shiftleft(CAST(1 AS BIGINT), least({k}, 62)) AS DECIMAL(38,0)) * "
+            f"CAST(shiftleft(CAST(1 AS BIGINT), greatest({k} - 62, 0)) AS DECIMAL(38,0)))")
+
+
+def python_fixed_sql(x: str, n: int = 3) -> str:
+    """SQL text for Python's ``'%.nf' % x``: the exact binary value rounded half-even.
+
+    The double is split exactly into an integer mantissa m and a power of two (scaling by
+    powers of two is exact), so the rounding decision is made in exact integer (DECIMAL)
+    arithmetic; the JVM's formatter rounds the shortest decimal half-up instead, which differs
+    at ties (e.g. 12.5625). Magnitudes from 1e-10 up to about 1e15 are covered exactly."""
+    ten = 10 ** n
+    zero = "0." + "0" * n
+    fmt = (f"concat(CASE WHEN v < 0 THEN '-' ELSE '' END, CAST(r DIV {ten} AS STRING), '.', "
+           f"lpad(CAST(r % {ten} AS STRING), {n}, '0'))")
+    rounded = sql_let(
+        f"CAST(CAST(a * power(2D, 52 - e) AS BIGINT) AS DECIMAL(38,0)) * {ten}", "am",
+        sql_let(_pow2_decimal("52 - e"), "pw",
+                sql_let("am DIV pw", "r0",
+                        sql_let("am - CAST(r0 AS DECIMAL(38,0)) * pw", "rm",
+                                f"CASE WHEN 2 * rm < pw THEN r0 WHEN 2 * rm > pw THEN r0 + 1 "
+                                f"ELSE r0 + r0 % 2 END"))))
+    exact = sql_let(rounded, "r", fmt)
+    body = sql_let("CAST(floor(log2(a)) AS INT)", "e0",
+                   sql_let("CASE WHEN power(2D, e0) > a THEN e0 - 1 WHEN power(2D, e0 + 1) <= a THEN e0 + 1 "
+                           "ELSE e0 END", "e",
+                           f"CASE WHEN e >= 52 THEN format_string('%.{n}f', v) ELSE {exact} END"))
+    guarded = (f"CASE WHEN isnan(v) THEN 'nan' WHEN a = double('inf') THEN CASE WHEN v < 0 THEN '-inf' ELSE 'inf' END "
+               f"WHEN a < 1e-10 THEN concat(CASE WHEN v < 0 THEN '-' ELSE '' END, '{zero}') ELSE {body} END")
+    return sql_let(f"CAST({x} AS DOUBLE)", "v", sql_let("abs(v)", "a", guarded))
+
+
+def python_title_sql(x: str) -> str:
+    """SQL text for Python's ``str.title()``: a character is upper-cased at the start or after a
+    character without case (digit, underscore, …), lower-cased after a cased one."""
+    return sql_let(f"split({x}, '')", "ch", "array_join(transform(ch, (c, i) -> CASE WHEN i = 0 OR "
+                   "upper(ch[i - 1]) = lower(ch[i - 1]) THEN upper(c) ELSE lower(c) END), '')")
+
+
+def python_fixed(x: str, n: int = 3) -> Column:
+    return F.expr(python_fixed_sql(x, n))
+
+
 # ---- DuckDB oracle fragments ----------------------------------------------------------
 
 def duck_words(x: str) -> str:

@@ -59,10 +59,13 @@ def top_terms(weights: Column, k: int = TOP_KEYWORDS) -> Column:
     return F.slice(ranked, 1, k)
 
 
-def keyword_text(top: Column) -> Column:
-    """K3: ``Term: 0.123`` lines."""
-    return F.array_join(F.transform(top, lambda x: F.concat(
-        F.initcap(x["term"]), F.lit(": "), F.format_string("%.3f", F.round(x["weight"], 3)))), "\n")
+def keyword_text(weights: str, k: int = TOP_KEYWORDS) -> Column:
+    """K3: ``Term: 0.123`` lines for the top k terms; term in Python's title case, weight as
+    Python's ``%.3f`` (exact half-even). ``weights``: column path of the K1 array."""
+    top = (f"slice(sort_array(transform({weights}, x -> named_struct('neg', -x.cnt, 'term', x.term, "
+           f"'weight', x.weight))), 1, {k})")
+    line = f"concat({T.python_title_sql('y.term')}, ': ', {T.python_fixed_sql('y.weight', 3)})"
+    return F.expr(f"array_join(transform({top}, y -> {line}), '\\n')")
 
 
 def corpus_keywords(df: DataFrame, id_col: str = "speech_id", text: str = "speech",

@@ -45,18 +45,16 @@ def add_narrative(df: DataFrame, text: str = "speech", out: str = "narrative") -
     return df.withColumn(out, narrative_col(text))
 
 
-def narrative_text(narrative: Column) -> Column:
-    """A2: the four metrics as ``Name: value`` lines (floats %.3f, count %d)."""
-    return T.let(narrative, _narrative_text)
-
-
-def _narrative_text(n: Column) -> Column:
-    return F.when(n.isNotNull(), F.concat_ws(
-        "\n",
-        F.format_string("Average Sentence Length: %.3f", n["avg_sentence_length"]),
-        F.format_string("Sentence Length Variation: %.3f", n["sentence_length_std"]),
-        F.format_string("Total Sentences: %d", n["total_sentences"]),
-        F.format_string("Complexity Score: %.3f", n["complexity"])))
+def narrative_text(narrative: str) -> Column:
+    """A2: the four metrics as ``Name: value`` lines, floats as Python's ``%.3f`` (exact
+    half-even), the count as an integer. ``narrative``: column path of the struct."""
+    f = T.python_fixed_sql
+    return F.expr(
+        f"CASE WHEN {narrative} IS NOT NULL THEN concat_ws('\\n', "
+        f"concat('Average Sentence Length: ', {f(narrative + '.avg_sentence_length')}), "
+        f"concat('Sentence Length Variation: ', {f(narrative + '.sentence_length_std')}), "
+        f"concat('Total Sentences: ', CAST({narrative}.total_sentences AS STRING)), "
+        f"concat('Complexity Score: ', {f(narrative + '.complexity')})) END")
 
 
 # ---- A3-A8 readability -------------------------------------------------------------------
@@ -187,7 +185,8 @@ def persuasion_col(text: str = "speech") -> Column:
     terms = [f"CASE WHEN pc.total_tokens > 0 THEN pc.{n} / pc.total_tokens * CAST({w!r} AS DOUBLE) ELSE 0.0D END"
              for n, w in PERSUASION_WEIGHTS]
     scores = ", ".join(f"'{n}', {e}" for (n, _), e in zip(PERSUASION_WEIGHTS, terms))
-    body = f"named_struct('counts', pc, 'scores', named_struct({scores}, 'total_score', round({' + '.join(terms)}, 3)))"
+    total = f"CAST({T.python_fixed_sql(' + '.join(terms), 3)} AS DOUBLE)"  # Python's round(x, 3)
+    body = f"named_struct('counts', pc, 'scores', named_struct({scores}, 'total_score', {total}))"
     return F.expr(T.sql_let(counts, "pc", body))
 
 

@@ -206,6 +206,10 @@ def q_narrative_structure(spark, d):
         n["total_sentences"].alias("total_sentences"), _r(n["complexity"]).alias("complexity"))
 
 
+def q_narrative_text(spark, d):
+    return S.add_narrative(usable(spark, d)).select("speech_id", S.narrative_text("narrative").alias("narrative_text"))
+
+
 def q_text_counters(spark, d):
     return S.add_counters(usable(spark, d)).select("speech_id", "counters.*")
 
@@ -257,6 +261,10 @@ def q_top_keywords(spark, d):
         (-F.col("k.neg")).alias("cnt"), _r(F.col("k.weight")).alias("weight"))
 
 
+def q_keyword_text(spark, d):
+    return K.add_term_weights(usable(spark, d)).select("speech_id", K.keyword_text("term_weights").alias("keyword_text"))
+
+
 def q_corpus_keywords(spark, d):
     return K.corpus_keywords(usable(spark, d)).select("speech_id", "term", "cnt", _r(F.col("weight")).alias("weight"),
                                                       "rank")
@@ -382,6 +390,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "propaganda_report": q_report(PROPAGANDA),
     "propaganda_report_probe": q_report(PROBE),
     "narrative_structure": q_narrative_structure,
+    "narrative_text": q_narrative_text,
     "text_counters": q_text_counters,
     "readability": q_readability,
     "persuasion_counts": q_persuasion_counts,
@@ -390,6 +399,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "per_speaker": q_per_speaker,
     "term_weights": q_term_weights,
     "top_keywords": q_top_keywords,
+    "keyword_text": q_keyword_text,
     "corpus_keywords": q_corpus_keywords,
     "summary_sentences": q_summary_sentences,
     "mean_pool": q_mean_pool,

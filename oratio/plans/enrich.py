@@ -57,8 +57,8 @@ def analyse(df: DataFrame, tone_lexicon=None) -> DataFrame:
         *keep, "toxicity_text_count",
         F.col("__prop.propaganda_type").alias("propaganda_type"), F.col("__prop.offsets").alias("offsets"),
         S.persuasion_text("__pers.scores").alias("persuasion_score"),
-        K.keyword_text(K.top_terms(F.col("__tw"))).alias("tf_idf"),
-        S.narrative_text(F.col("__narr")).alias("narrative_structure"),
+        K.keyword_text("__tw").alias("tf_idf"),
+        S.narrative_text("__narr").alias("narrative_structure"),
         "tone",
         *[read[f].alias(f) for f in ("flesch_reading_ease", "flesch_kincaid_grade", "gunning_fog",
                                      "smog_index", "text_standard")])

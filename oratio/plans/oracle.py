@@ -191,14 +191,14 @@ def persuasion_score_sql():
     total = " + ".join(e for _, e in sc)
     return (f"{BASE}, {_persuasion_cte()}\nSELECT speech_id, "
             + ", ".join(f"round({e}, 6) AS {n}" for n, e in sc)
-            + f", round(round({total}, 3), 6) AS total_score FROM pc")
+            + f", round(CAST(printf('%.3f', {total}) AS DOUBLE), 6) AS total_score FROM pc")
 
 
 def persuasion_text_sql():
     """DuckDB prints doubles the way Python does, so the cast is the reference rendering."""
     sc = _score_exprs()
     total = " + ".join(e for _, e in sc)
-    items = [(n, e) for n, e in sc] + [("total_score", f"round({total}, 3)")]
+    items = [(n, e) for n, e in sc] + [("total_score", f"CAST(printf('%.3f', {total}) AS DOUBLE)")]
     lines = ", ".join(f"{q(title_literal(n) + ': ')} || CAST({e} AS VARCHAR)" for n, e in items)
     return f"{BASE}, {_persuasion_cte()}\nSELECT speech_id, concat_ws({NL}, {lines}) AS persuasion_text FROM pc"
 
@@ -207,7 +207,7 @@ def per_speaker_sql():
     fre = _read_exprs()[0]
     total = " + ".join(e for _, e in _score_exprs())
     return f"""{BASE}, {COUNTERS}, {_persuasion_cte()},
-m AS (SELECT c.surname, round({total}, 3) AS ts, CASE WHEN c.words > 0 THEN {fre} END AS fre, c.words
+m AS (SELECT c.surname, CAST(printf('%.3f', {total}) AS DOUBLE) AS ts, CASE WHEN c.words > 0 THEN {fre} END AS fre, c.words
       FROM counters c JOIN pc USING (speech_id))
 SELECT surname, count(*) AS speeches, round(avg(ts), 6) AS avg_total_score,
        round(avg(fre), 6) AS avg_flesch_reading_ease, round(avg(words), 6) AS avg_words FROM m GROUP BY surname"""
@@ -221,6 +221,17 @@ SELECT speech_id, round(avg(n), 6) AS avg_sentence_length, round(stddev_pop(n),
        count(*) AS total_sentences, round(avg(n) / (stddev_pop(n) + 1), 6) AS complexity FROM ln GROUP BY speech_id"""
 
 
+def narrative_text_sql():
+    """A2: DuckDB's printf rounds the exact binary value half-even, as Python's %.3f does."""
+    return f"""{BASE},
+se AS (SELECT speech_id, unnest(list_filter({T.duck_sentences('speech')}, lambda s: s <> '')) AS s FROM usable),
+ln AS (SELECT speech_id, len({T.duck_words('s')}) AS n FROM se),
+ag AS (SELECT speech_id, avg(n) AS m, stddev_pop(n) AS sd, count(*) AS c FROM ln GROUP BY speech_id)
+SELECT speech_id, 'Average Sentence Length: ' || printf('%.3f', m) || {NL} || 'Sentence Length Variation: ' ||
+       printf('%.3f', sd) || {NL} || 'Total Sentences: ' || CAST(c AS VARCHAR) || {NL} || 'Complexity Score: ' ||
+       printf('%.3f', m / (sd + 1)) AS narrative_text FROM ag"""
+
+
 # ---- keywords --------------------------------------------------------------------------------
 
 def _term_counts_cte():
@@ -242,6 +253,19 @@ def top_keywords_sql():
             f"WHERE rank <= {TOP_KEYWORDS}")
 
 
+def keyword_text_sql():
+    """K3: title case spelled out per character (Python's rule), weights via printf (exact)."""
+    title = ("array_to_string(list_transform(string_split(term, ''), lambda c, i: CASE WHEN i = 1 OR "
+             "upper(string_split(term, '')[i - 1]) = lower(string_split(term, '')[i - 1]) THEN upper(c) "
+             "ELSE lower(c) END), '')")
+    return (f"{BASE}, {_term_counts_cte()},\nwt AS (SELECT speech_id, term, cnt, "
+            "cnt / sqrt(sum(cnt * cnt) OVER (PARTITION BY speech_id)) AS weight, "
+            "row_number() OVER (PARTITION BY speech_id ORDER BY cnt DESC, term) AS rank FROM tcn)\n"
+            f"SELECT u.speech_id, coalesce(string_agg({title} || ': ' || printf('%.3f', weight), {NL} ORDER BY rank), '') "
+            f"AS keyword_text FROM usable u LEFT JOIN (SELECT * FROM wt WHERE rank <= {TOP_KEYWORDS}) k "
+            f"USING (speech_id) GROUP BY u.speech_id")
+
+
 def corpus_keywords_sql():
     return f"""{BASE}, {_term_counts_cte()},
 dfr AS (SELECT term, count(*) AS df FROM tcn GROUP BY term),
@@ -440,6 +464,7 @@ ORACLE: dict[str, str] = {
     "propaganda_report": report_sql(PROPAGANDA),
     "propaganda_report_probe": report_sql(PROBE),
     "narrative_structure": narrative_sql(),
+    "narrative_text": narrative_text_sql(),
     "text_counters": f"{BASE}, {COUNTERS} SELECT speech_id, words, sentences, syllables, characters, polysyllables FROM counters",
     "readability": readability_sql(),
     "persuasion_counts": persuasion_counts_sql(),
@@ -448,6 +473,7 @@ ORACLE: dict[str, str] = {
     "per_speaker": per_speaker_sql(),
     "term_weights": term_weights_sql(),
     "top_keywords": top_keywords_sql(),
+    "keyword_text": keyword_text_sql(),
     "corpus_keywords": corpus_keywords_sql(),
     "summary_sentences": summary_sentences_sql(),
     "enrich_values": enrich_values_sql(),

@@ -89,3 +89,23 @@ def test_dedup_hot_group_combines_map_side(spark, sf_dir):
     with contextlib.redirect_stdout(buf):
         out.explain()
     assert "partial_min" in buf.getvalue()
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.one_of(st.floats(min_value=-1e9, max_value=1e9, allow_nan=False),
+                          st.integers(min_value=-10**6, max_value=10**6).map(lambda k: k / 16)), min_size=1,
+                max_size=20))
+def test_python_float_rendering(spark, xs):
+    df = spark.createDataFrame([(float(x),) for x in xs], "x double")
+    rows = df.select("x", T.python_fixed("x", 3).alias("f"), T.python_float_text("x").alias("r")).collect()
+    for r in rows:
+        assert r.f == "%.3f" % r.x
+        if r.x != 0 and 1e-8 <= abs(r.x) < 1e15:
+            assert r.r == repr(r.x)
+
+
+def test_python_title(spark):
+    words = ["3rd_place", "apple", "o'neil", "ÉCOLE", "x2y", ""]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    got = [r[0] for r in df.select(F.expr(T.python_title_sql("w"))).collect()]
+    assert got == [w.title() for w in words]
