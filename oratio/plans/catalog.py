@@ -343,13 +343,14 @@ def q_speech_embeddings(spark, d):
 
 
 def q_enrich_values(spark, d):
-    """Z1 columns without float-to-text rendering (those have their own numeric checks)."""
+    """Z1, all 31 columns (readability numbers rounded to 6 places for the comparison)."""
     from .enrich import enrich_testdata
     from ..operators.responses import FIELDS
     e = enrich_testdata(spark, d)
     return e.select("speech_id", "surname", F.col("code").cast("bigint").alias("code"), "speech", "full_name",
                     "birthday", "birth_place", "death_day", "death_place", "party", *FIELDS,
-                    "toxicity_text_count", "propaganda_type", "offsets",
+                    "toxicity_text_count", "propaganda_type", "offsets", "sentiment", "emotion",
+                    "persuasion_score", "tf_idf", "narrative_structure", "tone",
                     *[_r(F.col(c)).alias(c) for c in ("flesch_reading_ease", "flesch_kincaid_grade", "gunning_fog",
                                                        "smog_index")], "text_standard")
 

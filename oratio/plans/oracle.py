@@ -293,9 +293,10 @@ SELECT speech_id, CAST(sent_no AS BIGINT) AS sent_no, CAST(rank AS BIGINT) AS ra
 
 
 def enrich_values_sql():
-    """The enrichment's columns that involve no float-to-text rendering, composed from the
-    pieces above: profiles (J1/J2), responses (J3/X1/X2), toxicity text (L3), propaganda report
-    (F6/P1-P7), readability (A3-A8)."""
+    """All 31 enrichment columns (+ id), composed from the pieces above: profiles (J1/J2),
+    responses (J3/X1/X2), toxicity text (L3), propaganda report (F6/P1-P7), persuasion text
+    (A9-A11), keyword text (K1-K3), narrative text (A1-A2), readability (A3-A8); sentiment,
+    emotion and tone are null without models."""
     from ..functions.lexicons import RESPONSE_FIELDS
     lab = T.duck_label("type")
     fre, fk, fog, smog, cli, ari = _read_exprs()
@@ -312,11 +313,18 @@ def enrich_values_sql():
     prof = ", ".join(f"CASE WHEN p.surname IS NOT NULL THEN {v} END AS {n}" for n, v in
                      [("birthday", "'N/A'"), ("birth_place", "'N/A'"), ("death_day", "CAST(NULL AS VARCHAR)"),
                       ("death_place", "CAST(NULL AS VARCHAR)"), ("party", "'N/A'")])
+    sc = _score_exprs()
+    total = " + ".join(e for _, e in sc)
+    items = [(n, e) for n, e in sc] + [("total_score", f"CAST(printf('%.3f', {total}) AS DOUBLE)")]
+    pers_lines = ", ".join(f"{q(title_literal(n) + ': ')} || CAST({e} AS VARCHAR)" for n, e in items)
+    title = ("array_to_string(list_transform(string_split(term, ''), lambda c, i: CASE WHEN i = 1 OR "
+             "upper(string_split(term, '')[i - 1]) = lower(string_split(term, '')[i - 1]) THEN upper(c) "
+             "ELSE lower(c) END), '')")
     return _findings_ctes(PROPAGANDA, True) + f""",
-pt AS (SELECT speech_id, type, rank, coalesce(string_agg(CASE WHEN start >= 0 THEN '[' || start || ':' || (start + len) || ']' END,
+pts AS (SELECT speech_id, type, rank, coalesce(string_agg(CASE WHEN start >= 0 THEN '[' || start || ':' || (start + len) || ']' END,
        ', ' ORDER BY chunk_no, sent_no), '') AS spans FROM so JOIN tt USING (speech_id, type) GROUP BY speech_id, type, rank),
 rep AS (SELECT speech_id, string_agg({lab}, {NL} ORDER BY rank) AS types_text,
-        string_agg({lab} || ': ' || spans, {NL} ORDER BY rank) AS offsets_text FROM pt GROUP BY speech_id),
+        string_agg({lab} || ': ' || spans, {NL} ORDER BY rank) AS offsets_text FROM pts GROUP BY speech_id),
 {_pick_cte()},
 resp AS (SELECT text AS speech, concat_ws('$', source, lang, CAST(n_chars AS VARCHAR), text) AS response,
          doc_id AS seq FROM documents),
@@ -324,20 +332,37 @@ latest AS (SELECT speech, arg_max(response, seq) AS response FROM resp GROUP BY
 rr AS (SELECT u.speech_id, string_split(l.response, '$') AS parts FROM usable u LEFT JOIN latest l ON u.speech = l.speech),
 {COUNTERS},
 rd AS (SELECT speech_id, words, {fre} AS fre, {fk} AS fk, {fog} AS fog, {smog} AS smog, {grades} AS g FROM counters),
-md AS (SELECT *, list_sort(list_transform(g, lambda x: {{'neg': -len(list_filter(g, lambda y: y = x)), 'g': x}}))[1].g AS m FROM rd)
+md AS (SELECT *, list_sort(list_transform(g, lambda x: {{'neg': -len(list_filter(g, lambda y: y = x)), 'g': x}}))[1].g AS m FROM rd),
+{_persuasion_cte()},
+ptx AS (SELECT speech_id, concat_ws({NL}, {pers_lines}) AS persuasion_score FROM pc),
+{_term_counts_cte()},
+kwt AS (SELECT speech_id, term, cnt / sqrt(sum(cnt * cnt) OVER (PARTITION BY speech_id)) AS weight,
+        row_number() OVER (PARTITION BY speech_id ORDER BY cnt DESC, term) AS rank FROM tcn),
+ktx AS (SELECT u.speech_id, coalesce(string_agg({title} || ': ' || printf('%.3f', weight), {NL} ORDER BY rank), '')
+        AS tf_idf FROM usable u LEFT JOIN (SELECT * FROM kwt WHERE rank <= {TOP_KEYWORDS}) k USING (speech_id)
+        GROUP BY u.speech_id),
+nse AS (SELECT speech_id, unnest(list_filter({T.duck_sentences('speech')}, lambda s: s <> '')) AS s FROM usable),
+nln AS (SELECT speech_id, len({T.duck_words('s')}) AS n FROM nse),
+nag AS (SELECT speech_id, 'Average Sentence Length: ' || printf('%.3f', avg(n)) || {NL} || 'Sentence Length Variation: ' ||
+        printf('%.3f', stddev_pop(n)) || {NL} || 'Total Sentences: ' || CAST(count(*) AS VARCHAR) || {NL} ||
+        'Complexity Score: ' || printf('%.3f', avg(n) / (stddev_pop(n) + 1)) AS narrative_structure
+        FROM nln GROUP BY speech_id)
 SELECT u.speech_id, u.surname, CAST(u.code AS BIGINT) AS code, u.speech, p.title AS full_name, {prof},
   {", ".join(fields)},
   concat_ws({NL}, {tox}) AS toxicity_text_count,
   CASE WHEN u.code <> 1 THEN 'Not propaganda' WHEN e.speech_id IS NULL THEN 'Not identified' ELSE e.types_text END
     AS propaganda_type,
   CASE WHEN u.code = 1 THEN e.offsets_text END AS offsets,
+  CAST(NULL AS VARCHAR) AS sentiment, CAST(NULL AS VARCHAR) AS emotion, x.persuasion_score, k.tf_idf,
+  nn.narrative_structure, CAST(NULL AS VARCHAR) AS tone,
   CASE WHEN md.words > 0 THEN round(md.fre, 6) END AS flesch_reading_ease,
   CASE WHEN md.words > 0 THEN round(md.fk, 6) END AS flesch_kincaid_grade,
   CASE WHEN md.words > 0 THEN round(md.fog, 6) END AS gunning_fog,
   CASE WHEN md.words > 0 THEN round(md.smog, 6) END AS smog_index,
   CASE WHEN md.words > 0 THEN {_ordinal('md.m - 1')} || ' and ' || {_ordinal('md.m')} || ' grade' END AS text_standard
 FROM usable u LEFT JOIN pick p USING (surname) JOIN rr r USING (speech_id) LEFT JOIN rep e USING (speech_id)
-  JOIN md USING (speech_id)"""
+  JOIN md USING (speech_id) JOIN ptx x USING (speech_id) JOIN ktx k USING (speech_id)
+  LEFT JOIN nag nn USING (speech_id)"""
 
 
 # ---- joins, parsing --------------------------------------------------------------------------
