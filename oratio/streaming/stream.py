@@ -3,7 +3,8 @@
 Every analysis column of the enrichment is a function of one row, so the same expressions run
 unchanged on an unbounded source: read -> F1/F3/F4 -> lexicons, propaganda search, keywords,
 narrative, readability, persuasion -> sink. Duplicate removal needs state; with an event-time
-column it is bounded by a watermark (``dropDuplicatesWithinWatermark``), without one it is off.
+column it is bounded by a watermark (``dropDuplicatesWithinWatermark``; the first copy to
+arrive is kept, where the batch form keeps the lowest id), without one it is off.
 Profile and response lookups are stream-static joins against tables.
 """
 
