@@ -108,3 +108,32 @@ def test_persuasion(speeches, py_speeches):
                                                   c.social_proof_words)):
             assert got == sum(t in words for t in tokens), cat
         assert c.rhetorical_questions == sum(s.strip().endswith("?") for s in SENT.split(speech))
+
+
+def py_summary(speech, stops, max_words=100):
+    sents = [s for s in SENT.split(speech) if s]
+    terms = [t for t in re.findall(r"(?u)\b\w\w+\b", speech.lower()) if t not in stops]
+    cnt = Counter(terms)
+    norm = math.sqrt(sum(v * v for v in cnt.values())) or 1.0
+    rows = []
+    for j, s in enumerate(sents):
+        ts = [t for t in re.findall(r"(?u)\b\w\w+\b", s.lower()) if t not in stops]
+        score = sum(cnt[t] / norm for t in ts) / len(ts) if ts else None
+        rows.append((score is None, -round(score, 9) if score is not None else 0.0, j, len(s.split())))
+    rows.sort()
+    out, total = [], 0
+    for rank, (_, _, j, n) in enumerate(rows, start=1):
+        if total + n > max_words:
+            break
+        total += n
+        out.append((j, rank))
+    return out
+
+
+def test_summary_sentences(speeches, py_speeches):
+    stops = set(stop_words())
+    got = {}
+    for r in K.summary_sentences(speeches).collect():
+        got.setdefault(r.speech_id, []).append((r.sent_no, r.rank))
+    for sid, (_, speech) in py_speeches.items():
+        assert sorted(got.get(sid, []), key=lambda x: x[1]) == py_summary(speech, stops), sid
