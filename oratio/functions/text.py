@@ -136,7 +136,9 @@ def _esc(pattern: str) -> str:
 def python_float_text_sql(x: str) -> str:
     """SQL text rendering the double ``x`` as Python's ``str(float)``: the JVM's shortest digits
     re-laid out in Python's notation (plain for decimal exponents -4..15, otherwise
-    ``7.5e-05`` style); values the JVM already prints plainly are the same in both."""
+    ``7.5e-05`` style); values the JVM already prints plainly are the same in both. The digits
+    are the JVM's: JDK 17 (not 19+) can print one digit more than the shortest for some dyadic
+    values (e.g. 2^-24); such output still round-trips to the same double."""
     sci = _esc(r"^(-?)(\d)\.(\d+)E(-?\d+)$")
     digits = "concat(p.d0, p.fr)"
     plain = (f"CASE WHEN p.e < 0 THEN concat('0.', repeat('0', -p.e - 1), {digits}) "
