@@ -7,11 +7,6 @@ order (category order matters: ties go to the earlier category).
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-from functools import lru_cache
-
 # ---- FIXED VALUES (begin) -------------------------------------------------------------
 
 # Propaganda criteria: category -> phrases (substring match on lower-cased text).
@@ -78,6 +73,8 @@ TOP_KEYWORDS = 5
 RESPONSE_FIELDS = ["speech_date", "speech_location", "speech_occasion", "topic", "cognitive_bias",
                    "summary", "keywords", "underlying_narrative"]
 
+# ---- FIXED VALUES (end) ---------------------------------------------------------------
+
 # Words ending in "est" that are not superlatives (our rule, not a tagger).
 NOT_SUPERLATIVE = ["interest", "forest", "honest", "modest", "protest", "request", "suggest", "invest",
                    "harvest", "contest", "west", "rest", "test", "guest", "quest", "nest", "chest",
@@ -87,8 +84,6 @@ NOT_SUPERLATIVE = ["interest", "forest", "honest", "modest", "protest", "request
                    "congest", "bequest"]
 SUPERLATIVE_WORDS = ["most", "least", "best", "worst"]
 
-# ---- FIXED VALUES (end) ---------------------------------------------------------------
-
 # Second lexicon used by the checks: categories of frequent substrings so that ties, several
 # types per speech and the top-5 cut are exercised on the driver tables (parameter, not data).
 PROBE = [
@@ -105,17 +100,28 @@ PROBE = [
 PROBE_TONE = [("the", 0.1), ("and", 0.3), ("of", 0.2), ("le", 0.7), ("la", 0.8), ("und", 0.9),
               ("tion", 0.6), ("er", 0.55)]
 
+# Spark ML's default English stop words, as plain data (no file or jar access at run time).
+ENGLISH_STOP_WORDS = [
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "your", "yours", "yourself",
+    "yourselves", "he", "him", "his", "himself", "she", "her", "hers", "herself", "it", "its", "itself", "they",
+    "them", "their", "theirs", "themselves", "what", "which", "who", "whom", "this", "that", "these", "those",
+    "am", "is", "are", "was", "were", "be", "been", "being", "have", "has", "had", "having", "do", "does",
+    "did", "doing", "a", "an", "the", "and", "but", "if", "or", "because", "as", "until", "while", "of", "at",
+    "by", "for", "with", "about", "against", "between", "into", "through", "during", "before", "after", "above",
+    "below", "to", "from", "up", "down", "in", "out", "on", "off", "over", "under", "again", "further", "then",
+    "once", "here", "there", "when", "where", "why", "how", "all", "any", "both", "each", "few", "more", "most",
+    "other", "some", "such", "no", "nor", "not", "only", "own", "same", "so", "than", "too", "very", "s", "t",
+    "can", "will", "just", "don", "should", "now", "i'll", "you'll", "he'll", "she'll", "we'll", "they'll",
+    "i'd", "you'd", "he'd", "she'd", "we'd", "they'd", "i'm", "you're", "he's", "she's", "it's", "we're",
+    "they're", "i've", "we've", "you've", "they've", "isn't", "aren't", "wasn't", "weren't", "haven't",
+    "hasn't", "hadn't", "don't", "doesn't", "didn't", "won't", "wouldn't", "shan't", "shouldn't", "mustn't",
+    "can't", "couldn't", "cannot", "could", "here's", "how's", "let's", "ought", "that's", "there's", "what's",
+    "when's", "where's", "who's", "why's", "would",
+]
 
 
-
-@lru_cache(maxsize=None)
 def stop_words(language: str = "english") -> tuple[str, ...]:
-    """Spark ML's built-in stop-word list, read from the installed Spark jars (no JVM needed)."""
-    import pyspark
-
-    jar_dir = os.path.join(os.path.dirname(pyspark.__file__), "jars")
-    for jar in sorted(glob.glob(os.path.join(jar_dir, "spark-mllib_*.jar"))):
-        with zipfile.ZipFile(jar) as z:
-            data = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-            return tuple(w for w in data.split() if w)
-    raise FileNotFoundError("spark-mllib jar with stop words not found")
+    """Stop words removed before term weighting (K1-K4); English is the documented default."""
+    if language != "english":
+        raise ValueError(f"no stop-word list for {language!r}; pass your own words instead")
+    return tuple(ENGLISH_STOP_WORDS)

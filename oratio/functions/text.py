@@ -83,7 +83,7 @@ def terms(c) -> Column:
 def capitalize(c) -> Column:
     """Python ``str.capitalize``: first character upper, the rest lower."""
     c = col_(c)
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substr(c, F.lit(2))))
 
 
 def label_text(c) -> Column:

@@ -68,6 +68,10 @@ def keyword_text(weights: str, k: int = TOP_KEYWORDS) -> Column:
     return F.expr(f"array_join(transform({top}, y -> {line}), '\\n')")
 
 
+# Shares that each term of the K4 join is dealt over.
+SALTS = 16
+
+
 def corpus_keywords(df: DataFrame, id_col: str = "speech_id", text: str = "speech",
                     k: int = TOP_KEYWORDS) -> DataFrame:
     """K4: corpus TF-IDF, idf = ln((1+N)/(1+df)) + 1, L2-normalised per speech; rows
@@ -75,15 +79,18 @@ def corpus_keywords(df: DataFrame, id_col: str = "speech_id", text: str = "speec
 
     Term counts come from the row-local K1 arrays (map side); document frequencies are a
     per-term partial aggregation. The per-speech counts are checkpointed once (they feed the
-    document count, the frequencies and the join); the idf join is left to AQE, which
-    broadcasts the idf table only when its measured size is under the broadcast threshold and
-    otherwise keeps a shuffle join whose hot terms it splits."""
+    document count, the frequencies and the join). A term that most speeches hold is dealt over
+    ``SALTS`` partitions of the idf join, whose other side repeats each term that often; the
+    document count joins as a one-row aggregate."""
     local = cut_lineage(df.select(id_col, term_counts(text).alias("__tc")))
-    n_docs = local.count()
+    n_docs = local.agg(F.count(F.lit(1)).alias("__n"))
     tc = local.select(id_col, F.inline("__tc"))
     dfreq = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = dfreq.select("term", (F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1)) + 1).alias("idf"))
-    w = tc.join(idf, "term").withColumn("tfidf", F.col("cnt") * F.col("idf"))
+    idf = dfreq.join(F.broadcast(n_docs)).select(
+        "term", (F.log((F.lit(1.0) + F.col("__n")) / (F.col("df") + 1)) + 1).alias("idf"))
+    salted = idf.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    w = (tc.withColumn("__salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int"))
+           .join(salted, ["term", "__salt"]).withColumn("tfidf", F.col("cnt") * F.col("idf")))
     by_doc = Window.partitionBy(id_col)
     ranked = Window.partitionBy(id_col).orderBy(F.col("tfidf").desc(), F.col("term"))
     return (w.withColumn("weight", F.col("tfidf") / F.sqrt(F.sum(F.col("tfidf") * F.col("tfidf")).over(by_doc)))
@@ -92,30 +99,38 @@ def corpus_keywords(df: DataFrame, id_col: str = "speech_id", text: str = "speec
              .select(id_col, "term", "cnt", "weight", F.col("rank").cast("bigint").alias("rank")))
 
 
-def topics(df: DataFrame, id_col: str = "speech_id", text: str = "speech", k: int = 5, vocab_size: int = 4096,
+def topics(df: DataFrame, id_col: str = "speech_id", text: str = "speech", k: int = 5, buckets: int = 1 << 14,
            top_terms_per_topic: int = 5, max_iter: int = 10, seed: int = 42) -> DataFrame:
     """K5: LDA topic per speech, (id, topic, topic_weight, topic_terms).
 
-    Vocabulary (at most ``vocab_size`` terms) and the k x vocab model are the only driver-side
-    state, both bounded by parameters; term counting and inference run in the executors; the
-    k-row topic description is joined by broadcast (size k)."""
+    Every term counts: terms are hashed to ``buckets`` (so driver state, the k x buckets model, has
+    a fixed size whatever the vocabulary), LDA runs on the bucket counts, and a topic's terms are
+    the most frequent term of each of its top buckets, joined from the (term, bucket) table."""
     from pyspark.ml.clustering import LDA
-    from pyspark.ml.feature import CountVectorizer
+    from pyspark.ml.feature import CountVectorizerModel
     from pyspark.ml.functions import vector_to_array
 
+    def bucket(term):
+        return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("string")
+
     toks = df.select(id_col, content_terms(text).alias("__terms"))
-    cv = CountVectorizer(inputCol="__terms", outputCol="__tf", vocabSize=vocab_size, minDF=2.0).fit(toks)
-    tf = cv.transform(toks)
+    sc_model = CountVectorizerModel.from_vocabulary([str(i) for i in range(buckets)], inputCol="__b", outputCol="__tf")
+    tf = cut_lineage(sc_model.transform(toks.select(id_col, F.transform("__terms", bucket).alias("__b")))
+                     .select(id_col, "__tf"))
     lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", featuresCol="__tf",
               topicDistributionCol="__dist").fit(tf)
-    vocab = F.array(*[F.lit(t) for t in cv.vocabulary])
-    desc = lda.describeTopics(top_terms_per_topic).select(
-        F.col("topic").cast("int").alias("topic"),
-        F.array_join(F.transform("termIndices", lambda i: F.element_at(vocab, i + 1)), ", ").alias("topic_terms"))
+    top = lda.describeTopics(top_terms_per_topic).select(
+        F.col("topic").cast("int").alias("topic"), F.posexplode("termIndices").alias("rank", "b"))
+    names = (toks.select(F.explode("__terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+             .groupBy(bucket(F.col("term")).cast("int").alias("b"))
+             .agg(F.max_by("term", F.struct("n", "term")).alias("term")))
+    desc = (top.join(names, "b", "left").groupBy("topic")
+            .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "term"))),
+                                          lambda x: x["term"]), ", ").alias("topic_terms")))
     dist = lda.transform(tf).select(id_col, vector_to_array("__dist").alias("__d"))
     best = dist.select(id_col, F.array_max("__d").alias("topic_weight"),
                        (F.array_position("__d", F.array_max("__d")) - 1).cast("int").alias("topic"))
-    return best.join(F.broadcast(desc), "topic", "left").select(id_col, "topic", "topic_weight", "topic_terms")
+    return best.join(desc, "topic", "left").select(id_col, "topic", "topic_weight", "topic_terms")
 
 
 def summary_col(text: str = "speech", max_words: int = 100) -> Column:

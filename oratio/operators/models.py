@@ -5,7 +5,7 @@ Two ways to attach a classifier column:
 * ``Scorer``: any Python model given as a loader (called once per task, so weights are loaded
   once per executor task, not per row) returning ``texts -> (n, k) scores``; rows travel to it
   in Arrow batches through an iterator pandas UDF. Whole texts are passed; any length limit is
-  the model's own (``max_chars`` exists for models that need an explicit cut).
+  the model's own tokenizer's.
 * Spark ML pipelines trained where labels exist (M6): tokenizer -> hashed TF -> IDF ->
   logistic regression, all JVM-side; ``label_from_model`` turns the probability vector into a
   capitalised label without leaving the JVM.
@@ -35,20 +35,17 @@ def _capitalize(s: str) -> str:
 class Scorer:
     """M1: arg-max label of a Python model's class scores, label capitalised."""
 
-    def __init__(self, load: Callable[[], Callable[[list[str]], np.ndarray]], labels: list[str],
-                 max_chars: int | None = None):
-        self.load, self.labels, self.max_chars = load, list(labels), max_chars
+    def __init__(self, load: Callable[[], Callable[[list[str]], np.ndarray]], labels: list[str]):
+        self.load, self.labels = load, list(labels)
 
     def column(self, text: Column) -> Column:
-        load, labels, max_chars = self.load, [_capitalize(x) for x in self.labels], self.max_chars
+        load, labels = self.load, [_capitalize(x) for x in self.labels]
 
         @F.pandas_udf("string")
         def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             model = load()
             for s in batches:
                 texts = s.fillna("").astype(str)
-                if max_chars:
-                    texts = texts.str.slice(0, max_chars)
                 if len(texts) == 0:
                     yield pd.Series([], dtype=object)
                     continue

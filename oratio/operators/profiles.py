@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..session import join_dimension
 from ..sources.tables import table
 from .clean import is_politician
 
@@ -36,9 +35,9 @@ def pick_page(hits: DataFrame) -> DataFrame:
 
 
 def add_profiles(df: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Left join of one profile row per surname; broadcast only when the profile table is
-    proven small, so a surname holding a third of the speeches never lands in one reducer."""
-    return join_dimension(df, profiles, "surname", "left")
+    """Left join of one profile row per surname. The join form is left to AQE: it broadcasts
+    only from measured bytes and splits a surname that holds many speeches."""
+    return df.join(profiles, "surname", "left")
 
 
 def first_tag_text(html: Column, tag: str) -> Column:

@@ -57,13 +57,18 @@ def add_responses(df: DataFrame, latest: DataFrame, speech: str = "speech") -> D
 
 
 def extract_with(df: DataFrame, complete: Callable[[str | None, str], str], name: str = "full_name",
-                 speech: str = "speech", partitions: int | None = None, materialize: bool = True) -> DataFrame:
+                 speech: str = "speech", id_col: str = "speech_id", partitions: int | None = None,
+                 materialize: bool = True) -> DataFrame:
     """M7: one call of ``complete(name, speech)`` per distinct (name, speech), spread over
     partitions; errors become a per-row ``error`` column instead of failing the job. The result
-    is a responses table (speech, response, seq, error) for J3. With ``materialize`` (default)
+    is a responses table (name, speech, response, error, seq) for J3. With ``materialize`` (default)
     it is written to the checkpoint folder once, so later stages, retries and lost executors
-    never call the model again for rows already answered."""
-    pairs = df.select(name, speech).distinct()
+    never call the model again for rows already answered.
+
+    ``seq`` is the highest ``id_col`` of each (name, speech), so of two names asking about one
+    speech the later input row wins, whatever the partitioning. Failed calls keep their row here
+    (with ``error``); ``usable_responses`` drops them before J3."""
+    pairs = df.groupBy(name, speech).agg(F.max(id_col).cast("bigint").alias("seq"))
     pairs = pairs.repartition(partitions) if partitions else pairs
 
     def run(it):
@@ -76,11 +81,16 @@ def extract_with(df: DataFrame, complete: Callable[[str | None, str], str], name
                 except Exception as e:  # per-row failure, the batch goes on
                     resp.append(None)
                     err.append(f"{type(e).__name__}: {e}")
-            yield pd.DataFrame({"speech": pdf[speech].values, "response": resp, "error": err})
+            yield pd.DataFrame({"name": pdf[name].values, "speech": pdf[speech].values, "response": resp,
+                                "error": err, "seq": pdf["seq"].values})
 
-    out = pairs.mapInPandas(run, "speech string, response string, error string")
-    out = out.withColumn("seq", F.lit(0).cast("bigint"))
+    out = pairs.mapInPandas(run, "name string, speech string, response string, error string, seq bigint")
     if materialize:
         from ..session import cut_lineage
         out = cut_lineage(out)
     return out
+
+
+def usable_responses(extracted: DataFrame) -> DataFrame:
+    """The answered rows of ``extract_with``; a failed call never replaces an answer."""
+    return extracted.where(F.col("error").isNull()).select("speech", "response", "seq")

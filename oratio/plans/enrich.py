@@ -1,7 +1,7 @@
 """Full enrichment (Z1): speeches in, the 31-column table out.
 
 Shape of the plan: scan -> pre-filter -> dedup (one shuffle, partial aggregation) -> link
-removal -> profile join (broadcast when the profile table is proven small) -> response join
+removal -> profile join (AQE picks the form from measured bytes) -> response join
 (hash + text key; AQE splits hot keys) -> row-local analysis (lexicons, propaganda search,
 keywords, narrative, readability, persuasion, tone; no further shuffle) -> model columns
 (Arrow batches, only when scorers are given).
@@ -17,7 +17,6 @@ from ..functions.lexicons import TOXICITY
 from ..operators import clean, keywords as K, lexicon as L, propaganda as P, stats as S
 from ..operators.profiles import PROFILE_FIELDS, add_profiles, pick_page, search_hits
 from ..operators.responses import FIELDS as RESPONSE_FIELDS, add_responses, latest_responses, responses_from_documents
-from ..session import cut_lineage
 from ..sources.tables import speeches_raw
 
 # Output columns in write order, with the display names used by the CSV sink.
@@ -71,8 +70,7 @@ def enrich(speeches: DataFrame, profiles: DataFrame | None = None, responses: Da
     ``emotion``: M1 scorers (see ``operators.models``). Missing inputs give null/N/A columns."""
     df = clean.clean_speeches(speeches)
     if profiles is not None:
-        # materialised once: the size check and the join then read the same small table
-        df = add_profiles(df, cut_lineage(profiles.select("surname", *PROFILE_FIELDS)))
+        df = add_profiles(df, profiles.select("surname", *PROFILE_FIELDS))
     else:
         for f in PROFILE_FIELDS:
             df = df.withColumn(f, F.lit(None).cast("string"))

@@ -1,20 +1,22 @@
-"""Session helpers: local session for tests/bench, checkpoint folder, size-checked joins."""
+"""Session helpers: local session for tests and bench, shared checkpoint folder, lineage cuts."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# Above this many rows a dimension is joined by shuffle (AQE splits skewed keys), never broadcast.
-BROADCAST_MAX_ROWS = 200_000
+# Session setting: partitions that single-row-group inputs are dealt over. Unset (the default on a
+# cluster): inputs keep the partitions of their scan. Test and bench sessions set it, their files
+# have one row group each.
+SCAN_PARTITIONS = "spark.oratio.scan.partitions"
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "oratio") -> SparkSession:
-    """A local session configured the way the library expects a cluster to be configured."""
-    spark = (
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "oratio",
+                  checkpoint_dir: str | None = None, scan_partitions: int = 8) -> SparkSession:
+    """A local session configured the way the library expects a cluster to be configured. Tests
+    and the bench name a checkpoint folder; a cluster sets ``spark.checkpoint.dir`` itself."""
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -28,27 +30,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "10g")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.ansi.enabled", "false")
-        .getOrCreate()
+        .config("spark.sql.ansi.enabled", "true")
+        .config(SCAN_PARTITIONS, str(scan_partitions))
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this is set by the deployment (a shared file system path); only when it is
-    unset, as in local tests, a fresh folder is made here.
-    """
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``; an error when it is unset
+    (a folder of this machine would not be seen by other executors)."""
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="oratio-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
@@ -63,30 +63,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Bounded-cost size check: scans partitions incrementally (``take``) and stops after
-    ``max_rows + 1`` rows; only a constant per row reaches the driver."""
-    return len(df.select(F.lit(1).alias("o")).take(max_rows + 1)) <= max_rows
-
-
-def join_dimension(facts: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a fact table to a dimension: broadcast when the dimension is proven small,
-    otherwise a shuffle join (AQE's skew-join splits any hot key on the fact side)."""
-    if has_at_most(dim, max_rows):
-        dim = F.broadcast(dim)
-    return facts.join(dim, on, how)
-
-
-def spread(df: DataFrame, key=None) -> DataFrame:
-    """Make sure CPU-heavy row-local work has at least one partition per core.
-
-    A large input already scans into many partitions and is returned unchanged (no shuffle);
-    a small or single-row-group input is hash-partitioned on ``key`` (deterministic on retry),
-    or round-robin when no key is given."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    keys = [key] if isinstance(key, str) else list(key or [])
-    return df.repartition(target, *keys) if keys else df.repartition(target)
-
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal an input over ``spark.oratio.scan.partitions`` partitions by ``key`` when that setting
+    is given (test files have one row group); otherwise return it unchanged, without a shuffle."""
+    n = df.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(n), key) if n else df

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import join_dimension, spread
+from ..session import spread
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -23,12 +23,10 @@ def speeches_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(speech_id, surname, code, speech) before any cleaning; unlabelled rows get a null code."""
     docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("speech_id"), F.col("source").alias("surname"), F.col("text").alias("speech"))
-    # small inputs only: spread on the unique id (uniform even when one group of identical
-    # speeches holds a third of the rows); the dedup then combines copies map-side
     docs = spread(docs, "speech_id")
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("speech_id"),
                                                    F.col("toxic").alias("code"))
-    return join_dimension(docs, labels, "speech_id", "left").select("speech_id", "surname", "code", "speech")
+    return docs.join(labels, "speech_id", "left").select("speech_id", "surname", "code", "speech")
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:

@@ -1,5 +1,7 @@
+
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,7 +14,8 @@ SF = "/root/testdata/sf0.001"
 def spark():
     from oratio.session import local_session
 
-    s = local_session(cores="*", shuffle_partitions=8, app="oratio-tests")
+    s = local_session(cores="*", shuffle_partitions=8, app="oratio-tests",
+                      checkpoint_dir=tempfile.mkdtemp(prefix="oratio-tests-"))
     yield s
 
 

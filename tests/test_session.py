@@ -1,10 +1,12 @@
-"""Session helpers that carry the scale decisions: size-checked broadcast, parallelism guard,
-lineage cut into the checkpoint folder."""
+"""Session helpers that carry the scale decisions, and the oracle's independence of local files."""
 
 import contextlib
 import io
 
-from oratio.session import cut_lineage, ensure_checkpoint_dir, has_at_most, join_dimension, spread
+import pytest
+
+from oratio.operators.profiles import add_profiles
+from oratio.session import SCAN_PARTITIONS, cut_lineage, ensure_checkpoint_dir, spread
 
 
 def plan_text(df):
@@ -14,27 +16,53 @@ def plan_text(df):
     return buf.getvalue()
 
 
-def test_has_at_most(spark):
-    df = spark.range(10)
-    assert has_at_most(df, 10) and not has_at_most(df, 9)
+def test_spread_follows_the_setting_only(spark):
+    df = spark.range(0, 100, numPartitions=3)
+    before = spark.conf.get(SCAN_PARTITIONS)
+    try:
+        spark.conf.set(SCAN_PARTITIONS, "5")
+        assert spread(df, "id").rdd.getNumPartitions() == 5
+        spark.conf.unset(SCAN_PARTITIONS)
+        assert spread(df, "id") is df
+    finally:
+        spark.conf.set(SCAN_PARTITIONS, before)
+
+
+def test_join_form_is_left_to_the_planner(spark):
+    facts = spark.range(1000).selectExpr("CAST(id % 7 AS STRING) AS surname", "id")
+    dim = spark.range(7).selectExpr("CAST(id AS STRING) AS surname", "id * 10 AS v")
+    assert "rightHint" not in plan_text(add_profiles(facts, dim))
+
+
+def test_missing_checkpoint_folder_is_an_error(spark):
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            getConf = staticmethod(lambda: Session.conf)
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Session)
+
+
+def test_oracle_texts_need_no_spark_files(monkeypatch):
+    import glob
+    import zipfile
 
+    def refuse(*_a, **_k):
+        raise FileNotFoundError
+    monkeypatch.setattr(zipfile, "ZipFile", refuse)
+    monkeypatch.setattr(glob, "glob", lambda *_a, **_k: [])
+    import __spark_entry__
+    from oratio.plans.oracle import ORACLE
+    assert set(ORACLE) <= set(__spark_entry__.oracle_sql())
 
-def test_join_dimension_broadcasts_only_below_bound(spark):
-    facts = spark.range(1000).selectExpr("id % 7 AS k", "id")
-    dim = spark.range(7).selectExpr("id AS k", "id * 10 AS v")
-    small = join_dimension(facts, dim, "k", "left")
-    large = join_dimension(facts, dim, "k", "left", max_rows=5)
-    assert "BroadcastHashJoin" in plan_text(small)
-    assert "BroadcastHashJoin" not in plan_text(large)
-    assert sorted(small.collect()) == sorted(large.collect())
 
+def test_stop_words_equal_spark_ml(spark):
+    from pyspark.ml.feature import StopWordsRemover
 
-def test_spread_only_when_under_parallel(spark):
-    target = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, numPartitions=target)
-    assert spread(wide, "id") is wide
-    narrow = spark.range(0, 100, numPartitions=1)
-    assert spread(narrow, "id").rdd.getNumPartitions() == target
+    from oratio.functions.lexicons import stop_words
+    assert list(stop_words()) == StopWordsRemover.loadDefaultStopWords("english")
 
 
 def test_cut_lineage_reads_back_from_checkpoint_folder(spark):
