@@ -81,13 +81,12 @@ def corpus_keywords(df: DataFrame, id_col: str = "speech_id", text: str = "speec
     per-term partial aggregation. The per-speech counts are checkpointed once (they feed the
     document count, the frequencies and the join). A term that most speeches hold is dealt over
     ``SALTS`` partitions of the idf join, whose other side repeats each term that often; the
-    document count joins as a one-row aggregate."""
+    document count is a scalar subquery of the plan."""
     local = cut_lineage(df.select(id_col, term_counts(text).alias("__tc")))
-    n_docs = local.agg(F.count(F.lit(1)).alias("__n"))
+    n_docs = local.agg(F.count(F.lit(1)).alias("n")).scalar()
     tc = local.select(id_col, F.inline("__tc"))
     dfreq = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = dfreq.join(F.broadcast(n_docs)).select(
-        "term", (F.log((F.lit(1.0) + F.col("__n")) / (F.col("df") + 1)) + 1).alias("idf"))
+    idf = dfreq.select("term", (F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1)) + 1).alias("idf"))
     salted = idf.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     w = (tc.withColumn("__salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int"))
            .join(salted, ["term", "__salt"]).withColumn("tfidf", F.col("cnt") * F.col("idf")))
