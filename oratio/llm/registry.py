@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut_lineage, table
-from . import chat_format, mixing, quality_rules, simhash, url_filter
+from . import chat_format, mixing, packing, quality_rules, simhash, token_file, url_filter
 from .tokens import default_path
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
@@ -52,12 +52,23 @@ def op4(spark, sf_dir) -> DataFrame:
     return simhash.simhash_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = token_file.write_token_file(docs, token_file.fresh_path(spark), default_path(), end_id=2)
+    return token_file.read_token_file(spark, path, with_ids=False)
+
+
 def op6(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target",
                                    (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op7(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.digest(packing.pack(docs, default_path(), end_id=1))
+
+
 def op8(spark, sf_dir) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = "</s>[INST] ok [/INST]"
@@ -90,7 +101,9 @@ SELECT p.page_id, p.host, p.path, m.rule, coalesce(m.act, 'allow') AS verdict FR
 QUERIES: dict[str, Callable] = {
     "op2_quality_rules": op2,
     "op4_simhash": op4,
+    "op5_token_file": op5,
     "op6_mixing": op6,
+    "op7_packing": op7,
     "op8_chat_format": op8,
     "op9_url_filter": op9,
 }
