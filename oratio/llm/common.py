@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, ensure_checkpoint_dir  # noqa: F401  (re-exported)
+from ..session import cut_lineage as _cut_lineage
+from ..session import ensure_checkpoint_dir  # noqa: F401  (re-exported)
 
 # A word is a run of anything but space, tab, line feed, vertical tab, form feed, carriage return.
 # ``bytes.split()`` of UTF-8 text splits at exactly these six bytes.
@@ -16,6 +17,21 @@ SQL_GAP = r"[\\x20\\x09-\\x0D]+"
 SQL_WORD_CHAR = r"[^\\x20\\x09-\\x0D]"
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the checkpoint folder and read it back. Shuffle files of the write are removed when
+    it ends (the written table replaces them), so disk holds one step at a time."""
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, "false")
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        return _cut_lineage(df)
+    finally:
+        conf.set(SHUFFLE_CLEANUP, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

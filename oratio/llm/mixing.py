@@ -33,7 +33,7 @@ from .common import SQL_GAP, cut_lineage, free_name
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
-BUCKET = 20_000
+BUCKET = 2048
 FANIN = 64
 SEED = 7
 
