@@ -2,8 +2,8 @@
 
 ``encode_texts`` returns exactly what ``Tokenizer.encode(text, add_special_tokens=False)`` gives for a byte-level BPE
 file. Its split never joins characters over the start of a space that follows a non-space, so a text
-is cut before such spaces and each piece is encoded once per worker; texts with white space runs
-that hold a space next to other white space, and texts holding an added token, are encoded whole.
+is cut before such spaces and each piece is encoded once per worker; texts that hold a space next
+to other white space, rare kinds of white space, or an added token are encoded whole.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import numpy as np
 
 from .common import worker_cache
 
-MEMO_WORDS = 600_000  # bound of the memo in each Python worker (about 120 MB)
+MEMO_WORDS = 1_200_000  # bound of the memo in each Python worker (about 250 MB)
 
 
 def default_path() -> str:
@@ -45,7 +45,12 @@ class TextEncoder:
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
         self.memo = worker_cache("memo " + path)
         self.bound = memo_words
-        self.space = re.compile(r"\s | \s")
+        self.spill = worker_cache("spill " + path)
+        # white space besides space and line feed
+        self.odd_space = re.compile("[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+        letters = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+        self.runs = re.compile(rf"[{letters}]+|[.,;:!?]+|\n")
+        self.plain = re.compile(rf" ?[{letters}]++(?:[.,;:!?]++|\n(?!\n)|[{letters}]++)*+")
         spec = worker_cache("spec")
         if path not in spec:
             with open(path, encoding="utf-8") as f:
@@ -73,25 +78,54 @@ class TextEncoder:
         return out
 
     def _some(self, texts: list[str]) -> list[bytes]:
-        memo = self.memo
+        memo, spill = self.memo, self.spill
         pieces, whole = [], []
         for i, t in enumerate(texts):
-            if self.space.search(t) or any(a in t for a in self.added):
+            if ("  " in t or " \n" in t or "\n " in t or self.odd_space.search(t) is not None
+                    or any(a in t for a in self.added)):
                 whole.append(i)
                 pieces.append(())
             else:
                 p = t.split(" ")
                 p[0] = " " + p[0]  # no other piece holds a space: marks what has none before it
                 pieces.append(p)
-        missing = list(set().union(*pieces).difference(memo))
-        if len(memo) + len(missing) > self.bound:
-            memo.clear()
-            missing = list(set().union(*pieces))
-        for a in range(0, len(missing), 10_000):
-            part = missing[a:a + 10_000]
-            memo.update(zip(part, self._whole([w[1:] if w[:1] == " " else " " + w for w in part])))
+        distinct = set().union(*pieces)
+        missing = distinct.difference(memo)
+        if len(memo) >= self.bound and 2 * len(missing) > len(distinct):
+            memo.clear()  # the texts have changed their vocabulary
+            missing = distinct
+        new = list(missing.difference(spill))
+        memo.update((w, spill[w]) for w in missing if w in spill)
+        self._learn(new)
         get = memo.__getitem__
         out = [b"".join(map(get, p)) for p in pieces]
+        if len(memo) > self.bound:  # full: words first seen now wait in the smaller dict
+            if len(spill) > self.bound // 5:
+                spill.clear()
+            for w in missing:
+                spill[w] = memo.pop(w)
         for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
             out[i] = ids
         return out
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode pieces into the memo. A piece of letters, punctuation and single line breaks only is
+        put together from its runs, which the tokenizer separates too."""
+        memo, composed, alone = self.memo, [], set()
+        for w in pieces:
+            if not w[1:].isalpha() and self.plain.fullmatch(w):
+                runs = self.runs.findall(w)
+                if len(runs) > 1:
+                    space = w[:1] == " "  # marked: no space before the first run
+                    keys = [" " + r for r in runs]
+                    if not space:
+                        keys[0] = runs[0]
+                    composed.append((w, keys))
+                    alone.update(keys)
+                    continue
+            alone.add(w)
+        todo = list(alone.difference(memo))
+        for a in range(0, len(todo), 10_000):
+            part = todo[a:a + 10_000]
+            memo.update(zip(part, self._whole([w[1:] if w[:1] == " " else " " + w for w in part])))
+        memo.update((w, b"".join([memo[k] for k in keys])) for w, keys in composed)

@@ -29,7 +29,7 @@ def encode(t):
 
 def test_encoder_equals_library():
     rnd = random.Random(9)
-    parts = [" ", "  ", "\n", "\t", " ", "a", "b'", "'s", "1", "é", "!", "\x1c", " ", "<|endoftext|>", "the"]
+    parts = [" ", ",", ".\nB", "\n\n", "  ", "\n", "\t", " ", "a", "b'", "'s", "1", "é", "!", "\x1c", " ", "<|endoftext|>", "the"]
     texts = TEXTS + ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12))) for _ in range(3000)]
     enc = TextEncoder(default_path(), memo_words=500)
     got = enc(texts) + enc(texts)
