@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut_lineage, table
-from . import chat_format, mixing, packing, quality_rules, simhash, token_file, url_filter
+from . import chat_format, fm_dedup, mixing, packing, quality_rules, simhash, token_file, url_filter
 from .tokens import default_path
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
@@ -85,6 +85,22 @@ def op9(spark, sf_dir) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op10(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fm_dedup.remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op10_sql() -> str:
+    return r"""WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda a: a <> '') AS w
+      FROM documents),
+g AS (SELECT doc_id, i, hash(w[i : i + 12]) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w)),
+l AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS least FROM g),
+c AS (SELECT doc_id, list(DISTINCT p) AS p FROM (SELECT doc_id, unnest(range(i, i + 13)) AS p FROM l WHERE least < doc_id) GROUP BY doc_id),
+k AS (SELECT w.doc_id, len(w) AS n, coalesce(len(p), 0) AS r,
+      list_filter(w, lambda x, i: NOT coalesce(list_contains(p, i), false)) AS kept FROM w LEFT JOIN c ON w.doc_id = c.doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(r AS BIGINT) AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k"""
+
+
 def op9_sql() -> str:
     rules = ", ".join(f"('{h}', '{p}', '{a}')" for h, p, a in URL_RULES)
     return f"""WITH r(rh, rp, act) AS (VALUES {rules}),
@@ -106,9 +122,11 @@ QUERIES: dict[str, Callable] = {
     "op7_packing": op7,
     "op8_chat_format": op8,
     "op9_url_filter": op9,
+    "op10_fm_dedup": op10,
 }
 
 ORACLE: dict[str, Callable[[], str]] = {
     "op2_quality_rules": op2_sql,
     "op9_url_filter": op9_sql,
+    "op10_fm_dedup": op10_sql,
 }

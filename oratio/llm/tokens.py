@@ -64,6 +64,8 @@ class TextEncoder:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
+        import gc
+
         texts = [t or "" for t in texts]
         if not self.cuttable:
             return self._whole(texts)
@@ -73,7 +75,13 @@ class TextEncoder:
             while end < len(texts) and (end == at or size < 1_000_000):
                 size += len(texts[end])
                 end += 1
-            out += self._some(texts[at:end])
+            collecting = gc.isenabled()
+            gc.disable()  # only strings and bytes are made here, nothing for the collector
+            try:
+                out += self._some(texts[at:end])
+            finally:
+                if collecting:
+                    gc.enable()
             at = end
         return out
 
