@@ -32,6 +32,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         conf.set(SHUFFLE_CLEANUP, before)
 
 
+def release(written: DataFrame) -> None:
+    """Delete the table behind a frame made by ``cut_lineage`` once everything made from it is written."""
+    spark = written.sparkSession
+    files = written.inputFiles()
+    if files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -71,4 +80,4 @@ def partitions_for(df: DataFrame, rows: int, per_partition: int) -> int:
 
 
 __all__ = ["WORD", "GAP", "SQL_GAP", "SQL_WORD_CHAR", "F", "table", "words_sql", "let_sql", "free_name",
-           "worker_cache", "partitions_for", "cut_lineage", "ensure_checkpoint_dir"]
+           "worker_cache", "partitions_for", "cut_lineage", "release", "ensure_checkpoint_dir"]

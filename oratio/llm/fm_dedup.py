@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SQL_GAP, cut_lineage, free_name
+from .common import SQL_GAP, cut_lineage, free_name, release
 
 WINDOW = 13
 GRAM = 5
@@ -180,17 +180,16 @@ class FMIndex:
         return lo, hi, matched
 
 
-def first_ids(contents: list[np.ndarray], ids: np.ndarray, window: int = WINDOW) -> list[np.ndarray]:
-    """For every window of every word sequence: the least id among the sequences that hold the window."""
-    lengths = np.array([len(c) for c in contents])
-    symbols, flat = np.unique(np.concatenate(contents), return_inverse=True)
-    flat = flat.astype(np.int64) + 1
+def first_ids(words: np.ndarray, lengths: np.ndarray, ids: np.ndarray, window: int = WINDOW):
+    """For every window of every word sequence (``words``: all of them end to end): the least id among the
+    sequences that hold the window. Returns (firsts, number of windows of each sequence)."""
+    symbols, flat = np.unique(words, return_inverse=True)
+    flat = flat.reshape(-1).astype(np.int64) + 1
     index = FMIndex(flat, lengths, window)
     n_win = np.maximum(lengths - window + 1, 0)
     begin = np.cumsum(lengths) - lengths
     starts = np.repeat(begin - (np.cumsum(n_win) - n_win), n_win) + np.arange(int(n_win.sum()))
-    patterns = flat[starts[:, None] + np.arange(window)]
-    distinct, which = _distinct_rows(patterns)
+    distinct, which = _distinct_rows(flat[starts[:, None] + np.arange(window)])
     lo, hi, matched = index.search(distinct)
     first = np.full(len(distinct), np.iinfo(np.int64).max)
     full = np.flatnonzero(matched == window)
@@ -199,7 +198,7 @@ def first_ids(contents: list[np.ndarray], ids: np.ndarray, window: int = WINDOW)
         cuts = np.stack([lo[by_range], hi[by_range]], axis=1).reshape(-1)
         values = np.append(ids[index.owner], np.iinfo(np.int64).max)
         first[by_range] = np.minimum.reduceat(values, cuts)[::2]
-    return np.split(first[which.reshape(-1)], np.cumsum(n_win)[:-1])
+    return first[which], n_win
 
 
 def _distinct_rows(patterns: np.ndarray):
@@ -231,100 +230,159 @@ def _anchor_rows(docs: DataFrame, window: int) -> DataFrame:
     return docs.mapInArrow(run, "gram long, id long, place long")
 
 
-def _segment_rows(joined: DataFrame, window: int) -> DataFrame:
-    """Segments (or, for hot anchors, windows) of documents with the places of their shared anchors."""
+def _structs(column, names):
+    """Fields of an Arrow list<struct> column as flat arrays, and the row each belongs to."""
+    off = column.offsets.to_numpy().astype(np.int64)
+    items = column.values.slice(off[0], off[-1] - off[0])
+    row = np.repeat(np.arange(len(column)), np.diff(off))
+    return [items.field(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in names], row
+
+
+def _place(place):
+    """(text hash, first window, windows - 1) of packed places."""
+    return place >> 33, place >> 4 & ((1 << 29) - 1), place & 15
+
+
+def _content_hash(values, starts, lengths):
+    h = lengths.astype(np.uint64)
+    for j in range(int(lengths.max(initial=0))):
+        live = lengths > j
+        word = values[np.where(live, starts + j, 0)]
+        h = np.where(live, _mix(h + word + np.uint64(0x9E3779B97F4A7C15)), h)
+    return h
+
+
+def _member_rows(joined: DataFrame, window: int) -> DataFrame:
+    """Each document's segments as hashes; a hot anchor's segments are cut into windows, salted by content."""
+    def run(batches):
+        for b in batches:
+            values, off = _flat(b.column("w"))
+            (gram, place, split), row = _structs(b.column("places"), ("gram", "place", "split"))
+            th, a, n = _place(place)
+            ok = th == b.column("th").to_numpy(zero_copy_only=False).astype(np.int64)[row]  # rows of one id may differ
+            gram, split, row, th, a, n = (x[ok] for x in (gram, split, row, th, a, n))
+            times = np.where(split > 1, n + 1, 1)
+            k = np.repeat(np.arange(len(times)), times)
+            step = np.arange(len(k)) - np.repeat(np.cumsum(times) - times, times)
+            hot = split[k] > 1
+            gram, row, th, split, a, n = gram[k], row[k], th[k], split[k], a[k] + step, np.where(hot, 0, n[k])
+            if not len(gram):
+                continue
+            h = _content_hash(values, off[row] + a, n + window)
+            salt = np.where(hot, (h % np.maximum(split, 1).astype(np.uint64)).astype(np.int64), 0)
+            ids = b.column("id").to_numpy(zero_copy_only=False).astype(np.int64)[row]
+            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(salt.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(ids),
+                                              pa.array(_pack(th, a, n))], names=["gram", "salt", "chash", "id", "place"])
+
+    return joined.mapInArrow(run, "gram long, salt int, chash long, id long, place long")
+
+
+def _content_rows(joined: DataFrame, window: int) -> DataFrame:
+    """The words of each distinct segment, cut out of the document that stands for it."""
+    names = ("gram", "salt", "chash", "place", "n")
+
     def run(batches):
         for b in batches:
             values, off = _flat(b.column("w"))
-            th = b.column("th").to_pylist()
-            out = []
-            for i, (doc, places) in enumerate(zip(b.column("id").to_pylist(), b.column("places").to_pylist())):
-                raw = values[off[i]:off[i + 1]].tobytes()
-                for p in places:
-                    place = p["place"]
-                    if place >> 33 != th[i]:
-                        continue
-                    a, n = place >> 4 & ((1 << 29) - 1), place & 15
-                    if p["split"] <= 1:
-                        out.append((p["gram"], 0, doc, place, raw[8 * a:8 * (a + n + window)]))
-                    else:
-                        for x in range(a, a + n + 1):
-                            w = raw[8 * x:8 * (x + window)]
-                            salt = int(_mix(np.frombuffer(w, np.uint64)).sum(dtype=np.uint64) % np.uint64(p["split"]))
-                            out.append((p["gram"], salt, doc, _pack(th[i], x, 0), w))
-                if len(out) >= 20_000:
-                    yield _segments(out)
-                    out = []
-            if out:
-                yield _segments(out)
-
-    return joined.mapInArrow(run, "gram long, salt int, id long, place long, content binary")
-
-
-def _segments(rows):
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                                      names=["gram", "salt", "id", "place", "content"])
+            (gram, salt, chash, place, count), row = _structs(b.column("reps"), names)
+            th, a, n = _place(place)
+            ok = th == b.column("th").to_numpy(zero_copy_only=False).astype(np.int64)[row]
+            gram, salt, chash, count, row, a, n = (x[ok] for x in (gram, salt, chash, count, row, a, n))
+            lengths = n + window
+            ends = np.cumsum(lengths)
+            at = np.arange(int(lengths.sum())) + np.repeat(off[row] + a - (ends - lengths), lengths)
+            cuts = np.concatenate([[0], 8 * ends])
+            for i in range(0, len(gram), 20_000):
+                j = min(i + 20_000, len(gram))
+                data = values[at[cuts[i] // 8:cuts[j] // 8]]
+                content = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer((cuts[i:j + 1] - cuts[i]).astype(np.int32)),
+                                                                    pa.py_buffer(np.ascontiguousarray(data))])
+                ids = b.column("id").to_numpy(zero_copy_only=False).astype(np.int64)[row[i:j]]
+                yield pa.RecordBatch.from_arrays([pa.array(gram[i:j]), pa.array(salt[i:j].astype(np.int32)), pa.array(chash[i:j]),
+                                                  pa.array(ids), pa.array(count[i:j]), content],
+                                                 names=["gram", "salt", "chash", "least", "n", "content"])
+
+    return joined.mapInArrow(run, "gram long, salt int, chash long, least long, n long, content binary")
 
 
 def _first_rows(dealt: DataFrame, window: int) -> DataFrame:
     """Each shard (a run of rows with one shard number) is indexed and searched once."""
-    def solve(rows):
-        contents = [np.frombuffer(r[4], np.uint64) for r in rows]
-        least = np.array([r[3] for r in rows], dtype=np.int64)
-        firsts = first_ids(contents, least, window)
+    def solve(parts):
+        gram, salt, chash, least, n, lengths = (np.concatenate([p[i] for p in parts]) for i in range(6))
+        words = np.concatenate([p[6] for p in parts])
+        firsts, n_win = first_ids(words, lengths, least, window)
         # a segment of one document whose windows start nowhere earlier has nothing to report
-        keep = [(r[1], r[2], r[4], f) for r, f in zip(rows, firsts) if r[5] > 1 or (f < r[3]).any()]
-        if keep:
-            g, s, c, f = zip(*keep)
-            yield pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(s, pa.int32()), pa.array(c, pa.binary()),
-                                              pa.array([x.tolist() for x in f], pa.list_(pa.int64()))],
-                                             names=["gram", "salt", "content", "firsts"])
+        earlier = np.bincount(np.repeat(np.arange(len(n_win)), n_win), firsts < np.repeat(least, n_win), minlength=len(n_win)) > 0
+        keep = (n > 1) | earlier
+        if keep.any():
+            kept = np.repeat(keep, n_win)
+            offsets = np.concatenate([[0], np.cumsum(n_win[keep])]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(gram[keep]), pa.array(salt[keep].astype(np.int32)), pa.array(chash[keep]),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(firsts[kept]))], names=["gram", "salt", "chash", "firsts"])
 
     def run(batches):
         held, shard = [], None
         for b in batches:
-            for r in zip(*(b.column(c).to_pylist() for c in ("shard", "gram", "salt", "least", "content", "n"))):
-                if r[0] != shard:
+            number = b.column("shard").to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(np.diff(number)) + 1
+            for i, j in zip([0, *cuts], [*cuts, len(number)]):
+                if i == j:
+                    continue
+                if number[i] != shard:
                     if held:
                         yield from solve(held)
-                    held, shard = [], r[0]
-                held.append(r)
+                    held, shard = [], number[i]
+                part = b.slice(i, j - i)
+                content = part.column("content").cast(pa.large_binary())
+                off = np.frombuffer(content.buffers()[1], np.int64)[content.offset:content.offset + len(content) + 1]
+                words = np.frombuffer(content.buffers()[2], np.uint8)[off[0]:off[-1]].copy().view(np.uint64)
+                held.append([part.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
+                             for c in ("gram", "salt", "chash", "least", "n")] + [np.diff(off) // 8, words])
         if held:
             yield from solve(held)
 
-    return dealt.mapInArrow(run, "gram long, salt int, content binary, firsts array<long>")
+    return dealt.mapInArrow(run, "gram long, salt int, chash long, firsts array<long>")
 
 
 def repeated_windows(df: DataFrame, id_col: str, text: str, window: int = WINDOW, hot: int = HOT, shard: int = SHARD) -> DataFrame:
-    """(id, th, starts): for each document the starts of windows that also start under a smaller id."""
+    """(id, th, starts): for each document the starts of windows that also start under a smaller id. Each
+    step is written before the next; what no later step reads is deleted, so disk holds two steps."""
     quoted, qid = "`" + text.replace("`", "``") + "`", F.col(id_col).cast("long")
     docs = (df.where(F.col(id_col).isNotNull()).select(
         qid.alias("id"), F.expr(f"xxhash64({quoted}) & 1073741823L").alias("th"), F.col(text).alias("t")))
     hashed = ["id", "th", F.expr(words_hash_sql("t")).alias("w")]
     found = cut_lineage(_anchor_rows(docs.select(*hashed), window))
-    shared = (found.groupBy("gram").agg(F.min("id").alias("a"), F.max("id").alias("z"), F.count(F.lit(1)).alias("n"))
-              .where("a < z").select("gram", F.expr(f"CAST(ceil(n / {hot}) AS INT)").alias("split")))
+    shared = cut_lineage(found.groupBy("gram").agg(F.min("id").alias("a"), F.max("id").alias("z"), F.count(F.lit(1)).alias("n"))
+                         .where("a < z").select("gram", F.expr(f"CAST(ceil(n / {hot}) AS INT)").alias("split")))
     places = cut_lineage(found.join(shared, "gram").groupBy("id").agg(
         F.collect_list(F.struct("gram", "place", "split")).alias("places")))
-    segments = cut_lineage(_segment_rows(docs.join(places, "id").select(*hashed, "places"), window))
-    unique = cut_lineage(segments.groupBy("gram", "salt", "content").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")))
-    words = unique.agg(F.sum(F.length("content")).alias("b")).first().b or 0
-    shards = max(1, -(-words // (8 * shard)))
-    dealt = (unique.withColumn("shard", F.pmod(F.xxhash64("gram", "salt"), F.lit(shards)))
+    release(found)
+    members = cut_lineage(_member_rows(docs.join(places, "id").select(*hashed, "places"), window))
+    release(places)
+    unique = members.groupBy("gram", "salt", "chash").agg(F.min(F.struct("id", "place")).alias("r"), F.count(F.lit(1)).alias("n"))
+    reps = cut_lineage(unique.groupBy(F.col("r.id").alias("id")).agg(
+        F.collect_list(F.struct("gram", "salt", "chash", "r.place", "n")).alias("reps")))
+    words = reps.agg(F.sum(F.expr(f"aggregate(reps, 0L, (a, x) -> a + (x.place & 15) + {window})"))).first()[0] or 0
+    shards = max(1, -(-words // shard))
+    contents = _content_rows(docs.join(reps, "id").select(*hashed, "reps"), window)
+    dealt = (contents.withColumn("shard", F.pmod(F.xxhash64("gram", "salt"), F.lit(shards)).cast("long"))
              .repartition(shards, "shard").sortWithinPartitions("shard"))
     firsts = cut_lineage(_first_rows(dealt, window))
-    late = segments.join(firsts, ["gram", "salt", "content"]).select(
+    release(reps)
+    late = members.join(firsts, ["gram", "salt", "chash"]).select(
         "id", F.expr("place >> 33").alias("th"), F.expr(
             "filter(transform(firsts, (f, i) -> CASE WHEN f < id THEN CAST((place >> 4) & 536870911 AS INT) + i END), x -> x IS NOT NULL)"
         ).alias("s")).where("size(s) > 0")
-    return late.groupBy("id", "th").agg(F.flatten(F.collect_list("s")).alias("starts"))
+    starts = cut_lineage(late.groupBy("id", "th").agg(F.flatten(F.collect_list("s")).alias("starts")))
+    release(members)
+    return starts
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = WINDOW, hot: int = HOT,
                    shard: int = SHARD) -> DataFrame:
     """``df`` with ``n_words``, ``n_removed`` and ``kept_text`` (kept words joined by one space), under the next free names."""
-    starts = cut_lineage(repeated_windows(df, id_col, text, window, hot, shard))
+    starts = repeated_windows(df, id_col, text, window, hot, shard)
     names = [free_name(df, n) for n in ("n_words", "n_removed", "kept_text")]
     quoted = "`" + text.replace("`", "``") + "`"
     right = starts.select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("starts").alias("__starts"))
