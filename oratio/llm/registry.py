@@ -8,13 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut_lineage, table
-from . import chat_format, fm_dedup, mixing, packing, quality_rules, simhash, token_file, url_filter
+from . import chat_format, fm_dedup, mixing, nn_descent, packing, quality_rules, simhash, token_file, toxicity, url_filter
 from .tokens import default_path
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
              ("org", "/fr/", "allow")]
 
 
+def op1(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    return toxicity.toxicity(docs, labels).drop("text")
+
+
 def op2(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     q = quality_rules.quality_rules(docs)
@@ -48,6 +54,10 @@ b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 SELECT *, NOT base_failed AND {' AND '.join(tests)} AS kept FROM b"""
 
 
+def op3(spark, sf_dir) -> DataFrame:
+    return nn_descent.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.expr("id % 100 = 0"))
+
+
 def op4(spark, sf_dir) -> DataFrame:
     return simhash.simhash_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -115,7 +125,9 @@ SELECT p.page_id, p.host, p.path, m.rule, coalesce(m.act, 'allow') AS verdict FR
 
 
 QUERIES: dict[str, Callable] = {
+    "op1_toxicity": op1,
     "op2_quality_rules": op2,
+    "op3_nn_descent": op3,
     "op4_simhash": op4,
     "op5_token_file": op5,
     "op6_mixing": op6,
