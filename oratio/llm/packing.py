@@ -58,7 +58,7 @@ def tokenize_cut(df: DataFrame, tokenizer: str, end_id: int, id_col: str, text:
         enc = TextEncoder(tokenizer)
         size = enc.tok.get_vocab_size() + 1
         perm = _permutation(max(size, end_id + 1))
-        df_counts, seen = np.zeros(len(perm), np.int64), np.zeros(len(perm), bool)
+        df_counts, seen = np.zeros(len(perm), np.int32), np.zeros(len(perm), bool)
         n_docs = n_ids = number = 0
         base = FULL_BIT | TaskContext.get().partitionId() << 32
         names = [x.split()[0] for x in CUT.split(", ")]
