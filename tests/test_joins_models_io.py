@@ -67,15 +67,20 @@ def test_trained_classifier(spark):  # M6
 
 
 def test_extract_with_callable(spark):  # M7
-    df = spark.createDataFrame([("Ada", "s1"), ("Ada", "s1"), ("Bo", "s2")], "full_name string, speech string")
+    df = spark.createDataFrame([(1, "Ada", "s1"), (2, "Ada", "s1"), (3, "Bo", "s2"), (4, "Bo", "s1"), (5, "Cy", "s1")],
+                               "speech_id long, full_name string, speech string")
 
     def complete(name, speech):
         if name == "Bo":
             raise RuntimeError("rate limited")
         return f"2020-01-01${name}"
 
-    out = {r.speech: r for r in R.extract_with(df, complete).collect()}
-    assert len(out) == 2 and out["s1"].response == "2020-01-01$Ada" and out["s2"].error.startswith("RuntimeError")
+    for parts in (1, 2, 8):  # one text under three names, one call failing: the last answer in input order stays
+        out = R.extract_with(df.repartition(parts), complete)
+        rows = {(r.name, r.speech): r for r in out.collect()}
+        assert len(rows) == 4 and rows["Bo", "s2"].error.startswith("RuntimeError") and rows["Ada", "s1"].seq == 2
+        latest = {r.speech: r.response for r in R.latest_responses(R.usable_responses(out)).collect()}
+        assert latest == {"s1": "2020-01-01$Cy"}
 
 
 def test_mean_pool_and_zero(spark):  # c30
