@@ -20,7 +20,7 @@ document with a smaller id.
    their words, and the documents are written without them.
 
 Words travel as 64-bit hashes. Shards hold about ``SHARD`` words whatever the input's size; documents are
-never compared pairwise.
+never compared pairwise. Workers treat ``SLICE`` words (or one document) at a time.
 
 Defined cases: null or wordless texts keep nothing and lose nothing; texts shorter than a window stay
 whole; repeated rows of one id do not count against each other; a row without id is neither changed
@@ -40,6 +40,8 @@ WINDOW = 13
 GRAM = 5
 HOT = 20_000
 SHARD = 400_000
+SLICE = 200_000
+ROWS_AT_ONCE = 500
 
 
 # ---- anchors --------------------------------------------------------------------------------
@@ -90,6 +92,18 @@ def _flat(column):
     return values, off - off[0]
 
 
+def _bounded(batches, most: int = SLICE):
+    """The batches in slices of rows that hold about ``most`` words together (one row at least), so that a worker's memory
+    does not follow the number of rows Spark puts in a batch."""
+    for b in batches:
+        total = b.column("w").offsets.to_numpy().astype(np.int64)
+        i = 0
+        while i < b.num_rows:
+            j = max(i + 1, int(np.searchsorted(total, total[i] + most, side="right")) - 1)
+            yield b.slice(i, j - i)
+            i = j
+
+
 def words_hash_sql(text: str) -> str:
     return f"transform(array_remove(split(coalesce({text}, ''), '{SQL_GAP}'), ''), w -> xxhash64(w))"
 
@@ -218,7 +232,7 @@ def _distinct_rows(patterns: np.ndarray):
 
 def _anchor_rows(docs: DataFrame, window: int) -> DataFrame:
     def run(batches):
-        for b in batches:
+        for b in _bounded(batches):
             values, off = _flat(b.column("w"))
             d, a, z, g = anchors(values, off, window)
             if len(d):
@@ -255,7 +269,7 @@ def _content_hash(values, starts, lengths):
 def _member_rows(joined: DataFrame, window: int) -> DataFrame:
     """Each document's segments as hashes; a hot anchor's segments are cut into windows, salted by content."""
     def run(batches):
-        for b in batches:
+        for b in _bounded(batches):
             values, off = _flat(b.column("w"))
             (gram, place, split), row = _structs(b.column("places"), ("gram", "place", "split"))
             th, a, n = _place(place)
@@ -282,7 +296,7 @@ def _content_rows(joined: DataFrame, window: int) -> DataFrame:
     names = ("gram", "salt", "chash", "place", "n")
 
     def run(batches):
-        for b in batches:
+        for b in _bounded(batches):
             values, off = _flat(b.column("w"))
             (gram, salt, chash, place, count), row = _structs(b.column("reps"), names)
             th, a, n = _place(place)
@@ -394,7 +408,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", wi
     at, at_starts, out_names = cols.index(text), len(cols), cols + names
 
     def run(batches):
-        for b in batches:
+        for b in (whole.slice(i, ROWS_AT_ONCE) for whole in batches for i in range(0, whole.num_rows, ROWS_AT_ONCE)):
             total, gone, kept = [], [], []
             for t, s in zip(b.column(at).to_pylist(), b.column(at_starts).to_pylist()):
                 w = (t or "").encode().split()

@@ -78,3 +78,14 @@ def test_search_gives_matching_statistics():
             return sum((t[i:i + len(tail)] == tail).all() for t in texts for i in range(len(t) - len(tail) + 1))
         longest = max(k for k in range(7) if k == 0 or count(p[6 - k:]))
         assert m == longest and (longest == 0 or b - a == count(p[6 - longest:]))
+
+
+def test_batches_are_treated_in_bounded_slices():
+    import pyarrow as pa
+
+    rows = [[1] * 3, [], [2] * 50, [3] * 4, [4] * 5, [], [5]]
+    batch = pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int64()))], names=["w"])
+    got = [b.column("w").to_pylist() for b in fm_dedup._bounded([batch, batch.slice(2, 3)], 9)]
+    assert [r for b in got for r in b] == rows + rows[2:5]
+    assert all(len(b) == 1 or sum(map(len, b)) <= 9 for b in got)
+    assert [len(b) for b in got] == [2, 1, 3, 1, 1, 2]
