@@ -58,7 +58,7 @@ def tokenize_cut(df: DataFrame, tokenizer: str, end_id: int, id_col: str, text:
         enc = TextEncoder(tokenizer)
         size = enc.tok.get_vocab_size() + 1
         perm = _permutation(max(size, end_id + 1))
-        df_counts, seen = np.zeros(len(perm), np.int32), np.zeros(len(perm), bool)
+        df_counts, place = np.zeros(len(perm), np.int32), np.zeros(len(perm), np.int64)
         n_docs = n_ids = number = 0
         base = FULL_BIT | TaskContext.get().partitionId() << 32
         names = [x.split()[0] for x in CUT.split(", ")]
@@ -73,10 +73,10 @@ def tokenize_cut(df: DataFrame, tokenizer: str, end_id: int, id_col: str, text:
                 rows = []
                 for d, raw in zip(docs[a:a + 500], enc(texts.slice(a, 500).to_pylist())):
                     ids = np.append(np.frombuffer(raw, enc.dtype), enc.dtype.type(end_id))
-                    seen[ids] = True
-                    df_counts += seen
-                    seen[ids] = False
                     n = len(ids)
+                    at = np.arange(n)
+                    place[ids] = at  # the last place of each id stays
+                    df_counts[ids[place[ids] == at]] += 1
                     n_docs += 1
                     n_ids += n
                     whole = n // window * window

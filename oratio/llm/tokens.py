@@ -1,18 +1,28 @@
 """Tokenizing with a public tokenizers file, one load per worker and a bounded memo of words.
 
-``encode_texts`` returns exactly what ``Tokenizer.encode(text, add_special_tokens=False)`` gives for a byte-level BPE
-file. Its split never joins characters over the start of a space that follows a non-space, so a text
-is cut before such spaces and each piece is encoded once per worker; texts that hold a space next
-to other white space, rare kinds of white space, or an added token are encoded whole.
+``TextEncoder`` returns exactly what ``Tokenizer.encode(text, add_special_tokens=False)`` gives for a byte-level BPE
+file. Its split never joins characters over the start of a space that follows a non-space, over a line
+break, or from a letter or digit to the punctuation after it. So a text is cut there, and each
+piece is encoded once per worker; texts that hold a space next to other white space, longer runs of line breaks,
+rare kinds of white space, or an added token are encoded whole.
 """
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 
 from .common import worker_cache
 
-MEMO_WORDS = 1_200_000  # bound of the memo in each Python worker (about 250 MB)
+MEMO_WORDS = 500_000  # bound of the memo in each Python worker (about 110 MB)
+
+
+MARK = "\x01"  # starts a piece that no space precedes
+# Byte-level files spell each byte as one character: bytes without a printable Latin-1 character follow U+0100 in order.
+_UNPRINTED = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+BYTE_CHARS = {b: 256 + i for i, b in enumerate(_UNPRINTED)}
+SPACE = chr(BYTE_CHARS[32])
 
 
 def default_path() -> str:
@@ -48,9 +58,8 @@ class TextEncoder:
         self.spill = worker_cache("spill " + path)
         # white space besides space and line feed
         self.odd_space = re.compile("[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-        letters = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
-        self.runs = re.compile(rf"[{letters}]+|[.,;:!?]+|\n")
-        self.plain = re.compile(rf" ?[{letters}]++(?:[.,;:!?]++|\n(?!\n)|[{letters}]++)*+")
+        after = "A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+        self.marks = [(c, re.compile(rf"{re.escape(c)}(?<=[{after}].)(?=[ \n]|\Z)"), f" {MARK}{c}") for c in ".,;:!?"]
         spec = worker_cache("spec")
         if path not in spec:
             with open(path, encoding="utf-8") as f:
@@ -59,6 +68,12 @@ class TextEncoder:
             spec[path] = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
                           and j.get("normalizer") is None, [t["content"] for t in j.get("added_tokens", [])])
         self.cuttable, self.added = spec[path]
+        self.line = np.frombuffer(self._whole(["\n"])[0], self.dtype)
+        self._start()
+
+    def _start(self) -> None:
+        """Pieces that cannot be joined to others for encoding."""
+        self.memo.update({MARK: b"", MARK + "\n": self.line.tobytes(), "": self._whole([" "])[0]})
 
     def _whole(self, texts):
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -89,19 +104,21 @@ class TextEncoder:
         memo, spill = self.memo, self.spill
         pieces, whole = [], []
         for i, t in enumerate(texts):
-            if ("  " in t or " \n" in t or "\n " in t or self.odd_space.search(t) is not None
-                    or any(a in t for a in self.added)):
+            if ("  " in t or " \n" in t or "\n " in t or "\n\n\n" in t or t.endswith("\n\n") or MARK in t
+                    or self.odd_space.search(t) is not None or any(a in t for a in self.added)):
                 whole.append(i)
                 pieces.append(())
             else:
-                p = t.split(" ")
-                p[0] = " " + p[0]  # no other piece holds a space: marks what has none before it
-                pieces.append(p)
+                for c, pattern, put in self.marks:
+                    if c in t:
+                        t = pattern.sub(put, t)
+                pieces.append((MARK + t.replace("\n", f" {MARK}\n {MARK}")).split(" "))
         distinct = set().union(*pieces)
         missing = distinct.difference(memo)
         if len(memo) >= self.bound and 2 * len(missing) > len(distinct):
             memo.clear()  # the texts have changed their vocabulary
-            missing = distinct
+            self._start()
+            missing = distinct.difference(memo)
         new = list(missing.difference(spill))
         memo.update((w, spill[w]) for w in missing if w in spill)
         self._learn(new)
@@ -117,23 +134,25 @@ class TextEncoder:
         return out
 
     def _learn(self, pieces: list[str]) -> None:
-        """Encode pieces into the memo. A piece of letters, punctuation and single line breaks only is
-        put together from its runs, which the tokenizer separates too."""
-        memo, composed, alone = self.memo, [], set()
+        """Encode pieces into the memo. A word of Latin letters goes straight to the tokenizer's model; others are
+        encoded many in one call, where a line break between two pieces is a token of its own."""
+        memo, model, code, rest = self.memo, self.tok.model, "HI"[self.dtype.itemsize // 4], []
         for w in pieces:
-            if not w[1:].isalpha() and self.plain.fullmatch(w):
-                runs = self.runs.findall(w)
-                if len(runs) > 1:
-                    space = w[:1] == " "  # marked: no space before the first run
-                    keys = [" " + r for r in runs]
-                    if not space:
-                        keys[0] = runs[0]
-                    composed.append((w, keys))
-                    alone.update(keys)
-                    continue
-            alone.add(w)
-        todo = list(alone.difference(memo))
-        for a in range(0, len(todo), 10_000):
-            part = todo[a:a + 10_000]
-            memo.update(zip(part, self._whole([w[1:] if w[:1] == " " else " " + w for w in part])))
-        memo.update((w, b"".join([memo[k] for k in keys])) for w, keys in composed)
+            word = w[1:] if w[0] == MARK else w
+            if word.isalpha() and (word.isascii() or max(word) < "\u0250"):
+                if not word.isascii():
+                    word = word.encode().decode("latin-1").translate(BYTE_CHARS)
+                memo[w] = array(code, [t.id for t in model.tokenize(word if w[0] == MARK else SPACE + word)]).tobytes()
+            else:
+                rest.append(w)
+        for a in range(0, len(rest), 10_000):
+            part = rest[a:a + 10_000]
+            texts = [w[1:] if w[0] == MARK else " " + w for w in part]
+            ids = np.frombuffer(self._whole(["\n".join(texts)])[0], self.dtype)
+            ends = np.flatnonzero(ids == self.line[0])
+            if len(self.line) == 1 and len(ends) == len(part) - 1:
+                raw, size = ids.tobytes(), self.dtype.itemsize
+                lo, hi = [0, *((ends + 1) * size).tolist()], [*(ends * size).tolist(), len(raw)]
+                memo.update((w, raw[i:j]) for w, i, j in zip(part, lo, hi))
+            else:
+                memo.update(zip(part, self._whole(texts)))
