@@ -27,11 +27,15 @@ def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pick_page(hits: DataFrame) -> DataFrame:
     """Per surname the lowest-ranked hit whose first sentence passes F5.
-    ``min_by`` aggregates partially map-side, so a surname with very many hits is cheap."""
+    ``min_by`` aggregates partially map-side, so a surname with very many hits is cheap. ``html``
+    is kept when the hits carry it; hits of one rank are told apart by their title and page."""
+    page = [c for c in ("html",) if c in hits.columns]
+    kept = F.struct("rank", "title", *page)
     return (hits.where(is_politician("first_sentence"))
                 .groupBy("surname")
-                .agg(F.min_by(F.struct("rank", "title"), F.col("rank")).alias("hit"))
-                .select("surname", F.col("hit.rank").alias("page_rank"), F.col("hit.title").alias("title")))
+                .agg(F.min_by(kept, kept).alias("hit"))
+                .select("surname", F.col("hit.rank").alias("page_rank"), F.col("hit.title").alias("title"),
+                        *[F.col(f"hit.{c}").alias(c) for c in page]))
 
 
 def add_profiles(df: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -56,14 +60,23 @@ class _Node:
     def __init__(self, tag, classes=(), parent=None):
         self.tag, self.classes, self.children, self.parent = tag, set(classes), [], parent
 
+    def walk(self):
+        """Strings and elements below this one in document order (an explicit stack: pages may nest deeply)."""
+        stack = [iter(self.children)]
+        while stack:
+            c = next(stack[-1], None)
+            if c is None:
+                stack.pop()
+                continue
+            yield c
+            if not isinstance(c, str):
+                stack.append(iter(c.children))
+
     def text(self) -> str:
-        return "".join(c if isinstance(c, str) else c.text() for c in self.children)
+        return "".join(c for c in self.walk() if isinstance(c, str))
 
     def iter(self):
-        for c in self.children:
-            if not isinstance(c, str):
-                yield c
-                yield from c.iter()
+        return (c for c in self.walk() if not isinstance(c, str))
 
     def find(self, tag, cls=None):
         return next((n for n in self.iter() if n.tag == tag and (cls is None or cls in n.classes)), None)
@@ -170,5 +183,14 @@ def _extract_batches(it):
 
 def extract_profiles(pages: DataFrame) -> DataFrame:
     """(surname, html) -> one profile row per page. Arrow-batched Python over the pages'
-    partitions (an HTML tree is not expressible with SQL functions); no shuffle."""
-    return pages.select("surname", "html").mapInPandas(_extract_batches, PROFILE_SCHEMA)
+    partitions (an HTML tree is not expressible with SQL functions); no shuffle. The Python stage
+    sees markup only where the page mentions an infobox; other pages give nulls without being parsed."""
+    html = F.when(F.contains("html", F.lit("infobox")), F.col("html")).alias("html")
+    return pages.select("surname", html).mapInPandas(_extract_batches, PROFILE_SCHEMA)
+
+
+def profiles_of_pages(pages: DataFrame) -> DataFrame:
+    """J2 then X3: ``pages`` (surname, rank, title, first_sentence, html) -> one profile row per surname, read
+    from the page that J2 picks; only picked pages are parsed. A surname without a page that
+    passes F5 has no row (its profile columns become null in J1)."""
+    return extract_profiles(pick_page(pages))

@@ -67,13 +67,15 @@ def spans_col(findings: Column, top: Column, speech) -> Column:
     """P5+P6: per top type its sentences in order with ``start`` = first occurrence of the
     sentence in the speech (0-based, -1 when absent) and ``end`` exclusive."""
     sp = T.col_(speech)
+
+    def span(f):  # the search of the speech is bound: both ends use it
+        return T.let(F.call_function("locate", f["sentence"], sp) - 1, lambda at: F.struct(
+            f["chunk_no"].alias("chunk_no"), f["sent_no"].alias("sent_no"), at.alias("start"),
+            (at + F.length(f["sentence"])).alias("end")))
+
     return F.transform(top, lambda t: F.struct(
         t["type"].alias("type"), (-t["neg_n"]).alias("n"),
-        F.transform(F.filter(findings, lambda f: f["type"] == t["type"]), lambda f: F.struct(
-            f["chunk_no"].alias("chunk_no"), f["sent_no"].alias("sent_no"),
-            (F.call_function("locate", f["sentence"], sp) - 1).alias("start"),
-            (F.call_function("locate", f["sentence"], sp) - 1 + F.length(f["sentence"])).alias("end"),
-        )).alias("spans")))
+        F.transform(F.filter(findings, lambda f: f["type"] == t["type"]), span).alias("spans")))
 
 
 def report_cols(spans: Column) -> tuple[Column, Column]:

@@ -79,14 +79,21 @@ def syllables(word: Column) -> Column:
     return T.let(F.lower(word), count)
 
 
+_GROUP, _SILENT = "\u0001", "\u0002"
+
+
 def syllables_of(words: Column) -> Column:
-    """Per-word syllable counts, computed array-wise: one pass lower-cases every word and counts
-    its vowel groups, a second applies the silent-``e`` rule on those fields (no per-word
-    binding, so no per-word array allocations)."""
-    lv = F.transform(words, lambda x: T.let(F.lower(x), lambda lw: F.struct(
-        lw.alias("lw"), F.regexp_count(lw, F.lit(T.VOWELS)).alias("v"))))
-    return F.transform(lv, lambda s: F.greatest(F.lit(1), s["v"] - (
-        (s["v"] > 1) & _ends_consonant_then(s["lw"], "e") & ~_ends_consonant_then(s["lw"], "le")).cast("int")))
+    """``syllables`` of every word of an array, in passes over the words joined by spaces rather than per word:
+    a final ``e`` after a consonant (not ``-le``) gets a silent mark, each vowel group becomes one group mark, and all
+    other letters go; what is left of a word is its groups and perhaps the silent mark."""
+    text = F.lower(F.array_join(words, " "))
+    text = F.regexp_replace(text, r"(?<=[^aeiouy ])(?<![^aeiouy ]l)e(?= |\z)", "e" + _SILENT)
+    text = F.regexp_replace(text, T.VOWELS, _GROUP)
+    text = F.regexp_replace(text, f"[^ {_GROUP}{_SILENT}]+", "")
+
+    def count(m):
+        return F.when(m.endswith(_SILENT), F.greatest(F.lit(1), F.length(m) - 2)).otherwise(F.greatest(F.lit(1), F.length(m)))
+    return F.when(F.size(words) > 0, F.transform(F.split(text, " ", -1), count)).otherwise(F.array().cast("array<int>"))
 
 
 def counters_col(text: str = "speech") -> Column:
@@ -102,16 +109,8 @@ def counters_col(text: str = "speech") -> Column:
 
 
 def add_counters(df: DataFrame, text: str = "speech", out: str = "counters") -> DataFrame:
-    w = F.regexp_extract_all(F.col(text), F.lit(T.WORD), 0)
-    df = (df.withColumn("__w", w)
-            .withColumn("__syl", F.transform(F.col("__w"), syllables)))
-    return (df.withColumn(out, F.struct(
-                F.size("__w").cast("bigint").alias("words"),
-                F.greatest(F.lit(1), F.size(T.nonempty_sentences(F.col(text)))).cast("bigint").alias("sentences"),
-                _sum_int(F.col("__syl")).alias("syllables"),
-                F.length(F.array_join("__w", "")).cast("bigint").alias("characters"),
-                F.size(F.filter("__syl", lambda x: x >= 3)).cast("bigint").alias("polysyllables")))
-              .drop("__w", "__syl"))
+    """A3 as a column."""
+    return df.withColumn(out, counters_col(text))
 
 
 def _ordinal(n: Column) -> Column:

@@ -52,10 +52,11 @@ def q_drop_incomplete(spark, d):
 
 
 def q_exact_dedup(spark, d):
+    """F2 over the complete speeches and a copy of each under a higher id, so every group has copies to drop."""
     base = clean.drop_incomplete(speeches_raw(spark, d))
-    return base.groupBy("surname", "code", "speech").agg(
-        F.min("speech_id").alias("speech_id"), F.count(F.lit(1)).alias("copies")).select(
-        "speech_id", "surname", F.col("code").cast("bigint").alias("code"), "copies",
+    copies = base.withColumn("speech_id", F.col("speech_id") + F.lit(1 << 40))
+    return clean.drop_exact_duplicates(base.unionByName(copies)).select(
+        "speech_id", "surname", F.col("code").cast("bigint").alias("code"),
         F.length("speech").cast("bigint").alias("n_chars"))
 
 
@@ -280,9 +281,25 @@ def q_mean_pool(spark, d):
         "label", F.col("dim").cast("bigint").alias("dim"), _r(F.col("value")).alias("value"))
 
 
+def with_infobox(pages):
+    """The pages under an infobox made of their own ids: every third without a link in its birth place, every second
+    with a death row, every fifth without a party."""
+    n = F.col("page_id").cast("string")
+    born = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("Town "), n)).otherwise(
+        F.concat(F.lit('<a href="#">Town '), n, F.lit("</a>, Land")))
+    died = F.when(F.col("page_id") % 2 == 0, F.concat(
+        F.lit('<tr><th>Died</th><td><span>(day '), n, F.lit(')</span><br><a href="#">End '), n, F.lit("</a>, Land</td></tr>"))
+    ).otherwise(F.lit(""))
+    party = F.when(F.col("page_id") % 5 == 0, F.lit("")).otherwise(F.concat(
+        F.lit('<tr><th>Political party</th><td><a href="#">Party '), n, F.lit("</a></td></tr>")))
+    return F.concat(F.lit('<div class="nickname">Page '), n,
+                    F.lit('</div><table class="infobox vcard"><tr><th>Born</th><td><span class="bday">'), n, F.lit("</span><br>"),
+                    born, F.lit("</td></tr>"), died, party, F.lit("</table>"), F.col("html"))
+
+
 def q_extract_profiles(spark, d):
-    pages = table(spark, d, "pages").select(F.col("page_id").alias("surname"), "html")
-    return J.extract_profiles(pages.withColumn("surname", F.col("surname").cast("string")))
+    pages = table(spark, d, "pages")
+    return J.extract_profiles(pages.select(F.col("page_id").cast("string").alias("surname"), with_infobox(pages).alias("html")))
 
 
 def q_project_2d(spark, d):
@@ -300,9 +317,8 @@ def q_propaganda_report_model(spark, d):
     (code 1 = propaganda in the speech view) or by the lexicon."""
     from ..operators.models import fit_text_classifier
     from ..session import cut_lineage
-    sp = usable(spark, d)
-    train = cut_lineage(sp.select("speech", "code"))
-    model = fit_text_classifier(train, "speech", "code", num_features=1 << 16, max_iter=20)
+    sp = cut_lineage(usable(spark, d))  # training rows, search input and join side
+    model = fit_text_classifier(sp, "speech", "code", num_features=1 << 16, max_iter=20)
     out = P.propaganda_search_scored(sp, P.model_flag(model))
     return out.select("speech_id", "propaganda_type", "offsets")
 
@@ -346,7 +362,7 @@ def q_enrich_values(spark, d):
     """Z1, all 31 columns (readability numbers rounded to 6 places for the comparison)."""
     from .enrich import enrich_testdata
     from ..operators.responses import FIELDS
-    e = enrich_testdata(spark, d)
+    e = enrich_testdata(spark, d, tone_lexicon=PROBE_TONE)
     return e.select("speech_id", "surname", F.col("code").cast("bigint").alias("code"), "speech", "full_name",
                     "birthday", "birth_place", "death_day", "death_place", "party", *FIELDS,
                     "toxicity_text_count", "propaganda_type", "offsets", "sentiment", "emotion",

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.lexicons import TOXICITY
 from ..operators import clean, keywords as K, lexicon as L, propaganda as P, stats as S
-from ..operators.profiles import PROFILE_FIELDS, add_profiles, pick_page, search_hits
+from ..operators.profiles import PROFILE_FIELDS, add_profiles, pick_page, profiles_of_pages, search_hits
 from ..operators.responses import FIELDS as RESPONSE_FIELDS, add_responses, latest_responses, responses_from_documents
+from ..session import cut_lineage
 from ..sources.tables import speeches_raw
 
 # Output columns in write order, with the display names used by the CSV sink.
@@ -36,22 +37,31 @@ OUTPUT = [
 OUTPUT_COLUMNS = [c for c, _ in OUTPUT]
 
 
-def analyse(df: DataFrame, tone_lexicon=None) -> DataFrame:
+def analyse(df: DataFrame, tone_lexicon=None, propaganda=None) -> DataFrame:
     """Row-local analysis columns (phases 3 and 4 without the model scorers): one projection
-    computes each bundle once, a second one renders the output columns from the bundles."""
+    computes each bundle once, a second one renders the output columns from the bundles. With
+    ``propaganda`` (a flag function of ``operators.propaganda``) the search is gated by that
+    classifier or the lexicon (M4), which regroups findings per speech id."""
     tone = (L.tone(T.sql_terms("speech"), tone_lexicon)[1] if tone_lexicon is not None
             else F.lit(None).cast("string"))
+    if propaganda is not None:
+        base = df.columns
+        df = P.propaganda_search_scored(cut_lineage(df), propaganda).select(
+            *base, F.struct("propaganda_type", "offsets").alias("__prop"))
+        prop = F.col("__prop")
+    else:
+        prop = P.report_col("speech", "code").alias("__prop")
+    keep = [c for c in df.columns if c != "__prop"]
     bundles = df.select(
-        "*",
+        *keep,
         L.hits_text("lower(speech)", TOXICITY).alias("toxicity_text_count"),
-        P.report_col("speech", "code").alias("__prop"),
+        prop,
         S.persuasion_col("speech").alias("__pers"),
         K.term_weights_col("speech").alias("__tw"),
         S.narrative_col("speech").alias("__narr"),
         S.counters_col("speech").alias("__cnt"),
         tone.alias("tone"))
     read = S.readability("__cnt")
-    keep = [c for c in df.columns]
     return bundles.select(
         *keep, "toxicity_text_count",
         F.col("__prop.propaganda_type").alias("propaganda_type"), F.col("__prop.offsets").alias("offsets"),
@@ -64,11 +74,18 @@ def analyse(df: DataFrame, tone_lexicon=None) -> DataFrame:
 
 
 def enrich(speeches: DataFrame, profiles: DataFrame | None = None, responses: DataFrame | None = None,
-           sentiment=None, emotion=None, tone_lexicon=None, keep_id: bool = True) -> DataFrame:
+           sentiment=None, emotion=None, tone_lexicon=None, keep_id: bool = True,
+           pages: DataFrame | None = None, propaganda=None) -> DataFrame:
     """Z1. ``speeches``: (speech_id, surname, code, speech). ``profiles``: one row per surname
-    with the six profile fields. ``responses``: (speech, response, seq). ``sentiment`` /
-    ``emotion``: M1 scorers (see ``operators.models``). Missing inputs give null/N/A columns."""
+    with the six profile fields; or ``pages``: (surname, rank, title, first_sentence, html), from
+    which J2 and X3 make the profiles. ``responses``: (speech, response, seq). ``sentiment`` /
+    ``emotion``: M1 scorers (see ``operators.models``). ``propaganda``: a flag function
+    (``scorer_flag`` or ``model_flag``) that gates the propaganda search. Missing inputs give null/N/A columns."""
+    if profiles is not None and pages is not None:
+        raise ValueError("give profiles or pages, not both")
     df = clean.clean_speeches(speeches)
+    if pages is not None:
+        profiles = profiles_of_pages(pages)
     if profiles is not None:
         df = add_profiles(df, profiles.select("surname", *PROFILE_FIELDS))
     else:
@@ -79,7 +96,7 @@ def enrich(speeches: DataFrame, profiles: DataFrame | None = None, responses: Da
     else:
         for f in RESPONSE_FIELDS:
             df = df.withColumn(f, F.lit("N/A"))
-    df = analyse(df, tone_lexicon)
+    df = analyse(df, tone_lexicon, propaganda)
     if sentiment is not None:
         df = sentiment.add(df, "speech", "sentiment")
     else:

@@ -298,8 +298,8 @@ SELECT speech_id, CAST(sent_no AS BIGINT) AS sent_no, CAST(rank AS BIGINT) AS ra
 def enrich_values_sql():
     """All 31 enrichment columns (+ id), composed from the pieces above: profiles (J1/J2),
     responses (J3/X1/X2), toxicity text (L3), propaganda report (F6/P1-P7), persuasion text
-    (A9-A11), keyword text (K1-K3), narrative text (A1-A2), readability (A3-A8); sentiment,
-    emotion and tone are null without models."""
+    (A9-A11), keyword text (K1-K3), narrative text (A1-A2), readability (A3-A8), tone (L7) with the
+    probe lexicon; sentiment and emotion are null without models."""
     from ..functions.lexicons import RESPONSE_FIELDS
     lab = T.duck_label("type")
     fre, fk, fog, smog, cli, ari = _read_exprs()
@@ -357,7 +357,7 @@ SELECT u.speech_id, u.surname, CAST(u.code AS BIGINT) AS code, u.speech, p.title
     AS propaganda_type,
   CASE WHEN u.code = 1 THEN e.offsets_text END AS offsets,
   CAST(NULL AS VARCHAR) AS sentiment, CAST(NULL AS VARCHAR) AS emotion, x.persuasion_score, k.tf_idf,
-  nn.narrative_structure, CAST(NULL AS VARCHAR) AS tone,
+  nn.narrative_structure, tn.tone,
   CASE WHEN md.words > 0 THEN round(md.fre, 6) END AS flesch_reading_ease,
   CASE WHEN md.words > 0 THEN round(md.fk, 6) END AS flesch_kincaid_grade,
   CASE WHEN md.words > 0 THEN round(md.fog, 6) END AS gunning_fog,
@@ -365,7 +365,7 @@ SELECT u.speech_id, u.surname, CAST(u.code AS BIGINT) AS code, u.speech, p.title
   CASE WHEN md.words > 0 THEN {_ordinal('md.m - 1')} || ' and ' || {_ordinal('md.m')} || ' grade' END AS text_standard
 FROM usable u LEFT JOIN pick p USING (surname) JOIN rr r USING (speech_id) LEFT JOIN rep e USING (speech_id)
   JOIN md USING (speech_id) JOIN ptx x USING (speech_id) JOIN ktx k USING (speech_id)
-  LEFT JOIN nag nn USING (speech_id)"""
+  LEFT JOIN nag nn USING (speech_id) JOIN ({tone_sql('usable', 'speech_id', 'speech')}) tn USING (speech_id)"""
 
 
 # ---- joins, parsing --------------------------------------------------------------------------
@@ -431,7 +431,7 @@ def token_lexicon_counts_sql():
     return f"SELECT doc_id, {cols} FROM (SELECT doc_id, {tok} AS tok FROM documents)"
 
 
-def tone_sql():
+def tone_sql(table="documents", key="doc_id", text="text"):
     groups: dict[float, list[str]] = {}
     for w, v in PROBE_TONE:
         groups.setdefault(float(v), []).append(w)
@@ -439,8 +439,8 @@ def tone_sql():
     n = "0 + " + " + ".join(c for _, c in counts)
     s = "0.0 + " + " + ".join(f"{c} * CAST({v!r} AS DOUBLE)" for v, c in counts)
     subj = f"(CASE WHEN ({n}) > 0 THEN ({s}) / ({n}) ELSE 0.0 END)"
-    return (f"SELECT doc_id, round({subj}, 6) AS subjectivity, CASE WHEN {subj} < 0.5 THEN 'Formal' ELSE 'Informal' END "
-            f"AS tone FROM (SELECT doc_id, {T.duck_terms('text')} AS tok FROM documents)")
+    return (f"SELECT {key}, round({subj}, 6) AS subjectivity, CASE WHEN {subj} < 0.5 THEN 'Formal' ELSE 'Informal' END "
+            f"AS tone FROM (SELECT {key}, {T.duck_terms(text)} AS tok FROM {table})")
 
 
 # Each text is built when it is asked for, so a fault in one leaves the others usable.
@@ -448,7 +448,7 @@ ORACLE: dict[str, Callable[[], str]] = {
     "drop_incomplete": lambda: (f"{BASE} SELECT speech_id, surname, CAST(code AS BIGINT) AS code, "
                        "CAST(length(speech) AS BIGINT) AS n_chars FROM complete"),
     "exact_dedup": lambda: (f"{BASE} SELECT min(speech_id) AS speech_id, surname, CAST(code AS BIGINT) AS code, "
-                   "count(*) AS copies, CAST(length(speech) AS BIGINT) AS n_chars FROM complete GROUP BY surname, code, speech"),
+                   "CAST(length(speech) AS BIGINT) AS n_chars FROM complete GROUP BY surname, code, speech"),
     "remove_links": lambda: (f"SELECT doc_id, cleaned, CAST(length(cleaned) AS BIGINT) AS n_chars FROM (SELECT doc_id, "
                      + T.duck_remove_links("substring(text, 1, 120) || ' see http://example.org/a?b=1' || chr(160) || "
                                            "'tail www.example.com/x end ' || substring(text, 121)")
@@ -506,6 +506,14 @@ ORACLE: dict[str, Callable[[], str]] = {
     "corpus_keywords": corpus_keywords_sql,
     "summary_sentences": summary_sentences_sql,
     "enrich_values": enrich_values_sql,
+    "extract_profiles": lambda: (
+        "SELECT n AS surname, " + ", ".join(f"CASE WHEN html IS NOT NULL THEN {v} END AS {c}" for c, v in [
+            ("full_name", "'Page ' || n"), ("birthday", "n"),
+            ("birth_place", "CASE WHEN page_id % 3 = 0 THEN 'Town ' || n ELSE 'Town ' || n || ', Land' END"),
+            ("death_day", "CASE WHEN page_id % 2 = 0 THEN 'day ' || n END"),
+            ("death_place", "CASE WHEN page_id % 2 = 0 THEN 'End ' || n || ', Land' END"),
+            ("party", "CASE WHEN page_id % 5 = 0 THEN 'N/A' ELSE 'Party ' || n END")])
+        + " FROM (SELECT page_id, CAST(page_id AS VARCHAR) AS n, html FROM pages)"),
     "mean_pool": lambda: ("SELECT label, CAST(i - 1 AS BIGINT) AS dim, round(avg(v), 6) AS value FROM ("
                   "SELECT CAST(label AS BIGINT) AS label, unnest(embedding) AS v, unnest(range(1, len(embedding) + 1)) AS i "
                   "FROM embeddings) GROUP BY label, i"),

@@ -14,13 +14,16 @@ def _na(c: str) -> F.Column:
     return F.when(F.col(c).isin(*NA_TOKENS), F.lit(None)).otherwise(F.col(c))
 
 
-def read_speeches(spark: SparkSession, path: str, quote: str | None = '"') -> DataFrame:
+def read_speeches(spark: SparkSession, path: str, quote: str | None = '"', multi_line: bool = True) -> DataFrame:
     """Headerless tab-separated (surname, code, speech). NA tokens -> null; code parsed as
     a number per row (``1.0`` counts as 1, text rows are dropped later by F4, not the whole file);
     extra fields are ignored; quoted fields may span lines. ``speech_id`` follows file order
-    within each file (deterministic; used as "first" by the duplicate removal)."""
+    within each file (deterministic; used as "first" by the duplicate removal).
+
+    ``multi_line`` (default) reads line breaks inside quoted fields and makes one task per file.
+    For large files without such breaks give False: Spark then splits a file over many tasks."""
     reader = (spark.read.schema("surname string, code string, speech string")
-              .option("sep", "\t").option("header", "false").option("multiLine", "true")
+              .option("sep", "\t").option("header", "false").option("multiLine", str(multi_line).lower())
               .option("mode", "PERMISSIVE").option("emptyValue", "").option("nullValue", "\u0000"))
     reader = reader.option("quote", quote).option("escape", quote) if quote else reader.option("quote", "\u0000")
     df = reader.csv(path)

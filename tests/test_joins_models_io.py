@@ -47,6 +47,70 @@ def test_profile_extraction(spark):  # X3 fixture and variants
     assert out["rossi"].party == "Example Party" and out["none"].full_name is None
 
 
+def test_deep_page_gives_values(spark):  # X3: unclosed tags nest thousands deep
+    deep = "<p>" * 5000 + "x"
+    assert J.parse_profile(PAGE + deep)[0] == "Ada Example Rossi"
+    assert J.parse_profile(deep + PAGE)[5] == "Example Party"
+    assert J.parse_profile(PAGE.replace("Salerno</a>", "Salerno" + deep))[1] == "1901-02-03"
+
+
+def _speeches(spark):
+    text = "They are corrupt and they lie to you. " * 10
+    return spark.createDataFrame([(1, "rossi", 1, text), (2, "bianchi", 0, text + "Calm words."), (3, "verdi", 1, text + "End.")],
+                                 "speech_id long, surname string, code int, speech string")
+
+
+def test_pages_to_enrichment(spark, tmp_path):  # S3, S4 readers; J2 -> X3 -> J1 inside Z1
+    from oratio.plans.enrich import enrich
+    from oratio.sources.files import read_pages, read_responses, write_parquet
+
+    who = "Ada Rossi is a politician."
+    pages = spark.createDataFrame(
+        [("rossi", 0, "a river", "A river.", PAGE.replace("Ada", "Not")), ("rossi", 1, "Ada", who, PAGE),
+         ("rossi", 2, "Other", who, PAGE.replace("Ada", "Later")), ("bianchi", 1, "B", who, "<p>no box</p>"), ("bianchi", 1, "B", who, None)],
+        "surname string, rank long, title string, first_sentence string, html string")
+    write_parquet(pages, str(tmp_path / "pages"))
+    speeches = _speeches(spark)
+    answers = speeches.select("speech", F.lit("2020-01-01$Rome").alias("response"), F.col("speech_id").alias("seq"))
+    write_parquet(answers, str(tmp_path / "answers"))
+    out = enrich(speeches, pages=read_pages(spark, str(tmp_path / "pages")),
+                 responses=read_responses(spark, str(tmp_path / "answers")))
+    rows = {r.surname: r for r in out.collect()}
+    assert rows["rossi"].full_name == "Ada Example Rossi" and rows["rossi"].death_place == "Naples, Italy"
+    assert rows["bianchi"].full_name is None and rows["verdi"].full_name is None
+    assert {r.speech_location for r in rows.values()} == {"Rome"}
+
+
+def test_models_in_enrichment(spark):  # M2, M3, M4, L7 inside Z1
+    from oratio.operators import propaganda as P
+    from oratio.plans.enrich import OUTPUT_COLUMNS, enrich
+
+    def fixed(i, n):
+        return lambda: (lambda texts: np.eye(n)[[i] * len(texts)])
+
+    gate = M.Scorer(lambda: (lambda texts: np.array([[0.0, 1.0] if "End." in t else [1.0, 0.0] for t in texts])),
+                    ["not", "propaganda"])
+    out = enrich(_speeches(spark), sentiment=M.sentiment_scorer(fixed(0, 3)), emotion=M.emotion_scorer(fixed(1, len(M.EMOTION_LABELS))),
+                 tone_lexicon=[("corrupt", 1.0)], propaganda=P.scorer_flag(gate))
+    rows = {r.surname: r for r in out.collect()}
+    assert out.columns == ["speech_id"] + OUTPUT_COLUMNS and len(rows) == 3
+    assert {r.tone for r in rows.values()} == {"Informal"}
+    assert {r.sentiment for r in rows.values()} == {M.SENTIMENT_LABELS[0].capitalize()}
+    assert {r.emotion for r in rows.values()} == {M.EMOTION_LABELS[1].capitalize()}
+    assert rows["bianchi"].propaganda_type == "Not propaganda"
+    assert "Unspecified" in rows["verdi"].propaganda_type and "Unspecified" not in rows["rossi"].propaganda_type
+
+
+def test_read_speeches_splittable(spark, tmp_path):  # S1 without line breaks in fields
+    from oratio.sources.files import read_speeches
+
+    p = tmp_path / "speech-c.tsv"
+    p.write_text('Rossi\t1\tA speech\nBianchi\t0\t"two\twords"\n')
+    for multi in (True, False):
+        rows = read_speeches(spark, str(p), multi_line=multi).orderBy("speech_id").collect()
+        assert [(r.surname, r.code, r.speech) for r in rows] == [("Rossi", 1, "A speech"), ("Bianchi", 0, "two\twords")]
+
+
 def test_first_tag_text(spark):  # X4
     df = spark.createDataFrame([("<html><title>Hello</title></html>",), ("<p>x</p>",)], "h string")
     assert [r[0] for r in df.select(J.first_tag_text(F.col("h"), "title")).collect()] == ["Hello", ""]

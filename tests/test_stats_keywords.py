@@ -54,6 +54,14 @@ def test_syllable_rule(spark):
     assert got == [2, 2, 1, 1, 1, 2, 1, 1, 1]
 
 
+def test_syllables_of_array_equal_single_words(spark):
+    words = ["apple", "table", "make", "the", "rhythm", "area", "lee", "stone", "123", "ée", "aile", "le", "e", "ale", "Été",
+             "LE", "beautiful", "ye", "be", "naïve", "ΣΑΣ", "x2e"]
+    df = spark.createDataFrame([(words,), ([],)], "w array<string>")
+    rows = df.select(S.syllables_of(F.col("w")).alias("a"), F.transform("w", S.syllables).alias("b")).collect()
+    assert rows[0].a == rows[0].b and rows[1].a == []
+
+
 def test_keywords_fixture(spark):  # c24
     w = K.add_term_weights(df1(spark, "apple apple banana"))
     r = w.select(K.keyword_text("term_weights")).first()[0]
