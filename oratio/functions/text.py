@@ -189,7 +189,7 @@ def python_fixed_sql(x: str, n: int = 3) -> str:
                            "ELSE e0 END", "e",
                            f"CASE WHEN e >= 52 THEN format_string('%.{n}f', v) ELSE {exact} END"))
     guarded = (f"CASE WHEN isnan(v) THEN 'nan' WHEN a = double('inf') THEN CASE WHEN v < 0 THEN '-inf' ELSE 'inf' END "
-               f"WHEN a < 1e-10 THEN concat(CASE WHEN v < 0 THEN '-' ELSE '' END, '{zero}') ELSE {body} END")
+               f"WHEN a < 1e-10 THEN concat(CASE WHEN startswith(CAST(v AS STRING), '-') THEN '-' ELSE '' END, '{zero}') ELSE {body} END")
     return sql_let(f"CAST({x} AS DOUBLE)", "v", sql_let("abs(v)", "a", guarded))
 
 
