@@ -8,7 +8,10 @@ Rounds end when few edges change.
 
 Search. A query enters at members of its leaves and walks: the best unexpanded nodes of its beam are expanded
 through the graph (forward and sampled backward edges), new nodes are measured, until the whole beam is
-expanded. Results are measured again on the original vectors in double precision.
+expanded. Each run measures its own recall: a hashed sample of the queries is compared with all vectors, and
+while their walks found less than ``TARGET`` of the nearest, the beam is doubled and all walks go on from
+where they stand; a beam as large as the table that still misses the target is an error.
+Results are measured again on the original vectors in double precision.
 
 Scale: a row that moves is (id, vector) for a bounded number of partners per vector; leaves beyond
 ``LEAF_MOST`` members are split by hash, and pointers from hubs are sampled by a rank limit (both only steer the
@@ -22,6 +25,7 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import logging
 import math
 
 import numpy as np
@@ -29,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage
+from .common import cut_lineage, release
 
 DEGREE = 24
 REVERSE = 24
@@ -38,9 +42,10 @@ LEAF = 128
 LEAF_MOST = 512
 ROUNDS = 8
 SETTLED = 0.01
-BEAM = 288
-EXPAND = 48
-HOPS = 16
+BEAM = 288  # at first; doubled while the measured recall is below TARGET
+EXPAND = 6  # a hop expands this part of the beam
+SAMPLE = 128  # queries whose recall is measured in each run
+TARGET = 0.95  # the required recall is 0.9; the sample's error lies well within the difference
 ENTRIES = 8
 SEED = 11
 
@@ -205,9 +210,46 @@ def build_graph(vectors: DataFrame, codes: DataFrame, n: int, degree: int = DEGR
     return graph
 
 
+def reach_of(sample: list, vectors: DataFrame, k: int) -> list:
+    """(qid, reach, k) for each of the ``sample`` rows (qid, qv): the distance of the k-th nearest other vector by
+    comparison with all of them, and how many there are up to k. Each task keeps ``k`` distances a sampled query."""
+    ids = [r.qid for r in sample]
+    q = np.stack([np.frombuffer(bytes(r.qv), "<f4") for r in sample])
+
+    def run(batches):
+        best = [np.empty(0, np.float32)] * len(ids)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x, node = _matrix(b.column("v")), b.column("id").to_numpy()
+            for s, one in enumerate(ids):
+                d = np.concatenate([best[s], ((x - q[s]) ** 2).sum(axis=1)[node != one]])
+                best[s] = np.partition(d, k - 1)[:k] if len(d) > k else d
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(ids, np.int64), [len(d) for d in best])),
+                                          pa.array(np.concatenate(best).astype(np.float32))], names=["qid", "d"])
+
+    w = Window.partitionBy("qid").orderBy("d")
+    near = vectors.select("id", "v").mapInArrow(run, "qid long, d float")
+    return (near.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k)
+            .groupBy("qid").agg(F.max("d").alias("reach"), F.count(F.lit(1)).alias("k")).collect())
+
+
+def recall_of(beams: DataFrame, reach: list) -> float:
+    """Share of the true neighbours in the beams of the queries in ``reach`` (at equal distance any node counts)."""
+    total = sum(r.k for r in reach)
+    if not total:
+        return 1.0
+    known = beams.sparkSession.createDataFrame([(r.qid, r.reach, r.k) for r in reach], "qid long, reach float, k long")
+    hits = (beams.where("qid <> node").join(F.broadcast(known), "qid").where("d <= reach * 1.000001D")
+            .groupBy("qid").agg(F.least(F.count(F.lit(1)), F.max("k")).alias("hits")).agg(F.sum("hits")).first()[0])
+    return (hits or 0) / total
+
+
 def search(queries: DataFrame, vectors: DataFrame, codes: DataFrame, query_codes: DataFrame, graph: DataFrame, k: int,
-           beam: int = BEAM, expand: int = EXPAND, hops: int = HOPS) -> DataFrame:
-    """(qid, node, d): the ``beam`` best nodes each query's walk has met. ``queries``: (qid, qv)."""
+           beam: int = BEAM, sample: int = SAMPLE, target: float = TARGET) -> DataFrame:
+    """(qid, node, d): the best nodes each query's walk has met, as many as the beam had at the end. ``queries``:
+    (qid, qv), rows of ``vectors`` (a walk also enters at its own node). ``beam`` is doubled until the ``sample``
+    queries find ``target`` of their ``k`` nearest."""
     links = cut_lineage(graph.select("id", "nbr").unionAll(_sampled_reverse(graph, REVERSE, -1)).distinct())
     nodes = vectors.select(F.col("id").alias("node"), "v")
 
@@ -226,22 +268,37 @@ def search(queries: DataFrame, vectors: DataFrame, codes: DataFrame, query_codes
     doors = codes.withColumn("r", F.row_number().over(leaf)).where(F.col("r") <= ENTRIES).select("tree", "code", F.col("id").alias("node"))
     some = nodes.orderBy(F.xxhash64("node")).limit(ENTRIES).select("node", F.lit(0).alias("j"))  # for leaves without members
     start = (query_codes.withColumnRenamed("id", "qid").join(doors, ["tree", "code"]).select("qid", "node")
+             .unionAll(queries.select("qid", F.col("qid").alias("node")))
              .unionAll(queries.select("qid", F.lit(0).alias("j")).join(some, "j").select("qid", "node"))).distinct()
     met = cut_lineage(measured(start).withColumn("done", F.lit(False)))
-    for _ in range(hops):
-        w = Window.partitionBy("qid").orderBy("d", "node")
-        top = met.withColumn("r", F.row_number().over(w)).where(F.col("r") <= beam)
-        todo = (top.where("NOT done").withColumn("r", F.row_number().over(w)).where(F.col("r") <= expand).select("qid", "node"))
-        todo = cut_lineage(todo)
-        if not todo.head(1):
-            break
-        cand = (todo.join(links, todo["node"] == links["id"]).select("qid", F.col("nbr").alias("node")).distinct()
-                .join(met.select("qid", "node"), ["qid", "node"], "left_anti"))
-        marked = met.join(todo.withColumn("now", F.lit(True)), ["qid", "node"], "left").select(
-            "qid", "node", "d", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done"))
-        met = cut_lineage(marked.unionByName(measured(cand).withColumn("done", F.lit(False))))
     w = Window.partitionBy("qid").orderBy("d", "node")
-    return met.withColumn("r", F.row_number().over(w)).where(F.col("r") <= beam).drop("r", "done")
+
+    def beams():
+        return met.withColumn("r", F.row_number().over(w)).where(F.col("r") <= beam)
+
+    tried = queries.orderBy(F.xxhash64("qid", F.lit(SEED))).limit(sample).collect()
+    reach = reach_of(tried, vectors, k) if tried else []
+    n = vectors.count()
+    while True:
+        while True:  # ends: each hop expands nodes that no hop before it has expanded
+            todo = cut_lineage(beams().where("NOT done").withColumn("r", F.row_number().over(w))
+                               .where(F.col("r") <= max(1, beam // EXPAND)).select("qid", "node"))
+            if not todo.head(1):
+                break
+            cand = (todo.join(links, todo["node"] == links["id"]).select("qid", F.col("nbr").alias("node")).distinct()
+                    .join(met.select("qid", "node"), ["qid", "node"], "left_anti"))
+            marked = met.join(todo.withColumn("now", F.lit(True)), ["qid", "node"], "left").select(
+                "qid", "node", "d", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done"))
+            before, met = met, cut_lineage(marked.unionByName(measured(cand).withColumn("done", F.lit(False))))
+            release(before)
+            release(todo)
+        found = recall_of(beams(), reach)
+        logging.getLogger(__name__).info("recall at %d: %.3f on %d queries against %d vectors, beam %d", k, found, len(tried), n, beam)
+        if found >= target:
+            return beams().drop("r", "done")
+        if beam >= n:
+            raise RuntimeError(f"the walks find {found:.3f} of the {k} nearest with a beam of all {n} vectors, {target} is required")
+        beam *= 2
 
 
 def nearest(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vector: str = "embedding", degree: int = DEGREE,
