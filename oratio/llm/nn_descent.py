@@ -13,6 +13,9 @@ while their walks found less than ``TARGET`` of the nearest, the beam is doubled
 where they stand; a beam as large as the table that still misses the target is an error.
 Results are measured again on the original vectors in double precision.
 
+Equal vectors are one node, the least id of them. The walks are made once for each distinct query vector; at the end a node
+stands for its members with the smallest ids, as many as a result can hold.
+
 Scale: a row that moves is (id, vector) for a bounded number of partners per vector; leaves beyond
 ``LEAF_MOST`` members are split by hash, and pointers from hubs are sampled by a rank limit (both only steer the
 graph, every vector is a node of it). Edges, beams and proposals are tables; nothing grows on the driver.
@@ -137,7 +140,7 @@ def _edges(rows):
 
 def _leaf_edges(codes: DataFrame, vectors: DataFrame, degree: int) -> DataFrame:
     count = codes.groupBy("tree", "code").agg(F.ceil(F.count(F.lit(1)) / F.lit(LEAF_MOST)).alias("parts"))
-    members = (codes.join(count, ["tree", "code"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    members = (codes.join(count, ["tree", "code"]).withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
                .join(vectors.select("id", "v"), "id"))
     dealt = members.repartition("tree", "code", "part").sortWithinPartitions("tree", "code", "part", "id")
 
@@ -264,7 +267,7 @@ def search(queries: DataFrame, vectors: DataFrame, codes: DataFrame, query_codes
         rows = cand.join(nodes, "node").join(queries, "qid").select("qid", "node", "v", "qv")
         return rows.mapInArrow(run, "qid long, node long, d float")
 
-    leaf = Window.partitionBy("tree", "code").orderBy(F.xxhash64("id"))
+    leaf = Window.partitionBy("tree", "code").orderBy(F.xxhash64("id", "tree"))
     doors = codes.withColumn("r", F.row_number().over(leaf)).where(F.col("r") <= ENTRIES).select("tree", "code", F.col("id").alias("node"))
     some = nodes.orderBy(F.xxhash64("node")).limit(ENTRIES).select("node", F.lit(0).alias("j"))  # for leaves without members
     start = (query_codes.withColumnRenamed("id", "qid").join(doors, ["tree", "code"]).select("qid", "node")
@@ -306,15 +309,29 @@ def nearest(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vector
     """For each row that ``is_query`` (a condition on ``id``): its ``k`` nearest other rows by Euclidean distance, as
     (query_id, rank, id_col, score)."""
     base = cut_lineage(usable_vectors(df, id_col, vector))
-    n = base.count()
-    codes = cut_lineage(leaf_codes(base, n, TREES, LEAF))
-    graph = build_graph(base, codes, n, degree, rounds)
-    chosen = base.where(is_query)
-    queries = cut_lineage(chosen.select(F.col("id").alias("qid"), F.col("v").alias("qv")))
-    walked = search(queries, base, codes, codes.where(is_query), graph, k, beam)
-    exact = (walked.where("qid <> node").join(base.select(F.col("id").alias("node"), F.col("exact").alias("x")), "node")
+    same = Window.partitionBy("exact")
+    members = cut_lineage(base.withColumn("r", F.row_number().over(same.orderBy("id"))).where(F.col("r") <= k + 1)
+                          .withColumn("node", F.min("id").over(same)))
+    nodes = members.where("r = 1").select("id", "exact", "v")
+    n = nodes.count()
+    codes = cut_lineage(leaf_codes(nodes, n, TREES, LEAF))
+    graph = build_graph(nodes, codes, n, degree, rounds)
+    asked = cut_lineage(base.where(is_query).select(F.col("id").alias("query_id"), "exact")
+                        .join(nodes.select(F.col("id").alias("qid"), "exact"), "exact").select("query_id", "qid"))
+    walkers = asked.select("qid").distinct()
+    chosen = cut_lineage(nodes.join(walkers, nodes["id"] == walkers["qid"], "left_semi"))
+    queries = chosen.select(F.col("id").alias("qid"), F.col("v").alias("qv"))
+    walked = search(queries, nodes, codes, codes.join(chosen.select("id"), "id", "left_semi"), graph, k, beam)
+    exact = (walked.join(nodes.select(F.col("id").alias("node"), F.col("exact").alias("x")), "node")
              .join(chosen.select(F.col("id").alias("qid"), F.col("exact").alias("q")), "qid")
              .withColumn("score", F.sqrt(F.expr("aggregate(zip_with(x, q, (a, b) -> (a - b) * (a - b)), 0D, (s, e) -> s + e)"))))
-    w = Window.partitionBy("qid").orderBy("score", "node")
-    return (exact.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select(F.col("qid").alias("query_id"), "rank", F.col("node").alias(id_col), "score"))
+
+    def least(rows: DataFrame, key: str, node: str, most: int) -> DataFrame:
+        w = Window.partitionBy(key).orderBy("score", node)
+        return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most)
+
+    # one more than k, as the query itself is among them
+    near = least(exact.select("qid", "node", "score"), "qid", "node", k + 1).drop("rank")
+    near = least(near.join(members.select("node", "id"), "node").select("qid", "id", "score"), "qid", "id", k + 1).drop("rank")
+    found = asked.join(near, "qid").where(F.col("query_id") != F.col("id"))
+    return least(found, "query_id", "id", k).select("query_id", "rank", F.col("id").alias(id_col), "score")

@@ -30,3 +30,17 @@ def test_unreachable_neighbours_are_an_error(spark):
     queries = vectors.where("id % 40 = 0").select(F.col("id").alias("qid"), F.col("v").alias("qv"))
     with pytest.raises(RuntimeError, match="nearest"):
         nn_descent.search(queries, vectors, codes, codes.where("id % 40 = 0"), graph, 10)
+
+
+def test_queries_in_a_large_group_get_the_smallest_ids(spark):
+    x = np.random.default_rng(7).standard_normal((5000, 16)).astype(np.float32).astype(np.float64)
+    x[1000:4000] = x[1000]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(6)
+    got = {}
+    for r in nn_descent.nearest(df, F.expr("id % 200 = 0")).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert set(got) == set(range(0, 5000, 200))
+    for q in range(1000, 4000, 200):
+        assert got[q] == nearest_ids(x, q, 10)
+    hits = sum(len(set(got[q]) & set(nearest_ids(x, q, 10))) for q in got)
+    assert hits >= 0.95 * 10 * len(got)
