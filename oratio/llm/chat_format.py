@@ -50,8 +50,7 @@ def unescape(text: str) -> str:
 
 
 def _encoder(path: str):
-    tok = load_tokenizer(path)
-    tok.encode_special_tokens = True  # a special string in a text is ordinary text
+    tok = load_tokenizer(path, plain=True)  # a special string in a text is ordinary text
     return tok, tok.get_vocab_size()
 
 

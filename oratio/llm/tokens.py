@@ -32,16 +32,21 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def load_tokenizer(path: str):
+def load_tokenizer(path: str, plain: bool = False):
+    """The worker's tokenizer of ``path``. ``plain``: another object that encodes special strings of a text as ordinary text;
+    neither is to be changed by its users."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives each task one core
     from tokenizers import Tokenizer
 
     held = worker_cache("tokenizers")
-    if path not in held:
-        held[path] = Tokenizer.from_file(path)
-    return held[path]
+    if (path, plain) not in held:
+        tok = Tokenizer.from_file(path)
+        if plain:
+            tok.encode_special_tokens = True
+        held[path, plain] = tok
+    return held[path, plain]
 
 
 class TextEncoder:

@@ -114,3 +114,15 @@ def test_bm25_prefers_the_lexical_neighbour():
     assert s[0] > s[1] > s[2] == 0
     done, left = packing.pack_shard([[0, 0, a, 4], [1, 0, c, 4], [2, 0, b, 4]], 8, stats, [])
     assert [p[0] for p in done[0]] == [0, 2] and [p[0] for p in left] == [1]
+
+
+def test_chat_formatting_leaves_the_shared_tokenizer_alone():
+    from oratio.llm import chat_format
+
+    text = "<|endoftext|> in text"
+    before = encode(text)
+    tok, _ = chat_format._encoder(default_path())
+    assert tok.encode(text, add_special_tokens=False).ids != before
+    assert encode(text) == before and len(before) == 3
+    enc = TextEncoder(default_path())
+    assert np.frombuffer(enc([text])[0], enc.dtype).tolist() == before
