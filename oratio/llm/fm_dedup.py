@@ -64,7 +64,7 @@ def anchors(words: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram:
         g = _mix(g + words[j:n - gram + 1 + j] + np.uint64(0x9E3779B97F4A7C15 + 2 * j))
     span = window - gram + 1
     m = len(g) - span + 1
-    least, at = g[:m].copy(), np.zeros(m, dtype=np.int8)
+    least, at = g[:m].copy(), np.zeros(m, dtype=np.int8 if span <= 128 else np.int32)
     for j in range(1, span):  # the leftmost least gram of each window
         c = g[j:j + m]
         less = c < least
@@ -108,9 +108,16 @@ def words_hash_sql(text: str) -> str:
     return f"transform(array_remove(split(coalesce({text}, ''), '{SQL_GAP}'), ''), w -> xxhash64(w))"
 
 
-# Place of a run in its row: 30 bits of a text hash (rows of one id may differ), 29 of the first window, 4 of the length.
-def _pack(th, a, n):
-    return th << 33 | a << 4 | n
+def length_bits(window: int) -> int:
+    """Bits that hold a run's length, window - GRAM at most."""
+    return max(4, (window - GRAM).bit_length())
+
+
+# Place of a run in its row: 30 bits of a text hash (rows of one id may differ), 33 of the first window and the length.
+def _pack(th, a, n, bits):
+    if len(a) and (int(a.max()) >> (33 - bits) or int(n.max()) >> bits):
+        raise ValueError(f"a place beyond {33 - bits} bits of a document's words or {bits} bits of a run")
+    return th << 33 | a << bits | n
 
 
 # ---- FM-index -------------------------------------------------------------------------------
@@ -238,7 +245,7 @@ def _anchor_rows(docs: DataFrame, window: int) -> DataFrame:
             if len(d):
                 ids = b.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
                 th = b.column("th").to_numpy(zero_copy_only=False).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(ids[d]), pa.array(_pack(th[d], a, z - a))],
+                yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(ids[d]), pa.array(_pack(th[d], a, z - a, length_bits(window)))],
                                                  names=["gram", "id", "place"])
 
     return docs.mapInArrow(run, "gram long, id long, place long")
@@ -252,9 +259,9 @@ def _structs(column, names):
     return [items.field(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in names], row
 
 
-def _place(place):
+def _place(place, bits):
     """(text hash, first window, windows - 1) of packed places."""
-    return place >> 33, place >> 4 & ((1 << 29) - 1), place & 15
+    return place >> 33, place >> bits & ((1 << 33 - bits) - 1), place & ((1 << bits) - 1)
 
 
 def _content_hash(values, starts, lengths):
@@ -272,7 +279,7 @@ def _member_rows(joined: DataFrame, window: int) -> DataFrame:
         for b in _bounded(batches):
             values, off = _flat(b.column("w"))
             (gram, place, split), row = _structs(b.column("places"), ("gram", "place", "split"))
-            th, a, n = _place(place)
+            th, a, n = _place(place, length_bits(window))
             ok = th == b.column("th").to_numpy(zero_copy_only=False).astype(np.int64)[row]  # rows of one id may differ
             gram, split, row, th, a, n = (x[ok] for x in (gram, split, row, th, a, n))
             times = np.where(split > 1, n + 1, 1)
@@ -286,7 +293,7 @@ def _member_rows(joined: DataFrame, window: int) -> DataFrame:
             salt = np.where(hot, (h % np.maximum(split, 1).astype(np.uint64)).astype(np.int64), 0)
             ids = b.column("id").to_numpy(zero_copy_only=False).astype(np.int64)[row]
             yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(salt.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(ids),
-                                              pa.array(_pack(th, a, n))], names=["gram", "salt", "chash", "id", "place"])
+                                              pa.array(_pack(th, a, n, length_bits(window)))], names=["gram", "salt", "chash", "id", "place"])
 
     return joined.mapInArrow(run, "gram long, salt int, chash long, id long, place long")
 
@@ -299,7 +306,7 @@ def _content_rows(joined: DataFrame, window: int) -> DataFrame:
         for b in _bounded(batches):
             values, off = _flat(b.column("w"))
             (gram, salt, chash, place, count), row = _structs(b.column("reps"), names)
-            th, a, n = _place(place)
+            th, a, n = _place(place, length_bits(window))
             ok = th == b.column("th").to_numpy(zero_copy_only=False).astype(np.int64)[row]
             gram, salt, chash, count, row, a, n = (x[ok] for x in (gram, salt, chash, count, row, a, n))
             lengths = n + window
@@ -362,6 +369,7 @@ def _first_rows(dealt: DataFrame, window: int) -> DataFrame:
 def repeated_windows(df: DataFrame, id_col: str, text: str, window: int = WINDOW, hot: int = HOT, shard: int = SHARD) -> DataFrame:
     """(id, th, starts): for each document the starts of windows that also start under a smaller id. Each
     step is written before the next; what no later step reads is deleted, so disk holds two steps."""
+    bits = length_bits(window)
     quoted, qid = "`" + text.replace("`", "``") + "`", F.col(id_col).cast("long")
     docs = (df.where(F.col(id_col).isNotNull()).select(
         qid.alias("id"), F.expr(f"xxhash64({quoted}) & 1073741823L").alias("th"), F.col(text).alias("t")))
@@ -377,7 +385,7 @@ def repeated_windows(df: DataFrame, id_col: str, text: str, window: int = WINDOW
     unique = members.groupBy("gram", "salt", "chash").agg(F.min(F.struct("id", "place")).alias("r"), F.count(F.lit(1)).alias("n"))
     reps = cut_lineage(unique.groupBy(F.col("r.id").alias("id")).agg(
         F.collect_list(F.struct("gram", "salt", "chash", "r.place", "n")).alias("reps")))
-    words = reps.agg(F.sum(F.expr(f"aggregate(reps, 0L, (a, x) -> a + (x.place & 15) + {window})"))).first()[0] or 0
+    words = reps.agg(F.sum(F.expr(f"aggregate(reps, 0L, (a, x) -> a + (x.place & {(1 << bits) - 1}) + {window})"))).first()[0] or 0
     shards = max(1, -(-words // shard))
     contents = _content_rows(docs.join(reps, "id").select(*hashed, "reps"), window)
     dealt = (contents.withColumn("shard", F.pmod(F.xxhash64("gram", "salt"), F.lit(shards)).cast("long"))
@@ -386,7 +394,7 @@ def repeated_windows(df: DataFrame, id_col: str, text: str, window: int = WINDOW
     release(reps)
     late = members.join(firsts, ["gram", "salt", "chash"]).select(
         "id", F.expr("place >> 33").alias("th"), F.expr(
-            "filter(transform(firsts, (f, i) -> CASE WHEN f < id THEN CAST((place >> 4) & 536870911 AS INT) + i END), x -> x IS NOT NULL)"
+            f"filter(transform(firsts, (f, i) -> CASE WHEN f < id THEN CAST((place >> {bits}) & {(1 << 33 - bits) - 1} AS INT) + i END), x -> x IS NOT NULL)"
         ).alias("s")).where("size(s) > 0")
     starts = cut_lineage(late.groupBy("id", "th").agg(F.flatten(F.collect_list("s")).alias("starts")))
     release(members)

@@ -89,3 +89,15 @@ def test_batches_are_treated_in_bounded_slices():
     assert [r for b in got for r in b] == rows + rows[2:5]
     assert all(len(b) == 1 or sum(map(len, b)) <= 9 for b in got)
     assert [len(b) for b in got] == [2, 1, 3, 1, 1, 2]
+
+
+@pytest.mark.parametrize("window,hot", [(50, 20_000), (50, 5), (21, 20_000)])
+def test_wide_windows(spark, window, hot):
+    rnd = random.Random(3)
+    prose = [f"w{rnd.randint(0, 5000)}" for _ in range(400)]
+    rows = [(i, " ".join([f"a{i}"] * i + prose[7 * i:7 * i + 120] + [f"z{i}"] * 5)) for i in range(30)] + corpus()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute(rows, window)
+    assert sum(v[1] for v in want.values()) > 1000
+    for r in fm_dedup.remove_repeats(df, window=window, hot=hot).collect():
+        assert (r.n_words, r.n_removed, r.kept_text) == want[r.doc_id, r.text]
