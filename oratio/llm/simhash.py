@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut_lineage, free_name
@@ -160,8 +160,17 @@ def component_roots(small: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each component: the row with the smallest id. Repeated rows of one id count as
-    one document; rows without an id cannot be named as anyone's duplicate and stay."""
+    one document: of those whose texts differ, a row stays whose fingerprint has that id as its component (the least such
+    fingerprint, then the least row in the order of text and the other columns). Rows without an id cannot be named as
+    anyone's duplicate and stay."""
     marked = simhash_dedup(df, id_col, text)
-    ids = marked.where(F.col(id_col) == F.col(marked.columns[-1])).select(F.col(id_col)).distinct()
-    kept = df.where(F.col(id_col).isNotNull()).join(ids, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(df.where(F.col(id_col).isNull()))
+    fp, comp = marked.columns[-2:]
+    ids = (marked.groupBy(F.col(id_col).alias("__id")).agg(
+        F.min(F.when(F.col(id_col) == F.col(comp), F.col(fp))).alias("__fp"), (F.min(fp) < F.max(fp)).alias("__mixed"))
+        .where("__fp IS NOT NULL"))
+    rows = df.where(F.col(id_col).isNotNull()).join(ids, F.col(id_col) == F.col("__id"))
+    rows = add_fingerprint(rows.withColumn("__text", F.when(F.col("__mixed"), F.col(text))), "__text", "__own")  # null: no work
+    rows = rows.where(~F.col("__mixed") | (F.lpad(F.lower(F.hex("__own")), 16, "0") == F.col("__fp")))
+    order = [F.col(text), *[F.col(c) for c, kind in df.dtypes if c not in (id_col, text) and "map<" not in kind]]
+    kept = rows.withColumn("__r", F.row_number().over(Window.partitionBy("__id").orderBy(*order))).where("__r = 1")
+    return kept.select(*df.columns).unionByName(df.where(F.col(id_col).isNull()))

@@ -234,3 +234,16 @@ def test_url_rules(spark, most):
     for i, g in got:
         assert g == brute_judge(rows[i][1] if i is not None else "http://q.net/"), rows[i] if i is not None else None
     assert url_filter.judge_urls(df.limit(0), url_filter.rule_table(spark, RULES)).count() == 0
+
+
+def test_keep_one_of_an_id_with_two_texts(spark):
+    rnd = random.Random(12)
+    copy, other = (" ".join(f"w{rnd.randint(0, 999)}" for _ in range(80)) for _ in range(2))
+    rows = [(1, copy, "a"), (2, other, "a")]
+    for i in range(10, 30):  # one text is a copy of document 1, the other is found nowhere else
+        unique = " ".join(f"u{rnd.randint(0, 999)}" for _ in range(80))
+        rows += [(i, copy, "a"), (i, unique, "b"), (i, unique, "c")]
+    want = {(1, copy, "a"), (2, other, "a")} | {r for r in rows if r[2] == "b"}
+    for parts in (1, 5):
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+        assert sorted(map(tuple, simhash.keep_one(df).collect())) == sorted(want)
