@@ -94,6 +94,6 @@ def label_from_model(model: PipelineModel, df: DataFrame, text: str, labels: lis
 
 
 def add_toxicity_model(df: DataFrame, model: PipelineModel, text: str = "speech",
-                       out: str = "toxicity_model") -> DataFrame:
-    """M5: label from a trained toxicity classifier."""
-    return label_from_model(model, df, text, ["not toxic", "toxic"], out)
+                       out: str = "toxicity_model", prob_out: str | None = None) -> DataFrame:
+    """M5: label from a trained toxicity classifier (+ its probability)."""
+    return label_from_model(model, df, text, ["not toxic", "toxic"], out, prob_out)

@@ -338,13 +338,12 @@ def q_speech_file_roundtrip(spark, d):
 
 def q_toxic_model(spark, d):
     """M5/M6: classifier trained on the labelled usable speeches, applied to every document."""
-    from ..operators.models import fit_text_classifier, label_from_model
+    from ..operators.models import add_toxicity_model, fit_text_classifier
     from ..session import cut_lineage
     # iterative fit: read the cleaned training rows from a checkpoint, not the whole lineage
     train = cut_lineage(usable(spark, d).select("speech", "code"))
     model = fit_text_classifier(train, "speech", "code", num_features=1 << 16, max_iter=20)
-    out = label_from_model(model, docs(spark, d).withColumnRenamed("text", "speech"), "speech",
-                           ["not toxic", "toxic"], "toxicity", "p")
+    out = add_toxicity_model(docs(spark, d).withColumnRenamed("text", "speech"), model, "speech", "toxicity", "p")
     return out.select("doc_id", "toxicity", _r(F.col("p")).alias("p"))
 
 

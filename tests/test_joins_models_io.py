@@ -244,3 +244,14 @@ def test_streaming_dedup_within_watermark(spark, tmp_path):
     # one of the two copies survives (the first to arrive), the distinct speech is kept
     assert len(ids) == 2 and ids[0] in (1, 2) and ids[1] == 3
     assert {r.speech_id: r.propaganda_type for r in got}[ids[0]] == "Opposition distortion"
+
+
+def test_toxic_model_query_runs_m5(spark, sf_dir, monkeypatch):
+    from oratio.operators import models
+    from oratio.plans import catalog
+
+    calls, real = [], models.add_toxicity_model
+    monkeypatch.setattr(models, "add_toxicity_model", lambda *a, **b: calls.append(1) or real(*a, **b))
+    out = catalog.q_toxic_model(spark, sf_dir)
+    assert calls and out.columns == ["doc_id", "toxicity", "p"]
+    assert {r.toxicity for r in out.select("toxicity").distinct().collect()} <= {"Not toxic", "Toxic"}
