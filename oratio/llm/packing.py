@@ -31,7 +31,7 @@ from .common import cut_lineage
 from .tokens import TextEncoder
 
 WINDOW = 2048
-SHARD = 512
+SHARD = 4096
 K1, B = 1.2, 0.75
 
 CUT = "kind int, doc_id long, start long, ids binary, doc_tokens long, key long, sequence_id long"

@@ -126,3 +126,27 @@ def test_chat_formatting_leaves_the_shared_tokenizer_alone():
     assert encode(text) == before and len(before) == 3
     enc = TextEncoder(default_path())
     assert np.frombuffer(enc([text])[0], enc.dtype).tolist() == before
+
+
+def test_neighbours_with_other_least_ids_share_a_sequence(spark):
+    rnd = random.Random(6)
+    vocab = ["".join(rnd.choice("bcdfgklmnprst") + rnd.choice("aeiou") for _ in range(3)) for _ in range(3000)]
+    rows = []
+    for p in range(700):  # pairs that share half their words
+        shared = rnd.sample(vocab, 8)
+        for m in range(2):
+            w = shared + rnd.sample(vocab, 8)
+            rnd.shuffle(w)
+            rows.append((2 * p + m, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    n = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")  # one task, so only the shards part the rows
+    try:
+        pieces = packing.pack(df, default_path(), 1, window=128).select("doc_id", "sequence_id").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+    where = defaultdict(set)
+    for r in pieces:
+        where[r.doc_id].add(r.sequence_id)
+    together = sum(bool(where[2 * p] & where[2 * p + 1]) for p in range(700))
+    assert together > 0.5 * 700, together  # others go to windows that were filled before
