@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, table
-from . import chat_format, fm_dedup, mixing, nn_descent, packing, quality_rules, simhash, token_file, toxicity, url_filter
+from .common import SQL_GAP, cut_lineage, let_sql, table
+from . import (chat_format, fm_dedup, mixing, nn_descent, packing, periodic_runs, quality_rules, simhash, token_file, toxicity,
+               url_filter)
 from .tokens import default_path
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
@@ -124,6 +125,64 @@ m AS (SELECT host, path, arg_max(rh || rp, length(rh) + length(rp)) AS rule, arg
 SELECT p.page_id, p.host, p.path, m.rule, coalesce(m.act, 'allow') AS verdict FROM p LEFT JOIN m USING (host, path)"""
 
 
+def with_periodic_tails(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` in which texts chosen by a checksum of their id go on periodically from some word (a null id: unchanged)."""
+    words = f"filter(split(coalesce({text}, ''), '{SQL_GAP}'), x -> x <> '')"
+    at = "CAST(g % size(w) AS INT)"
+    body = "array_join(transform(w, (x, i) -> CASE WHEN i < s.a THEN x ELSE get(w, CAST(s.a + (i - s.a) % s.p AS INT)) END), ' ')"
+    step = f"named_struct('a', {at}, 'p', 1 + (size(w) - {at}) DIV (3 + g % 8))"
+    tail = let_sql(words, "w", f"CASE WHEN size(w) > 0 THEN {let_sql(step, 's', body)} END")
+    damaged = let_sql(f"crc32(CAST({key} AS STRING)) DIV 10", "g", tail)
+    return docs.withColumn(text, F.expr(f"CASE WHEN crc32(CAST({key} AS STRING)) % 10 = 0 THEN {damaged} ELSE {text} END"))
+
+
+def op11(spark, sf_dir) -> DataFrame:
+    docs = with_periodic_tails(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.add_runs(docs).select("doc_id", "repetition.runs", "repetition.collapsed")
+    best = F.expr("""aggregate(runs, CAST(NULL AS STRUCT<start: BIGINT, length: BIGINT, period: BIGINT>), (b, r) ->
+        CASE WHEN b IS NULL OR r.length * b.period > b.length * r.period THEN r ELSE b END)""")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"), 256)
+        .alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def crc32_sql(key: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of an ASCII string; needs the column ``crc_table`` in scope."""
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({key}, ''), "
+            f"lambda c: ord(c)::BIGINT)), lambda c, b: xor(c >> 8, crc_table[1 + (xor(c, b) & 255)])))")
+
+
+# The table of CRC-32 by its rule (reflected polynomial), as a common table expression.
+CRC_TABLE_SQL = """crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS crc_table)"""
+
+
+def op11_sql() -> str:
+    """Pairs of equal 16-word windows at distance q, in stretches: every run of 24 words and 3 periods has such windows."""
+    return rf"""WITH {CRC_TABLE_SQL},
+h AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '') AS w,
+      {crc32_sql("doc_id::VARCHAR")} AS h FROM documents, crc),
+p AS (SELECT doc_id, w, h % 10 = 0 AND len(w) > 0 AS hit, (h // 10) % greatest(len(w), 1) AS a, h // 10 AS g FROM h),
+d AS (SELECT doc_id, CASE WHEN hit THEN list_transform(w, lambda x, i: CASE WHEN i - 1 < a THEN x
+      ELSE w[a + (i - 1 - a) % (1 + (len(w) - a) // (3 + g % 8)) + 1] END) ELSE w END AS w FROM p),
+x AS (SELECT doc_id, i, hash(w[i + 1 : i + 16]) AS k, len(w) AS n FROM (SELECT doc_id, w, unnest(range(0, len(w) - 15)) AS i FROM d)),
+e AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM x JOIN x y ON x.doc_id = y.doc_id AND x.k = y.k AND x.i < y.i
+      AND 3 * (y.i - x.i) <= x.n),
+s AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM e),
+m AS (SELECT doc_id, q, min(i) AS start, max(i) + 16 + q - min(i) AS length FROM s GROUP BY doc_id, q, island),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM m WHERE length >= greatest(24, 3 * q) GROUP BY doc_id, start, length),
+b AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS t
+      FROM r GROUP BY doc_id),
+t AS (SELECT DISTINCT ON (doc_id) doc_id, start, length, period FROM r ORDER BY doc_id, length / period DESC, start, period),
+c AS (SELECT doc_id, list(DISTINCT i) AS gone FROM (SELECT doc_id, unnest(range(start + period, start + length)) AS i FROM r) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(b.n_runs, 0) AS n_runs, t.start, t.length, t.period, 1000 * t.length // t.period AS exponent_milli,
+  sha256(coalesce(b.t, '')) AS runs_sha256,
+  sha256(array_to_string(list_filter(d.w, lambda x, i: NOT coalesce(list_contains(c.gone, i - 1), false)), ' ')) AS collapsed_sha256
+FROM d LEFT JOIN b USING (doc_id) LEFT JOIN t USING (doc_id) LEFT JOIN c USING (doc_id)"""
+
+
 QUERIES: dict[str, Callable] = {
     "op1_toxicity": op1,
     "op2_quality_rules": op2,
@@ -135,10 +194,12 @@ QUERIES: dict[str, Callable] = {
     "op8_chat_format": op8,
     "op9_url_filter": op9,
     "op10_fm_dedup": op10,
+    "op11_periodic_runs": op11,
 }
 
 ORACLE: dict[str, Callable[[], str]] = {
     "op2_quality_rules": op2_sql,
     "op9_url_filter": op9_sql,
     "op10_fm_dedup": op10_sql,
+    "op11_periodic_runs": op11_sql,
 }
