@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SQL_GAP, cut_lineage, let_sql, table
-from . import (chat_format, fm_dedup, mixing, nn_descent, packing, periodic_runs, quality_rules, simhash, token_file, toxicity,
-               url_filter)
+from . import (chat_format, fm_dedup, hyperminhash, mixing, nn_descent, packing, periodic_runs, quality_rules, simhash,
+               token_file, toxicity, url_filter)
 from .tokens import default_path
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
@@ -162,7 +162,8 @@ CRC_TABLE_SQL = """crc AS (SELECT list_transform(range(256), lambda n: list_redu
 def op11_sql() -> str:
     """Pairs of equal 16-word windows at distance q, in stretches: every run of 24 words and 3 periods has such windows."""
     return rf"""WITH {CRC_TABLE_SQL},
-h AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '') AS w,
+h AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ 	-
+]+'), lambda x: x <> '') AS w,
       {crc32_sql("doc_id::VARCHAR")} AS h FROM documents, crc),
 p AS (SELECT doc_id, w, h % 10 = 0 AND len(w) > 0 AS hit, (h // 10) % greatest(len(w), 1) AS a, h // 10 AS g FROM h),
 d AS (SELECT doc_id, CASE WHEN hit THEN list_transform(w, lambda x, i: CASE WHEN i - 1 < a THEN x
@@ -183,6 +184,32 @@ SELECT d.doc_id, coalesce(b.n_runs, 0) AS n_runs, t.start, t.length, t.period, 1
 FROM d LEFT JOIN b USING (doc_id) LEFT JOIN t USING (doc_id) LEFT JOIN c USING (doc_id)"""
 
 
+def op13(spark, sf_dir) -> DataFrame:
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_sql() -> str:
+    """Equal sets collapse, a prefix of each set in hash order finds candidates, whole sets confirm, labels spread."""
+    return r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT doc_id, CASE WHEN len(w) = 1 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END
+      AS g FROM w),
+k AS (SELECT doc_id, len(g) AS n, CASE WHEN len(g) > 0 THEN md5(array_to_string(list_sort(g), chr(10))) END AS k, g FROM g),
+r AS (SELECT k, min(doc_id) AS id, any_value(n) AS n, any_value(g) AS g FROM k WHERE k IS NOT NULL GROUP BY k),
+s AS (SELECT id, n, unnest(g) AS g FROM r),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY hash(g), g) AS pos FROM s)
+      WHERE pos <= n - (80 * n + 99) // 100 + 1),
+c AS (SELECT DISTINCT a.id AS u, b.id AS v, a.n AS nu, b.n AS nv FROM p a JOIN p b ON a.g = b.g AND a.id < b.id
+      AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+o AS (SELECT u, v, nu, nv, count(*) AS common FROM c JOIN s a ON a.id = u JOIN s b ON b.id = v AND b.g = a.g GROUP BY u, v, nu, nv),
+e AS (SELECT u, v FROM o WHERE 100 * common >= 80 * (nu + nv - common)),
+l AS (SELECT id AS node, id AS root FROM r UNION
+      SELECT x.v, l.root FROM l JOIN (SELECT u, v FROM e UNION ALL SELECT v, u FROM e) x ON x.u = l.node AND l.root < x.v),
+m AS (SELECT node, min(root) AS root FROM l GROUP BY node)
+SELECT k.doc_id, CAST(k.n AS BIGINT) AS n_shingles, coalesce(m.root, k.doc_id) AS component_id,
+  k.doc_id = coalesce(m.root, k.doc_id) AS kept FROM k LEFT JOIN r USING (k) LEFT JOIN m ON m.node = r.id"""
+
+
 QUERIES: dict[str, Callable] = {
     "op1_toxicity": op1,
     "op2_quality_rules": op2,
@@ -195,6 +222,7 @@ QUERIES: dict[str, Callable] = {
     "op9_url_filter": op9,
     "op10_fm_dedup": op10,
     "op11_periodic_runs": op11,
+    "op13_hyperminhash": op13,
 }
 
 ORACLE: dict[str, Callable[[], str]] = {
@@ -202,4 +230,5 @@ ORACLE: dict[str, Callable[[], str]] = {
     "op9_url_filter": op9_sql,
     "op10_fm_dedup": op10_sql,
     "op11_periodic_runs": op11_sql,
+    "op13_hyperminhash": op13_sql,
 }
