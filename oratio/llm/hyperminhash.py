@@ -15,9 +15,9 @@ than five standard deviations, and confirmed on the shingle sets of the whole te
 
 Scale: equal sets collapse first (one row a set goes on, by partial aggregation). A key's first candidates
 are its members against its least member, so a group of copies gives one pair a member and key, not all pairs.
-Components of the confirmed links follow; only keys whose members are still in several components
-are compared further, in cells of two blocks of at most ``BLOCK`` sketches, pairs of different components only.
-Texts are joined to candidate pairs, never to keys.
+Components of the confirmed links follow. Keys whose members are still in several components are compared
+further, in cells of two blocks of about ``BLOCK`` members: their sketches name the members that may link to another component,
+the whole sets of those alone come to the cell, and a cell returns links that join components, never all pairs.
 
 Defined cases: a null, empty or wordless text has an empty set, links with nothing and is its own component;
 fewer words than a shingle: the whole sequence is the one shingle; repeated rows share a set and
@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut_lineage, free_name, release
@@ -225,18 +225,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, reps: DataFrame, shingle: int =
     return both.mapInArrow(run, "u long, v long")
 
 
-def open_pairs(members: DataFrame, reps: DataFrame, block: int = BLOCK, percent: int = PERCENT) -> DataFrame:
-    """(u, v) that may link among the members (k, node, c) of keys that hold several components ``c``: blocks by hash,
-    one cell for each pair of blocks, pairs of different components only."""
-    size = members.groupBy("k").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi")).where(
-        "lo < hi").select("k", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
-    dealt = (members.join(size, "k").withColumn("x", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-             .join(reps.select("node", "n", "sketch"), "node"))
-    cells = dealt.select("k", F.explode(F.expr(
-        "transform(sequence(0, blocks - 1), y -> struct(least(x, y) AS p, greatest(x, y) AS q))")).alias("cell"),
-        "x", "node", "c", "n", "sketch").select("k", "cell.p", "cell.q", "x", "node", "c", "n", "sketch")
-    ordered = cells.repartition("k", "p", "q").sortWithinPartitions("k", "p", "q")
-
+def _by_cell(rows: DataFrame, work, schema: str) -> DataFrame:
+    """``work(cell)`` for all rows of each cell (k, p, q first), streamed: a worker holds one cell and one batch."""
     def run(batches):
         held = None  # rows of the cell that may go on in the next batch
         for b in batches:
@@ -244,34 +234,100 @@ def open_pairs(members: DataFrame, reps: DataFrame, block: int = BLOCK, percent:
             at = np.column_stack([t.column(i).to_numpy() for i in range(3)])
             cut = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1)]
             for lo, hi in zip(cut, cut[1:]):
-                yield from _cell_pairs(t.slice(lo, hi - lo), percent)
+                yield from work(t.slice(lo, hi - lo))
             held = t.slice(cut[-1]).combine_chunks()
         if held is not None:
-            yield from _cell_pairs(held, percent)
+            yield from work(held)
 
-    return ordered.mapInArrow(run, "u long, v long").distinct()
+    return rows.repartition("k", "p", "q").sortWithinPartitions("k", "p", "q", "node").mapInArrow(run, schema)
 
 
-def _cell_pairs(cell: pa.Table, percent: int):
-    """Batches of the pairs (u, v) of one cell that may link, some rows of comparisons at a time."""
+def _cell_candidates(cell: pa.Table, regs: np.ndarray, percent: int):
+    """(i, j) arrays, some rows at a time, of the pairs of a cell (k, p, q, x, node, c, n, ..) that lie in different
+    components and may link: each pair once, inside one block by position, between two blocks from one to the other."""
     m = cell.num_rows
-    if m < 2:
-        return
-    p, q = cell.column(1)[0].as_py(), cell.column(2)[0].as_py()
-    x, node, c, n = (cell.column(i).to_numpy() for i in range(3, 7))
-    regs = _matrix(cell.column(7).combine_chunks())
+    one = cell.column(1)[0].as_py() == cell.column(2)[0].as_py()
+    x, c, n = (cell.column(i).to_numpy() for i in (3, 5, 6))
+    low = x == cell.column(1)[0].as_py()
     rows = max(1, BLOCK * 8 // m)
     for lo in range(0, m, rows):
-        # each pair once: inside one block by position, between two blocks from the first to the second
         i, j = np.indices((min(rows, m - lo), m)).reshape(2, -1)
         i = i + lo
-        ok = (c[i] != c[j]) & ((i < j) if p == q else (x[i] == p) & (x[j] == q))
+        ok = (c[i] != c[j]) & ((i < j) if one else (low[i] & ~low[j]))
         ok &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
         i, j = i[ok], j[ok]
         ok = may_link(regs[i], regs[j], n[i], n[j], percent)
-        if ok.any():
-            u, v = node[i[ok]], node[j[ok]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
+        yield i[ok], j[ok]
+
+
+def _spanning_links(cell: pa.Table, percent: int):
+    """Links of a cell whose column 7 holds the sets' hashes: those that join components, none that closes a circle."""
+    sets = [np.frombuffer(h, dtype=np.uint64) for h in cell.column(7).to_pylist()]
+    regs = np.stack([registers(h) for h in sets])
+    node, c, n = (cell.column(i).to_numpy() for i in (4, 5, 6))
+    sizes = np.array([len(h) for h in sets])
+    starts = np.cumsum(sizes) - sizes
+    words, code = np.unique(np.concatenate(sets), return_inverse=True)
+    mark = np.zeros(len(words), dtype=bool)
+    root = c.copy()  # components as joined so far in this cell
+    for i, j in _cell_candidates(cell, regs, percent):
+        for a in np.unique(i):
+            own = code[starts[a]:starts[a] + sizes[a]]
+            mark[own] = True
+            for b in j[i == a]:
+                if root[a] != root[b]:
+                    common = int(mark[code[starts[b]:starts[b] + sizes[b]]].sum())
+                    if 100 * common >= percent * (n[a] + n[b] - common):
+                        root[root == root[b]] = root[a]
+                        yield int(min(node[a], node[b])), int(max(node[a], node[b]))
+            mark[own] = False
+
+
+def late_links(members: DataFrame, sets: DataFrame, reps: DataFrame, shingle: int = SHINGLE, block: int = BLOCK,
+               percent: int = PERCENT) -> DataFrame:
+    """(u, v) links between components among the members (k, node, c) of keys that hold several components ``c``. Members are
+    dealt into blocks by hash, one cell for each pair of blocks. Sketches first name, in each cell, the members that may
+    link to another component; only their whole sets are then brought to the cell and compared, and of
+    the links found a cell returns those that join components."""
+    size = members.groupBy("k").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi")).where(
+        "lo < hi").select("k", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
+    dealt = members.join(size, "k").withColumn("x", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    cells = dealt.select("k", F.explode(F.expr(
+        "transform(sequence(0, blocks - 1), y -> struct(least(x, y) AS p, greatest(x, y) AS q))")).alias("cell"),
+        "x", "node", "c").join(reps.select("node", "n", "sketch"), "node").select(
+        "k", "cell.p", "cell.q", "x", "node", "c", "n", "sketch")
+
+    def candidates(cell):
+        if cell.num_rows > 1:
+            busy = np.zeros(cell.num_rows, dtype=bool)
+            for i, j in _cell_candidates(cell, _matrix(cell.column(7).combine_chunks()), percent):
+                busy[i] = busy[j] = True
+            if busy.any():
+                yield from cell.select(range(7)).filter(pa.array(busy)).to_batches()
+
+    busy = cut_lineage(_by_cell(cells, candidates, "k long, p int, q int, x int, node long, c long, n long"))
+    rows = reps.select("node", "rid").join(busy.select("node").distinct(), "node", "left_semi")
+    texts = sets.select("rid", "text").join(rows, "rid").select("node", "text")
+
+    def hashed(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, SLICE):
+                part = b.slice(at, SLICE)
+                h = [set_hashes(shingle_set(t, shingle)).tobytes() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(h, pa.binary())], names=["node", "set"])
+
+    whole = busy.join(texts.mapInArrow(hashed, "node long, set binary"), "node").select(
+        "k", "p", "q", "x", "node", "c", "n", "set")
+
+    def links(cell):
+        found = list(_spanning_links(cell, percent))
+        if found:
+            u, v = zip(*found)
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+    out = cut_lineage(_by_cell(whole, links, "u long, v long").distinct())
+    release(busy)
+    return out
 
 
 def component_of(reps: DataFrame, links: DataFrame) -> DataFrame:
@@ -299,16 +355,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", s
     # keys of three or more: what the least member does not link may still link with one another
     comps = cut_lineage(component_of(reps, links))
     members = crowd.select("k", "node").join(comps, "node")
-    more = cut_lineage(open_pairs(members, reps, block, percent).join(first, ["u", "v"], "left_anti"))
-    late = confirmed(more, sets, reps, shingle, percent)
+    late = late_links(members, sets, reps, shingle, block, percent)
     joined = (late.join(comps.toDF("u", "cu"), "u").join(comps.toDF("v", "cv"), "v")
               .select(F.col("cu").alias("u"), F.col("cv").alias("v")))
     merged = connected_components(joined).toDF("c", "root")
     final = comps.join(merged, "c", "left").select("node", F.coalesce("root", "c").alias("c"))
-    roots = cut_lineage(reps.select("node", "least").join(final, "node").select(
-        "node", F.min("least").over(Window.partitionBy("c")).alias("component_id")))
+    named = reps.select("node", "least").join(final, "node")
+    roots = cut_lineage(named.join(named.groupBy("c").agg(F.min("least").alias("component_id")), "c").select(
+        "node", "component_id"))
     out = _result(sets, roots, id_col)
-    for spent in (reps, shared, first, links, comps, more):
+    for spent in (reps, shared, first, links, comps, late):
         release(spent)
     return out
 
