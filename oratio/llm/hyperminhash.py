@@ -201,11 +201,15 @@ def estimated(pairs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> Data
     return both.mapInArrow(run, "u long, v long")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, reps: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The pairs whose whole shingle sets are similar enough. Only texts of sets in some pair travel."""
+def texts_of(pairs: DataFrame, sets: DataFrame, reps: DataFrame) -> DataFrame:
+    """(node, text): one text of each set that occurs in ``pairs``."""
     named = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     rows = reps.select("node", "rid").join(named, "node", "left_semi").select("rid", "node")
-    texts = sets.select("rid", "text").join(rows, "rid").select("node", "text")
+    return sets.select("rid", "text").join(rows, "rid").select("node", "text")
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The pairs whose whole shingle sets are similar enough."""
     both = (pairs.join(texts.toDF("v", "tv"), "v").join(texts.toDF("u", "tu"), "u").select("u", "v", "tu", "tv"))
 
     def run(batches):
@@ -283,7 +287,7 @@ def _spanning_links(cell: pa.Table, percent: int):
             mark[own] = False
 
 
-def late_links(members: DataFrame, sets: DataFrame, reps: DataFrame, shingle: int = SHINGLE, block: int = BLOCK,
+def late_links(members: DataFrame, texts: DataFrame, reps: DataFrame, shingle: int = SHINGLE, block: int = BLOCK,
                percent: int = PERCENT) -> DataFrame:
     """(u, v) links between components among the members (k, node, c) of keys that hold several components ``c``. Members are
     dealt into blocks by hash, one cell for each pair of blocks. Sketches first name, in each cell, the members that may
@@ -306,8 +310,7 @@ def late_links(members: DataFrame, sets: DataFrame, reps: DataFrame, shingle: in
                 yield from cell.select(range(7)).filter(pa.array(busy)).to_batches()
 
     busy = cut_lineage(_by_cell(cells, candidates, "k long, p int, q int, x int, node long, c long, n long"))
-    rows = reps.select("node", "rid").join(busy.select("node").distinct(), "node", "left_semi")
-    texts = sets.select("rid", "text").join(rows, "rid").select("node", "text")
+    named = texts.join(busy.select("node").distinct(), "node", "left_semi")
 
     def hashed(batches):
         for b in batches:
@@ -316,7 +319,7 @@ def late_links(members: DataFrame, sets: DataFrame, reps: DataFrame, shingle: in
                 h = [set_hashes(shingle_set(t, shingle)).tobytes() for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(h, pa.binary())], names=["node", "set"])
 
-    whole = busy.join(texts.mapInArrow(hashed, "node long, set binary"), "node").select(
+    whole = busy.join(named.mapInArrow(hashed, "node long, set binary"), "node").select(
         "k", "p", "q", "x", "node", "c", "n", "set")
 
     def links(cell):
@@ -344,18 +347,22 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", s
     least = sets.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("least"), F.min("rid").alias("rid"))
     reps = cut_lineage(sets.select("rid", "n", "sketch", "keys").join(least, "rid"))
 
+    rows = cut_lineage(sets.select("id", "n", "node"))
+
     keys = reps.select(F.explode("keys").alias("k"), "node")
     shared = cut_lineage(keys.groupBy("k").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("a"), F.max("node").alias("b"))
                          .where("m > 1"))
     crowd = keys.join(shared.where("m > 2").select("k", "a"), "k")
     first = cut_lineage(shared.where("m = 2").select(F.col("a").alias("u"), F.col("b").alias("v"))
                         .unionAll(crowd.where("node <> a").select(F.col("a").alias("u"), F.col("node").alias("v"))).distinct())
-    links = cut_lineage(confirmed(estimated(first, reps, percent), sets, reps, shingle, percent))
+    texts = cut_lineage(texts_of(first, sets, reps))
+    release(sets)
+    links = cut_lineage(confirmed(estimated(first, reps, percent), texts, shingle, percent))
 
     # keys of three or more: what the least member does not link may still link with one another
     comps = cut_lineage(component_of(reps, links))
     members = crowd.select("k", "node").join(comps, "node")
-    late = late_links(members, sets, reps, shingle, block, percent)
+    late = late_links(members, texts, reps, shingle, block, percent)
     joined = (late.join(comps.toDF("u", "cu"), "u").join(comps.toDF("v", "cv"), "v")
               .select(F.col("cu").alias("u"), F.col("cv").alias("v")))
     merged = connected_components(joined).toDF("c", "root")
@@ -363,8 +370,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", s
     named = reps.select("node", "least").join(final, "node")
     roots = cut_lineage(named.join(named.groupBy("c").agg(F.min("least").alias("component_id")), "c").select(
         "node", "component_id"))
-    out = _result(sets, roots, id_col)
-    for spent in (reps, shared, first, links, comps, late):
+    out = _result(rows, roots, id_col)
+    for spent in (reps, shared, first, texts, links, comps, late):
         release(spent)
     return out
 
