@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import SQL_GAP, cut_lineage, let_sql, table
 from . import (chat_format, fm_dedup, hyperminhash, mixing, nn_descent, packing, periodic_runs, quality_rules, simhash,
-               token_file, toxicity, url_filter)
+               token_file, toxicity, turn_repair, url_filter)
 from .tokens import default_path
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
@@ -184,6 +184,92 @@ SELECT d.doc_id, coalesce(b.n_runs, 0) AS n_runs, t.start, t.length, t.period, 1
 FROM d LEFT JOIN b USING (doc_id) LEFT JOIN t USING (doc_id) LEFT JOIN c USING (doc_id)"""
 
 
+def damaged_conversations(rows: DataFrame) -> DataFrame:
+    """Conversation rows damaged by a checksum of conversation and turn: dropped, emptied, without ``.!?``, twice, or by user."""
+    key = F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    role, text = F.coalesce("role", F.lit(" ")), F.coalesce("text", F.lit(" "))
+    how = F.col("how")
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.crc32(key) % 20).alias("how")).where("how <> 0").select(
+        "conv_id", "turn", F.when(how == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(how == 1, "").when(how == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+        F.when(how == 3, 2).otherwise(1).alias("times")).select(
+        "conv_id", "turn", "role", "text", F.explode(F.sequence(F.lit(1), "times")).alias("copy")).drop("copy")
+
+
+def op12(spark, sf_dir) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repaired = turn_repair.repair(damaged_conversations(rows))
+    told = turn_repair.report(repaired).join(turn_repair.digests(repaired).withColumnRenamed("conv", "c"),
+                                             F.col("conv").eqNullSafe(F.col("c")), "left")
+    every = rows.select("conv_id").distinct()
+    numbers = [F.coalesce(n, F.lit(0)).alias(n) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.join(told, F.col("conv_id").eqNullSafe(F.col("conv")), "left").select(
+        "conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op12_sql() -> str:
+    """A table of the cheapest (cost, audit) of each state, row by row: an independent form of the search."""
+    def least(*options):
+        return f"list_sort([{', '.join(options)}])[1]"
+
+    def step(state, cost, label):
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{label}'}}"
+    never = "{'c': 1000000000, 'a': ''}"
+
+    def when(cond, value):
+        return f"CASE WHEN {cond} THEN {value} ELSE {never} END"
+    stays = "NOT x.gone"
+    extra = "5 * x.cut::INT"
+    keeps = {(0, 1): "s", (0, 2): "u", (1, 2): "u", (3, 2): "u", (2, 3): "a"}
+    cols = []
+    for to in range(4):
+        options = [step(f"d.s{to}", 2, "D")]
+        for at in range(4):
+            if (at, to) in keeps:
+                options.append(when(f"{stays} AND x.i = '{keeps[at, to]}'", step(f"d.s{at}", extra, "K")))
+            if (to == 2 and at != 2) or (to == 3 and at == 2):
+                options.append(when(stays, step(f"d.s{at}", f"1 + {extra}", "R")))
+        cols.append(f"{least(*options)} AS t{to}")
+    two = least("t2", step("t0", 5, "I"), step("t1", 5, "I"), step("t3", 5, "I"))
+    close = f"t0 AS s0, t1 AS s1, {two} AS s2, {least('t3', step(two, 5, 'I'))} AS s3"
+    blank = r"NOT regexp_matches(text, '[^\x20\x09-\x0D]')"
+    return rf"""WITH RECURSIVE {CRC_TABLE_SQL},
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+      {crc32_sql("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS how FROM conversations, crc),
+r AS (SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role, CASE WHEN how = 1 THEN ''
+      WHEN how = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN how = 3 THEN 2 ELSE 1 END))
+      FROM k WHERE how <> 0),
+n AS (SELECT conv_id, turn, role, text, role[1] AS i,
+      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS rn FROM r),
+f AS (SELECT *, CASE WHEN {blank} THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY rn) > 1 THEN 'd'
+      WHEN regexp_matches(text, '[.!?][ 	-]*$') THEN '-' ELSE 't' END AS fault,
+      lag(i) OVER (PARTITION BY conv_id ORDER BY rn) AS before FROM n),
+x AS (SELECT conv_id, rn, i, fault IN ('b', 'd') AS gone, fault = 't' AS cut FROM f),
+v AS (SELECT DISTINCT conv_id FROM conversations),
+d(conv_id, rn, s0, s1, s2, s3) AS (
+  SELECT conv_id, 0::BIGINT, {{'c': 0, 'a': ''}}, {never}, {{'c': 5, 'a': 'I'}}, {{'c': 10, 'a': 'II'}} FROM v
+  UNION ALL
+  SELECT conv_id, rn, {close} FROM (SELECT d.conv_id, x.rn, {', '.join(cols)} FROM d JOIN x ON x.conv_id IS NOT DISTINCT FROM d.conv_id
+  AND x.rn = d.rn + 1)),
+b AS (SELECT conv_id, {least('s0', 's3')} AS best FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY rn DESC) AS z FROM d)
+      WHERE z = 1),
+e AS (SELECT conv_id, pos, audit[pos] AS edit, pos - len(replace(audit[1:pos], 'I', '')) AS inserted,
+      len(replace(audit[1:pos], 'D', '')) AS kept, audit FROM (SELECT conv_id, best.a AS audit, unnest(range(1, len(best.a) + 1)) AS pos FROM b)),
+w AS (SELECT e.conv_id, e.pos, e.edit, e.kept, f.role, f.text, max(CASE WHEN e.edit = 'K' AND f.role[1] = 's' THEN 1 ELSE 0 END)
+      OVER (PARTITION BY e.conv_id) AS sys
+      FROM e LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM e.conv_id AND f.rn = e.pos - e.inserted AND e.edit <> 'I'),
+p AS (SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (kept - sys) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+      coalesce(CASE WHEN edit <> 'I' THEN text END, ''), chr(10) ORDER BY pos) AS t FROM w WHERE edit <> 'D' GROUP BY conv_id),
+c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 'b') AS blank,
+      count_if(fault = 'd') AS duplicate, count_if(fault = 't') AS truncated,
+      count_if(before IS NOT NULL AND (before || i) NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+SELECT v.conv_id, {', '.join(f'CAST(coalesce(c.{z}, 0) AS BIGINT) AS {z}' for z in ('gaps', 'blank', 'duplicate', 'truncated', 'illegal'))},
+  CAST(b.best.c AS BIGINT) AS cost, b.best.a AS audit, sha256(coalesce(p.t, '')) AS repaired_sha256
+FROM v JOIN b ON b.conv_id IS NOT DISTINCT FROM v.conv_id LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM v.conv_id
+LEFT JOIN p ON p.conv_id IS NOT DISTINCT FROM v.conv_id"""
+
+
 def op13(spark, sf_dir) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -222,6 +308,7 @@ QUERIES: dict[str, Callable] = {
     "op9_url_filter": op9,
     "op10_fm_dedup": op10,
     "op11_periodic_runs": op11,
+    "op12_turn_repair": op12,
     "op13_hyperminhash": op13,
 }
 
@@ -230,5 +317,6 @@ ORACLE: dict[str, Callable[[], str]] = {
     "op9_url_filter": op9_sql,
     "op10_fm_dedup": op10_sql,
     "op11_periodic_runs": op11_sql,
+    "op12_turn_repair": op12_sql,
     "op13_hyperminhash": op13_sql,
 }
