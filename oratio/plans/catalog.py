@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.lexicons import PROBE, PROBE_TONE, PROPAGANDA, TOXICITY, PERSUASION
 from ..operators import clean, keywords as K, lexicon as L, propaganda as P, stats as S, windows as G
-from ..operators import profiles as J, responses as R, embed as E
+from ..operators import profiles as J, responses as R, embed as E, nearest as N
 from ..session import spread
 from ..sources.tables import speeches_raw, table
 
@@ -307,6 +307,12 @@ def q_project_2d(spark, d):
     return E.project_2d(e, "vec_id", "embedding")
 
 
+def q_nearest_vectors(spark, d):
+    """E4 over all embeddings: the five nearest others of each."""
+    return N.nearest_vectors(table(spark, d, "embeddings"), "vec_id", "embedding", k=5).select(
+        "vec_id", F.col("rank").cast("bigint").alias("rank"), "neighbour_id", "similarity")
+
+
 def q_summary_sentences(spark, d):
     return K.summary_sentences(usable(spark, d)).select(
         "speech_id", "sent_no", "rank", _r(F.col("score")).alias("score"), "n_words", "sentence")
@@ -421,6 +427,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mean_pool": q_mean_pool,
     "extract_profiles": q_extract_profiles,
     "project_2d": q_project_2d,
+    "nearest_vectors": q_nearest_vectors,
     "toxic_model": q_toxic_model,
     "propaganda_report_model": q_propaganda_report_model,
     "topics": q_topics,

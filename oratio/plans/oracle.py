@@ -514,6 +514,11 @@ ORACLE: dict[str, Callable[[], str]] = {
             ("death_place", "CASE WHEN page_id % 2 = 0 THEN 'End ' || n || ', Land' END"),
             ("party", "CASE WHEN page_id % 5 = 0 THEN 'N/A' ELSE 'Party ' || n END")])
         + " FROM (SELECT page_id, CAST(page_id AS VARCHAR) AS n, html FROM pages)"),
+    "nearest_vectors": lambda: (
+        "WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), p AS (SELECT a.vec_id, b.vec_id AS neighbour_id, "
+        "round(list_cosine_similarity(a.e, b.e), 6) AS similarity FROM v a JOIN v b ON a.vec_id <> b.vec_id), r AS (SELECT *, "
+        "row_number() OVER (PARTITION BY vec_id ORDER BY similarity DESC, neighbour_id) AS rank FROM p) "
+        "SELECT vec_id, rank, neighbour_id, similarity FROM r WHERE rank <= 5"),
     "mean_pool": lambda: ("SELECT label, CAST(i - 1 AS BIGINT) AS dim, round(avg(v), 6) AS value FROM ("
                   "SELECT CAST(label AS BIGINT) AS label, unnest(embedding) AS v, unnest(range(1, len(embedding) + 1)) AS i "
                   "FROM embeddings) GROUP BY label, i"),
