@@ -3,7 +3,8 @@
 K1/K2 are fitted on one speech at a time, so their IDF is 1 and each speech's term weights
 depend on that speech only: term counting is done inside the row (sort the terms, measure
 runs of equal terms), with no explode and no shuffle. K4 is the corpus form and does need
-document frequencies: one partial aggregation per term and one join.
+document frequencies: one partial aggregation per term and one join. K6 scores sentences by
+the K4 weights of their terms.
 """
 
 from __future__ import annotations
@@ -72,10 +73,9 @@ def keyword_text(weights: str, k: int = TOP_KEYWORDS) -> Column:
 SALTS = 16
 
 
-def corpus_keywords(df: DataFrame, id_col: str = "speech_id", text: str = "speech",
-                    k: int = TOP_KEYWORDS) -> DataFrame:
-    """K4: corpus TF-IDF, idf = ln((1+N)/(1+df)) + 1, L2-normalised per speech; rows
-    (id, term, cnt, weight, rank) for the top k per speech.
+def corpus_weights(df: DataFrame, id_col: str = "speech_id", text: str = "speech") -> DataFrame:
+    """K4 for every term: corpus TF-IDF, idf = ln((1+N)/(1+df)) + 1, L2-normalised per speech; rows
+    (id, term, cnt, tfidf, weight).
 
     Term counts come from the row-local K1 arrays (map side); document frequencies are a
     per-term partial aggregation. The per-speech counts are checkpointed once (they feed the
@@ -91,9 +91,15 @@ def corpus_keywords(df: DataFrame, id_col: str = "speech_id", text: str = "speec
     w = (tc.withColumn("__salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int"))
            .join(salted, ["term", "__salt"]).withColumn("tfidf", F.col("cnt") * F.col("idf")))
     by_doc = Window.partitionBy(id_col)
-    ranked = Window.partitionBy(id_col).orderBy(F.col("tfidf").desc(), F.col("term"))
     return (w.withColumn("weight", F.col("tfidf") / F.sqrt(F.sum(F.col("tfidf") * F.col("tfidf")).over(by_doc)))
-             .withColumn("rank", F.row_number().over(ranked))
+             .select(id_col, "term", "cnt", "tfidf", "weight"))
+
+
+def corpus_keywords(df: DataFrame, id_col: str = "speech_id", text: str = "speech",
+                    k: int = TOP_KEYWORDS) -> DataFrame:
+    """K4: rows (id, term, cnt, weight, rank) for the top k terms per speech by corpus weight."""
+    ranked = Window.partitionBy(id_col).orderBy(F.col("tfidf").desc(), F.col("term"))
+    return (corpus_weights(df, id_col, text).withColumn("rank", F.row_number().over(ranked))
              .where(F.col("rank") <= k)
              .select(id_col, "term", "cnt", "weight", F.col("rank").cast("bigint").alias("rank")))
 
@@ -132,76 +138,40 @@ def topics(df: DataFrame, id_col: str = "speech_id", text: str = "speech", k: in
     return best.join(desc, "topic", "left").select(id_col, "topic", "topic_weight", "topic_terms")
 
 
-def summary_col(text: str = "speech", max_words: int = 100) -> Column:
-    """K6 inside the row: ``array<struct<sent_no, rank, score, n_words, sentence>>``.
-
-    Sentence score = mean per-speech term weight (K1) of its content terms. The (term, sentence)
-    pairs sorted by term line up with the speech's term weights expanded by their counts (the
-    pairs hold exactly the speech's terms), so no join is needed; sentences are ranked by
-    (score rounded to 9 places desc, position) and taken while the running word count stays
-    within ``max_words`` (a fold, linear in the number of sentences)."""
-    sents = T.nonempty_sentences(text)
-
-    def with_sents(ss):
-        pairs = F.flatten(F.transform(ss, lambda s, j: F.transform(
-            content_terms_of(s), lambda t: F.struct(t.alias("term"), j.alias("sent_no")))))
-
-        def with_weights(tw):
-            per_term = F.flatten(F.transform(tw, lambda x: F.array_repeat(x["weight"], x["cnt"].cast("int"))))
-            by_sent = F.sort_array(F.transform(F.arrays_zip(F.sort_array(pairs).alias("p"), per_term.alias("w")),
-                                               lambda z: F.struct(z["p"]["sent_no"].alias("sent_no"),
-                                                                  z["w"].alias("w"))))
-            return T.let(by_sent, lambda bs: _rank(ss, _sentence_means(bs), max_words))
-        return T.let(term_weights_col(text), with_weights)
-    return T.let(sents, with_sents)
-
-
 def content_terms_of(c: Column) -> Column:
     """``content_terms`` for any string expression (e.g. a lambda variable)."""
     stops = list(stop_words())
     return F.filter(F.regexp_extract_all(F.lower(c), F.lit(T.TERM), 0), lambda t: ~t.isin(*stops))
 
 
-def _sentence_means(bs: Column) -> Column:
-    """Runs of equal ``sent_no`` in a sorted (sent_no, w) array -> (sent_no, mean w)."""
-    n = F.size(bs)
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                      lambda i: (n > 0) & ((i == 1) | (F.element_at(bs, i)["sent_no"] != F.element_at(bs, i - 1)["sent_no"])))
-    return T.let(starts, lambda st: F.transform(st, lambda p, k: T.let(
-        F.coalesce(F.try_element_at(st, k + 2), n + 1) - p, lambda ln: F.struct(
-            F.element_at(bs, p)["sent_no"].alias("sent_no"),
-            (F.aggregate(F.slice(bs, p, ln), F.lit(0.0), lambda acc, x: acc + x["w"]) / ln).alias("score")))))
-
-
-def _rank(ss: Column, means: Column, max_words: int) -> Column:
-    def row(no_score, neg, j, score, s):
-        return F.struct(no_score.alias("no_score"), neg.alias("neg"), j.alias("sent_no"), score.alias("score"),
-                        F.size(T.words(s)).alias("n_words"), s.alias("sentence"))
-
-    # scored sentences straight from the means; sentences without content terms (no score) by
-    # a per-sentence test; both linear in the number of sentences
-    scored = F.transform(means, lambda m: T.let(F.element_at(ss, m["sent_no"] + 1), lambda s: row(
-        F.lit(False), -F.round(m["score"], 9), m["sent_no"], m["score"], s)))
-    unscored = F.transform(
-        F.filter(F.transform(ss, lambda s, j: F.struct(j.alias("j"), s.alias("s"))),
-                 lambda x: F.size(content_terms_of(x["s"])) == 0),
-        lambda x: row(F.lit(True), F.lit(None).cast("double"), x["j"], F.lit(None).cast("double"), x["s"]))
-    ranked = F.sort_array(F.concat(scored, unscored))
-
-    def take(rk):
-        fold = F.aggregate(rk, F.struct(F.lit(0).cast("bigint").alias("s"), F.lit(0).alias("k"), F.lit(False).alias("done")),
-                           lambda acc, x: F.when(acc["done"] | (acc["s"] + x["n_words"] > max_words),
-                                                 F.struct(acc["s"], acc["k"], F.lit(True).alias("done")))
-                           .otherwise(F.struct((acc["s"] + x["n_words"]).alias("s"), (acc["k"] + 1).alias("k"),
-                                               F.lit(False).alias("done"))))
-        return F.transform(F.slice(rk, 1, fold["k"]), lambda x, i: F.struct(
-            x["sent_no"].cast("bigint").alias("sent_no"), (i + 1).cast("bigint").alias("rank"), x["score"].alias("score"),
-            x["n_words"].cast("bigint").alias("n_words"), x["sentence"].alias("sentence")))
-    return T.let(ranked, lambda rk: F.when(F.size(rk) > 0, take(rk)).otherwise(
-        F.array().cast("array<struct<sent_no:bigint,rank:bigint,score:double,n_words:bigint,sentence:string>>")))
+def sentence_scores(df: DataFrame, weights: DataFrame, id_col: str = "speech_id", text: str = "speech") -> DataFrame:
+    """(id, sent_no, n_words, score) of every sentence: the mean weight of its content terms, each occurrence counted,
+    through a join of (id, term); null without content terms. ``weights``: (id, term, weight). A
+    sentence's terms are counted before they travel, its text stays behind."""
+    sents = df.select(id_col, F.posexplode(T.nonempty_sentences(text)).alias("sent_no", "__s"))
+    lengths = sents.select(id_col, "sent_no", F.size(T.words("__s")).cast("bigint").alias("n_words"))
+    terms = (sents.select(id_col, "sent_no", F.explode(content_terms_of(F.col("__s"))).alias("term"))
+             .groupBy(id_col, "sent_no", "term").agg(F.count(F.lit(1)).alias("n")))
+    means = (terms.join(weights.select(id_col, "term", "weight"), [id_col, "term"]).groupBy(id_col, "sent_no")
+             .agg((F.sum(F.col("n") * F.col("weight")) / F.sum("n")).alias("score")))
+    return lengths.join(means, [id_col, "sent_no"], "left")
 
 
 def summary_sentences(df: DataFrame, id_col: str = "speech_id", text: str = "speech",
                       max_words: int = 100) -> DataFrame:
-    """K6 as rows (id, sent_no, rank, score, n_words, sentence); row-local, no shuffle."""
-    return df.select(id_col, F.inline(summary_col(text, max_words)))
+    """K6: rows (id, sent_no, rank, score, n_words, sentence). Sentences are ranked by the mean corpus weight (K4) of
+    their content terms, rounded to 9 places, ties by position, those without content terms last, and taken
+    while the running sum of words (a window frame from the first rank on) stays within ``max_words``. Texts
+    join the chosen sentence numbers at the end; the windows see numbers only."""
+    scores = sentence_scores(df, corpus_weights(df, id_col, text), id_col, text)
+    order = Window.partitionBy(id_col).orderBy(F.round("score", 9).desc_nulls_last(), F.col("sent_no"))
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    taken = (scores.withColumn("rank", F.row_number().over(order)).withColumn("__sum", F.sum("n_words").over(upto))
+             .where(F.col("__sum") <= max_words))
+    listed = taken.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct(
+        F.col("rank").cast("bigint").alias("rank"), F.col("sent_no").cast("bigint").alias("sent_no"), "score", "n_words"))).alias("__t"))
+    rows = df.select(id_col, F.col(text).alias("__text")).join(listed, id_col)
+    chosen = T.let(T.nonempty_sentences("__text"), lambda ss: F.transform("__t", lambda t: F.struct(
+        t["sent_no"].alias("sent_no"), t["rank"].alias("rank"), t["score"].alias("score"), t["n_words"].alias("n_words"),
+        F.get(ss, t["sent_no"].cast("int")).alias("sentence"))))
+    return rows.select(id_col, F.inline(chosen))

@@ -269,24 +269,27 @@ def keyword_text_sql():
             f"USING (speech_id) GROUP BY u.speech_id")
 
 
-def corpus_keywords_sql():
-    return f"""{BASE}, {_term_counts_cte()},
+def _corpus_weights_cte():
+    return f"""{_term_counts_cte()},
 dfr AS (SELECT term, count(*) AS df FROM tcn GROUP BY term),
 ti AS (SELECT speech_id, term, cnt, cnt * (ln((1.0 + (SELECT count(*) FROM usable)) / (df + 1)) + 1) AS tfidf
        FROM tcn JOIN dfr USING (term)),
-rk AS (SELECT *, tfidf / sqrt(sum(tfidf * tfidf) OVER (PARTITION BY speech_id)) AS weight,
-       row_number() OVER (PARTITION BY speech_id ORDER BY tfidf DESC, term) AS rank FROM ti)
+cw AS (SELECT *, tfidf / sqrt(sum(tfidf * tfidf) OVER (PARTITION BY speech_id)) AS weight FROM ti)"""
+
+
+def corpus_keywords_sql():
+    return f"""{BASE}, {_corpus_weights_cte()},
+rk AS (SELECT *, row_number() OVER (PARTITION BY speech_id ORDER BY tfidf DESC, term) AS rank FROM cw)
 SELECT speech_id, term, cnt, round(weight, 6) AS weight, CAST(rank AS BIGINT) AS rank FROM rk WHERE rank <= {TOP_KEYWORDS}"""
 
 
 def summary_sentences_sql():
-    return f"""{BASE}, {_term_counts_cte()},
-wt AS (SELECT speech_id, term, cnt / sqrt(sum(cnt * cnt) OVER (PARTITION BY speech_id)) AS weight FROM tcn),
+    return f"""{BASE}, {_corpus_weights_cte()},
 se AS (SELECT speech_id, unnest(ss) AS sentence, unnest(range(len(ss))) AS sent_no
        FROM (SELECT speech_id, list_filter({T.duck_sentences('speech')}, lambda s: s <> '') AS ss FROM usable)),
 sw AS (SELECT speech_id, sent_no, sentence, len({T.duck_words('sentence')}) AS n_words FROM se),
 st AS (SELECT speech_id, sent_no, unnest({T.duck_terms('sentence')}) AS term FROM se),
-sc AS (SELECT st.speech_id, st.sent_no, avg(wt.weight) AS score FROM st JOIN wt USING (speech_id, term)
+sc AS (SELECT st.speech_id, st.sent_no, avg(cw.weight) AS score FROM st JOIN cw USING (speech_id, term)
        WHERE st.term NOT IN {in_list(stop_words())} GROUP BY st.speech_id, st.sent_no),
 rk AS (SELECT sw.*, sc.score, row_number() OVER w AS rank, sum(n_words) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS so_far
        FROM sw LEFT JOIN sc USING (speech_id, sent_no)

@@ -110,30 +110,35 @@ def test_persuasion(speeches, py_speeches):
         assert c.rhetorical_questions == sum(s.strip().endswith("?") for s in SENT.split(speech))
 
 
-def py_summary(speech, stops, max_words=100):
-    sents = [s for s in SENT.split(speech) if s]
-    terms = [t for t in re.findall(r"(?u)\b\w\w+\b", speech.lower()) if t not in stops]
-    cnt = Counter(terms)
-    norm = math.sqrt(sum(v * v for v in cnt.values())) or 1.0
-    rows = []
-    for j, s in enumerate(sents):
-        ts = [t for t in re.findall(r"(?u)\b\w\w+\b", s.lower()) if t not in stops]
-        score = sum(cnt[t] / norm for t in ts) / len(ts) if ts else None
-        rows.append((score is None, -round(score, 9) if score is not None else 0.0, j, len(s.split())))
-    rows.sort()
-    out, total = [], 0
-    for rank, (_, _, j, n) in enumerate(rows, start=1):
-        if total + n > max_words:
-            break
-        total += n
-        out.append((j, rank))
+def py_summaries(speeches, stops, max_words=100):
+    """K6 in plain Python: {id: [(sent_no, rank)]}, sentences by the mean TF-IDF of the whole corpus."""
+    def terms(t):
+        return [x for x in re.findall(r"(?u)\b\w\w+\b", t.lower()) if x not in stops]
+
+    counts = {i: Counter(terms(s)) for i, s in speeches.items()}
+    held = Counter(t for c in counts.values() for t in c)
+    idf = {t: math.log((1 + len(speeches)) / (1 + n)) + 1 for t, n in held.items()}
+    out = {}
+    for i, speech in speeches.items():
+        norm = math.sqrt(sum((n * idf[t]) ** 2 for t, n in counts[i].items())) or 1.0
+        rows = []
+        for j, s in enumerate(s for s in SENT.split(speech) if s):
+            ts = terms(s)
+            score = sum(counts[i][t] * idf[t] / norm for t in ts) / len(ts) if ts else None
+            rows.append((score is None, -round(score, 9) if score is not None else 0.0, j, len(s.split())))
+        total, out[i] = 0, []
+        for rank, (_, _, j, n) in enumerate(sorted(rows), start=1):
+            total += n
+            if total > max_words:
+                break
+            out[i].append((j, rank))
     return out
 
 
 def test_summary_sentences(speeches, py_speeches):
-    stops = set(stop_words())
     got = {}
     for r in K.summary_sentences(speeches).collect():
         got.setdefault(r.speech_id, []).append((r.sent_no, r.rank))
-    for sid, (_, speech) in py_speeches.items():
-        assert sorted(got.get(sid, []), key=lambda x: x[1]) == py_summary(speech, stops), sid
+    want = py_summaries({i: s for i, (_, s) in py_speeches.items()}, set(stop_words()))
+    for sid in py_speeches:
+        assert sorted(got.get(sid, []), key=lambda x: x[1]) == want[sid], sid

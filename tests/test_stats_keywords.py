@@ -111,3 +111,21 @@ def test_summary_sentences(spark):  # K6
     out = K.summary_sentences(df, max_words=8).orderBy("rank").collect()
     assert [r.sentence for r in out][:1] == ["Apples are red."] or out[0].score >= out[-1].score
     assert sum(r.n_words for r in out) <= 8
+
+
+def test_summary_ranks_by_corpus_weights(spark):  # K6: a word of all speeches weighs little, however often one speech says it
+    rows = [(1, "Budget talk budget. Zebra sighting."), *[(i, "Budget talk.") for i in range(2, 40)]]
+    df = spark.createDataFrame(rows, "speech_id long, speech string")
+    got = {(r.speech_id, r.rank): r.sentence for r in K.summary_sentences(df).collect()}
+    assert got[1, 1] == "Zebra sighting." and got[1, 2] == "Budget talk budget."
+    own = {x.term: x.weight for x in K.add_term_weights(df.where("speech_id = 1")).first().term_weights}
+    assert (2 * own["budget"] + own["talk"]) / 3 > (own["zebra"] + own["sighting"]) / 2  # the other way round by K1
+
+
+def test_summary_word_budget_and_wordless_speeches(spark):
+    rows = [(1, "Alpha beta. Gamma delta epsilon. Zeta."), (2, "the and of"), (3, "")]
+    df = spark.createDataFrame(rows, "speech_id long, speech string").withColumn("term", F.lit(1))
+    out = K.summary_sentences(df, max_words=3).collect()
+    assert sum(r.n_words for r in out if r.speech_id == 1) <= 3
+    assert [(r.score, r.sentence) for r in out if r.speech_id == 2] == [(None, "the and of")]
+    assert not [r for r in out if r.speech_id == 3]
