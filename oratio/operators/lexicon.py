@@ -1,4 +1,4 @@
-"""Phrase-lexicon scoring.
+"""Lexicon scoring.
 
 All work is per row and JVM-side: a category's hits are a plain sum of ``contains`` terms on
 the lower-cased text, computed once per row; no shuffle, no Python. Expressions are generated
@@ -92,3 +92,38 @@ def tone(tokens: str, weighted_lexicon, threshold: float = 0.5) -> tuple[Column,
     """(subjectivity, label); label ``Formal`` below the threshold else ``Informal``."""
     subj = weighted_mean(tokens, weighted_lexicon)
     return subj, F.when(subj < threshold, F.lit("Formal")).otherwise(F.lit("Informal"))
+
+
+# ---- lexicons as tables (any number of words, categories and weights) -------------------------
+
+def token_table(df: DataFrame, id_col: str, tokens: str) -> DataFrame:
+    """(id, token, n): the distinct tokens of each row with their counts, counted inside the row, so a token travels
+    once per text. ``tokens``: SQL for an array of strings."""
+    runs = ("transform(filter(sequence(1, size(s)), i -> i = 1 OR s[i - 1] <> s[i - 2]), i -> i)")
+    counted = (f"element_at(transform(array(sort_array({tokens})), s -> CASE WHEN size(s) > 0 THEN element_at(transform(array({runs}), "
+               "st -> transform(st, (p, k) -> named_struct('token', s[p - 1], 'n', "
+               "CAST(coalesce(get(st, k + 1), size(s) + 1) - p AS BIGINT)))), 1) END), 1)")
+    return df.select(id_col, F.inline(F.expr(counted)))
+
+
+def token_lexicon_table(df: DataFrame, lexicon: DataFrame, id_col: str, tokens: str) -> DataFrame:
+    """L6 with the lexicon as a table (category, word): rows (id, category, n), n being the number of tokens equal to a word
+    of the category, where it is not zero. A word listed twice in a category counts once, a null word or
+    category never. The join form is left to the optimizer's measured sizes; per id and category
+    the counts add up before they are shuffled."""
+    words = lexicon.select("category", F.col("word").alias("token")).where("category IS NOT NULL AND token IS NOT NULL").distinct()
+    return (token_table(df, id_col, tokens).join(words, "token")
+            .groupBy(id_col, "category").agg(F.sum("n").alias("n")))
+
+
+def tone_table(df: DataFrame, lexicon: DataFrame, id_col: str, tokens: str, threshold: float = 0.5) -> DataFrame:
+    """L7 with the lexicon as a table (word, weight): rows (id, subjectivity, tone) for every id of ``df`` (unique): the
+    mean weight over the tokens that the lexicon holds, 0.0 when it holds none; ``Formal`` below the threshold, else
+    ``Informal``. A (word, weight) listed twice counts once, rows with a null never."""
+    words = lexicon.select(F.col("word").alias("token"), F.col("weight").cast("double").alias("weight")).where(
+        "token IS NOT NULL AND weight IS NOT NULL").distinct()
+    means = (token_table(df, id_col, tokens).join(words, "token").groupBy(id_col)
+             .agg((F.sum(F.col("n") * F.col("weight")) / F.sum("n")).alias("__mean")))
+    subj = F.coalesce("__mean", F.lit(0.0))
+    return df.select(id_col).join(means, id_col, "left").select(
+        id_col, subj.alias("subjectivity"), F.when(subj < threshold, "Formal").otherwise("Informal").alias("tone"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import sqlexpr as Q
 from ..functions import text as T
 from ..functions.lexicons import CHUNK_OVERLAP, CHUNK_SIZE, PROPAGANDA, TOP_TYPES
+from ..session import cut_lineage
 from .windows import check_window
 
 UNSPECIFIED = "Unspecified"
@@ -167,6 +168,24 @@ def model_flag(model, positive_index: int = 1):
     return flag
 
 
+def sql_flag(condition: str):
+    """Flag function for a deterministic rule: SQL in which ``{text}`` stands for the text column."""
+    return lambda df, text: df.withColumn("__model", F.expr(condition.format(text=text)))
+
+
+def flag_once(df: DataFrame, text: str, flag, undecided: Column) -> DataFrame:
+    """``df`` with ``__model``: the flag of each ``undecided`` row's text, every distinct text scored once (false for the
+    other rows). The distinct texts, found by hash and text, are scored into a table of the checkpoint folder, so no later
+    stage or retry calls the model again; the flags come back by hash with a check of the text itself."""
+    h = F.xxhash64(F.col(text))
+    asked = df.where(undecided).select(h.alias("__h"), F.col(text).alias(text)).distinct()
+    # written before it is filtered: a filter on the flag would be moved below the distinct, where texts repeat
+    told = cut_lineage(flag(asked, text).select(F.col("__h").alias("__g"), F.col(text).alias("__text"), "__model")).where("__model")
+    keyed = df.withColumn("__h", F.when(undecided, h))
+    flagged = keyed.join(told.drop("__model"), (F.col("__h") == F.col("__g")) & (F.col(text) == F.col("__text")), "left")
+    return flagged.withColumn("__model", F.col("__g").isNotNull()).drop("__h", "__g", "__text")
+
+
 def propaganda_search_scored(df: DataFrame, flag, lexicon=PROPAGANDA, id_col: str = "speech_id",
                              speech: str = "speech", code: str | None = "code", size: int = CHUNK_SIZE,
                              overlap: int = CHUNK_OVERLAP, k: int = TOP_TYPES) -> DataFrame:
@@ -174,19 +193,21 @@ def propaganda_search_scored(df: DataFrame, flag, lexicon=PROPAGANDA, id_col: st
     it; a sentence of a kept window is a finding when the model flags it or the lexicon types
     it; model-only findings get the type ``Unspecified``.
 
-    The model sees windows and sentences as rows, so this path explodes them and regroups the
-    findings per speech (``collect_list`` bounded by one speech's findings; the grouping key is
-    the unique speech id, so no key is hot), then reuses the row-local P3-P7."""
+    The model is asked once per distinct window and once per distinct sentence (windows overlap by a
+    quarter, speeches repeat phrases), and only where the lexicon has not decided yet. This path explodes
+    windows and sentences and regroups the findings per speech (``collect_list`` bounded by one
+    speech's findings; the grouping key is the unique speech id, so no key is hot), then reuses
+    the row-local P3-P7."""
     from .windows import sliding_windows
 
     searched = df.where(F.col(code) == 1) if code else df
-    chunks = flag(sliding_windows(searched, id_col, speech, size, overlap), "chunk")
-    kept = chunks.where(F.col("__model") | F.expr(Q.any_phrase("lower(chunk)", lexicon)))
+    chunks = sliding_windows(searched, id_col, speech, size, overlap).withColumn(
+        "__lex", F.expr(Q.any_phrase("lower(chunk)", lexicon)))
+    kept = flag_once(chunks, "chunk", flag, ~F.col("__lex")).where(F.col("__model") | F.col("__lex"))
     sents = kept.select(id_col, "chunk_no", F.posexplode(T.sentences("chunk")).alias("sent_no", "sentence"))
-    sents = flag(sents, "sentence")
-    typed = sents.withColumn("type", F.coalesce(
-        F.expr(Q.predominant(Q.hits("lower(sentence)", lexicon), lexicon)),
-        F.when(F.col("__model"), F.lit(UNSPECIFIED))))
+    sents = sents.withColumn("__lex", F.expr(Q.predominant(Q.hits("lower(sentence)", lexicon), lexicon)))
+    sents = flag_once(sents, "sentence", flag, F.col("__lex").isNull())
+    typed = sents.withColumn("type", F.coalesce("__lex", F.when(F.col("__model"), F.lit(UNSPECIFIED))))
     found = (typed.where(F.col("type").isNotNull())
                   .groupBy(id_col)
                   .agg(F.sort_array(F.collect_list(F.struct("chunk_no", "sent_no", "type", "sentence")))

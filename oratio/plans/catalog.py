@@ -136,6 +136,30 @@ def q_tone(spark, d):
     return docs(spark, d).select("doc_id", _r(subj).alias("subjectivity"), label.alias("tone"))
 
 
+# Lexicons made of the corpus' own terms, by the terms' length and letters: category, or weight between 0 and 1.
+TERM_CATEGORY = "concat('length_', CAST(length(word) % 9 AS STRING))"
+TERM_WEIGHT = "((length(word) * 31 + 7 * (length(word) - length(replace(word, 'a', '')))) % 97) / 96.0D"
+
+
+def corpus_words(spark, d, least_length):
+    """The distinct terms of the documents, of a length and more: thousands of lexicon words."""
+    return (docs(spark, d).select(F.explode(T.terms("text")).alias("word")).distinct()
+            .where(F.length("word") >= least_length))
+
+
+def q_token_lexicon_table(spark, d):
+    """L6 with a lexicon table of all corpus terms of five letters and more."""
+    lexicon = corpus_words(spark, d, 5).select(F.expr(TERM_CATEGORY).alias("category"), "word")
+    return L.token_lexicon_table(docs(spark, d), lexicon, "doc_id", T.sql_terms("text"))
+
+
+def q_tone_table(spark, d):
+    """L7 with a lexicon table of all corpus terms of six letters and more, some ninety weights."""
+    lexicon = corpus_words(spark, d, 6).select("word", F.expr(TERM_WEIGHT).alias("weight"))
+    t = L.tone_table(docs(spark, d), lexicon, "doc_id", T.sql_terms("text"), threshold=0.47)
+    return t.select("doc_id", _r(F.col("subjectivity")).alias("subjectivity"), "tone")
+
+
 # ---- 2.6 generators --------------------------------------------------------------------------
 
 def q_sliding_windows(spark, d):
@@ -329,6 +353,17 @@ def q_propaganda_report_model(spark, d):
     return out.select("speech_id", "propaganda_type", "offsets")
 
 
+# A rule in a classifier's place whose answers both engines can give.
+FLAG_RULE = "length({text}) % 5 = 0"
+
+
+def q_propaganda_report_flag(spark, d):
+    """M4 + P1-P7 with a deterministic flag in the classifier's place: windows and sentences gated by it or the lexicon."""
+    from ..session import cut_lineage
+    out = P.propaganda_search_scored(cut_lineage(usable(spark, d)), P.sql_flag(FLAG_RULE), PROBE)
+    return out.select("speech_id", "propaganda_type", "offsets")
+
+
 def q_speech_file_roundtrip(spark, d):
     """S2 -> S1 -> F1-F4: the speech view written as the TSV input format into the checkpoint
     folder, read back and cleaned (ids come from file order, so they are left out)."""
@@ -401,6 +436,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "toxicity_text": q_toxicity_text,
     "token_lexicon_counts": q_token_lexicon_counts,
     "tone": q_tone,
+    "token_lexicon_table": q_token_lexicon_table,
+    "tone_table": q_tone_table,
     "sliding_windows": q_sliding_windows,
     "sentences": q_sentences,
     "token_counts": q_token_counts,
@@ -430,6 +467,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nearest_vectors": q_nearest_vectors,
     "toxic_model": q_toxic_model,
     "propaganda_report_model": q_propaganda_report_model,
+    "propaganda_report_flag": q_propaganda_report_flag,
     "topics": q_topics,
     "speech_embeddings": q_speech_embeddings,
     "enrich": q_enrich,

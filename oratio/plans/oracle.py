@@ -67,21 +67,26 @@ def _ordinal(n: str) -> str:
 
 # ---- search (shared by the propaganda queries) -----------------------------------------------
 
-def _findings_ctes(lexicon, routed: bool) -> str:
+def _findings_ctes(lexicon, routed: bool, flag: str | None = None) -> str:
+    """``flag``: SQL of a rule in the classifier's place, ``{text}`` standing for the text (M4)."""
     hits = hits_sql("ls", lexicon)
     where = "WHERE code = 1" if routed else ""
+    gate = f" OR {flag.format(text='chunk')}" if flag else ""
+    typed = predominant_sql([f'h{i}' for i in range(len(lexicon))], lexicon)
+    if flag:
+        typed = f"coalesce({typed}, CASE WHEN {flag.format(text='sentence')} THEN 'Unspecified' END)"
     return f"""{BASE},
 sp AS (SELECT speech_id, code, speech FROM usable {where}),
 ww AS (SELECT speech_id, {T.duck_words('speech')} AS w FROM sp),
 st AS (SELECT speech_id, w, unnest(generate_series(0, len(w) - 1, {STEP})) AS st FROM ww WHERE len(w) > 0),
 ch AS (SELECT speech_id, st // {STEP} AS chunk_no, array_to_string(w[st + 1 : st + {CHUNK_SIZE}], ' ') AS chunk FROM st),
-chk AS (SELECT * FROM ch WHERE {any_phrase_sql('lower(chunk)', lexicon)}),
+chk AS (SELECT * FROM ch WHERE {any_phrase_sql('lower(chunk)', lexicon)}{gate}),
 ss AS (SELECT speech_id, chunk_no, {T.duck_sentences('chunk')} AS ss FROM chk),
 se AS (SELECT speech_id, chunk_no, unnest(ss) AS sentence, unnest(range(len(ss))) AS sent_no FROM ss),
 hs AS (SELECT speech_id, chunk_no, sent_no, sentence, {', '.join(f'{h} AS h{i}' for i, h in enumerate(hits))}
        FROM (SELECT *, lower(sentence) AS ls FROM se)),
 fd AS (SELECT speech_id, chunk_no, sent_no, sentence,
-       {predominant_sql([f'h{i}' for i in range(len(lexicon))], lexicon)} AS type FROM hs),
+       {typed} AS type FROM hs),
 fo AS (SELECT *, row_number() OVER (PARTITION BY speech_id ORDER BY chunk_no, sent_no) - 1 AS ord
        FROM fd WHERE type IS NOT NULL),
 tc AS (SELECT speech_id, type, count(*) AS n, min(ord) AS first_seen FROM fo GROUP BY speech_id, type),
@@ -112,9 +117,9 @@ def offsets_sql():
             "FROM so")
 
 
-def report_sql(lexicon):
+def report_sql(lexicon, flag=None):
     lab = T.duck_label("type")
-    return _findings_ctes(lexicon, True) + f""",
+    return _findings_ctes(lexicon, True, flag) + f""",
 pt AS (SELECT speech_id, type, rank, coalesce(string_agg(CASE WHEN start >= 0 THEN '[' || start || ':' || (start + len) || ']' END,
        ', ' ORDER BY chunk_no, sent_no), '') AS spans FROM so JOIN tt USING (speech_id, type) GROUP BY speech_id, type, rank),
 rep AS (SELECT speech_id, string_agg({lab}, {NL} ORDER BY rank) AS types_text,
@@ -446,6 +451,25 @@ def tone_sql(table="documents", key="doc_id", text="text"):
             f"AS tone FROM (SELECT {key}, {T.duck_terms(text)} AS tok FROM {table})")
 
 
+def _corpus_words_cte(least_length):
+    return (f"tk AS (SELECT doc_id, unnest({T.duck_terms('text')}) AS word FROM documents),\n"
+            f"lx AS (SELECT DISTINCT word FROM tk WHERE length(word) >= {least_length})")
+
+
+def token_lexicon_table_sql():
+    return f"""WITH {_corpus_words_cte(5)},
+lc AS (SELECT word, 'length_' || CAST(length(word) % 9 AS VARCHAR) AS category FROM lx)
+SELECT doc_id, category, count(*) AS n FROM tk JOIN lc USING (word) GROUP BY doc_id, category"""
+
+
+def tone_table_sql():
+    return f"""WITH {_corpus_words_cte(6)},
+lw AS (SELECT word, ((length(word) * 31 + 7 * (length(word) - length(replace(word, 'a', '')))) % 97) / 96.0::DOUBLE AS weight FROM lx),
+m AS (SELECT doc_id, avg(weight) AS s FROM tk JOIN lw USING (word) GROUP BY doc_id)
+SELECT d.doc_id, round(coalesce(m.s, 0.0), 6) AS subjectivity, CASE WHEN coalesce(m.s, 0.0) < 0.47 THEN 'Formal' ELSE 'Informal' END AS tone
+FROM documents d LEFT JOIN m USING (doc_id)"""
+
+
 # Each text is built when it is asked for, so a fault in one leaves the others usable.
 ORACLE: dict[str, Callable[[], str]] = {
     "drop_incomplete": lambda: (f"{BASE} SELECT speech_id, surname, CAST(code AS BIGINT) AS code, "
@@ -477,6 +501,8 @@ ORACLE: dict[str, Callable[[], str]] = {
     "toxicity_text": toxicity_text_sql,
     "token_lexicon_counts": token_lexicon_counts_sql,
     "tone": tone_sql,
+    "token_lexicon_table": token_lexicon_table_sql,
+    "tone_table": tone_table_sql,
     "sliding_windows": lambda: (f"WITH ww AS (SELECT doc_id, {T.duck_words('text')} AS w FROM documents), "
                         f"st AS (SELECT doc_id, w, unnest(generate_series(0, len(w) - 1, {STEP})) AS st FROM ww "
                         f"WHERE len(w) > 0) SELECT doc_id, CAST(st // {STEP} AS BIGINT) AS chunk_no, "
@@ -495,6 +521,7 @@ ORACLE: dict[str, Callable[[], str]] = {
     "propaganda_offsets": offsets_sql,
     "propaganda_report": lambda: report_sql(PROPAGANDA),
     "propaganda_report_probe": lambda: report_sql(PROBE),
+    "propaganda_report_flag": lambda: report_sql(PROBE, "length({text}) % 5 = 0"),
     "narrative_structure": narrative_sql,
     "narrative_text": narrative_text_sql,
     "text_counters": lambda: f"{BASE}, {COUNTERS} SELECT speech_id, words, sentences, syllables, characters, polysyllables FROM counters",

@@ -3,6 +3,7 @@ fixtures c11-c16, c18-c22, c28, c29 and properties."""
 
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from oratio.functions import text as T
 from oratio.functions.lexicons import PERSUASION, PROPAGANDA, TOXICITY
@@ -129,3 +130,50 @@ def test_model_gate_unspecified(spark):  # c22
     assert out[1].propaganda_type == "Unspecified\nOpposition distortion"
     assert out[1].offsets == "Unspecified: [12:24]\nOpposition distortion: [25:42]"
     assert out[2].propaganda_type == "Not propaganda" and out[3].propaganda_type == "Not identified"
+
+
+def test_model_is_asked_once_per_distinct_text(spark, tmp_path):  # M4
+    import numpy as np
+    from oratio.operators.models import Scorer
+
+    log = str(tmp_path / "asked")  # local workers append what they are asked, one line a text
+
+    def load():
+        def score(texts):
+            with open(log, "a") as f:
+                f.writelines(repr(t) + "\n" for t in texts)
+            return np.array([[0.0, 1.0] if "vote" in t.lower() else [1.0, 0.0] for t in texts])
+        return score
+
+    same = "Calm words here. Vote for us. Nothing more. "
+    long = " ".join(f"Sentence {i % 50} says vote. They are corrupt." if i % 7 == 0 else f"Plain words {i % 60} follow." for i in range(300))
+    rows = [(1, 1, same), (2, 1, same), (3, 1, same * 2), (4, 1, long), (5, 1, long), (6, 0, "Vote, code zero."), (7, 1, "")]
+    df = spark.createDataFrame(rows, "speech_id long, code int, speech string").repartition(4)
+    out = P.propaganda_search_scored(df, P.scorer_flag(Scorer(load, ["none", "propaganda"])))
+    got = {r.speech_id: r for r in out.collect()}
+    out.count()  # a second action does not ask again
+    asked = open(log).read().splitlines()
+    assert len(asked) == len(set(asked)) and not any("code zero" in a or a == repr("They are corrupt.") for a in asked)
+    assert got[1].propaganda_type == "Unspecified" and got[1].offsets == got[2].offsets == "Unspecified: [17:29]"
+    assert got[4].findings == got[5].findings and {f.type for f in got[4].findings} == {"opposition_distortion", "Unspecified"}
+    assert got[6].propaganda_type == "Not propaganda" and got[7].propaganda_type == "Not identified"
+
+
+def test_lexicon_tables_equal_the_literal_forms(spark):  # L6, L7
+    texts = ["good bad good fine now", "bad most leaders now now", "nothing", "", None, "good " * 500 + "bad"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, speech string").withColumn("n", F.lit(1)).withColumn("token", F.lit("x"))
+    words = [("good", 0.6), ("bad", 0.2), ("fine", 0.9), ("bad", 0.4)]
+    subj, label = L.tone(T.sql_terms("speech"), words)
+    want = {r.id: (round(r.s or 0.0, 9), r.t or "Informal") for r in df.select("id", subj.alias("s"), label.alias("t")).collect()}
+    table = spark.createDataFrame([*words, ("good", 0.6), (None, 0.1), ("fine", None)], "word string, weight double")
+    got = {r.id: (round(r.subjectivity, 9), r.tone) for r in L.tone_table(df, table, "id", T.sql_terms("speech")).collect()}
+    assert {i: got[i] for i in got if texts[i]} == {i: want[i] for i in want if texts[i]}
+    assert got[3] == got[4] == (0.0, "Formal") and len(got) == len(texts)
+
+    rows = [(c, w) for c, ws in PERSUASION for w in ws]
+    table = spark.createDataFrame([*rows, *rows[:3], ("urgency", None)], "category string, word string")
+    counts = df.select("id", *[c.alias(n) for (n, _), c in zip(PERSUASION, L.token_lexicon_counts(T.sql_ptokens("speech"), PERSUASION))])
+    want = {(r.id, n, r[n]) for r in counts.collect() for n, _ in PERSUASION if r[n] and r[n] > 0}
+    got = {tuple(r) for r in L.token_lexicon_table(df, table, "id", T.sql_ptokens("speech")).select("id", "category", "n").collect()}
+    assert got == want and got
+    assert L.tone_table(df.limit(0), table.selectExpr("word", "1.0 AS weight"), "id", T.sql_terms("speech")).count() == 0
