@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.lexicons import EMOTION_LABELS, SENTIMENT_LABELS
+from ..session import cut_lineage
 
 
 def _capitalize(s: str) -> str:
@@ -93,6 +94,49 @@ def label_from_model(model: PipelineModel, df: DataFrame, text: str, labels: lis
     return scored.drop("__tok", "__tf", "__features", "__prob", "__pred", "__raw", "__p")
 
 
+class LabelModel:
+    """A trained model of any number of labels (M1-M3): ``labels`` in ascending order, the fitted pipeline and its input limit.
+    Only the first ``max_terms`` terms of a text count, as with a model of limited input."""
+
+    def __init__(self, model: PipelineModel, labels: list[str], max_terms: int):
+        self.model, self.labels, self.max_terms = model, labels, max_terms
+
+    def score(self, df: DataFrame, text: str, out: str, prob_out: str | None = None) -> DataFrame:
+        """``df`` with the label of the greatest probability, capitalised; of equal ones the first label. JVM only."""
+        scored = self.model.transform(df.withColumn("__tok", first_terms(text, self.max_terms)))
+        p = vector_to_array("__prob")
+        names = F.array(*[F.lit(_capitalize(x)) for x in self.labels])
+        scored = scored.withColumn("__p", p).withColumn(out, F.element_at(names, F.array_position("__p", F.array_max("__p")).cast("int")))
+        if prob_out:
+            scored = scored.withColumn(prob_out, F.array_max("__p"))
+        return scored.drop("__tok", "__tf", "__features", "__prob", "__pred", "__raw", "__p")
+
+
+def first_terms(text: str, max_terms: int) -> Column:
+    """The first ``max_terms`` terms of a text; none for a null text."""
+    return F.coalesce(F.slice(T.terms(text), 1, max_terms), F.array().cast("array<string>"))
+
+
+def fit_labels(df: DataFrame, text: str, label: str, max_terms: int = 512, num_features: int = 1 << 16, max_iter: int = 30,
+               reg: float = 0.01, max_labels: int = 1000) -> LabelModel:
+    """M1-M3 trained where labels exist: multinomial logistic regression over hashed terms, one class for each distinct
+    label in ascending order. Rows without a label are not used. ``max_labels`` bounds the model (labels x features
+    in the driver); more labels are an error."""
+    labelled = df.where(F.col(label).isNotNull()).select(first_terms(text, max_terms).alias("__tok"), F.col(label).alias("__name"))
+    labels = sorted(r[0] for r in labelled.select("__name").distinct().limit(max_labels + 1).collect())
+    if not 2 <= len(labels) <= max_labels:
+        raise ValueError(f"{len(labels)} labels; 2 to {max_labels} can be told apart")
+    index = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("__name")).cast("double") - 1
+    train = cut_lineage(labelled.select("__tok", index.alias("__label")))  # the fit reads it many times
+    pipe = Pipeline(stages=[
+        HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=num_features),
+        IDF(inputCol="__tf", outputCol="__features"),
+        LogisticRegression(featuresCol="__features", labelCol="__label", family="multinomial", maxIter=max_iter, regParam=reg,
+                           probabilityCol="__prob", predictionCol="__pred", rawPredictionCol="__raw"),
+    ])
+    return LabelModel(pipe.fit(train), labels, max_terms)
+
+
 def add_toxicity_model(df: DataFrame, model: PipelineModel, text: str = "speech",
                        out: str = "toxicity_model", prob_out: str | None = None) -> DataFrame:
     """M5: label from a trained toxicity classifier (+ its probability)."""

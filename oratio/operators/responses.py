@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.lexicons import RESPONSE_FIELDS
+from ..session import cut_lineage
 from ..sources.tables import table
 
 FIELDS = RESPONSE_FIELDS
@@ -24,12 +25,22 @@ def responses_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("doc_id").alias("seq"))
 
 
+def _key(speech: str):
+    """Columns that stand for a speech text: two hashes and the length. Joins on them check the text as well."""
+    return [F.xxhash64(speech).alias("__h"), F.hash(speech).alias("__g"), F.length(speech).alias("__n")]
+
+
 def latest_responses(responses: DataFrame) -> DataFrame:
-    """J3 dedup: one response per speech text, the highest ``seq`` wins (later answers replace
-    earlier ones). Keyed by a 64-bit hash plus the text, so sorting compares longs first."""
-    return (responses.withColumn("__h", F.xxhash64("speech"))
-                     .groupBy("__h", "speech")
-                     .agg(F.max_by("response", "seq").alias("response")))
+    """J3 dedup: one response per speech text, the highest ``seq`` wins (later answers replace earlier ones; of equal
+    ``seq`` the response of the greatest hash, then text). Rows (__h, __g, __n, speech, response).
+
+    The winner of each text is found on numbers alone: the greatest ``seq`` per hash key, a hash aggregate. One join then
+    fetches the winning rows by key and ``seq``, so the many answers of a popular text spread over partitions."""
+    keyed = responses.select(*_key("speech"), "seq", "speech", "response")
+    top = keyed.groupBy("__h", "__g", "__n").agg(F.max("seq").alias("seq"))
+    one = Window.partitionBy("__h", "__g", "__n", "seq").orderBy(F.xxhash64("response").desc(), F.col("response").desc())
+    won = keyed.withColumn("__r", F.row_number().over(one)).where(F.col("__r") == 1).drop("__r")
+    return won.join(top, ["__h", "__g", "__n", "seq"]).drop("seq")
 
 
 def parse_responses(df: DataFrame, col: str = "response") -> DataFrame:
@@ -49,11 +60,42 @@ def parse_responses(df: DataFrame, col: str = "response") -> DataFrame:
 
 
 def add_responses(df: DataFrame, latest: DataFrame, speech: str = "speech") -> DataFrame:
-    """Attach the latest response by speech text (left join; missing -> eight ``N/A``)."""
-    left = df.withColumn("__h", F.xxhash64(speech))
+    """Attach the latest response by speech text (left join; missing -> eight ``N/A``). ``latest``: of
+    ``latest_responses``. Equal hash keys are not enough, the texts are compared."""
+    left = df.select("*", *_key(speech))
     right = latest.withColumnRenamed("speech", "__rs")
-    joined = left.join(right, (left["__h"] == right["__h"]) & (left[speech] == right["__rs"]), "left")
-    return parse_responses(joined.drop(right["__h"]).drop("__h", "__rs"), "response").drop("response")
+    same = [left[k] == right[k] for k in ("__h", "__g", "__n")]
+    joined = left.join(right, same[0] & same[1] & same[2] & (left[speech] == right["__rs"]), "left")
+    for k in ("__h", "__g", "__n"):
+        joined = joined.drop(left[k]).drop(right[k])
+    return parse_responses(joined.drop("__rs"), "response").drop("response")
+
+
+def _asked(pairs: DataFrame, complete: Callable[[str | None, str], str]) -> DataFrame:
+    """(name, speech, response, error, seq): one call for each row of ``pairs`` (name, speech, seq)."""
+    def run(it):
+        for pdf in it:
+            resp, err = [], []
+            for n, s in zip(pdf["name"], pdf["speech"]):
+                try:
+                    resp.append(complete(n, s))
+                    err.append(None)
+                except Exception as e:  # per-row failure, the batch goes on
+                    resp.append(None)
+                    err.append(f"{type(e).__name__}: {e}")
+            yield pd.DataFrame({"name": pdf["name"].values, "speech": pdf["speech"].values, "response": resp,
+                                "error": err, "seq": pdf["seq"].values})
+
+    return pairs.mapInPandas(run, ANSWER)
+
+
+ANSWER = "name string, speech string, response string, error string, seq bigint"
+
+
+def _pairs(df: DataFrame, name: str, speech: str, id_col: str, partitions: int | None) -> DataFrame:
+    pairs = (df.groupBy(F.col(name).alias("name"), F.col(speech).alias("speech"))
+             .agg(F.max(id_col).cast("bigint").alias("seq")))
+    return pairs.repartition(partitions) if partitions else pairs
 
 
 def extract_with(df: DataFrame, complete: Callable[[str | None, str], str], name: str = "full_name",
@@ -68,29 +110,49 @@ def extract_with(df: DataFrame, complete: Callable[[str | None, str], str], name
     ``seq`` is the highest ``id_col`` of each (name, speech), so of two names asking about one
     speech the later input row wins, whatever the partitioning. Failed calls keep their row here
     (with ``error``); ``usable_responses`` drops them before J3."""
-    pairs = df.groupBy(name, speech).agg(F.max(id_col).cast("bigint").alias("seq"))
-    pairs = pairs.repartition(partitions) if partitions else pairs
-
-    def run(it):
-        for pdf in it:
-            resp, err = [], []
-            for n, s in zip(pdf[name], pdf[speech]):
-                try:
-                    resp.append(complete(n, s))
-                    err.append(None)
-                except Exception as e:  # per-row failure, the batch goes on
-                    resp.append(None)
-                    err.append(f"{type(e).__name__}: {e}")
-            yield pd.DataFrame({"name": pdf[name].values, "speech": pdf[speech].values, "response": resp,
-                                "error": err, "seq": pdf["seq"].values})
-
-    out = pairs.mapInPandas(run, "name string, speech string, response string, error string, seq bigint")
-    if materialize:
-        from ..session import cut_lineage
-        out = cut_lineage(out)
-    return out
+    out = _asked(_pairs(df, name, speech, id_col, partitions), complete)
+    return cut_lineage(out) if materialize else out
+
+
+def stored_answers(spark: SparkSession, store: str) -> DataFrame | None:
+    """All generations of a response store: the columns of ``extract_with`` and ``generation``; None before the first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(store)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(
+        spark._jvm.org.apache.hadoop.fs.Path(f"{store.rstrip('/')}/generation=*/_SUCCESS"))
+    if not found:
+        return None
+    done = [str(f.getPath().getParent()) for f in found]  # a generation whose job did not end is not read
+    return spark.read.schema(ANSWER + ", generation bigint").option("basePath", store).parquet(*done)
+
+
+def extract_missing(df: DataFrame, store: str, complete: Callable[[str | None, str], str], name: str = "full_name",
+                    speech: str = "speech", id_col: str = "speech_id", partitions: int | None = None) -> DataFrame:
+    """M7, one run of many: the pairs (name, speech) of ``df`` without an answer in the ``store`` folder are asked, failed
+    ones again, answered ones never, and appended to the store as its next generation. Returns the whole store.
+
+    A run that is cut off leaves an unfinished generation, which is not read and is written anew by the next run.
+    Pairs are matched by hash and confirmed by name and text; null names match each other."""
+    spark = df.sparkSession
+    before = stored_answers(spark, store)
+    pairs = _pairs(df, name, speech, id_col, None)
+    number = 0
+    if before is not None:
+        number = before.agg(F.max("generation")).first()[0]
+        number = 0 if number is None else number + 1
+        answered = before.where("error IS NULL").select(F.xxhash64("name", "speech").alias("__h"), F.col("name").alias("__n"),
+                                                        F.col("speech").alias("__s")).distinct()
+        pairs = pairs.withColumn("__k", F.xxhash64("name", "speech")).join(
+            answered, (F.col("__k") == F.col("__h")) & F.col("name").eqNullSafe(F.col("__n")) & F.col("speech").eqNullSafe(F.col("__s")),
+            "left_anti").drop("__k")
+    asked = _asked(pairs.repartition(partitions) if partitions else pairs, complete)
+    asked.write.mode("overwrite").parquet(f"{store.rstrip('/')}/generation={number}")
+    return stored_answers(spark, store)
 
 
 def usable_responses(extracted: DataFrame) -> DataFrame:
-    """The answered rows of ``extract_with``; a failed call never replaces an answer."""
-    return extracted.where(F.col("error").isNull()).select("speech", "response", "seq")
+    """The answered rows of ``extract_with`` or ``extract_missing`` as (speech, response, seq); a failed call never replaces
+    an answer. Of a store, a later generation wins over an earlier one, then the higher id: ``seq`` orders by both."""
+    seq = F.col("seq")
+    if "generation" in extracted.columns:
+        seq = (F.col("generation").cast("decimal(18,0)") * F.lit(str(1 << 63)).cast("decimal(19,0)") + F.col("seq")).cast("decimal(38,0)")
+    return extracted.where(F.col("error").isNull()).select("speech", "response", seq.alias("seq"))

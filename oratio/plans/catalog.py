@@ -37,6 +37,10 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
+def docs_with(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", *columns), "doc_id")
+
+
 def with_links(c):
     """Inject a link and a no-break space so F3 has something to remove (documents hold none)."""
     return F.concat(F.substring(c, 1, 120), F.lit(LINK_INSERT),
@@ -103,6 +107,29 @@ def q_parse_responses(spark, d):
         "doc_id", *R.FIELDS, "fields_found")
 
 
+def example_answer(name, speech):
+    """A stand-in for the external model: field texts made of the request."""
+    return f"{name}${len(speech)}$first words: {speech[:20]}"
+
+
+def example_answer_at_first(name, speech):
+    """The same service on a bad day: it fails for every third length."""
+    if len(speech) % 3 == 0:
+        raise RuntimeError("try again")
+    return example_answer(name, speech)
+
+
+def q_extract_responses(spark, d):
+    """M7 twice over all documents into one store: the second run asks only what failed in the first."""
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    asked = table(spark, d, "documents").select("doc_id", "source", "text")
+    store = f"{ensure_checkpoint_dir(spark).rstrip('/')}/answers-{uuid.uuid4().hex}"
+    for answer in (example_answer_at_first, example_answer):
+        out = R.extract_missing(asked, store, answer, "source", "text", "doc_id")
+    return out.where("error IS NULL").select("name", F.md5("speech").alias("speech_md5"), "response", "seq", "generation")
+
+
 def q_page_titles(spark, d):
     return table(spark, d, "pages").select("page_id", J.first_tag_text(F.col("html"), "title").alias("title"))
 
@@ -180,6 +207,10 @@ def q_token_counts(spark, d):
         F.size(T.sentences("text")).cast("bigint").alias("n_sentences"))
 
 
+def q_token_rows(spark, d):
+    return G.token_rows(docs(spark, d), "doc_id", "text").select("doc_id", F.col("pos").cast("bigint").alias("pos"), "token")
+
+
 # ---- 2.7 propaganda --------------------------------------------------------------------------
 
 def _search(spark, d, lexicon, routed):
@@ -388,14 +419,23 @@ def q_toxic_model(spark, d):
     return out.select("doc_id", "toxicity", _r(F.col("p")).alias("p"))
 
 
+def q_score_text(spark, d):
+    """M1-M3: a model of all languages of ``documents``, trained on its rows and applied to every row."""
+    from ..operators.models import fit_labels
+    t = docs_with(spark, d, "lang")
+    out = fit_labels(t, "text", "lang").score(t, "text", "label", "p")
+    return out.select("doc_id", "label", _r(F.col("p")).alias("p"))
+
+
 def q_topics(spark, d):
     return K.topics(usable(spark, d), k=5)
 
 
 def q_speech_embeddings(spark, d):
+    """E1+E2+F8. Ten places: a mean over few words often ends in a 5 behind the sixth."""
     e = E.speech_embeddings(usable(spark, d), "speech_id", "speech")
     return e.select("speech_id", F.posexplode("embedding").alias("dim", "value")).select(
-        "speech_id", F.col("dim").cast("bigint").alias("dim"), _r(F.col("value")).alias("value"))
+        "speech_id", F.col("dim").cast("bigint").alias("dim"), _r(F.col("value"), 10).alias("value"))
 
 
 def q_enrich_values(spark, d):
@@ -429,6 +469,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "response_join": q_response_join,
     "parse_responses": q_parse_responses,
     "page_titles": q_page_titles,
+    "extract_responses": q_extract_responses,
     "lexicon_hits_propaganda": q_lexicon_hits(PROPAGANDA),
     "lexicon_hits_toxicity": q_lexicon_hits(TOXICITY),
     "lexicon_hits_probe": q_lexicon_hits(PROBE),
@@ -441,6 +482,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sliding_windows": q_sliding_windows,
     "sentences": q_sentences,
     "token_counts": q_token_counts,
+    "token_rows": q_token_rows,
     "propaganda_findings": q_findings(PROPAGANDA, True),
     "propaganda_findings_probe": q_findings(PROBE, False),
     "propaganda_type_counts": q_type_counts,
@@ -468,6 +510,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "toxic_model": q_toxic_model,
     "propaganda_report_model": q_propaganda_report_model,
     "propaganda_report_flag": q_propaganda_report_flag,
+    "score_text": q_score_text,
     "topics": q_topics,
     "speech_embeddings": q_speech_embeddings,
     "enrich": q_enrich,

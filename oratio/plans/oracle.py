@@ -470,6 +470,28 @@ SELECT d.doc_id, round(coalesce(m.s, 0.0), 6) AS subjectivity, CASE WHEN coalesc
 FROM documents d LEFT JOIN m USING (doc_id)"""
 
 
+def speech_embeddings_sql(dim=64):
+    """Each place of a chunk's vector: words of its even code less words of its odd one, by the chunk's words."""
+    return f"""{BASE},
+ww AS (SELECT speech_id, {T.duck_words('speech')} AS w FROM usable),
+st AS (SELECT speech_id, w, unnest(generate_series(0, len(w) - 1, {STEP})) AS st FROM ww WHERE len(w) > 0),
+tk AS (SELECT speech_id, st, unnest(w[st + 1 : st + {CHUNK_SIZE}]) AS t, len(w[st + 1 : st + {CHUNK_SIZE}]) AS n FROM st),
+cd AS (SELECT speech_id, st, n, ('0x' || substring(md5(lower(t)), 1, 8))::BIGINT % {2 * dim} AS code FROM tk),
+ch AS (SELECT speech_id, st, code // 2 AS dim, sum(CASE WHEN code % 2 = 0 THEN 1 ELSE -1 END) / any_value(n) AS v
+       FROM cd GROUP BY speech_id, st, code // 2),
+sp AS (SELECT speech_id, dim, sum(v) AS v FROM ch GROUP BY speech_id, dim),
+nc AS (SELECT speech_id, count(*) AS c FROM st GROUP BY speech_id),
+dm AS (SELECT unnest(range({dim})) AS dim)
+SELECT u.speech_id, dm.dim, round(coalesce(sp.v / nc.c, 0.0), 10) AS value
+FROM usable u CROSS JOIN dm LEFT JOIN sp ON sp.speech_id = u.speech_id AND sp.dim = dm.dim LEFT JOIN nc ON nc.speech_id = u.speech_id"""
+
+
+def extract_responses_sql():
+    return """SELECT source AS name, md5(text) AS speech_md5, source || '$' || length(text) || '$first words: ' || substring(text, 1, 20)
+  AS response, max(doc_id) AS seq, CAST(CASE WHEN length(text) % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS generation
+FROM documents GROUP BY source, text"""
+
+
 # Each text is built when it is asked for, so a fault in one leaves the others usable.
 ORACLE: dict[str, Callable[[], str]] = {
     "drop_incomplete": lambda: (f"{BASE} SELECT speech_id, surname, CAST(code AS BIGINT) AS code, "
@@ -511,6 +533,10 @@ ORACLE: dict[str, Callable[[], str]] = {
     "sentences": lambda: (f"SELECT doc_id, CAST(sent_no AS BIGINT) AS sent_no, sentence FROM (SELECT doc_id, "
                   f"unnest(ss) AS sentence, unnest(range(len(ss))) AS sent_no FROM "
                   f"(SELECT doc_id, {T.duck_sentences('text')} AS ss FROM documents))"),
+    "speech_embeddings": speech_embeddings_sql,
+    "extract_responses": extract_responses_sql,
+    "token_rows": lambda: (f"SELECT doc_id, CAST(pos AS BIGINT) AS pos, token FROM (SELECT doc_id, unnest(t) AS token, "
+                   f"unnest(range(len(t))) AS pos FROM (SELECT doc_id, {T.duck_terms('text')} AS t FROM documents))"),
     "token_counts": lambda: (f"SELECT doc_id, CAST(len({T.duck_words('text')}) AS BIGINT) AS n_words, "
                      f"CAST(len({T.duck_terms('text')}) AS BIGINT) AS n_terms, "
                      f"CAST(len({T.duck_sentences('text')}) AS BIGINT) AS n_sentences FROM documents"),

@@ -2,6 +2,7 @@
 streaming, the enrichment (Z1) and the driver entry points."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from oratio.operators import embed as E
@@ -255,3 +256,139 @@ def test_toxic_model_query_runs_m5(spark, sf_dir, monkeypatch):
     out = catalog.q_toxic_model(spark, sf_dir)
     assert calls and out.columns == ["doc_id", "toxicity", "p"]
     assert {r.toxicity for r in out.select("toxicity").distinct().collect()} <= {"Not toxic", "Toxic"}
+
+
+def test_latest_response_of_ties_and_popular_texts(spark):  # J3
+    rows = [("t", f"r{i}", i % 50) for i in range(3000)] + [("t", "x", 49), ("u", "only", None), ("u", "only", None), (None, "n", 1), ("", "e", 2)]
+    resp = spark.createDataFrame(rows, "speech string, response string, seq long")
+    got = [(r.speech, r.response) for r in R.latest_responses(resp).collect() if r.speech is not None]
+    assert sorted(s for s, _ in got) == ["", "t"] and dict(got)["t"] in {r for s, r, q in rows if s == "t" and q == 49}
+    again = [(r.speech, r.response) for r in R.latest_responses(resp.repartition(7)).collect() if r.speech is not None]
+    assert sorted(got) == sorted(again)  # ties are decided by the response, not by the order
+    sp = spark.createDataFrame([(1, "t"), (2, "t"), (3, "none"), (4, None)], "speech_id long, speech string").withColumn("seq", F.lit(0))
+    out = R.add_responses(sp, R.latest_responses(resp))
+    assert out.columns[:3] == ["speech_id", "speech", "seq"] and not any(c.startswith("__") for c in out.columns)
+    assert {r.speech_id: r.fields_found for r in out.collect()} == {1: 1, 2: 1, 3: 0, 4: 0}
+
+
+def test_response_join_aggregates_numbers_only(spark):  # J3
+    sp = spark.createDataFrame([(1, "t")], "speech_id long, speech string")
+    resp = spark.createDataFrame([("t", "r", 1)], "speech string, response string, seq long")
+    plan = R.add_responses(sp, R.latest_responses(resp))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_extract_missing_asks_new_and_failed_pairs_only(spark, tmp_path):  # M7
+    log, store = str(tmp_path / "calls"), str(tmp_path / "store")
+
+    def service(fails):
+        def complete(name, speech):
+            with open(log, "a") as f:
+                f.write(f"{name}|{speech}\n")
+            if speech in fails:
+                raise RuntimeError("rate limited")
+            return f"{speech} by {name}"
+        return complete
+
+    def run(rows, fails=()):
+        open(log, "w").close()
+        df = spark.createDataFrame(rows, "speech_id long, full_name string, speech string").repartition(3)
+        out = R.extract_missing(df, store, service(fails))
+        return out, sorted(open(log).read().splitlines())
+
+    assert R.stored_answers(spark, store) is None
+    rows = [(1, "Ada", "s1"), (2, "Ada", "s1"), (3, "Bo", "s2"), (4, None, "s3"), (5, "Cy", "s4")]
+    _, calls = run(rows, {"s2", "s4"})
+    assert calls == ["Ada|s1", "Bo|s2", "Cy|s4", "None|s3"]
+    _, calls = run([*rows, (6, "Di", "s5")], {"s4"})
+    assert calls == ["Bo|s2", "Cy|s4", "Di|s5"]
+    out, calls = run([*rows, (6, "Di", "s5"), (7, "Ed", "s1")])
+    assert calls == ["Cy|s4", "Ed|s1"]
+    _, calls = run(rows)
+    assert calls == []
+    kept = {(r.name, r.speech): (r.response, r.generation) for r in out.where("error IS NULL").collect()}
+    assert kept == {("Ada", "s1"): ("s1 by Ada", 0), (None, "s3"): ("s3 by None", 0), ("Bo", "s2"): ("s2 by Bo", 1),
+                    ("Di", "s5"): ("s5 by Di", 1), ("Cy", "s4"): ("s4 by Cy", 2), ("Ed", "s1"): ("s1 by Ed", 2)}
+    latest = {r.speech: r.response for r in R.latest_responses(R.usable_responses(out)).collect()}
+    assert latest["s1"] == "s1 by Ed" and latest["s4"] == "s4 by Cy"  # the later generation, though of an older id
+    (tmp_path / "store" / "generation=9").mkdir()  # a run that did not end
+    assert R.stored_answers(spark, store).count() == out.count() and run([(8, "Fy", "s9")])[1] == ["Fy|s9"]
+
+
+def test_hashed_chunk_embeddings(spark):  # E1 in SQL against plain Python; F8
+    import hashlib
+
+    texts = ["one two One", "", None, "café \u2003 x", " ".join(f"w{i % 90}" for i in range(1200))]
+    df = spark.createDataFrame(list(enumerate(texts)), "speech_id long, speech string")
+
+    def vector(words, dim):
+        v = [0.0] * dim
+        for w in words:
+            c = int(hashlib.md5(w.lower().encode()).hexdigest()[:8], 16) % (2 * dim)
+            v[c // 2] += (1 - 2 * (c % 2)) / len(words)
+        return v
+    for dim in (4, 64):
+        got = {(r.speech_id, r.chunk_no): r.embedding for r in E.chunk_embeddings(df, "speech_id", "speech", dim=dim).collect()}
+        want = {(i, k): vector(t.split()[s:s + 512], dim) for i, t in enumerate(texts) if t
+                for k, s in enumerate(range(0, len(t.split()), 384))}
+        assert got.keys() == want.keys() and all(np.allclose(got[k], want[k]) for k in want)
+    plan = E.speech_embeddings(df, "speech_id", "speech")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    pooled = {r.speech_id: r.embedding for r in E.speech_embeddings(df, "speech_id", "speech").collect()}
+    assert pooled[1] == pooled[2] == [0.0] * 64
+
+
+def test_word2vec_embeddings(spark):  # E1 with trained vectors: the mean of the words' vectors
+    df = spark.createDataFrame([(i, ("sea ship wave " if i % 2 else "hill tree rock ") * 40) for i in range(20)] + [(20, "unknown"), (21, "")],
+                               "speech_id long, speech string")
+    model = E.fit_word2vec(df, "speech", dim=8, min_count=5, maxIter=2)
+    vec = {r.word: np.array(r.vector) for r in model.getVectors().collect()}
+    got = {r.speech_id: r.embedding for r in E.speech_embeddings(df, "speech_id", "speech", model, 8).collect()}
+    assert np.allclose(got[1], sum(vec[w] for w in ("sea", "ship", "wave")) / 3, atol=1e-5)
+    assert got[20] == got[21] == [0.0] * 8
+
+
+def test_project_2d_equals_numpy(spark, sf_dir):  # E3
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    got = {r.vec_id: (r.x, r.y) for r in E.project_2d(rows, "vec_id", "embedding").collect()}
+    data = rows.collect()
+    v = np.array([r.embedding for r in data], dtype=float)
+    _, vectors = np.linalg.eigh(np.cov(v.T))
+    axes = vectors[:, ::-1][:, :2]
+    axes = axes * np.sign(axes[np.abs(axes).argmax(axis=0), [0, 1]])
+    assert np.allclose([got[r.vec_id] for r in data], v @ axes, atol=1e-8)
+
+
+def test_labels_of_a_model_equal_its_weights(spark):  # M1-M3: multi-class, recomputed from the exported weights
+    rows = [(i, f"{w} {w} common word{i % 5}", lab) for i, (w, lab) in enumerate(
+        [("joy", "joy"), ("rage", "anger"), ("tears", "sadness"), ("wow", "surprise")] * 15)] + [(90, None, "joy"), (91, "joy", None), (92, "", None)]
+    df = spark.createDataFrame(rows, "id long, text string, lab string").withColumn("label", F.lit(0))
+    m = M.fit_labels(df, "text", "lab", max_terms=3, num_features=1 << 10, max_iter=15)
+    assert m.labels == ["anger", "joy", "sadness", "surprise"]
+    tf, idf, lr = m.model.stages
+    weights, bias, scale = lr.coefficientMatrix.toArray(), lr.interceptVector.toArray(), idf.idf.toArray()
+    out = m.score(df, "text", "said", "p").collect()
+    for r in out:
+        x = np.zeros(1 << 10)
+        for t in [t for t in (r.text or "").lower().split() if len(t) > 1][:3]:  # the first three terms only
+            x[tf.indexOf(t)] += 1
+        z = weights @ (x * scale) + bias
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert r.said == m.labels[int(p.argmax())].capitalize() and abs(r.p - p.max()) < 1e-9
+    assert {r.text.split()[0]: r.said for r in out if r.lab and r.text} == {
+        "joy": "Joy", "rage": "Anger", "tears": "Sadness", "wow": "Surprise"}
+    longer = spark.createDataFrame([(1, "joy joy joy rage rage rage rage rage")], "id long, text string")
+    assert m.score(longer, "text", "said").first().said == "Joy"  # what lies behind the limit does not count
+    with pytest.raises(ValueError):
+        M.fit_labels(df.where("lab = 'joy'"), "text", "lab")
+
+
+def test_score_text_query(spark, sf_dir):
+    from oratio.plans import catalog
+
+    out = catalog.q_score_text(spark, sf_dir)
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    got = {r.doc_id: r.label for r in out.collect()}
+    assert got.keys() == lang.keys()
+    right = sum(got[i] == lang[i].capitalize() for i in got if lang[i])
+    assert right / len(got) > 0.8
