@@ -64,19 +64,29 @@ def top_types_col(counts: Column, k: int = TOP_TYPES) -> Column:
     return F.slice(F.sort_array(counts), 1, k)
 
 
-def spans_col(findings: Column, top: Column, speech) -> Column:
-    """P5+P6: per top type its sentences in order with ``start`` = first occurrence of the
-    sentence in the speech (0-based, -1 when absent) and ``end`` exclusive."""
+def first_offsets(findings: Column, speech) -> Column:
+    """Map from each distinct sentence of the findings to the 0-based place of its first occurrence in the speech, -1 when
+    absent. Built once per speech: overlapping windows and repeated phrases give a sentence several times, the speech
+    is searched for it once. The search itself has to look at the text before: a sentence cut off by a
+    window's edge may occur earlier inside another one, where no index of sentence starts would show it."""
     sp = T.col_(speech)
+    return T.let(F.array_distinct(F.transform(findings, lambda f: f["sentence"])), lambda ds: F.map_from_arrays(
+        ds, F.transform(ds, lambda s: F.call_function("locate", s, sp) - 1)))
 
-    def span(f):  # the search of the speech is bound: both ends use it
-        return T.let(F.call_function("locate", f["sentence"], sp) - 1, lambda at: F.struct(
-            f["chunk_no"].alias("chunk_no"), f["sent_no"].alias("sent_no"), at.alias("start"),
-            (at + F.length(f["sentence"])).alias("end")))
 
-    return F.transform(top, lambda t: F.struct(
-        t["type"].alias("type"), (-t["neg_n"]).alias("n"),
-        F.transform(F.filter(findings, lambda f: f["type"] == t["type"]), span).alias("spans")))
+def spans_col(findings: Column, top: Column, speech) -> Column:
+    """P5+P6: per top type its sentences in order with ``start`` = first occurrence of the
+    sentence in the speech (0-based, -1 when absent) and ``end`` exclusive."""
+    def with_places(places):
+        def span(f):
+            return T.let(F.element_at(places, f["sentence"]), lambda at: F.struct(
+                f["chunk_no"].alias("chunk_no"), f["sent_no"].alias("sent_no"), at.alias("start"),
+                (at + F.length(f["sentence"])).alias("end")))
+
+        return F.transform(top, lambda t: F.struct(
+            t["type"].alias("type"), (-t["neg_n"]).alias("n"),
+            F.transform(F.filter(findings, lambda f: f["type"] == t["type"]), span).alias("spans")))
+    return T.let(first_offsets(findings, speech), with_places)
 
 
 def report_cols(spans: Column) -> tuple[Column, Column]:

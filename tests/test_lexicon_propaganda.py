@@ -177,3 +177,17 @@ def test_lexicon_tables_equal_the_literal_forms(spark):  # L6, L7
     got = {tuple(r) for r in L.token_lexicon_table(df, table, "id", T.sql_ptokens("speech")).select("id", "category", "n").collect()}
     assert got == want and got
     assert L.tone_table(df.limit(0), table.selectExpr("word", "1.0 AS weight"), "id", T.sql_terms("speech")).count() == 0
+
+
+def test_offsets_of_a_long_speech_with_every_sentence_flagged(spark):  # P6
+    import time
+
+    parts = [f"They are corrupt in town {i % 900}." if i % 3 else "They are corrupt." for i in range(4500)]
+    speech = " ".join(parts).replace("town 7.", "town  7.") + " corrupt."
+    assert len(speech.split()) > 20000
+    t = time.time()
+    r = search(spark, [(1, 1, speech)])[1]
+    spans = [(f.sentence, sp.start, sp.end) for t in r.top_spans for f, sp in zip([f for f in r.findings if f.type == t.type], t.spans)]
+    assert len(spans) == len(r.findings) > 4000 and time.time() - t < 60
+    for sentence, start, end in spans:
+        assert start == speech.find(sentence) and end == start + len(sentence)
