@@ -131,19 +131,23 @@ def extract_missing(df: DataFrame, store: str, complete: Callable[[str | None, s
     ones again, answered ones never, and appended to the store as its next generation. Returns the whole store.
 
     A run that is cut off leaves an unfinished generation, which is not read and is written anew by the next run.
-    Pairs are matched by hash and confirmed by name and text; null names match each other."""
+    Which pairs to ask is settled on numbers: 128 bits of hash of (name, text), null names included, and the highest id;
+    the texts of those rows alone are then fetched. Ids must not be null."""
     spark = df.sparkSession
     before = stored_answers(spark, store)
-    pairs = _pairs(df, name, speech, id_col, None)
+    key = [F.xxhash64(name, speech).alias("__a"), F.xxhash64(F.lit(1), name, speech).alias("__b")]
+    todo = df.select(*key, F.col(id_col).cast("bigint").alias("seq")).groupBy("__a", "__b").agg(F.max("seq").alias("seq"))
     number = 0
     if before is not None:
         number = before.agg(F.max("generation")).first()[0]
         number = 0 if number is None else number + 1
-        answered = before.where("error IS NULL").select(F.xxhash64("name", "speech").alias("__h"), F.col("name").alias("__n"),
-                                                        F.col("speech").alias("__s")).distinct()
-        pairs = pairs.withColumn("__k", F.xxhash64("name", "speech")).join(
-            answered, (F.col("__k") == F.col("__h")) & F.col("name").eqNullSafe(F.col("__n")) & F.col("speech").eqNullSafe(F.col("__s")),
-            "left_anti").drop("__k")
+        answered = before.where("error IS NULL").select(F.xxhash64("name", "speech").alias("__a"),
+                                                        F.xxhash64(F.lit(1), "name", "speech").alias("__b")).distinct()
+        todo = todo.join(answered, ["__a", "__b"], "left_anti")
+    one = Window.partitionBy("__a", "__b").orderBy("__a")  # an id that stands twice asks once
+    rows = df.select(*key, F.col(name).alias("name"), F.col(speech).alias("speech"), F.col(id_col).cast("bigint").alias("seq"))
+    pairs = (rows.join(todo, ["__a", "__b", "seq"]).withColumn("__r", F.row_number().over(one)).where(F.col("__r") == 1)
+             .select("name", "speech", "seq"))
     asked = _asked(pairs.repartition(partitions) if partitions else pairs, complete)
     asked.write.mode("overwrite").parquet(f"{store.rstrip('/')}/generation={number}")
     return stored_answers(spark, store)
