@@ -56,7 +56,8 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _split_states(lines: DataFrame, sep: str, quote: str) -> DataFrame:
-    """(file, split, inside): whether each split begins inside a quoted field. Every split is read for both answers at
+    """(file, split, inside, number): whether each split begins inside a quoted field, and its file's place among the sorted
+    names. Every split is read for both answers at
     once; its lines then keep, swap or fix the state, and a running window over the splits of a file (one small row
     each) composes those effects from the file's start."""
     def run(batches):
@@ -85,7 +86,8 @@ def _split_states(lines: DataFrame, sep: str, quote: str) -> DataFrame:
     e = e.withColumn("swaps", F.sum("swap").over(upto))
     e = e.withColumn("base", F.expr("(fixed + swaps) % 2"))  # what the fixed state would be with no swap up to here
     last, swaps = F.last("base", ignorenulls=True).over(before), F.coalesce(F.sum("swap").over(before), F.lit(0))
-    return e.select("file", "split", ((F.coalesce(last, F.lit(0)) + swaps) % 2 == 1).alias("inside"))
+    numbered = e.select("file").distinct().select("file", F.row_number().over(Window.orderBy("file")).cast("long").alias("number"))
+    return e.select("file", "split", ((F.coalesce(last, F.lit(0)) + swaps) % 2 == 1).alias("inside")).join(numbered, "file")
 
 
 def _effect(key, ends):
@@ -96,8 +98,8 @@ def _effect(key, ends):
 
 
 def read_records(spark: SparkSession, path: str, sep: str = "\t", quote: str = '"') -> DataFrame:
-    """(file, pos, record): the records of delimited text files, line breaks inside quoted fields kept, every file split
-    over tasks. ``pos`` grows with the record's place in its file.
+    """(number, pos, record): the records of delimited text files, line breaks inside quoted fields kept, every file split
+    over tasks. ``number`` is the file's place among the sorted names, ``pos`` grows with the record's place in its file.
 
     The files are read three times: for the state at each split's start, for the records, and for the pieces of
     records that reach over a split's end (at most two a split), which are put together by file and place. A trailing
@@ -108,7 +110,7 @@ def read_records(spark: SparkSession, path: str, sep: str = "\t", quote: str = '
         stated = lines.join(F.broadcast(states), ["file", "split"])  # keeps the order of the scan
     else:
         stated = lines.join(states, ["file", "split"]).repartition("file", "split").sortWithinPartitions("file", "split", "no")
-    stated = stated.select("file", "split", "no", "value", "inside")
+    stated = stated.select("number", "split", "no", "value", "inside")
 
     def run(batches):
         import pyarrow as pa
@@ -138,19 +140,19 @@ def read_records(spark: SparkSession, path: str, sep: str = "\t", quote: str = '
                     held, head = [], False
                 at += 1
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["file", "pos", "kind", "record"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["number", "pos", "kind", "record"])
                 rows.clear()
         if held:
             put(3 if head else 1)
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["file", "pos", "kind", "record"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["number", "pos", "kind", "record"])
 
-    pieces = stated.mapInArrow(run, "file string, pos long, kind long, record string")
-    whole = pieces.where("kind = 0").select("file", "pos", "record")
-    place = Window.partitionBy("file").orderBy("pos")
+    pieces = stated.mapInArrow(run, "number long, pos long, kind long, record string")
+    whole = pieces.where("kind = 0").select("number", "pos", "record")
+    place = Window.partitionBy("number").orderBy("pos")
     cut = pieces.where("kind > 0").withColumn("g", F.sum((F.col("kind") == 1).cast("int")).over(place))
-    joined = cut.groupBy("file", "g").agg(F.sort_array(F.collect_list(F.struct("pos", "record"))).alias("p")).select(
-        "file", F.col("p")[0]["pos"].alias("pos"), F.array_join(F.col("p.record"), "\n").alias("record"))
+    joined = cut.groupBy("number", "g").agg(F.sort_array(F.collect_list(F.struct("pos", "record"))).alias("p")).select(
+        "number", F.col("p")[0]["pos"].alias("pos"), F.array_join(F.col("p.record"), "\n").alias("record"))
     return whole.unionAll(joined).where("record <> ''")
 
 
@@ -167,10 +169,8 @@ def read_speeches(spark: SparkSession, path: str, quote: str | None = '"', multi
         options["escape"] = quote
     if multi_line and quote:
         records = read_records(spark, path, "\t", quote)
-        files = records.select("file").distinct().select("file", F.row_number().over(Window.orderBy("file")).alias("n"))
-        fields = F.from_csv("record", SPEECH_FIELDS, options)
-        df = records.join(files, "file").select(
-            F.shiftleft(F.col("n").cast("long"), FILE_SHIFT).bitwiseOR(F.col("pos")).alias("speech_id"), fields.alias("r")).select("speech_id", "r.*")
+        place = F.shiftleft("number", FILE_SHIFT).bitwiseOR(F.col("pos"))
+        df = records.select(place.alias("speech_id"), F.from_csv("record", SPEECH_FIELDS, options).alias("r")).select("speech_id", "r.*")
     else:
         reader = spark.read.schema(SPEECH_FIELDS).options(header="false", **options)
         df = reader.csv(path).select(F.monotonically_increasing_id().alias("speech_id"), "*")

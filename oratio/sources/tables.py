@@ -20,13 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def speeches_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(speech_id, surname, code, speech) before any cleaning; unlabelled rows get a null code."""
+    """(speech_id, surname, code, speech) before any cleaning; unlabelled rows get a null code. Labels grow with the
+    documents, so the join has one form at every size."""
     docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("speech_id"), F.col("source").alias("surname"), F.col("text").alias("speech"))
     docs = spread(docs, "speech_id")
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("speech_id"),
                                                    F.col("toxic").alias("code"))
-    return docs.join(labels, "speech_id", "left").select("speech_id", "surname", "code", "speech")
+    return docs.join(labels.hint("merge"), "speech_id", "left").select("speech_id", "surname", "code", "speech")
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
