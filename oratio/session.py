@@ -55,13 +55,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+# Session setting: shuffle files of an execution go when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Cut lineage by writing a parquet table into the shared checkpoint folder and reading it
     back: computed once (``Dataset.checkpoint`` computes its input twice), stored reliably, so a
-    lost executor never forces recomputation of what came before."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/oratio-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    lost executor never forces recomputation of what came before. The written table replaces the
+    write's shuffle files, which are removed as it ends."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/oratio-{uuid.uuid4().hex}"
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.mode("error").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.parquet(path)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
