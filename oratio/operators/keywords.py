@@ -138,40 +138,54 @@ def topics(df: DataFrame, id_col: str = "speech_id", text: str = "speech", k: in
     return best.join(desc, "topic", "left").select(id_col, "topic", "topic_weight", "topic_terms")
 
 
-def content_terms_of(c: Column) -> Column:
-    """``content_terms`` for any string expression (e.g. a lambda variable)."""
-    stops = list(stop_words())
-    return F.filter(F.regexp_extract_all(F.lower(c), F.lit(T.TERM), 0), lambda t: ~t.isin(*stops))
-
-
-def sentence_scores(df: DataFrame, weights: DataFrame, id_col: str = "speech_id", text: str = "speech") -> DataFrame:
-    """(id, sent_no, n_words, score) of every sentence: the mean weight of its content terms, each occurrence counted,
-    through a join of (id, term); null without content terms. ``weights``: (id, term, weight). A
-    sentence's terms are counted before they travel, its text stays behind."""
-    sents = df.select(id_col, F.posexplode(T.nonempty_sentences(text)).alias("sent_no", "__s"))
-    lengths = sents.select(id_col, "sent_no", F.size(T.words("__s")).cast("bigint").alias("n_words"))
-    terms = (sents.select(id_col, "sent_no", F.explode(content_terms_of(F.col("__s"))).alias("term"))
-             .groupBy(id_col, "sent_no", "term").agg(F.count(F.lit(1)).alias("n")))
-    means = (terms.join(weights.select(id_col, "term", "weight"), [id_col, "term"]).groupBy(id_col, "sent_no")
-             .agg((F.sum(F.col("n") * F.col("weight")) / F.sum("n")).alias("score")))
-    return lengths.join(means, [id_col, "sent_no"], "left")
+def placed_terms(text: str) -> Column:
+    """``array<struct<h, at>>``: each distinct content term of a text (its 64-bit hash) with the numbers of the sentences it
+    occurs in, one entry per occurrence. Built inside the row: a term travels once per text, as a number."""
+    sents = f"filter({T.sql_sentences(text)}, s -> s <> '')"
+    words = f"filter({T.sql_terms('s')}, t -> NOT t IN {Q.in_list(stop_words())})"
+    pairs = f"sort_array(flatten(transform({sents}, (s, j) -> transform({words}, t -> named_struct('t', t, 'j', j)))))"
+    starts = "filter(sequence(1, size(p)), i -> i = 1 OR get(p, i - 1).t <> get(p, i - 2).t)"
+    placed = ("transform(st, (a, k) -> named_struct('h', xxhash64(get(p, a - 1).t), 'at', "
+              "transform(slice(p, a, coalesce(get(st, k + 1), size(p) + 1) - a), x -> x.j)))")
+    empty = "CAST(array() AS ARRAY<STRUCT<h: BIGINT, at: ARRAY<INT>>>)"
+    return F.expr(T.sql_let(pairs, "p", f"CASE WHEN size(p) > 0 THEN {T.sql_let(starts, 'st', placed)} ELSE {empty} END"))
+
+
+def sentence_scores(df: DataFrame, id_col: str = "speech_id", text: str = "speech") -> DataFrame:
+    """(id, scores) of the speeches with content terms: map from sentence number to the mean corpus weight (K4) of the sentence's
+    content terms, each occurrence counted; no entry without content terms.
+
+    One row a (speech, term), holding the term's hash and sentences, joins the term's idf and goes to its speech as
+    numbers, where the speech's norm and sentence means come together. The idf table is written first, so its
+    measured size decides the join: sent to all tasks below the session's threshold, else shuffled by term, where AQE splits
+    the terms that most speeches hold."""
+    local = cut_lineage(df.select(id_col, placed_terms(text).alias("__p")))
+    n_docs = local.agg(F.count(F.lit(1)).alias("n")).scalar()
+    dfreq = local.select(F.explode("__p.h").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df"))
+    idf = cut_lineage(dfreq.select("h", (F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1)) + 1).alias("idf")))
+    weighed = local.select(id_col, F.inline("__p")).join(idf, "h").select(id_col, "at", (F.size("at") * F.col("idf")).alias("w"))
+    per = weighed.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("__norm"),
+                                      F.collect_list(F.struct("at", "w")).alias("__t"))
+    flat = "sort_array(flatten(transform(__t, x -> transform(x.at, j -> named_struct('j', j, 'w', x.w / __norm)))))"
+    starts = "filter(sequence(1, size(f)), i -> i = 1 OR get(f, i - 1).j <> get(f, i - 2).j)"
+    mean = ("transform(st, (a, k) -> element_at(transform(array(coalesce(get(st, k + 1), size(f) + 1) - a), "
+            "n -> aggregate(slice(f, a, n), 0D, (s, x) -> s + x.w) / n), 1))")
+    scores = T.sql_let(flat, "f", T.sql_let(starts, "st", f"map_from_arrays(transform(st, a -> get(f, a - 1).j), {mean})"))
+    return per.select(id_col, F.expr(scores).alias("scores"))
 
 
 def summary_sentences(df: DataFrame, id_col: str = "speech_id", text: str = "speech",
                       max_words: int = 100) -> DataFrame:
     """K6: rows (id, sent_no, rank, score, n_words, sentence). Sentences are ranked by the mean corpus weight (K4) of
     their content terms, rounded to 9 places, ties by position, those without content terms last, and taken
-    while the running sum of words (a window frame from the first rank on) stays within ``max_words``. Texts
-    join the chosen sentence numbers at the end; the windows see numbers only."""
-    scores = sentence_scores(df, corpus_weights(df, id_col, text), id_col, text)
+    while the running sum of words (a window frame from the first rank on) stays within ``max_words``. The text joins
+    its scores by id once; the windows keep that partitioning."""
+    speeches = cut_lineage(df.select(id_col, F.col(text).alias("__text")))  # read for the terms and for the sentences
+    rows = speeches.join(sentence_scores(speeches, id_col, "__text"), id_col, "left")
+    sents = rows.select(id_col, "scores", F.posexplode(T.nonempty_sentences("__text")).alias("sent_no", "sentence"))
+    sents = sents.select(id_col, F.col("sent_no").cast("bigint").alias("sent_no"), F.try_element_at("scores", "sent_no").alias("score"),
+                         F.size(T.words("sentence")).cast("bigint").alias("n_words"), "sentence")
     order = Window.partitionBy(id_col).orderBy(F.round("score", 9).desc_nulls_last(), F.col("sent_no"))
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    taken = (scores.withColumn("rank", F.row_number().over(order)).withColumn("__sum", F.sum("n_words").over(upto))
-             .where(F.col("__sum") <= max_words))
-    listed = taken.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct(
-        F.col("rank").cast("bigint").alias("rank"), F.col("sent_no").cast("bigint").alias("sent_no"), "score", "n_words"))).alias("__t"))
-    rows = df.select(id_col, F.col(text).alias("__text")).join(listed, id_col)
-    chosen = T.let(T.nonempty_sentences("__text"), lambda ss: F.transform("__t", lambda t: F.struct(
-        t["sent_no"].alias("sent_no"), t["rank"].alias("rank"), t["score"].alias("score"), t["n_words"].alias("n_words"),
-        F.get(ss, t["sent_no"].cast("int")).alias("sentence"))))
-    return rows.select(id_col, F.inline(chosen))
+    return (sents.withColumn("rank", F.row_number().over(order).cast("bigint")).withColumn("__sum", F.sum("n_words").over(upto))
+            .where(F.col("__sum") <= max_words).select(id_col, "sent_no", "rank", "score", "n_words", "sentence"))
