@@ -11,11 +11,12 @@ document with a smaller id.
    smallest id (partial aggregation), so thousands of copies reach a shard as one row. An anchor with
    more than ``HOT`` occurrences is dealt on by window: its segments are cut into single windows, salted by
    their content, so equal ones still meet.
-3. FM-index. A shard concatenates its segments, sorts their suffixes, and keeps the Burrows-Wheeler transform
-   as a wavelet matrix of packed bits with sampled ranks. The windows are streamed against it:
-   backward search, all patterns side by side, one word a step, gives each window's suffix range
-   (its matching statistic is the number of steps that leave the range non-empty); the least id over
-   the range of a full match is the first document of that window.
+3. FM-index. A shard concatenates the segments that can be a source (some segment of their anchor has a greater id),
+   sorts their suffixes, and keeps the Burrows-Wheeler transform as a wavelet matrix of packed bits with
+   sampled ranks, and the LCP of neighbouring suffixes. The segments that can repeat something (some segment of their anchor
+   has a lesser id) are streamed against it, each once from its end, all side by side: backward search extends the match by a
+   word, and a word that does not fit shortens the match from the right. Positions whose matching statistic reaches 13 words
+   are windows found; the least id over the range of such a match is the window's first document.
 4. Members of each segment get back its windows' first ids; windows first seen under a smaller id mark
    their words, and the documents are written without them.
 
@@ -35,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SQL_GAP, cut_lineage, free_name, release
+from .periodic_runs import _nearest_smaller
 
 WINDOW = 13
 GRAM = 5
@@ -160,6 +162,7 @@ class FMIndex:
         sigma = int(t.max()) + 1 if len(t) else 1
         # prefix doubling: rank by the first k words, then 2k, until depth is reached
         rank, k = t.copy(), 1
+        levels = [np.append(rank, -1)]
         order = np.argsort(rank, kind="stable")
         while k < depth:
             nxt = np.zeros(len(t), dtype=np.int64)
@@ -170,7 +173,9 @@ class FMIndex:
             new = np.concatenate([[0], np.cumsum(s[1:] != s[:-1])])
             rank = np.empty_like(rank)
             rank[order] = new
+            levels.append(np.append(rank, -1))
             k *= 2
+        self.depth = depth
         self.owner = owner[order]
         bwt = t[order - 1]  # position 0 wraps to the last separator
         self.wm = WaveletMatrix(bwt, sigma)
@@ -180,59 +185,105 @@ class FMIndex:
         symbols = np.arange(sigma)
         self.base = self.wm.rank(symbols, np.zeros(sigma, dtype=np.int64))
         self.n = len(t)
-
-    def search(self, patterns: np.ndarray):
-        """(low, high, matched) of each row of ``patterns``: the suffix range after the last step that left one,
-        and the number of steps (the matching statistic, words from the right)."""
-        q = len(patterns)
-        lo, hi, matched = np.zeros(q, np.int64), np.full(q, self.n), np.zeros(q, np.int64)
-        live = np.arange(q)
-        for j in range(patterns.shape[1] - 1, -1, -1):
-            c = patterns[live, j]
-            b = self.start[c] - self.base[c]
-            l2 = b + self.wm.rank(c, lo[live])
-            h2 = b + self.wm.rank(c, hi[live])
-            ok = l2 < h2
-            live = live[ok]
-            lo[live], hi[live] = l2[ok], h2[ok]
-            matched[live] += 1
-            if not len(live):
-                break
-        return lo, hi, matched
-
-
-def first_ids(words: np.ndarray, lengths: np.ndarray, ids: np.ndarray, window: int = WINDOW):
-    """For every window of every word sequence (``words``: all of them end to end): the least id among the
-    sequences that hold the window. Returns (firsts, number of windows of each sequence)."""
-    symbols, flat = np.unique(words, return_inverse=True)
-    flat = flat.reshape(-1).astype(np.int64) + 1
-    index = FMIndex(flat, lengths, window)
+        # common words of neighbours in suffix order, and for each boundary the nearest ones of fewer common words
+        self.lcp = np.full(self.n + 1, -1, dtype=np.int64)
+        x, y = order[:-1].copy(), order[1:].copy()
+        common = np.zeros(self.n - 1, dtype=np.int64)
+        for j in range(len(levels) - 1, -1, -1):
+            same = levels[j][np.minimum(x, self.n)] == levels[j][np.minimum(y, self.n)]
+            common[same] += 1 << j
+            x[same] += 1 << j
+            y[same] += 1 << j
+        self.lcp[1:-1] = common
+        inner = np.flatnonzero(self.lcp > 0)
+        self.less_before, self.less_behind = np.zeros(self.n + 1, np.int64), np.zeros(self.n + 1, np.int64)
+        self.less_before[inner] = _nearest_smaller(self.lcp, inner, -1)
+        self.less_behind[inner] = _nearest_smaller(self.lcp, inner, 1)
+
+    def _widen(self, lo, hi):
+        """The ranges around [lo, hi) of the longest shorter prefix that more suffixes share, and its number of words."""
+        left, right = self.lcp[lo], self.lcp[hi]
+        words = np.maximum(left, right)
+        whole = words <= 0
+        wide = np.where(whole, 0, np.where(left == words, self.less_before[lo], lo))
+        behind = np.where(whole, self.n, np.where(right == words, self.less_behind[hi], hi))
+        return wide, behind, np.maximum(words, 0)
+
+    def stream(self, words: np.ndarray, lengths: np.ndarray):
+        """Matching statistics of word sequences (``words``: end to end, ints, 0 for a word that the index does not hold):
+        for each position the number of words from there on, ``depth`` at most, that occur in the index, and the suffix range
+        of that match. Each sequence is read once from its end: a word that does not extend the match shortens it from
+        the right until it does, so no position starts anew."""
+        matched = np.zeros(len(words), dtype=np.int64)
+        low, high = np.zeros(len(words), dtype=np.int64), np.full(len(words), self.n)
+        at = np.cumsum(lengths) - 1
+        lo, hi, ell = np.zeros(len(at), np.int64), np.full(len(at), self.n), np.zeros(len(at), np.int64)
+        for back in range(int(lengths.max(initial=0))):
+            live = np.flatnonzero(lengths > back)
+            pos = at[live] - back
+            full = live[ell[live] == self.depth]  # room for one more word: the last one goes
+            if len(full):
+                wide, behind, words_left = self._widen(lo[full], hi[full])
+                keep = words_left == self.depth - 1
+                lo[full] = np.where(keep, wide, lo[full])
+                hi[full] = np.where(keep, behind, hi[full])
+                ell[full] = self.depth - 1
+            todo = live[words[pos] > 0]
+            gone = live[words[pos] <= 0]
+            lo[gone], hi[gone], ell[gone] = 0, self.n, 0
+            while len(todo):
+                c = words[at[todo] - back]
+                b = self.start[c] - self.base[c]
+                l2 = b + self.wm.rank(c, lo[todo])
+                h2 = b + self.wm.rank(c, hi[todo])
+                ok = l2 < h2
+                fit = todo[ok]
+                lo[fit], hi[fit] = l2[ok], h2[ok]
+                ell[fit] += 1
+                todo = todo[~ok]
+                todo = todo[ell[todo] > 0]
+                lo[todo], hi[todo], ell[todo] = self._widen(lo[todo], hi[todo])
+            matched[pos], low[pos], high[pos] = ell[live], lo[live], hi[live]
+        return matched, low, high
+
+
+def first_ids(words: np.ndarray, lengths: np.ndarray, ids: np.ndarray, groups: np.ndarray, window: int = WINDOW):
+    """For every window of every word sequence (``words``: all of them end to end): the least id among the sequences that hold
+    the window. Equal windows lie in sequences of one group. Sequences that can be a source, those with a greater id in their
+    group, are indexed once; sequences that can repeat one, those with a lesser id in their group, are streamed against the index.
+    Returns (firsts, number of windows of each sequence)."""
     n_win = np.maximum(lengths - window + 1, 0)
     begin = np.cumsum(lengths) - lengths
-    starts = np.repeat(begin - (np.cumsum(n_win) - n_win), n_win) + np.arange(int(n_win.sum()))
-    distinct, which = _distinct_rows(flat[starts[:, None] + np.arange(window)])
-    lo, hi, matched = index.search(distinct)
-    first = np.full(len(distinct), np.iinfo(np.int64).max)
+    firsts = np.repeat(ids, n_win)  # a window is held by its own sequence at least
+    _, g = np.unique(groups, return_inverse=True)
+    g = g.reshape(-1)
+    lo, hi = np.full(g.max(initial=-1) + 1, np.iinfo(np.int64).max), np.full(g.max(initial=-1) + 1, np.iinfo(np.int64).min)
+    np.minimum.at(lo, g, ids)
+    np.maximum.at(hi, g, ids)
+    source, asks = np.flatnonzero(ids < hi[g]), np.flatnonzero(ids > lo[g])
+    if not len(source):
+        return firsts, n_win
+
+    def texts(which):
+        size = lengths[which]
+        return np.arange(int(size.sum())) + np.repeat(begin[which] - (np.cumsum(size) - size), size), size
+
+    held, held_size = texts(source)
+    symbols, flat = np.unique(words[held], return_inverse=True)
+    index = FMIndex(flat.reshape(-1).astype(np.int64) + 1, held_size, window)
+    asked, size = texts(asks)
+    code = np.minimum(np.searchsorted(symbols, words[asked]), len(symbols) - 1)
+    matched, low, high = index.stream(np.where(symbols[code] == words[asked], code + 1, 0), size)
     full = np.flatnonzero(matched == window)
-    by_range = full[np.argsort(lo[full], kind="stable")]  # ranges of different windows are disjoint
-    if len(by_range):
-        cuts = np.stack([lo[by_range], hi[by_range]], axis=1).reshape(-1)
-        values = np.append(ids[index.owner], np.iinfo(np.int64).max)
-        first[by_range] = np.minimum.reduceat(values, cuts)[::2]
-    return first[which], n_win
-
-
-def _distinct_rows(patterns: np.ndarray):
-    """Distinct rows and, for each row, which of them it is (by a 64-bit hash, then checked)."""
-    h = np.zeros(len(patterns), dtype=np.uint64)
-    for j in range(patterns.shape[1]):
-        h = _mix(h + patterns[:, j].astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-    _, at, which = np.unique(h, return_index=True, return_inverse=True)
-    which = which.reshape(-1)
-    if not (patterns[at[which]] == patterns).all():
-        distinct, which = np.unique(patterns, axis=0, return_inverse=True)
-        return distinct, which.reshape(-1)
-    return patterns[at], which
+    if len(full):
+        ranges, which = np.unique(low[full], return_index=True)  # ranges of different windows are disjoint
+        cuts = np.stack([ranges, high[full][which]], axis=1).reshape(-1)
+        least = np.minimum.reduceat(np.append(ids[source][index.owner], np.iinfo(np.int64).max), cuts)[::2]
+        owner = np.repeat(np.arange(len(asks)), size)[full]
+        start = full - (np.cumsum(size) - size)[owner]
+        slot = (np.cumsum(n_win) - n_win)[asks[owner]] + start
+        firsts[slot] = np.minimum(firsts[slot], least[np.searchsorted(ranges, low[full])])
+    return firsts, n_win
 
 
 # ---- the operator ---------------------------------------------------------------------------
@@ -331,7 +382,8 @@ def _first_rows(dealt: DataFrame, window: int) -> DataFrame:
     def solve(parts):
         gram, salt, chash, least, n, lengths = (np.concatenate([p[i] for p in parts]) for i in range(6))
         words = np.concatenate([p[6] for p in parts])
-        firsts, n_win = first_ids(words, lengths, least, window)
+        groups = _mix(gram.view(np.uint64) + salt.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        firsts, n_win = first_ids(words, lengths, least, groups, window)
         # a segment of one document whose windows start nowhere earlier has nothing to report
         earlier = np.bincount(np.repeat(np.arange(len(n_win)), n_win), firsts < np.repeat(least, n_win), minlength=len(n_win)) > 0
         keep = (n > 1) | earlier

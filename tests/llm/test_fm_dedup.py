@@ -67,17 +67,37 @@ def test_remove_repeats(spark, hot, shard):
     assert clean.columns == df.columns and clean.count() == len(rows)
 
 
-def test_search_gives_matching_statistics():
-    rnd = np.random.default_rng(2)
-    texts = [rnd.integers(1, 6, n) for n in (5, 9, 1, 40, 40)]
-    index = fm_dedup.FMIndex(np.concatenate(texts), np.array([len(t) for t in texts]), 6)
-    patterns = np.concatenate([rnd.integers(1, 6, (60, 6)), np.array([texts[3][i:i + 6] for i in range(30)])])
-    lo, hi, matched = index.search(patterns)
-    for p, a, b, m in zip(patterns, lo, hi, matched):
-        def count(tail):
-            return sum((t[i:i + len(tail)] == tail).all() for t in texts for i in range(len(t) - len(tail) + 1))
-        longest = max(k for k in range(7) if k == 0 or count(p[6 - k:]))
-        assert m == longest and (longest == 0 or b - a == count(p[6 - longest:]))
+def test_streams_give_matching_statistics():
+    """Most streamed windows do not match in full, and the statistic takes every value from none to the whole window."""
+    rnd, depth = np.random.default_rng(2), 13
+    texts = [rnd.integers(1, 5, n) for n in (5, 9, 1, 40, 60, 25)] + [np.ones(30, np.int64)]
+    index = fm_dedup.FMIndex(np.concatenate(texts), np.array([len(t) for t in texts]), depth)
+    parts = [rnd.integers(0, 5, 40) for _ in range(40)] + [texts[3][4:20], texts[4][:30], texts[0], np.ones(50, np.int64)]
+    parts += [np.concatenate([texts[4][k:k + 3 + k % 12], [0], texts[5][k % 9:k % 9 + 12]]) for k in range(40)]
+    words, sizes = np.concatenate(parts), np.array([len(p) for p in parts])
+    matched, lo, hi = index.stream(words, sizes)
+
+    def count(p):
+        return sum((t[i:i + len(p)] == p).all() for t in texts for i in range(len(t) - len(p) + 1))
+    ends = np.cumsum(sizes)
+    for pos, (m, a, b) in enumerate(zip(matched, lo, hi)):
+        most = min(depth, ends[np.searchsorted(ends, pos, side="right")] - pos)
+        assert m == max(k for k in range(most + 1) if k == 0 or count(words[pos:pos + k]))
+        assert m == 0 or b - a == count(words[pos:pos + m])
+    assert set(matched.tolist()) == set(range(depth + 1)) and (matched < depth).mean() > 0.5
+
+
+def test_first_ids_of_a_shard():
+    rnd = np.random.default_rng(5)
+    segs = [rnd.integers(0, 3, rnd.integers(4, 12)).astype(np.uint64) for _ in range(120)]
+    ids, groups, window = rnd.integers(0, 60, 120), np.zeros(120, np.uint64), 4
+    firsts, n_win = fm_dedup.first_ids(np.concatenate(segs), np.array([len(x) for x in segs]), ids, groups, window)
+    least = {}
+    for x, d in zip(segs, ids):
+        for i in range(len(x) - window + 1):
+            least[tuple(x[i:i + window])] = min(least.get(tuple(x[i:i + window]), d), d)
+    want = [least[tuple(x[i:i + window])] for x in segs for i in range(len(x) - window + 1)]
+    assert firsts.tolist() == want and n_win.tolist() == [max(0, len(x) - window + 1) for x in segs]
 
 
 def test_batches_are_treated_in_bounded_slices():
