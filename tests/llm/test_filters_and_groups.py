@@ -213,21 +213,30 @@ URLS = [None, "", "no scheme", "http://", "http://net", "http://NET/", "https://
         "http://xnet.net:80/", "http://net.:80/", "http://example.net", "http://a\u00c9.net/\u00e9", "http://aexample.net/en/"]
 
 
-def brute_judge(u):
+def brute_judge(u, rules=None):
+    rules = RULES if rules is None else rules
     rest = u.split("://", 1)[1] if u and "://" in u else ""
     host = re.match(r"[^/?#]*", rest)[0]
     path = re.match(r"[^?#]*", rest[len(host):])[0]
     host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
-    fits = [r for r in RULES if (host == r[0] or host.endswith("." + r[0])) and path.startswith(r[1])]
+    fits = [r for r in rules if (host == r[0] or host.endswith("." + r[0])) and path.startswith(r[1])]
     best = max(fits, key=lambda r: (len(r[0]) + len(r[1]), len(r[0]), r[2] == "block"), default=None)
     return host, path, best and best[0] + best[1], best[2] if best else "allow"
 
 
-@pytest.mark.parametrize("most", [1000, 2])
-def test_url_rules(spark, most):
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_url_rules(spark, coalesce):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)  # one range, or one for each few urls
+    try:
+        check_url_rules(spark)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def check_url_rules(spark):
     rows = [(i, u, 1) for i, u in enumerate(URLS * 3)] + [(None, "http://q.net/", 2)]
     df = spark.createDataFrame(rows, "page_id long, url string, host int").repartition(5)
-    out = url_filter.judge_urls(df, url_filter.rule_table(spark, RULES), max_sweep_rules=most)
+    out = url_filter.judge_urls(df, url_filter.rule_table(spark, RULES))
     h, p, r, v = out.columns[3:]
     got = [(x.page_id, (x[h], x[p], x[r], x[v])) for x in out.collect()]
     assert len(got) == len(rows)
@@ -236,6 +245,31 @@ def test_url_rules(spark, most):
     assert url_filter.judge_urls(df.limit(0), url_filter.rule_table(spark, RULES)).count() == 0
 
 
+def test_separator_in_hosts_and_foreign_columns(spark):
+    rules = [("net", "/", "block"), ("a\x00b.net", "/", "allow"), ("\x01.org", "", "block"), ("\x01\x01.org", "/x", "allow")]
+    urls = [f"http://{h}/x" for h in ("net\x00evil", "net", "x.net", "a\x00b.net", "z.a\x00b.net", "b.net", "\x00.net", "net\x00", "\x01.org", "\x00.org",
+                                     "\x01\x01.org", "\x01\x02.org", "q.\x01.org", "\x00net", "\U0001f600.net", "\uffff.net")]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").selectExpr(
+        "*", "map('a', page_id) AS m", "array(struct(page_id)) AS `__range`", "1 AS `Verdict`")
+    out = url_filter.judge_urls(df, url_filter.rule_table(spark, rules))
+    assert out.columns[:5] == df.columns and len(out.columns) == 9
+    for r in out.collect():
+        assert (r[5], r[6], r[7], r[8]) == brute_judge(r.url, rules) and r.m == {"a": r.page_id}, repr(r.url)
+
+
+def test_many_rules(spark):
+    n = 300_000
+    rules = spark.range(n).selectExpr("concat('h', id % 1000, '.d', id DIV 1000, '.net') AS host", "'/' AS path",
+                                      "IF(id % 2 = 0, 'block', 'allow') AS action").unionAll(
+        spark.createDataFrame([("net", "", "allow"), ("d7.net", "/only", "block")], "host string, path string, action string"))
+    df = spark.range(4000).selectExpr("id AS page_id", "concat('http://s.h', id % 1100, '.d', id % 310, '.net/', IF(id % 3 = 0, 'only', 'x')) AS url")
+    for r in url_filter.judge_urls(df, rules).collect():
+        h, d, path = r.page_id % 1100, r.page_id % 310, "/only" if r.page_id % 3 == 0 else "/x"
+        want = (f"h{h}.d{d}.net/", "block" if (d * 1000 + h) % 2 == 0 else "allow") if h < 1000 and d < 300 else (
+            ("d7.net/only", "block") if d == 7 and path == "/only" else ("net", "allow"))
+        assert (r.rule, r.verdict) == want
+
+
 def test_keep_one_of_an_id_with_two_texts(spark):
     rnd = random.Random(12)
     copy, other = (" ".join(f"w{rnd.randint(0, 999)}" for _ in range(80)) for _ in range(2))
