@@ -26,21 +26,20 @@ def responses_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _key(speech: str):
-    """Columns that stand for a speech text: two hashes and the length. Joins on them check the text as well."""
-    return [F.xxhash64(speech).alias("__h"), F.hash(speech).alias("__g"), F.length(speech).alias("__n")]
+    """Columns that stand for a speech text in a join: a hash, the length, and the MD5 digest that confirms them."""
+    return [F.xxhash64(speech).alias("__h"), F.length(speech).alias("__n"), F.md5(speech).alias("__m")]
 
 
 def latest_responses(responses: DataFrame) -> DataFrame:
     """J3 dedup: one response per speech text, the highest ``seq`` wins (later answers replace earlier ones; of equal
-    ``seq`` the response of the greatest hash, then text). Rows (__h, __g, __n, speech, response).
+    ``seq`` the response of the greatest hash, then text; rows without ``seq`` never). Rows (__h, __n, __m, speech, response).
 
-    The winner of each text is found on numbers alone: the greatest ``seq`` per hash key, a hash aggregate. One join then
-    fetches the winning rows by key and ``seq``, so the many answers of a popular text spread over partitions."""
-    keyed = responses.select(*_key("speech"), "seq", "speech", "response")
-    top = keyed.groupBy("__h", "__g", "__n").agg(F.max("seq").alias("seq"))
-    one = Window.partitionBy("__h", "__g", "__n", "seq").orderBy(F.xxhash64("response").desc(), F.col("response").desc())
-    won = keyed.withColumn("__r", F.row_number().over(one)).where(F.col("__r") == 1).drop("__r")
-    return won.join(top, ["__h", "__g", "__n", "seq"]).drop("seq")
+    The winner is the first row of a window over the key, ordered by numbers: every map task keeps its best row of a text
+    before the one shuffle, so the many answers of a popular text travel as one row a task, and the join by the same
+    key needs no further shuffle of the responses. Columns that the join does not use, as the text, do not travel."""
+    keyed = responses.where("seq IS NOT NULL AND speech IS NOT NULL").select(*_key("speech"), "seq", "speech", "response")
+    best = Window.partitionBy("__h", "__n", "__m").orderBy(F.col("seq").desc(), F.xxhash64("response").desc(), F.col("response").desc())
+    return keyed.withColumn("__r", F.row_number().over(best)).where(F.col("__r") == 1).drop("__r", "seq")
 
 
 def parse_responses(df: DataFrame, col: str = "response") -> DataFrame:
@@ -61,14 +60,10 @@ def parse_responses(df: DataFrame, col: str = "response") -> DataFrame:
 
 def add_responses(df: DataFrame, latest: DataFrame, speech: str = "speech") -> DataFrame:
     """Attach the latest response by speech text (left join; missing -> eight ``N/A``). ``latest``: of
-    ``latest_responses``. Equal hash keys are not enough, the texts are compared."""
-    left = df.select("*", *_key(speech))
-    right = latest.withColumnRenamed("speech", "__rs")
-    same = [left[k] == right[k] for k in ("__h", "__g", "__n")]
-    joined = left.join(right, same[0] & same[1] & same[2] & (left[speech] == right["__rs"]), "left")
-    for k in ("__h", "__g", "__n"):
-        joined = joined.drop(left[k]).drop(right[k])
-    return parse_responses(joined.drop("__rs"), "response").drop("response")
+    ``latest_responses``."""
+    keys = ("__h", "__n", "__m")
+    joined = df.select("*", *_key(speech)).join(latest.select(*keys, "response"), list(keys), "left")
+    return parse_responses(joined.drop(*keys), "response").drop("response")
 
 
 def _asked(pairs: DataFrame, complete: Callable[[str | None, str], str]) -> DataFrame:
