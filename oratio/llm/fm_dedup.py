@@ -41,7 +41,7 @@ from .periodic_runs import _nearest_smaller
 WINDOW = 13
 GRAM = 5
 HOT = 20_000
-SHARD = 400_000
+SHARD = 200_000
 SLICE = 200_000
 ROWS_AT_ONCE = 500
 
@@ -162,7 +162,7 @@ class FMIndex:
         sigma = int(t.max()) + 1 if len(t) else 1
         # prefix doubling: rank by the first k words, then 2k, until depth is reached
         rank, k = t.copy(), 1
-        levels = [np.append(rank, -1)]
+        levels = [np.append(rank, -1).astype(np.int32)]
         order = np.argsort(rank, kind="stable")
         while k < depth:
             nxt = np.zeros(len(t), dtype=np.int64)
@@ -173,7 +173,7 @@ class FMIndex:
             new = np.concatenate([[0], np.cumsum(s[1:] != s[:-1])])
             rank = np.empty_like(rank)
             rank[order] = new
-            levels.append(np.append(rank, -1))
+            levels.append(np.append(rank, -1).astype(np.int32))
             k *= 2
         self.depth = depth
         self.owner = owner[order]
@@ -186,17 +186,18 @@ class FMIndex:
         self.base = self.wm.rank(symbols, np.zeros(sigma, dtype=np.int64))
         self.n = len(t)
         # common words of neighbours in suffix order, and for each boundary the nearest ones of fewer common words
-        self.lcp = np.full(self.n + 1, -1, dtype=np.int64)
+        self.lcp = np.full(self.n + 1, -1, dtype=np.int32)
         x, y = order[:-1].copy(), order[1:].copy()
-        common = np.zeros(self.n - 1, dtype=np.int64)
+        common = np.zeros(self.n - 1, dtype=np.int32)
         for j in range(len(levels) - 1, -1, -1):
             same = levels[j][np.minimum(x, self.n)] == levels[j][np.minimum(y, self.n)]
             common[same] += 1 << j
             x[same] += 1 << j
             y[same] += 1 << j
         self.lcp[1:-1] = common
+        del levels, x, y, common
         inner = np.flatnonzero(self.lcp > 0)
-        self.less_before, self.less_behind = np.zeros(self.n + 1, np.int64), np.zeros(self.n + 1, np.int64)
+        self.less_before, self.less_behind = np.zeros(self.n + 1, np.int32), np.zeros(self.n + 1, np.int32)
         self.less_before[inner] = _nearest_smaller(self.lcp, inner, -1)
         self.less_behind[inner] = _nearest_smaller(self.lcp, inner, 1)
 
