@@ -1,24 +1,29 @@
 """Approximate nearest neighbours: an NN-descent graph and greedy search on it.
 
-Build. Random hyperplanes deal the vectors to leaves (several trees); the exact neighbours within a leaf
-start a graph of ``DEGREE`` neighbours per vector. Each round joins neighbours of neighbours: every vector
-gathers its neighbours and a bounded sample of those that point at it, compares them pairwise,
-and proposes to each the others that are nearer than its worst neighbour; the best ``DEGREE`` stay.
-Rounds end when few edges change.
-
-Search. A query enters at members of its leaves and walks: the best unexpanded nodes of its beam are expanded
-through the graph (forward and sampled backward edges), new nodes are measured, until the whole beam is
+Build. Random hyperplanes deal the vectors to leaves (several trees); the nearest within a leaf start a graph of
+``DEGREE`` neighbours per vector. Each round joins neighbours of neighbours: every vector gathers its neighbours and
+a bounded sample of those that point at it, compares the pairs that hold a new edge, and proposes to each the
+others that are nearer than its worst neighbour; the best ``DEGREE`` stay. Rounds end when few edges change; a graph that
+has not settled after ``ROUNDS`` is logged (the search measures what it is worth).
+
+Search. A query enters at itself and at members of its leaves and walks: the best unexpanded nodes of its beam are
+expanded through the graph (forward and sampled backward edges), new nodes are measured, until the whole beam is
 expanded. Each run measures its own recall: a hashed sample of the queries is compared with all vectors, and
-while their walks found less than ``TARGET`` of the nearest, the beam is doubled and all walks go on from
-where they stand; a beam as large as the table that still misses the target is an error.
-Results are measured again on the original vectors in double precision.
+while their walks found less than ``TARGET`` of the nearest, the beam grows by half and its nodes are expanded anew; a
+beam as large as the table that still misses the target is an error. Results are measured again on the
+original vectors in double precision.
 
 Equal vectors are one node, the least id of them. The walks are made once for each distinct query vector; at the end a node
 stands for its members with the smallest ids, as many as a result can hold.
 
-Scale: a row that moves is (id, vector) for a bounded number of partners per vector; leaves beyond
-``LEAF_MOST`` members are split by hash, and pointers from hubs are sampled by a rank limit (both only steer the
-graph, every vector is a node of it). Edges, beams and proposals are tables; nothing grows on the driver.
+Scale: a node is one row (vector, neighbours, distances), a walk is one row (vector, beam), and both are rewritten once a
+step; nothing else is kept of a step, and what a walk has met and rejected is not remembered (it is nearer than nothing in the
+beam). Rows that move are (id, vector) for a bounded number of partners per vector; proposals are merged in
+each task before they move. Leaves beyond ``LEAF_MOST`` members are split by hash, and pointers from hubs are sampled by a
+rank limit (both only steer the graph, every vector is a node of it). Nothing grows on the driver.
+
+The graph and the walks use single precision after scaling by a power of two to components of at most 1, so that large
+components cannot overflow.
 
 Defined cases: vectors that are null, empty, zero, of another length than most, or that hold null or
 non-finite components are neither nodes nor queries; rows of one id count once (least vector in
@@ -40,26 +45,30 @@ from .common import cut_lineage, release
 
 DEGREE = 24
 REVERSE = 24
-TREES = 6
-LEAF = 128
-LEAF_MOST = 512
-ROUNDS = 8
-SETTLED = 0.01
-BEAM = 288  # at first; doubled while the measured recall is below TARGET
-EXPAND = 6  # a hop expands this part of the beam
+TREES = 12
+LEAF = 512
+LEAF_MOST = 2048
+ROUNDS = 12
+SETTLED = 0.02
+BEAM = 320  # at first; grows while the measured recall is below TARGET
+EXPAND = 5  # a hop expands this part of the beam
 SAMPLE = 128  # queries whose recall is measured in each run
 TARGET = 0.95  # the required recall is 0.9; the sample's error lies well within the difference
-ENTRIES = 8
+ENTRIES = 2
 SEED = 11
+BUFFER = 1_000_000  # proposals that a task merges before it hands them on
 
 
 def usable_vectors(df: DataFrame, id_col: str, vector: str) -> DataFrame:
-    """(id, exact, v): one row per id with a usable vector; ``v`` holds float32 bytes for the graph."""
+    """(id, exact, v): one row per id with a usable vector; ``v`` holds float32 bytes for the graph, scaled to at most 1."""
     v = F.col(vector).cast("array<double>")
     rows = (df.where(F.col(id_col).isNotNull() & v.isNotNull()).select(F.col(id_col).cast("long").alias("id"), v.alias("exact"))
             .where(F.expr(
                 "NOT exists(exact, x -> x IS NULL OR isnan(x) OR abs(x) = double('infinity')) AND exists(exact, x -> x <> 0)")))
-    size = rows.groupBy(F.size("exact").alias("n")).agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("c"), "n").limit(1).collect()
+    size = rows.groupBy(F.size("exact").alias("n")).agg(
+        F.count(F.lit(1)).alias("c"), F.max(F.expr("aggregate(exact, 0D, (m, x) -> greatest(m, abs(x)))")).alias("most")
+    ).orderBy(F.desc("c"), "n").limit(1).collect()
+    shift = -math.frexp(size[0].most)[1] if size else 0
     if size:
         rows = rows.where(F.size("exact") == size[0].n)
     one = rows.groupBy("id").agg(F.min("exact").alias("exact"))
@@ -68,7 +77,7 @@ def usable_vectors(df: DataFrame, id_col: str, vector: str) -> DataFrame:
         for b in batches:
             col = b.column("exact")
             off = col.offsets.to_numpy()
-            flat = col.values.to_numpy(zero_copy_only=False)[off[0]:off[-1]].astype("<f4")
+            flat = np.ldexp(col.values.to_numpy(zero_copy_only=False)[off[0]:off[-1]], shift).astype("<f4")
             w = len(flat) // max(1, len(col))
             raw = flat.tobytes()
             yield pa.RecordBatch.from_arrays([b.column("id"), col, pa.array([raw[4 * w * i:4 * w * (i + 1)] for i in range(len(col))], pa.binary())],
@@ -101,207 +110,360 @@ def leaf_codes(vectors: DataFrame, n: int, trees: int, leaf: int, seed: int = SE
     return vectors.select("id", "v").mapInArrow(run, "id long, tree int, code long")
 
 
-def _groups(batches, keys):
-    """Runs of equal keys of a sorted stream, as one RecordBatch each (a run may span batches)."""
-    held, now = [], None
+# A node of the graph or a walk: partners by distance, ``old`` marks those that were joined or expanded, ``open`` counts
+# the others, ``worst`` is the distance a newcomer must beat.
+LISTS = "id long, v binary, at binary, d binary, old binary, open int, worst float"
+NAMES = [x.split()[0] for x in LISTS.split(", ")]
+TYPES = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.float32()]
+
+
+def _starts(*sorted_keys: np.ndarray) -> np.ndarray:
+    """Positions at which a run of equal keys begins."""
+    change = np.ones(len(sorted_keys[0]), dtype=bool)
+    if len(change):
+        change[1:] = False
+        for k in sorted_keys:
+            change[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(change)
+
+
+def _cut(raw: bytes, ends: np.ndarray, width: int) -> pa.Array:
+    """Slices of ``raw`` that end at ``ends`` (in items of ``width`` bytes), as a binary column."""
+    offsets = np.concatenate([[0], ends]).astype(np.int32) * np.int32(width)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+
+
+def _best(ids, at, d, old, most: int):
+    """The ``most`` nearest partners of each id, sorted by id, distance and partner; a repeated partner counts once."""
+    o = np.lexsort((at, ids))
+    ids, at, d, old = ids[o], at[o], d[o], old[o]
+    s = _starts(ids, at)
+    if len(s):
+        ids, at, d, old = ids[s], at[s], np.minimum.reduceat(d, s), np.maximum.reduceat(old, s)
+    o = np.lexsort((at, d, ids))
+    ids, at, d, old = ids[o], at[o], d[o], old[o]
+    s = _starts(ids)
+    rank = np.arange(len(ids)) - np.repeat(s, np.diff(np.append(s, len(ids))))
+    keep = rank < most
+    return ids[keep], at[keep], d[keep], old[keep]
+
+
+def _rows(owners, n, at, d, old, most: int, vectors=None) -> pa.RecordBatch:
+    """Rows of ``LISTS``: of the partners, in order, ``n[i]`` belong to ``owners[i]``."""
+    ends = np.cumsum(n)
+    total = np.concatenate([[0], np.cumsum(old == 0)])
+    worst = np.where(n >= most, d[np.maximum(ends - 1, 0)] if len(d) else np.inf, np.inf).astype(np.float32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(owners), pa.array(vectors if vectors is not None else [None] * len(owners), pa.binary()), _cut(at.tobytes(), ends, 8),
+         _cut(d.astype("<f4").tobytes(), ends, 4), _cut(old.astype(np.uint8).tobytes(), ends, 1),
+         pa.array((total[ends] - total[ends - n]).astype(np.int32)), pa.array(worst)], names=NAMES)
+
+
+def _unpack(b):
+    """(ids, row numbers, at, d, old): one entry for each partner in a batch of ``LISTS`` rows."""
+    at = np.frombuffer(b"".join(b.column("at").to_pylist()), "<i8")
+    n = np.array([len(x) for x in b.column("old").to_pylist()], np.int64)
+    row = np.repeat(np.arange(b.num_rows), n)
+    return (b.column("id").to_numpy()[row], row, at, np.frombuffer(b"".join(b.column("d").to_pylist()), "<f4"),
+            np.frombuffer(b"".join(b.column("old").to_pylist()), np.uint8))
+
+
+def _merged(lists: DataFrame, most: int) -> DataFrame:
+    """One row of ``LISTS`` per id: its ``most`` nearest partners. A task holds a batch and one id's row."""
+    def run(batches):
+        held = None  # the row of the last id, which the next batch may go on with
+        for b in batches:
+            if not b.num_rows:
+                continue
+            if held is not None:
+                b = pa.concat_batches([held, pa.RecordBatch.from_arrays(b.columns, names=NAMES)])
+            ids, _, at, d, old = _unpack(b)
+            own, v = b.column("id").to_numpy(), b.column("v").to_pylist()
+            vectors = {i: x for i, x in zip(own.tolist(), v) if x is not None}
+            owners = own[_starts(own)]
+            ids, at, d, old = _best(ids, at, d, old, most)
+            n = np.searchsorted(ids, owners, "right") - np.searchsorted(ids, owners, "left")
+            out = _rows(owners, n, at, d, old, most, [vectors.get(i) for i in owners.tolist()])
+            if out.num_rows > 1:
+                yield out.slice(0, out.num_rows - 1)
+            held = out.slice(out.num_rows - 1)
+        if held is not None:
+            yield held
+
+    return lists.repartition("id").sortWithinPartitions("id").mapInArrow(run, LISTS)
+
+
+def _handed_on(found, most: int):
+    """Batches of ``LISTS`` rows from (ids, at, d) triples: merged by the ``BUFFER``, so that few rows move."""
+    held, n = [], 0
+    for one in found:
+        held.append(one)
+        n += len(one[0])
+        if n >= BUFFER:
+            yield _packed(held, most)
+            held, n = [], 0
+    if n:
+        yield _packed(held, most)
+
+
+def _packed(held: list, most: int) -> pa.RecordBatch:
+    ids, at, d = (np.concatenate(x) for x in zip(*held))
+    ids, at, d, old = _best(ids, at, d, np.zeros(len(ids), np.uint8), most)
+    s = _starts(ids)
+    return _rows(ids[s], np.diff(np.append(s, len(ids))), at, d, old, most)
+
+
+def _groups(batches, keys, columns):
+    """Runs of equal keys of a sorted stream, as lists of numpy or list columns (a run may span batches)."""
+    held = []
+
+    def whole():
+        t = pa.Table.from_batches(held)
+        return t.num_rows, [t[c] for c in columns]
+
+    now = None
     for b in batches:
         if not b.num_rows:
             continue
         cols = [b.column(k).to_numpy(zero_copy_only=False) for k in keys]
-        change = np.zeros(b.num_rows, dtype=bool)
-        for c in cols:
-            change[1:] |= c[1:] != c[:-1]
-        cuts = [0, *np.flatnonzero(change).tolist(), b.num_rows]
+        cuts = [*_starts(*cols).tolist(), b.num_rows]
         for i, j in zip(cuts, cuts[1:]):
             key = tuple(c[i] for c in cols)
             if key != now and held:
-                yield pa.Table.from_batches(held)
+                yield whole()
                 held = []
             now = key
             held.append(b.slice(i, j - i))
     if held:
-        yield pa.Table.from_batches(held)
+        yield whole()
 
 
-def _distances(x: np.ndarray) -> np.ndarray:
+def _distances(x: np.ndarray, rows: slice = slice(None)) -> np.ndarray:
     sq = (x * x).sum(axis=1)
-    d = np.maximum(sq[:, None] + sq[None, :] - 2 * (x @ x.T), 0)
-    np.fill_diagonal(d, np.inf)
+    d = np.maximum(sq[rows, None] + sq[None, :] - 2 * (x[rows] @ x.T), 0)
+    d[np.arange(len(d)), np.arange(len(x))[rows]] = np.inf
     return d
 
 
-EDGES = "id long, nbr long, d float"
-
-
-def _edges(rows):
-    i, j, d = (np.concatenate(x) for x in zip(*rows))
-    return pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(d.astype(np.float32))], names=["id", "nbr", "d"])
-
-
-def _leaf_edges(codes: DataFrame, vectors: DataFrame, degree: int) -> DataFrame:
+def _leaf_lists(codes: DataFrame, vectors: DataFrame, degree: int) -> DataFrame:
+    """Rows of ``LISTS``: the nearest of each vector within each of its leaves."""
     count = codes.groupBy("tree", "code").agg(F.ceil(F.count(F.lit(1)) / F.lit(LEAF_MOST)).alias("parts"))
     members = (codes.join(count, ["tree", "code"]).withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
                .join(vectors.select("id", "v"), "id"))
     dealt = members.repartition("tree", "code", "part").sortWithinPartitions("tree", "code", "part", "id")
 
-    def run(batches):
-        out = []
-        for g in _groups(batches, ("tree", "code", "part")):
-            ids, x = g["id"].to_numpy(), _matrix(g["v"])
-            if len(ids) < 2:
+    def near(batches):
+        for n, (ids, v) in _groups(batches, ("tree", "code", "part"), ("id", "v")):
+            if n < 2:
                 continue
-            for a in range(0, len(ids), 1024):
-                sq = (x * x).sum(axis=1)
-                d = np.maximum(sq[a:a + 1024, None] + sq[None, :] - 2 * (x[a:a + 1024] @ x.T), 0)
-                d[np.arange(len(d)), np.arange(a, a + len(d))] = np.inf
-                k = min(degree, len(ids) - 1)
+            ids, x, k = ids.to_numpy(), _matrix(v), min(degree, n - 1)
+            for a in range(0, n, 512):
+                d = _distances(x, slice(a, a + 512))
                 at = np.argpartition(d, k - 1, axis=1)[:, :k]
-                out.append((np.repeat(ids[a:a + 1024], k), ids[at].reshape(-1), np.take_along_axis(d, at, 1).reshape(-1)))
-            if sum(len(o[0]) for o in out) > 100_000:
-                yield _edges(out)
-                out = []
-        if out:
-            yield _edges(out)
+                yield np.repeat(ids[a:a + 512], k), ids[at].reshape(-1), np.take_along_axis(d, at, 1).reshape(-1)
 
-    return dealt.select("tree", "code", "part", "id", "v").mapInArrow(run, EDGES)
+    return dealt.select("tree", "code", "part", "id", "v").mapInArrow(lambda b: _handed_on(near(b), degree), LISTS)
 
 
-def _best(edges: DataFrame, degree: int) -> DataFrame:
-    w = Window.partitionBy("id").orderBy("d", "nbr")
-    one = edges.groupBy("id", "nbr").agg(F.min("d").alias("d"), F.min("old").alias("old"))
-    return one.withColumn("r", F.row_number().over(w)).where(F.col("r") <= degree).drop("r")
+EDGES = "id long, nbr long, d float, fresh int"
+
+
+def _edges(lists: DataFrame) -> DataFrame:
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                ids, _, at, d, old = _unpack(b)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(at), pa.array(d), pa.array((1 - old).astype(np.int32))],
+                                                 names=["id", "nbr", "d", "fresh"])
+
+    return lists.select("id", "at", "d", "old").mapInArrow(run, EDGES)
 
 
 def _sampled_reverse(edges: DataFrame, most: int, salt: int) -> DataFrame:
-    """(id, nbr): for each vector at most ``most`` of those that point at it (a rank limit, no list is gathered)."""
+    """(id, nbr, ...): for each vector at most ``most`` of those that point at it (a rank limit, no list is gathered)."""
     w = Window.partitionBy("nbr").orderBy(F.xxhash64("id", F.lit(salt)))
-    return edges.withColumn("r", F.row_number().over(w)).where(F.col("r") <= most).select(F.col("nbr").alias("id"), F.col("id").alias("nbr"))
+    rest = [c for c in edges.columns if c not in ("id", "nbr")]
+    return edges.withColumn("r", F.row_number().over(w)).where(F.col("r") <= most).select(F.col("nbr").alias("id"), F.col("id").alias("nbr"), *rest)
+
+
+def _as_lists(vectors: DataFrame) -> DataFrame:
+    """Rows of ``LISTS`` without partners."""
+    none = F.lit(b"")
+    return vectors.select("id", "v", none.alias("at"), none.alias("d"), none.alias("old"), F.lit(0).alias("open"),
+                          F.lit(float("inf")).cast("float").alias("worst"))
+
+
+def _all_old(lists: DataFrame) -> DataFrame:
+    """The same rows with every partner marked."""
+    marked = F.unhex(F.expr("repeat('01', length(old))"))
+    return lists.withColumn("old", marked).withColumn("open", F.lit(0))
+
+
+def _proposals(graph: DataFrame, degree: int, salt: int) -> DataFrame:
+    """Rows of ``LISTS``: for each vector the nearer ones met in the joins of its neighbours and of those it is near to."""
+    edges = _edges(graph).select("id", "nbr", "fresh")
+    pairs = (edges.unionAll(_sampled_reverse(edges, REVERSE, salt))
+             .unionAll(graph.select("id", F.col("id").alias("nbr"), F.lit(0).alias("fresh"))))
+    carried = graph.select(F.col("id").alias("nbr"), "v", "worst")
+    dealt = pairs.join(carried, "nbr").repartition("id").sortWithinPartitions("id", "nbr")
+
+    def near(batches):
+        for n, (m, fresh, v, worst) in _groups(batches, ("id",), ("nbr", "fresh", "v", "worst")):
+            m, fresh = m.to_numpy(), fresh.to_numpy()
+            if n < 2 or not fresh.any():
+                continue
+            s = _starts(m)  # a vector can be neighbour and pointer at once
+            fresh = np.maximum.reduceat(fresh, s).astype(bool)
+            m, w = m[s], worst.to_numpy()[s]
+            d = _distances(_matrix(v)[s])
+            i, j = np.nonzero((d < w[:, None]) & (fresh[:, None] | fresh[None, :]))
+            if len(i):
+                yield m[i], m[j], d[i, j]
+
+    return dealt.select("id", "nbr", "fresh", "v", "worst").mapInArrow(lambda b: _handed_on(near(b), degree), LISTS)
 
 
 def build_graph(vectors: DataFrame, codes: DataFrame, n: int, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
-    """NN-descent: edges (id, nbr, d), ``degree`` per vector, ``d`` squared distance in single precision."""
-    vectors = vectors.select("id", "v")
-    graph = cut_lineage(_best(_leaf_edges(codes, vectors, degree).withColumn("old", F.lit(0)), degree).select("id", "nbr", "d"))
+    """NN-descent: rows (id, nbr, d), ``degree`` per vector, ``d`` squared distance in single precision."""
+    log = logging.getLogger(__name__)
+    graph = cut_lineage(_merged(_as_lists(vectors).unionByName(_leaf_lists(codes, vectors, degree)), degree))
     for step in range(rounds):
-        worst = graph.groupBy("id").agg(F.max("d").alias("w"), F.count(F.lit(1)).alias("k"))
-        worst = worst.select("id", F.when(F.col("k") >= degree, F.col("w")).otherwise(F.lit(float("inf"))).cast("float").alias("w"))
-        pairs = graph.select("id", "nbr").unionAll(_sampled_reverse(graph, REVERSE, step)).distinct()
-        pairs = pairs.unionAll(graph.select("id", F.col("id").alias("nbr")).distinct())
-        carried = vectors.join(worst, "id").select(F.col("id").alias("nbr"), "v", "w")
-        dealt = pairs.join(carried, "nbr").repartition("id").sortWithinPartitions("id", "nbr")
-
-        def run(batches):
-            out = []
-            for g in _groups(batches, ("id",)):
-                m = g["nbr"].to_numpy()
-                d = _distances(_matrix(g["v"]))
-                i, j = np.nonzero(d < g["w"].to_numpy()[:, None])
-                if len(i):
-                    out.append((m[i], m[j], d[i, j]))
-                if sum(len(o[0]) for o in out) > 100_000:
-                    yield _edges(out)
-                    out = []
-            if out:
-                yield _edges(out)
-
-        found = dealt.select("id", "nbr", "v", "w").mapInArrow(run, EDGES).withColumn("old", F.lit(1))
-        merged = cut_lineage(_best(graph.withColumn("old", F.lit(0)).unionByName(found), degree))
-        changed = merged.where("old = 1").count()
-        graph = merged.select("id", "nbr", "d")
+        before = graph
+        graph = cut_lineage(_merged(_all_old(before).unionByName(_proposals(before, degree, step)), degree))
+        release(before)
+        changed = graph.agg(F.sum("open")).first()[0] or 0
+        log.info("NN-descent round %d: %d of %d edges are new", step, changed, n * degree)
         if changed <= SETTLED * n * degree:
             break
-    return graph
+    else:
+        log.warning("NN-descent: %d rounds did not settle the graph of %d vectors", rounds, n)
+    return _edges(graph).select("id", "nbr", "d")
 
 
 def reach_of(sample: list, vectors: DataFrame, k: int) -> list:
-    """(qid, reach, k) for each of the ``sample`` rows (qid, qv): the distance of the k-th nearest other vector by
-    comparison with all of them, and how many there are up to k. Each task keeps ``k`` distances a sampled query."""
+    """(qid, reach, k) for each of the ``sample`` rows (qid, qv): the squared distance, in double precision, of the k-th nearest
+    other vector by comparison with all of them, and how many there are up to k. Each task keeps ``k`` distances a sampled query."""
     ids = [r.qid for r in sample]
-    q = np.stack([np.frombuffer(bytes(r.qv), "<f4") for r in sample])
+    q = np.stack([np.frombuffer(bytes(r.qv), "<f4") for r in sample]).astype(np.float64)
 
     def run(batches):
-        best = [np.empty(0, np.float32)] * len(ids)
+        best = [np.empty(0)] * len(ids)
         for b in batches:
             if not b.num_rows:
                 continue
-            x, node = _matrix(b.column("v")), b.column("id").to_numpy()
+            x, node = _matrix(b.column("v")).astype(np.float64), b.column("id").to_numpy()
             for s, one in enumerate(ids):
                 d = np.concatenate([best[s], ((x - q[s]) ** 2).sum(axis=1)[node != one]])
                 best[s] = np.partition(d, k - 1)[:k] if len(d) > k else d
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(ids, np.int64), [len(d) for d in best])),
-                                          pa.array(np.concatenate(best).astype(np.float32))], names=["qid", "d"])
+                                          pa.array(np.concatenate(best))], names=["qid", "d"])
 
     w = Window.partitionBy("qid").orderBy("d")
-    near = vectors.select("id", "v").mapInArrow(run, "qid long, d float")
+    near = vectors.select("id", "v").mapInArrow(run, "qid long, d double")
     return (near.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k)
             .groupBy("qid").agg(F.max("d").alias("reach"), F.count(F.lit(1)).alias("k")).collect())
 
 
-def recall_of(beams: DataFrame, reach: list) -> float:
-    """Share of the true neighbours in the beams of the queries in ``reach`` (at equal distance any node counts)."""
+def recall_of(walks: DataFrame, reach: list, vectors: DataFrame) -> float:
+    """Share of the true neighbours in the beams of the queries in ``reach`` (at equal distance any node counts), measured
+    in double precision."""
     total = sum(r.k for r in reach)
     if not total:
         return 1.0
-    known = beams.sparkSession.createDataFrame([(r.qid, r.reach, r.k) for r in reach], "qid long, reach float, k long")
-    hits = (beams.where("qid <> node").join(F.broadcast(known), "qid").where("d <= reach * 1.000001D")
-            .groupBy("qid").agg(F.least(F.count(F.lit(1)), F.max("k")).alias("hits")).agg(F.sum("hits")).first()[0])
-    return (hits or 0) / total
+    tried = walks.where(F.col("id").isin([r.qid for r in reach]))
+    cand = (_edges(tried).select(F.col("id").alias("qid"), F.col("nbr").alias("node")).where("qid <> node")
+            .join(tried.select(F.col("id").alias("qid"), F.col("v").alias("qv")), "qid")
+            .join(vectors.select(F.col("id").alias("node"), "v"), "node").select("qid", "v", "qv"))
+    limit = {r.qid: r.reach for r in reach}
+
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                d = ((_matrix(b.column("v")).astype(np.float64) - _matrix(b.column("qv"))) ** 2).sum(axis=1)
+                ids = b.column("qid")
+                near = d <= np.array([limit[i] for i in ids.to_pylist()]) * (1 + 1e-12)
+                yield pa.RecordBatch.from_arrays([ids.filter(pa.array(near))], names=["qid"])
+
+    hits = {r.qid: r.n for r in cand.mapInArrow(run, "qid long").groupBy("qid").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return sum(min(r.k, hits.get(r.qid, 0)) for r in reach) / total
 
 
 def search(queries: DataFrame, vectors: DataFrame, codes: DataFrame, query_codes: DataFrame, graph: DataFrame, k: int,
            beam: int = BEAM, sample: int = SAMPLE, target: float = TARGET) -> DataFrame:
     """(qid, node, d): the best nodes each query's walk has met, as many as the beam had at the end. ``queries``:
-    (qid, qv), rows of ``vectors`` (a walk also enters at its own node). ``beam`` is doubled until the ``sample``
+    (qid, qv), rows of ``vectors`` (a walk also enters at its own node). ``beam`` grows until the ``sample``
     queries find ``target`` of their ``k`` nearest."""
-    links = cut_lineage(graph.select("id", "nbr").unionAll(_sampled_reverse(graph, REVERSE, -1)).distinct())
+    both = graph.select("id", "nbr").unionAll(_sampled_reverse(graph.select("id", "nbr"), REVERSE, -1))
+    links = cut_lineage(both.groupBy("id").agg(F.collect_set("nbr").alias("nbrs")))
     nodes = vectors.select(F.col("id").alias("node"), "v")
 
-    def measured(cand: DataFrame) -> DataFrame:
+    def found(cand: DataFrame) -> DataFrame:
+        """Rows of ``LISTS`` from (qid, qv, worst, node): the nodes that are nearer than ``worst``."""
+        def near(batches):
+            for b in batches:
+                if b.num_rows:
+                    d = ((_matrix(b.column("v")) - _matrix(b.column("qv"))) ** 2).sum(axis=1)
+                    nearer = d < b.column("worst").to_numpy()
+                    yield b.column("qid").to_numpy()[nearer], b.column("node").to_numpy()[nearer], d[nearer]
+
+        return cand.join(nodes, "node").select("qid", "node", "v", "qv", "worst").mapInArrow(lambda b: _handed_on(near(b), beam), LISTS)
+
+    def picks(old: np.ndarray, row: np.ndarray, most: int) -> np.ndarray:
+        """Which entries a hop expands: the ``most`` nearest unexpanded ones of each walk."""
+        fresh = old == 0
+        before = np.cumsum(fresh) - fresh
+        s = _starts(row)
+        return fresh & (before - np.repeat(before[s], np.diff(np.append(s, len(row)))) < most)
+
+    def asked(most: int):
         def run(batches):
             for b in batches:
-                if not b.num_rows:
-                    continue
-                d = ((_matrix(b.column("v")) - _matrix(b.column("qv"))) ** 2).sum(axis=1)
-                yield pa.RecordBatch.from_arrays([b.column("qid"), b.column("node"), pa.array(d.astype(np.float32))], names=["qid", "node", "d"])
+                if b.num_rows:
+                    ids, row, at, _, old = _unpack(b)
+                    p = picks(old, row, most)
+                    yield pa.RecordBatch.from_arrays([pa.array(at[p]), pa.array(ids[p]), b.column("v").take(pa.array(row[p])),
+                                                      b.column("worst").take(pa.array(row[p]))], names=["node", "qid", "qv", "worst"])
 
-        rows = cand.join(nodes, "node").join(queries, "qid").select("qid", "node", "v", "qv")
-        return rows.mapInArrow(run, "qid long, node long, d float")
+        return run
+
+    def marked(most: int):
+        def run(batches):
+            for b in batches:
+                if b.num_rows:
+                    ids, row, at, d, old = _unpack(b)
+                    yield _rows(b.column("id").to_numpy(), np.bincount(row, minlength=b.num_rows), at, d, old | picks(old, row, most), beam,
+                                b.column("v").to_pylist())
+
+        return run
 
     leaf = Window.partitionBy("tree", "code").orderBy(F.xxhash64("id", "tree"))
     doors = codes.withColumn("r", F.row_number().over(leaf)).where(F.col("r") <= ENTRIES).select("tree", "code", F.col("id").alias("node"))
-    some = nodes.orderBy(F.xxhash64("node")).limit(ENTRIES).select("node", F.lit(0).alias("j"))  # for leaves without members
     start = (query_codes.withColumnRenamed("id", "qid").join(doors, ["tree", "code"]).select("qid", "node")
-             .unionAll(queries.select("qid", F.col("qid").alias("node")))
-             .unionAll(queries.select("qid", F.lit(0).alias("j")).join(some, "j").select("qid", "node"))).distinct()
-    met = cut_lineage(measured(start).withColumn("done", F.lit(False)))
-    w = Window.partitionBy("qid").orderBy("d", "node")
-
-    def beams():
-        return met.withColumn("r", F.row_number().over(w)).where(F.col("r") <= beam)
+             .unionAll(queries.select("qid", F.col("qid").alias("node")))).distinct()
+    start = start.join(queries, "qid").withColumn("worst", F.lit(float("inf")).cast("float"))
+    walks = cut_lineage(_merged(_as_lists(queries.toDF("id", "v")).unionByName(found(start)), beam))
 
     tried = queries.orderBy(F.xxhash64("qid", F.lit(SEED))).limit(sample).collect()
     reach = reach_of(tried, vectors, k) if tried else []
     n = vectors.count()
+    log = logging.getLogger(__name__)
     while True:
-        while True:  # ends: each hop expands nodes that no hop before it has expanded
-            todo = cut_lineage(beams().where("NOT done").withColumn("r", F.row_number().over(w))
-                               .where(F.col("r") <= max(1, beam // EXPAND)).select("qid", "node"))
-            if not todo.head(1):
-                break
-            cand = (todo.join(links, todo["node"] == links["id"]).select("qid", F.col("nbr").alias("node")).distinct()
-                    .join(met.select("qid", "node"), ["qid", "node"], "left_anti"))
-            marked = met.join(todo.withColumn("now", F.lit(True)), ["qid", "node"], "left").select(
-                "qid", "node", "d", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done"))
-            before, met = met, cut_lineage(marked.unionByName(measured(cand).withColumn("done", F.lit(False))))
+        while walks.agg(F.sum("open")).first()[0]:  # ends: what a beam has dropped does not come back
+            most = max(1, beam // EXPAND)
+            todo = walks.mapInArrow(asked(most), "node long, qid long, qv binary, worst float")
+            cand = todo.join(links, todo["node"] == links["id"]).select("qid", "qv", "worst", F.explode("nbrs").alias("node"))
+            before = walks
+            walks = cut_lineage(_merged(before.mapInArrow(marked(most), LISTS).unionByName(found(cand)), beam))
             release(before)
-            release(todo)
-        found = recall_of(beams(), reach)
-        logging.getLogger(__name__).info("recall at %d: %.3f on %d queries against %d vectors, beam %d", k, found, len(tried), n, beam)
-        if found >= target:
-            return beams().drop("r", "done")
+        share = recall_of(walks, reach, vectors)
+        log.info("recall at %d: %.3f on %d queries against %d vectors, beam %d", k, share, len(tried), n, beam)
+        if share >= target:
+            return _edges(walks).select(F.col("id").alias("qid"), F.col("nbr").alias("node"), "d")
         if beam >= n:
-            raise RuntimeError(f"the walks find {found:.3f} of the {k} nearest with a beam of all {n} vectors, {target} is required")
-        beam *= 2
+            raise RuntimeError(f"the walks find {share:.3f} of the {k} nearest with a beam of all {n} vectors, {target} is required")
+        beam += -(-beam // 2)
+        none = F.unhex(F.expr("repeat('00', length(old))"))
+        walks = walks.withColumn("old", none).withColumn("open", F.length("at")).withColumn("worst", F.lit(float("inf")).cast("float"))
 
 
 def nearest(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vector: str = "embedding", degree: int = DEGREE,
