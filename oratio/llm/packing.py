@@ -127,18 +127,35 @@ class Index:
         length = np.array([len(p) for p in pieces], dtype=np.float64)[self.doc]
         self.weight = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
         self.first = np.searchsorted(ids, np.arange(len(df) + 1))
-        self.n = n
+        self.n = self.live = n
+
+    def drop_used(self, unused: np.ndarray) -> None:
+        """Postings of used remainders go once they are an eighth of those indexed; scores of the others stay the same."""
+        left = int(np.count_nonzero(unused))
+        if left * 8 <= self.live * 7:
+            keep = unused[self.doc]
+            before = np.concatenate([[0], np.cumsum(keep)])
+            self.doc, self.weight, self.first, self.live = self.doc[keep], self.weight[keep], before[self.first], left
 
     def scores(self, query: np.ndarray) -> np.ndarray:
-        """BM25 of every remainder for the distinct ids of ``query``."""
-        q = np.unique(query)
-        lo = self.first[q]
-        n = self.first[q + 1] - lo
-        total = int(n.sum())
-        if not total:
+        """BM25 of every remainder in the postings for the distinct ids of ``query``."""
+        spans = [(i, j) for i, j in zip(self.first[query].tolist(), self.first[query + 1].tolist()) if i < j]
+        if not spans:
             return np.zeros(self.n)
-        at = np.arange(total) + np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
-        return np.bincount(self.doc[at], self.weight[at], minlength=self.n)
+        return np.bincount(np.concatenate([self.doc[i:j] for i, j in spans]),
+                           np.concatenate([self.weight[i:j] for i, j in spans]), minlength=self.n)
+
+
+def best_first(score: np.ndarray, some: int = 32):
+    """Positions by falling score, ties by position; only as many are sorted as are asked for."""
+    done, n = 0, len(score)
+    while done < n:
+        some = min(some, n)
+        least = np.partition(score, n - some)[n - some]
+        at = np.flatnonzero(score >= least)
+        at = at[np.argsort(-score[at], kind="stable")]
+        yield from at[done:].tolist()
+        done, some = len(at), 8 * some
 
 
 def pack_shard(rest: list, window: int, stats, carry: list):
@@ -163,8 +180,9 @@ def pack_shard(rest: list, window: int, stats, carry: list):
         carry = []
         space = window - sum(len(p[2]) for p in open_window)
         if space:
-            score = np.where(unused, index.scores(query), -1.0)
-            for j in np.argsort(-score, kind="stable").tolist():
+            index.drop_used(unused)
+            score = np.where(unused, index.scores(np.unique(query)), -1.0)
+            for j in best_first(score):
                 if not unused[j] or not space:
                     break
                 start, ids = pool[j]
