@@ -44,3 +44,13 @@ def test_queries_in_a_large_group_get_the_smallest_ids(spark):
         assert got[q] == nearest_ids(x, q, 10)
     hits = sum(len(set(got[q]) & set(nearest_ids(x, q, 10))) for q in got)
     assert hits >= 0.95 * 10 * len(got)
+
+
+def test_components_beyond_single_precision(spark):
+    x = np.random.default_rng(8).standard_normal((600, 16)) * 1e60
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in nn_descent.nearest(df, F.expr("id % 50 = 0")).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+        assert r.score == pytest.approx(float(np.linalg.norm(x[r.vec_id] - x[r.query_id])))
+    assert sum(len(set(got[q]) & set(nearest_ids(x, q, 10))) for q in range(0, 600, 50)) >= 0.95 * 10 * 12
