@@ -6,18 +6,20 @@ texts are encoded on their own, so no text can merge with a mark or produce one.
 inside a text are escaped (a backslash behind their first character, one more where some stand
 there already), so the printed form is unambiguous too, and unescaping is exact.
 
-``assemble`` writes one row per turn: position, ids, segment lengths, the loss mask from the prefix
+``assemble`` gives one row per turn: position, ids, segment lengths, the loss mask from the prefix
 sums of those lengths, and the running token offset in the conversation. ``read_back`` decodes such
 rows and digests each conversation.
 
-Scale: texts are encoded before the shuffle, in parallel; then rows are hash-partitioned by
-conversation, sorted, and streamed once, so a conversation with a third of all turns costs one
-task time but never memory beyond a batch. The output rows lead back to any turn without reading
-the others.
+Scale: rows are dealt by ranges of (conversation, turn, role, start of text), so a conversation with a third of
+all turns lies over as many partitions as its rows need. Each partition encodes its rows and counts turns and tokens
+from where its part of a conversation begins; the first and the last conversation of a partition may go on next
+door, so their parts (two rows a partition at most) are summed up in order and give each part its offsets and the conversation its
+opening and closing mark. Decoding is per row, without a shuffle. Only the digests of ``read_back`` go from front to
+back, as SHA-256 does: decoded texts are sorted by conversation and streamed, a worker holds one batch.
 
-Defined cases: a null text or role is empty; turns sort by (turn, role, text) with nulls first, so
-repeated rows and ties have a fixed order; a null conv_id is a conversation of its own; an empty
-table gives an empty result; other columns are ignored.
+Defined cases: a null text or role is empty; turns sort by (turn, role, text) with null turns first, so
+repeated rows and ties have a fixed order; null conv_ids form one conversation; an empty
+table gives an empty result; other columns are ignored. Formatted rows that lack their marks raise an error.
 """
 
 from __future__ import annotations
@@ -27,9 +29,12 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from .common import cut_lineage
 from .tokens import load_tokenizer
 
 # Reserved ids, counted from the size of the vocabulary.
@@ -54,78 +59,96 @@ def _encoder(path: str):
     return tok, tok.get_vocab_size()
 
 
-TURNS = "conv_id long, turn long, role string, text_key string, role_ids binary, text_ids binary"
-ASSEMBLED = ("conv_id long, position long, first boolean, last boolean, ids binary, segments array<int>, "
-             "loss array<boolean>, token_start long")
+ASSEMBLED = ["conv_id", "position", "first", "last", "ids", "segments", "loss", "token_start"]
+BODIES = ("conv_id long, part long, at long, before long, size long, tail boolean, edge boolean, ids binary, segments array<int>, "
+          "loss array<boolean>, bos binary, eos binary")
+SLICE = 256  # rows encoded at a time
 
 
-def encode_turns(df: DataFrame, path: str) -> DataFrame:
-    """Each turn's role and escaped text as little-endian uint32 ids (encoded separately)."""
-    def run(batches):
-        tok, _ = _encoder(path)
-        for b in batches:
-            ids = []
-            for col in ("role", "text"):
-                texts = [escape(x or "") for x in b.column(col).to_pylist()]
-                ids.append([np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)])
-            key = [hashlib.md5((x or "").encode()).hexdigest() for x in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("conv_id"), b.column("turn"), b.column("role"), pa.array(key), pa.array(ids[0], pa.binary()),
-                 pa.array(ids[1], pa.binary())], names=["conv_id", "turn", "role", "text_key", "role_ids", "text_ids"])
-
-    return df.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").mapInArrow(run, TURNS)
-
-
-def assemble(df: DataFrame, path: str, loss_roles=LOSS_ROLES) -> DataFrame:
-    """Formatted turns (schema ``ASSEMBLED``): one row per turn in conversation order."""
-    rows = encode_turns(df, path)
-    order = ["conv_id", F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), "text_key"]
-    dealt = rows.repartition("conv_id").sortWithinPartitions(*order)
+def _bodies(df: DataFrame, path: str, loss_roles) -> DataFrame:
+    """One row a turn without the marks around a conversation; ``at`` and ``before`` count the turns and tokens of the
+    conversation from where it begins in the partition ``part``, ``edge`` marks the last row of a conversation that the
+    partition may hold a part of only."""
+    sort = [F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), "role"]
+    rows = df.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.coalesce("role", F.lit("")).alias("role"),
+                     F.coalesce("text", F.lit("")).alias("text"))
+    dealt = rows.repartitionByRange(*sort, F.substring("text", 1, 64)).sortWithinPartitions(*sort, "text")
     loss_roles = tuple(loss_roles)
+    schema = to_arrow_schema(T._parse_datatype_string(BODIES))
 
     def run(batches):
-        _, base = _encoder(path)
+        from pyspark import TaskContext
+
+        tok, base = _encoder(path)
+        part = TaskContext.get().partitionId()
         mark = [np.array([base + i], "<u4") for i in range(len(CONTROLS))]
 
-        def out(r, position, start, first, last):
-            parts = ([mark[BOS]] if first else []) + [
-                mark[TURN], np.frombuffer(r[2], "<u4"), mark[SEP], np.frombuffer(r[3], "<u4"), mark[END]] + (
-                [mark[EOS]] if last else [])
-            at = 3 + first  # index of the text segment
+        def encode(texts):
+            return [np.array(e.ids, "<u4") for e in tok.encode_batch_fast([escape(x) for x in texts], add_special_tokens=False)]
+
+        def body(conv, role, role_ids, text_ids):
+            parts = [mark[TURN], role_ids, mark[SEP], text_ids, mark[END]]
             n = np.array([len(p) for p in parts])
             ends = np.cumsum(n)  # the mask covers ids between two prefix sums
             mask = np.zeros(ends[-1], dtype=bool)
-            if r[1] in loss_roles:
-                mask[ends[at] - n[at]:ends[at]] = True
-            return (r[0], position, first, last, np.concatenate(parts).astype("<u4").tobytes(), n.tolist(), mask.tolist(), start), int(ends[-1])
-
-        held, position, start, buf = None, 0, 0, []
+            if role in loss_roles:
+                mask[ends[3] - n[3]:ends[3]] = True
+            return {"conv_id": conv, "part": part, "at": 0, "before": 0, "size": int(ends[-1]), "tail": False, "edge": False,
+                    "ids": np.concatenate(parts).astype("<u4").tobytes(), "segments": n.tolist(), "loss": mask.tolist(),
+                    "bos": None, "eos": None}
+
+        def close(row, edge):
+            row["tail"], row["edge"], row["eos"] = True, edge, mark[EOS].tobytes()
+
+        held, opening = None, True
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE):
+                b = whole.slice(start, SLICE)
+                conv, _, role, text = (c.to_pylist() for c in b.columns)
+                ready = []
+                for row in map(body, conv, role, encode(role), encode(text)):
+                    if held is None or held["conv_id"] != row["conv_id"]:
+                        row["bos"] = mark[BOS].tobytes()
+                        if held is not None:
+                            close(held, opening)
+                            opening = False
+                    else:
+                        row["at"], row["before"] = held["at"] + 1, held["before"] + held["size"]
+                    if held is not None:
+                        ready.append(held)
+                    held = row
+                if ready:
+                    yield pa.RecordBatch.from_pylist(ready, schema=schema)
+        if held is not None:
+            close(held, True)
+            yield pa.RecordBatch.from_pylist([held], schema=schema)
 
-        def flush():
-            cols = list(zip(*buf))
-            types = [pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.bool_()),
-                     pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=[
-                "conv_id", "position", "first", "last", "ids", "segments", "loss", "token_start"])
+    return dealt.mapInArrow(run, BODIES)
 
-        for b in batches:
-            cols = [b.column(c).to_pylist() for c in ("conv_id", "role", "role_ids", "text_ids")]
-            for r in zip(*cols):
-                if held is not None:
-                    last = r[0] != held[0]
-                    row, n = out(held, position, start, position == 0, last)
-                    buf.append(row)
-                    position, start = (0, 0) if last else (position + 1, start + n)
-                held = r
-                if len(buf) >= 2000:
-                    yield flush()
-                    buf = []
-        if held is not None:
-            buf.append(out(held, position, start, position == 0, True)[0])
-        if buf:
-            yield flush()
 
-    return dealt.mapInArrow(run, ASSEMBLED)
+def assemble(df: DataFrame, path: str, loss_roles=LOSS_ROLES) -> DataFrame:
+    """Formatted turns (columns ``ASSEMBLED``): one row per turn, ``position`` in conversation order."""
+    bodies = cut_lineage(_bodies(df, path, loss_roles))
+    ahead = Window.partitionBy("c").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = bodies.where("edge").select(F.col("conv_id").alias("c"), F.col("part").alias("p"), (F.col("at") + 1).alias("turns"),
+                                        (F.col("before") + F.col("size")).alias("tokens"))
+    parts = parts.select("c", "p", F.sum("turns").over(ahead).alias("turns"), F.sum("tokens").over(ahead).alias("tokens"),
+                         F.lead("p").over(Window.partitionBy("c").orderBy("p")).isNotNull().alias("goes_on"))
+    # at most two rows a partition
+    rows = bodies.join(F.broadcast(parts), (F.col("part") == F.col("p")) & F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    first = F.col("bos").isNotNull() & F.col("turns").isNull()
+    last = F.col("tail") & ~F.coalesce("goes_on", F.lit(False))
+    rows = rows.withColumn("first", first).withColumn("last", last).withColumn(
+        "position", F.col("at") + F.coalesce("turns", F.lit(0)))
+    return rows.select(
+        "conv_id", "position", "first", "last",
+        F.expr("concat(if(first, bos, X''), ids, if(last, eos, X''))").alias("ids"),
+        F.expr("concat(if(first, array(1), cast(array() AS array<int>)), segments, if(last, array(1), cast(array() AS array<int>)))")
+        .alias("segments"),
+        F.expr("concat(if(first, array(false), cast(array() AS array<boolean>)), loss, "
+               "if(last, array(false), cast(array() AS array<boolean>)))").alias("loss"),
+        # behind the first turn stands the opening mark as well
+        (F.col("before") + F.coalesce("tokens", F.lit(0)) + (F.col("position") > 0).cast("long")).alias("token_start"))
 
 
 def segments_of(ids: np.ndarray, base: int) -> list:
@@ -144,9 +167,14 @@ DIGEST = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, los
           "n_tokens long, loss_tokens long")
 
 
-def read_back(assembled: DataFrame, path: str) -> DataFrame:
-    """Digest of each conversation, decoded from the formatted ids and the loss mask alone."""
-    dealt = assembled.repartition("conv_id").sortWithinPartitions("conv_id", "position")
+DECODED = ("conv_id long, position long, role string, text string, loss string, loss_is_text boolean, formatted_chars long, "
+           "n_tokens long, loss_tokens long")
+
+
+def decode(assembled: DataFrame, path: str) -> DataFrame:
+    """Each formatted turn read from its ids and its loss mask: role, text, and ``loss``, the text under the mask, which is
+    null where there is none or where it is the turn's text (``loss_is_text``)."""
+    schema = to_arrow_schema(T._parse_datatype_string(DECODED))
 
     def run(batches):
         tok, base = _encoder(path)
@@ -154,40 +182,61 @@ def read_back(assembled: DataFrame, path: str) -> DataFrame:
         def text(ids):
             return tok.decode(ids.tolist(), skip_special_tokens=False) if len(ids) else ""
 
+        def read(conv, position, raw, loss):
+            ids, mask = np.frombuffer(raw, "<u4"), np.array(loss, dtype=bool)
+            parts = segments_of(ids, base)
+            marks = [p for p in parts if isinstance(p, int)]
+            if marks[int(marks[:1] == [BOS]):][:3] != [TURN, SEP, END]:
+                raise ValueError(f"a formatted turn is damaged: conversation {conv}, position {position}")
+            turn_at = next(i for i, x in enumerate(parts) if isinstance(x, int) and x == TURN)
+            role, content = text(parts[turn_at + 1]), text(parts[turn_at + 3])
+            plain, under = unescape(content), ids[mask]
+            learned = unescape(text(under))
+            same = bool(len(under)) and learned == plain
+            return {"conv_id": conv, "position": position, "role": unescape(role), "text": plain,
+                    "loss": learned if len(under) and not same else None, "loss_is_text": same,
+                    "formatted_chars": len(role) + len(content) + sum(len(CONTROLS[m]) for m in marks),
+                    "n_tokens": len(ids), "loss_tokens": len(under)}
+
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE):
+                b = whole.slice(start, SLICE)
+                rows = [read(*r) for r in zip(*(c.to_pylist() for c in b.columns))]
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    return assembled.select("conv_id", "position", "ids", "loss").mapInArrow(run, DECODED)
+
+
+def read_back(assembled: DataFrame, path: str) -> DataFrame:
+    """Digest of each conversation, decoded from the formatted ids and the loss mask alone."""
+    dealt = decode(assembled, path).repartition("conv_id").sortWithinPartitions(F.col("conv_id").asc_nulls_first(), "position")
+    schema = to_arrow_schema(T._parse_datatype_string(DIGEST))
+
+    def run(batches):
         def close(s):
-            return (s["conv"], s["n"], s["sha"].hexdigest(), s["lc"], s["lsha"].hexdigest(), s["fc"], s["tok"], s["lt"])
+            return {k: v.hexdigest() if k.endswith("sha256") else v for k, v in s.items()}
 
-        state, done = None, []
+        state = None
         for b in batches:
-            for conv, first, raw, loss in zip(*(b.column(c).to_pylist() for c in ("conv_id", "first", "ids", "loss"))):
-                if first:
+            done = []
+            for conv, _, role, text, loss, is_text, formatted, tokens, under in zip(*(c.to_pylist() for c in b.columns)):
+                if state is None or state["conv_id"] != conv:
                     if state is not None:
                         done.append(close(state))
-                    state = {"conv": conv, "n": 0, "sha": hashlib.sha256(), "lc": 0, "lsha": hashlib.sha256(), "fc": 0,
-                             "tok": 0, "lt": 0}
-                ids = np.frombuffer(raw, "<u4")
-                mask = np.array(loss, dtype=bool)
-                parts = segments_of(ids, base)
-                turn_at = next(i for i, x in enumerate(parts) if isinstance(x, int) and x == TURN)
-                role, sep, content, end = parts[turn_at + 1:turn_at + 5]
-                assert (sep, end) == (SEP, END), "a formatted turn is damaged"
-                plain = {0: text(role), 1: text(content)}
-                role_text, turn_text = unescape(plain[0]), unescape(plain[1])
-                state["n"] += 1
-                state["sha"].update(f"{role_text}\n{turn_text}\n".encode())
-                state["fc"] += len(plain[0]) + len(plain[1]) + sum(len(CONTROLS[p]) for p in parts if isinstance(p, int))
-                state["tok"] += len(ids)
-                under = ids[mask]
-                if len(under):
-                    t = unescape(text(under))
-                    state["lc"] += len(t)
-                    state["lsha"].update(t.encode())
-                    state["lt"] += len(under)
+                    state = {"conv_id": conv, "n_turns": 0, "turns_sha256": hashlib.sha256(), "loss_chars": 0,
+                             "loss_sha256": hashlib.sha256(), "formatted_chars": 0, "n_tokens": 0, "loss_tokens": 0}
+                state["n_turns"] += 1
+                state["turns_sha256"].update(f"{role}\n{text}\n".encode())
+                learned = text if is_text else loss or ""
+                state["loss_chars"] += len(learned)
+                state["loss_sha256"].update(learned.encode())
+                state["formatted_chars"] += formatted
+                state["n_tokens"] += tokens
+                state["loss_tokens"] += under
+            if done:
+                yield pa.RecordBatch.from_pylist(done, schema=schema)
         if state is not None:
-            done.append(close(state))
-        if done:
-            types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), types)], names=[
-                x.split()[0] for x in DIGEST.split(", ")])
+            yield pa.RecordBatch.from_pylist([close(state)], schema=schema)
 
     return dealt.mapInArrow(run, DIGEST)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SQL_GAP, cut_lineage, let_sql, table
+from .common import SQL_GAP, let_sql, table
 from . import (chat_format, fm_dedup, hyperminhash, mixing, nn_descent, packing, periodic_runs, quality_rules, simhash,
                token_file, toxicity, turn_repair, url_filter)
 from .tokens import default_path
@@ -86,8 +86,7 @@ def op8(spark, sf_dir) -> DataFrame:
     extra = rows.sparkSession.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)],
                                               "conv_id long, turn long, role string, text string")
     path = default_path()
-    formatted = cut_lineage(chat_format.assemble(rows.unionByName(extra), path))
-    return chat_format.read_back(formatted, path)
+    return chat_format.read_back(chat_format.assemble(rows.unionByName(extra), path), path)
 
 
 def op9(spark, sf_dir) -> DataFrame:
@@ -243,7 +242,8 @@ r AS (SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
 n AS (SELECT conv_id, turn, role, text, role[1] AS i,
       row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS rn FROM r),
 f AS (SELECT *, CASE WHEN {blank} THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY rn) > 1 THEN 'd'
-      WHEN regexp_matches(text, '[.!?][ 	-]*$') THEN '-' ELSE 't' END AS fault,
+      WHEN regexp_matches(text, '[.!?][ 	-
+]*$') THEN '-' ELSE 't' END AS fault,
       lag(i) OVER (PARTITION BY conv_id ORDER BY rn) AS before FROM n),
 x AS (SELECT conv_id, rn, i, fault IN ('b', 'd') AS gone, fault = 't' AS cut FROM f),
 v AS (SELECT DISTINCT conv_id FROM conversations),

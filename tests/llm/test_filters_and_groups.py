@@ -205,6 +205,46 @@ def test_chat_round_trip(spark):
     assert chat_format.read_back(chat_format.assemble(df.limit(0), default_path()), default_path()).count() == 0
 
 
+def test_chat_long_conversations_lie_over_several_tasks(spark):
+    rnd = random.Random(8)
+    says = lambda: " ".join(rnd.choice(["ok", "</s>", "caf\u00e9", "[INST]", "x\ny"]) for _ in range(rnd.randint(0, 6)))
+    rows = [(c, t, rnd.choice(["user", "assistant", "a\nb"]), says()) for c, n in [(5, 900), (6, 1), (7, 700), (8, 3)] for t in range(n)]
+    rows += [(c, t, "assistant", says()) for c in range(100, 400) for t in range(rnd.randint(1, 3))] + [(None, 0, "user", "a"), (None, 1, "user", "b")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        done = chat_format.assemble(df, default_path())
+        bodies = chat_format._bodies(df, default_path(), ("assistant",))
+        assert bodies.where("conv_id = 5").select("part").distinct().count() > 2
+        got = {r.conv_id: r for r in chat_format.read_back(done, default_path()).collect()}
+        marks = {}
+        for r in done.orderBy("conv_id", "position").collect():
+            marks.setdefault(r.conv_id, []).append(r)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert set(got) == {r[0] for r in rows} == set(marks)
+    for conv, rs in marks.items():
+        turns = [r for r in rows if r[0] == conv]
+        assert [r.position for r in rs] == list(range(len(turns)))
+        assert [r.first for r in rs] == [True] + [False] * (len(rs) - 1) and [r.last for r in rs] == [False] * (len(rs) - 1) + [True]
+        at = 0
+        for r in rs:
+            assert r.token_start == at and len(r.ids) == 4 * len(r.loss) == 4 * sum(r.segments)
+            at += len(r.loss)
+        loss = "".join(r[3] for r in turns if r[2] == "assistant")
+        assert got[conv].n_turns == len(turns) and got[conv].n_tokens == at
+        assert got[conv].turns_sha256 == hashlib.sha256("".join(f"{r[2]}\n{r[3]}\n" for r in turns).encode()).hexdigest()
+        assert got[conv].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+        assert got[conv].loss_tokens == sum(sum(r.loss) for r in rs)
+
+
+def test_chat_damaged_rows_are_an_error(spark):
+    df = spark.createDataFrame([(1, 0, "user", "hi")], "conv_id long, turn long, role string, text string")
+    cut = chat_format.assemble(df, default_path()).withColumn("ids", F.expr("substring(ids, 1, 8)"))
+    with pytest.raises(Exception, match="damaged"):
+        chat_format.read_back(cut, default_path()).collect()
+
+
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"),
          ("a.example.net", "/en/x", "block"), ("example.net", "/", "allow"), ("com", "", "block"), ("com", "", "allow")]
 URLS = [None, "", "no scheme", "http://", "http://net", "http://NET/", "https://Example.NET/en/1?q=/de/", "http://a.example.net/en/xy",
