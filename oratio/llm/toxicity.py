@@ -2,18 +2,20 @@
 
 Features are the distinct words of a text and their beginnings of 4 to 7 letters. Those whose document
 frequency differs between the labels beyond chance (log-odds with a prior, z-score) enter the
-model. Labels are graded: 0 for a document not labelled toxic; a toxic one gets 1, 2 or 3 by the
-number of such features that speak for toxicity (cut at the terciles of the toxic documents). The
+model. A label column with grades (0, 1, 2, ...) is fitted as it is. From a binary label the grades are 0 for a document not labelled
+toxic and 1, 2 or 3 for a toxic one by the tercile of its out-of-fold score: ``FOLDS`` folds by hash of the id, each scored
+by a binary model screened and fitted on the other folds, so no text takes part in its own grade. The
 model is P(grade <= k) = logistic(theta_k - w.x): one weight per feature for all thresholds,
 thresholds kept in order, fitted by accelerated proximal gradient with an L1 penalty. ``severity`` is
 the expected grade, the sum of P(grade >= k).
 
-The fit takes a bounded sample of labelled rows (``MAX_LABELLED``, by hash of the id, one task); scoring is a
-map over all whole texts with the word weights (at most the sample's vocabulary) in the closure.
+The fit takes a bounded sample of labelled rows (``MAX_LABELLED``, by hash of the id, one task, to which a text comes as its
+distinct words); scoring is a map over all whole texts with the word weights (at most the sample's vocabulary) in the closure.
+The model rows also hold ``rank_correlation``: Spearman's, between the severity and the held-out score of the toxic documents.
 
 Defined cases: null or wordless texts score the intercepts only; repeated rows score alike; rows
-without a label are scored but not fitted; labels that are null are ignored, an id labelled twice is toxic if
-one label says so; without any toxic or any clean label the severity is 0 everywhere; an empty
+without a label are scored but not fitted; labels that are null are ignored, of several labels
+of an id the highest counts, a label below 0 is 0; without any toxic or any clean label the severity is 0 everywhere; an empty
 table gives an empty result.
 """
 
@@ -32,6 +34,8 @@ LEAST_DOCS = 4     # a feature must stand in so many sampled documents
 SCREEN_Z = 3.0     # and differ in document frequency between the labels by so many standard errors
 PENALTY = 0.5
 STEPS = 300
+FOLDS = 5
+FOLD_STEPS = 100
 PREFIXES = (4, 5, 6, 7)
 MEMO_WORDS = 300_000
 
@@ -65,12 +69,44 @@ def log_odds(toxic: np.ndarray, row: np.ndarray, idx: np.ndarray, n_words: int):
     return odds, odds / np.sqrt(1 / a + 1 / b)
 
 
-def grade(toxic: np.ndarray, row: np.ndarray, idx: np.ndarray, marker: np.ndarray) -> np.ndarray:
-    """Ordered grades: 0 if not labelled toxic, else 1 to 3 by the number of marker features."""
-    found = np.bincount(row, marker[idx], minlength=len(toxic))
-    own = found[toxic > 0]
+def screen(toxic: np.ndarray, row: np.ndarray, idx: np.ndarray, n_words: int) -> np.ndarray:
+    """Which features enter a model of these rows."""
+    _, z = log_odds(toxic, row, idx, n_words)
+    return (np.bincount(idx, minlength=n_words) >= LEAST_DOCS) & (np.abs(z) > SCREEN_Z)
+
+
+def held_out_scores(toxic: np.ndarray, fold: np.ndarray, row: np.ndarray, idx: np.ndarray, n_words: int,
+                    penalty: float = PENALTY) -> np.ndarray:
+    """Log-odds of toxicity of each row by a binary model of the rows outside its fold."""
+    score = np.zeros(len(toxic))
+    for f in np.unique(fold):
+        own = fold == f
+        rest, entries = toxic[~own], ~own[row]
+        if not len(rest) or rest.min() == rest.max():
+            continue
+        new_row = np.cumsum(~own) - 1
+        r, i = new_row[row[entries]], idx[entries]
+        use = screen(rest, r, i, n_words)
+        keep, number = use[i], np.cumsum(use) - 1
+        w, theta = fit((rest > 0).astype(int), r[keep], number[i[keep]], int(use.sum()), 2, penalty, FOLD_STEPS)
+        full = np.zeros(n_words)
+        full[use] = w
+        mine = ~entries
+        score[own] = (np.bincount(row[mine], full[idx[mine]], minlength=len(toxic)) - theta[0])[own]
+    return score
+
+
+def terciles(toxic: np.ndarray, score: np.ndarray) -> np.ndarray:
+    """Ordered grades: 0 if not labelled toxic, else 1 to 3 by the tercile of the score among toxic rows."""
+    own = score[toxic > 0]
     cuts = np.quantile(own, [1 / 3, 2 / 3]) if len(own) else np.zeros(2)
-    return np.where(toxic > 0, 1 + (found > cuts[0]).astype(int) + (found > cuts[1]), 0)
+    return np.where(toxic > 0, 1 + (score > cuts[0]).astype(int) + (score > cuts[1]), 0)
+
+
+def rank_correlation(a: np.ndarray, b: np.ndarray) -> float:
+    """Spearman's coefficient, ties at their mean rank; 0 where one side is constant."""
+    a, b = pd.Series(a).rank().to_numpy(), pd.Series(b).rank().to_numpy()
+    return float(np.corrcoef(a, b)[0, 1]) if len(a) > 1 and a.std() and b.std() else 0.0
 
 
 def fit(y: np.ndarray, row: np.ndarray, idx: np.ndarray, n_words: int, grades: int = GRADES, penalty: float = PENALTY,
@@ -128,32 +164,42 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     total = known.count()
     if total > max_labelled:  # by hash, so the same rows whatever the partitioning
         known = known.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < int((1 << 20) * max_labelled / total))
-    sample = docs.join(F.broadcast(known), id_col).select(F.col(id_col).alias("id"), F.col(text).alias("t"), "__y")
+    @F.pandas_udf("array<string>")
+    def distinct_words(t: pd.Series) -> pd.Series:
+        return pd.Series([sorted(words_of(x)) for x in t])
+
+    sample = docs.join(F.broadcast(known), id_col).select(F.col(id_col).cast("string").alias("id"), distinct_words(text).alias("w"), "__y")
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["id", "t"], kind="stable")
         from array import array
+        from zlib import crc32
 
+        rows = sorted((i, tuple(w), y) for i, w, y in zip(pdf["id"], pdf["w"], pdf["__y"]))
         number, flat, sizes = {}, array("i"), []
-        for t in pdf["t"]:
-            f = sorted(features_of(t))
+        for _, words, _ in rows:
+            f = sorted({x for w in words for x in forms(w)})
             flat.extend(number.setdefault(x, len(number)) for x in f)
             sizes.append(len(f))
-        toxic = pdf["__y"].to_numpy().astype(float)
+        given = np.maximum(np.array([y for _, _, y in rows], dtype=int), 0)
+        toxic = (given > 0).astype(float)
         if not len(toxic) or toxic.min() == toxic.max():
             return pd.DataFrame({"kind": ["none"], "word": [""], "value": [0.0]})
         idx, row = np.frombuffer(flat, dtype=np.int32), np.repeat(np.arange(len(sizes)), sizes)
-        odds, z = log_odds(toxic, row, idx, len(number))
-        use = (np.bincount(idx, minlength=len(number)) >= LEAST_DOCS) & (np.abs(z) > SCREEN_Z)
+        fold = np.array([crc32(i.encode()) % FOLDS for i, _, _ in rows])
+        held_out = held_out_scores(toxic, fold, row, idx, len(number))
+        y = given if given.max() > 1 else terciles(toxic, held_out)
+        use = screen(toxic, row, idx, len(number))
         keep = use[idx]
         new = np.cumsum(use) - 1
         idx, row = new[idx[keep]], row[keep]
-        y = grade(toxic, row, idx, (z > SCREEN_Z)[use])
-        w, theta = fit(y, row, idx, int(use.sum()))
+        w, theta = fit(y, row, idx, int(use.sum()), max(GRADES, int(y.max()) + 1))
+        severity = severity_of(np.bincount(row, w[idx], minlength=len(y)), theta).sum(axis=1)
+        agree = rank_correlation(severity[toxic > 0], held_out[toxic > 0])
         names = [x for x, i in number.items() if use[i]]
         at = np.flatnonzero(w)
-        return pd.DataFrame({"kind": ["word"] * len(at) + ["theta"] * len(theta),
-                             "word": [names[i] for i in at] + [str(k) for k in range(len(theta))], "value": list(w[at]) + list(theta)})
+        return pd.DataFrame({"kind": ["word"] * len(at) + ["theta"] * len(theta) + ["rank_correlation"],
+                             "word": [names[i] for i in at] + [str(k) for k in range(len(theta))] + [""],
+                             "value": list(w[at]) + list(theta) + [agree]})
 
     return sample.withColumn("__all", F.lit(0)).groupBy("__all").applyInPandas(lambda pdf: solve(pdf), MODEL)
 

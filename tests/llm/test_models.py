@@ -55,6 +55,71 @@ def test_ordered_thresholds_and_expected_grade():
     assert (np.diff(more, axis=1) <= 1e-12).all() and np.corrcoef(more.sum(axis=1), y)[0, 1] > 0.7
 
 
+def test_fit_against_a_plain_solver():
+    rng = np.random.default_rng(5)
+    n, k, penalty = 90, 4, 1.0
+    x = (rng.random((n, k)) < 0.5).astype(float)
+    y = np.digitize(x @ np.array([1.5, -1.0, 0.8, 0.0]) + rng.logistic(0, 1, n), [-0.5, 0.8])
+    scale = 1 / np.sqrt(x.sum(axis=0))
+
+    def loss(p):  # u, first threshold, log of the gap: no constraint left
+        z, th = x @ (p[:k] * scale), np.array([-np.inf, p[k], p[k] + np.exp(p[k + 1]), np.inf])
+        below = lambda t: 1 / (1 + np.exp(-(t - z)))
+        return -np.log(below(th[y + 1]) - below(th[y])).sum()
+
+    def gradient(p):
+        return np.array([(loss(p + e) - loss(p - e)) / 2e-5 for e in np.eye(k + 2) * 1e-5])
+
+    p, rate = np.zeros(k + 2), 0.02
+    for _ in range(6000):
+        p = p - rate * gradient(p)
+        p[:k] = np.sign(p[:k]) * np.maximum(np.abs(p[:k]) - rate * penalty, 0)
+    row, idx = np.nonzero(x)
+    w, theta = toxicity.fit(y, row, idx, k, grades=3, penalty=penalty, steps=4000)
+    assert np.allclose(w, p[:k] * scale, atol=2e-3) and np.allclose(theta, [p[k], p[k] + np.exp(p[k + 1])], atol=2e-3)
+
+
+def test_a_row_takes_no_part_in_its_held_out_score():
+    docs, labels = labelled(300)
+    toxic = np.array([t for _, t in labels], dtype=float)
+    feats = [sorted(toxicity.features_of(t)) for _, t in docs]
+    number = {f: i for i, f in enumerate(sorted({f for fs in feats for f in fs}))}
+    row = np.repeat(np.arange(len(feats)), [len(f) for f in feats])
+    idx = np.array([number[f] for fs in feats for f in fs])
+    fold = np.arange(300) % 5
+    score = toxicity.held_out_scores(toxic, fold, row, idx, len(number))
+    turned = np.where(fold == 2, 1 - toxic, toxic)  # a whole fold labelled the other way
+    assert (toxicity.held_out_scores(turned, fold, row, idx, len(number))[fold == 2] == score[fold == 2]).all()
+    assert ((score > 0) == (toxic > 0)).mean() > 0.95
+    grades = toxicity.terciles(toxic, score)
+    assert (grades[toxic == 0] == 0).all() and np.bincount(grades)[1:].min() > 0.2 * toxic.sum()
+    assert abs(toxicity.rank_correlation(np.array([1, 2, 2, 9]), np.array([0.0, 3, 3, 5])) - 1) < 1e-12
+
+
+def test_given_grades_are_fitted_as_they_are(spark):
+    rnd = random.Random(6)
+    vocab = ["".join(rnd.choice("klmnoprstu") for _ in range(5)) for _ in range(300)]
+    strong = ["mild", "nasty", "dreadful"]
+    docs, labels = [], []
+    for i in range(500):
+        g = rnd.choice([0, 0, 1, 2, 3])
+        w = [rnd.choice(vocab) for _ in range(30)] + strong[:g] * (40 if i % 50 == 0 else 1)
+        docs.append((i, " ".join(w)))
+        labels.append((i, g))
+    d, lab = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels[:350], "doc_id long, toxic int")
+    said = {r.doc_id: r for r in toxicity.toxicity(d, lab).collect()}
+    assert np.mean([said[i].grade == g for i, g in labels[350:]]) > 0.9
+    # the binary score of the same rows holds no order among the toxic ones ("mild" stands in all), which the report shows
+    assert {r.kind for r in toxicity.train(d, lab).collect()} == {"word", "theta", "rank_correlation"}
+
+
+def test_severity_follows_the_held_out_score(spark):
+    docs, labels = labelled()
+    d, lab = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    rows = {r.kind: r.value for r in toxicity.train(d, lab).collect()}
+    assert 0.4 < rows["rank_correlation"] <= 1
+
+
 def brute(rows, k):
     ok = {}
     for i, v in rows:
