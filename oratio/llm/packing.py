@@ -33,6 +33,9 @@ from .tokens import TextEncoder
 WINDOW = 2048
 SHARD = 4096
 K1, B = 1.2, 0.75
+DENSE = 512    # ids of a shard whose postings are rows of a matrix (16 MB)
+SPARSE = 32    # if at least one remainder in so many holds them
+AHEAD = 32     # seeds whose common ids are scored together
 
 CUT = "kind int, doc_id long, start long, ids binary, doc_tokens long, key long, sequence_id long"
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -115,18 +118,31 @@ def corpus_stats(cut: DataFrame) -> tuple[np.ndarray, int, float]:
 
 
 class Index:
-    """Inverted index of one shard: postings sorted by id, BM25 weights."""
+    """Inverted index of one shard with BM25 weights: postings sorted by id, the longest ones (at most ``DENSE``) as rows of a
+    matrix, so that the common ids of several queries are scored by one product."""
 
     def __init__(self, pieces: list[np.ndarray], df: np.ndarray, docs: int, mean: float):
         n = len(pieces)
-        owner = np.repeat(np.arange(n), [len(p) for p in pieces])
-        flat = np.concatenate(pieces).astype(np.int64)
-        key, tf = np.unique(flat * n + owner, return_counts=True)
-        ids, self.doc = key // n, key % n
+        distinct = [np.unique(p, return_counts=True) for p in pieces]
+        flat = np.concatenate([d[0] for d in distinct])
+        order = np.argsort(flat, kind="stable")  # by id, then remainder
+        ids = flat[order].astype(np.int64)
+        self.doc = np.repeat(np.arange(n), [len(d[0]) for d in distinct])[order]
+        tf = np.concatenate([d[1] for d in distinct])[order]
         idf = np.log1p((docs - df[ids] + 0.5) / (df[ids] + 0.5))
         length = np.array([len(p) for p in pieces], dtype=np.float64)[self.doc]
         self.weight = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
-        self.first = np.searchsorted(ids, np.arange(len(df) + 1))
+        held = np.bincount(ids, minlength=len(df))
+        long = np.argsort(-held, kind="stable")[:DENSE]
+        long = long[held[long] * SPARSE >= max(n, SPARSE)]
+        self.row = np.full(len(df), -1)
+        self.row[long] = np.arange(len(long))
+        self.columns = np.arange(n)  # the remainders that the matrix holds
+        self.dense = np.zeros((len(long), n))
+        in_dense = self.row[ids] >= 0
+        self.dense[self.row[ids[in_dense]], self.doc[in_dense]] = self.weight[in_dense]
+        self.doc, self.weight = self.doc[~in_dense], self.weight[~in_dense]
+        self.first = np.searchsorted(ids[~in_dense], np.arange(len(df) + 1))
         self.n = self.live = n
 
     def drop_used(self, unused: np.ndarray) -> None:
@@ -136,14 +152,31 @@ class Index:
             keep = unused[self.doc]
             before = np.concatenate([[0], np.cumsum(keep)])
             self.doc, self.weight, self.first, self.live = self.doc[keep], self.weight[keep], before[self.first], left
-
-    def scores(self, query: np.ndarray) -> np.ndarray:
-        """BM25 of every remainder in the postings for the distinct ids of ``query``."""
+            keep = unused[self.columns]
+            self.columns, self.dense = self.columns[keep], np.ascontiguousarray(self.dense[:, keep])
+
+    def common(self, queries: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(remainders, a row a query of their scores by the ids in the matrix)."""
+        asked = np.zeros((len(queries), len(self.dense)))
+        for i, q in enumerate(queries):
+            rows = self.row[q]
+            asked[i, rows[rows >= 0]] = 1
+        return self.columns, asked @ self.dense
+
+    def scores(self, query: np.ndarray, common=None) -> np.ndarray:
+        """BM25 of every remainder in the postings for the distinct ids of ``query``. ``common``: what ``common`` gave
+        for it, now or before remainders were dropped."""
+        if common is None:
+            columns, parts = self.common([query])
+            common = columns, parts[0]
         spans = [(i, j) for i, j in zip(self.first[query].tolist(), self.first[query + 1].tolist()) if i < j]
-        if not spans:
-            return np.zeros(self.n)
-        return np.bincount(np.concatenate([self.doc[i:j] for i, j in spans]),
-                           np.concatenate([self.weight[i:j] for i, j in spans]), minlength=self.n)
+        if spans:
+            out = np.bincount(np.concatenate([self.doc[i:j] for i, j in spans]),
+                              np.concatenate([self.weight[i:j] for i, j in spans]), minlength=self.n)
+        else:
+            out = np.zeros(self.n)
+        out[common[0]] += common[1]
+        return out
 
 
 def best_first(score: np.ndarray, some: int = 32):
@@ -165,23 +198,31 @@ def pack_shard(rest: list, window: int, stats, carry: list):
     index = Index([r[2] for r in rest], df, docs, mean)
     pool = [[r[1], r[2]] for r in rest]  # start and ids of what is unused
     unused = np.ones(len(rest), dtype=bool)
-    longest = iter(np.argsort([-len(r[2]) for r in rest], kind="stable").tolist())
+    longest, at = np.argsort([-len(r[2]) for r in rest], kind="stable").tolist(), 0
+    known = {}  # seeds ahead: what the common ids of each give
     done = []
     while True:
         if carry:
-            open_window, query = carry, carry[0][2]
+            open_window, query, common = carry, np.unique(carry[0][2]), None
         else:
-            seed = next((i for i in longest if unused[i]), None)
-            if seed is None:
+            while at < len(longest) and not unused[longest[at]]:
+                at += 1
+            if at == len(longest):
                 return done, []
+            seed = longest[at]
+            if seed not in known:
+                index.drop_used(unused)
+                ahead = [i for i in longest[at:at + 4 * AHEAD] if unused[i]][:AHEAD]
+                columns, parts = index.common([rest[i][2] for i in ahead])
+                known = {i: (columns, p) for i, p in zip(ahead, parts)}
             start, ids = pool[seed]
             unused[seed] = False
-            open_window, query = [(rest[seed][0], start, ids, rest[seed][3])], rest[seed][2]
+            open_window, query, common = [(rest[seed][0], start, ids, rest[seed][3])], np.unique(rest[seed][2]), known[seed]
         carry = []
         space = window - sum(len(p[2]) for p in open_window)
         if space:
             index.drop_used(unused)
-            score = np.where(unused, index.scores(np.unique(query)), -1.0)
+            score = np.where(unused, index.scores(query, common), -1.0)
             for j in best_first(score):
                 if not unused[j] or not space:
                     break
