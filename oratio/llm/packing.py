@@ -35,6 +35,7 @@ SHARD = 4096
 K1, B = 1.2, 0.75
 DENSE = 512    # ids of a shard whose postings are rows of a matrix (16 MB)
 SPARSE = 32    # if at least one remainder in so many holds them
+STRIP = 16     # remainders a product takes: small enough to stay on the one core of a task
 AHEAD = 32     # seeds whose common ids are scored together
 
 CUT = "kind int, doc_id long, start long, ids binary, doc_tokens long, key long, sequence_id long"
@@ -161,7 +162,10 @@ class Index:
         for i, q in enumerate(queries):
             rows = self.row[q]
             asked[i, rows[rows >= 0]] = 1
-        return self.columns, asked @ self.dense
+        out = np.empty((len(queries), len(self.columns)))
+        for a in range(0, len(self.columns), STRIP):
+            np.matmul(asked, self.dense[:, a:a + STRIP], out=out[:, a:a + STRIP])
+        return self.columns, out
 
     def scores(self, query: np.ndarray, common=None) -> np.ndarray:
         """BM25 of every remainder in the postings for the distinct ids of ``query``. ``common``: what ``common`` gave
