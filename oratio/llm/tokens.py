@@ -118,17 +118,27 @@ class TextEncoder:
                     if c in t:
                         t = pattern.sub(put, t)
                 pieces.append((MARK + t.replace("\n", f" {MARK}\n {MARK}")).split(" "))
-        distinct = set().union(*pieces)
-        missing = distinct.difference(memo)
-        if len(memo) >= self.bound and 2 * len(missing) > len(distinct):
+        out, late, missing, get, join = [], [], set(), memo.get, b"".join
+        for i, p in enumerate(pieces):
+            ids = list(map(get, p))
+            try:
+                out.append(join(ids))
+            except TypeError:  # some piece is new
+                holes = [k for k, x in enumerate(ids) if x is None]
+                missing.update([p[k] for k in holes])
+                late.append((i, ids, holes))
+                out.append(b"")
+        if len(memo) >= self.bound and 2 * len(missing) > len(set().union(*pieces)):
             memo.clear()  # the texts have changed their vocabulary
             self._start()
-            missing = distinct.difference(memo)
         new = list(missing.difference(spill))
         memo.update((w, spill[w]) for w in missing if w in spill)
         self._learn(new)
-        get = memo.__getitem__
-        out = [b"".join(map(get, p)) for p in pieces]
+        for i, ids, holes in late:
+            p = pieces[i]
+            for k in holes:
+                ids[k] = memo[p[k]]
+            out[i] = join(ids)
         if len(memo) > self.bound:  # full: words first seen now wait in the smaller dict
             if len(spill) > self.bound // 5:
                 spill.clear()
