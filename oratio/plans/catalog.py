@@ -239,7 +239,7 @@ def q_top_types(spark, d):
 
 
 def q_offsets(spark, d):
-    return (_search(spark, d, PROBE, False).select("speech_id", F.inline("top_spans"))
+    return (P.rows_of(_search(spark, d, PROBE, False), ["speech_id"], "top_spans")
             .select("speech_id", "type", F.inline("spans"))
             .select("speech_id", "type", F.col("chunk_no").cast("bigint").alias("chunk_no"),
                     F.col("sent_no").cast("bigint").alias("sent_no"),
