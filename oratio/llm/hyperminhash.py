@@ -43,6 +43,7 @@ BANDS = 48
 ROWS = 4
 SHORT_LEAST, SHORT_MOST = 64, 80  # below MOST: prefix keys; from LEAST on: register keys (80 * 0.8 = 64)
 BLOCK = 1024
+EARLIER = 256  # keys by which a cell tells the pairs that another cell compares
 SLICE = 512
 SIGMAS = 5.0
 
@@ -135,13 +136,27 @@ def chance_matches(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return REGISTERS * x * y / (x + y) * total
 
 
-def may_link(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Whether pairs of sketches (rows of ``a`` and ``b``) can belong to sets of the wanted similarity: sizes allow it and
+def occupied(sketches: np.ndarray) -> np.ndarray:
+    """The occupied registers of each sketch as a row of bits in 64-bit words."""
+    return np.packbits(sketches > 0, axis=1).view(np.uint64)
+
+
+def agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Registers that are equal in each pair of sketches: 256 one-byte answers, added as 32 words of eight bytes."""
+    eight = (a == b).view(np.uint64).sum(axis=1, dtype=np.uint64)
+    four = (eight & np.uint64(0x00FF00FF00FF00FF)) + (eight >> np.uint64(8) & np.uint64(0x00FF00FF00FF00FF))
+    return (four * np.uint64(0x0001000100010001) >> np.uint64(48)).astype(np.int64)
+
+
+def may_link(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int = PERCENT, used=None) -> np.ndarray:
+    """Whether pairs of sketches (rows of ``a`` and ``b``; ``used``: what ``occupied`` gives for the two) can belong to sets of the wanted similarity: sizes allow it and
     the collision-corrected estimate is not below it by more than ``SIGMAS`` standard deviations. Buckets sample the
     union, so the deviation shrinks where nearly every element of the union has a bucket of its own."""
     goal = percent / 100
-    same = ((a == b) & (a > 0)).sum(axis=1)
-    filled = np.maximum(((a > 0) | (b > 0)).sum(axis=1), 1)
+    ua, ub = (occupied(a), occupied(b)) if used is None else used
+    bits = np.bitwise_count(ua | ub)
+    both_empty = REGISTERS - (bits[:, 0].astype(np.int64) + bits[:, 1] + bits[:, 2] + bits[:, 3])
+    same, filled = agreeing(a, b) - both_empty, np.maximum(REGISTERS - both_empty, 1)
     union = (na + nb) / (1 + goal)
     sigma = np.sqrt(goal * (1 - goal) / filled * np.maximum(1 - filled / union, 0))
     least = (goal - SIGMAS * sigma) * filled - 2
@@ -246,21 +261,40 @@ def _by_cell(rows: DataFrame, work, schema: str) -> DataFrame:
     return rows.repartition("k", "p", "q").sortWithinPartitions("k", "p", "q", "node").mapInArrow(run, schema)
 
 
-def _cell_candidates(cell: pa.Table, regs: np.ndarray, percent: int):
+def _earlier(lists: pa.ListArray) -> np.ndarray:
+    """For each list of keys the ones that it shares, as a row of bits: the ``EARLIER`` keys held most often."""
+    flat, size = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+    values, code, held = np.unique(flat, return_inverse=True, return_counts=True)
+    most = np.argsort(-held, kind="stable")[:EARLIER]
+    most = most[held[most] > 1]
+    place = np.full(len(values), -1)
+    place[most] = np.arange(len(most))
+    at = place[code]
+    out = np.zeros((len(lists), EARLIER), dtype=bool)
+    out[np.repeat(np.arange(len(lists)), size)[at >= 0], at[at >= 0]] = True
+    return np.packbits(out, axis=1).view(np.uint64)
+
+
+def _cell_candidates(cell: pa.Table, regs: np.ndarray, percent: int, earlier: np.ndarray | None = None):
     """(i, j) arrays, some rows at a time, of the pairs of a cell (k, p, q, x, node, c, n, ..) that lie in different
-    components and may link: each pair once, inside one block by position, between two blocks from one to the other."""
+    components and may link: each pair once, inside one block by position, between two blocks from one to the other.
+    Pairs that share a bit of ``earlier`` are left to the cells of that key."""
     m = cell.num_rows
     one = cell.column(1)[0].as_py() == cell.column(2)[0].as_py()
     x, c, n = (cell.column(i).to_numpy() for i in (3, 5, 6))
     low = x == cell.column(1)[0].as_py()
-    rows = max(1, BLOCK * 8 // m)
+    used = occupied(regs)
+    rows = max(1, BLOCK * 32 // m)
     for lo in range(0, m, rows):
         i, j = np.indices((min(rows, m - lo), m)).reshape(2, -1)
         i = i + lo
         ok = (c[i] != c[j]) & ((i < j) if one else (low[i] & ~low[j]))
         ok &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
         i, j = i[ok], j[ok]
-        ok = may_link(regs[i], regs[j], n[i], n[j], percent)
+        if earlier is not None:
+            ok = ~(earlier[i] & earlier[j]).any(axis=1)
+            i, j = i[ok], j[ok]
+        ok = may_link(regs[i], regs[j], n[i], n[j], percent, (used[i], used[j]))
         yield i[ok], j[ok]
 
 
@@ -272,25 +306,32 @@ def _spanning_links(cell: pa.Table, percent: int):
     sizes = np.array([len(h) for h in sets])
     starts = np.cumsum(sizes) - sizes
     words, code = np.unique(np.concatenate(sets), return_inverse=True)
-    mark = np.zeros(len(words), dtype=bool)
+    mark = np.zeros(len(words), dtype=np.uint8)
     root = c.copy()  # components as joined so far in this cell
     for i, j in _cell_candidates(cell, regs, percent):
         for a in np.unique(i):
+            others = j[i == a]
+            others = others[root[others] != root[a]]
+            if not len(others):
+                continue
             own = code[starts[a]:starts[a] + sizes[a]]
-            mark[own] = True
-            for b in j[i == a]:
+            mark[own] = 1
+            if 8 * len(others) > len(sizes):  # one pass over the cell's sets
+                common = np.add.reduceat(mark[code], starts, dtype=np.int64)[others]
+            else:
+                common = np.array([int(mark[code[starts[b]:starts[b] + sizes[b]]].sum()) for b in others])
+            mark[own] = 0
+            for b in others[100 * common >= percent * (n[a] + n[others] - common)]:
                 if root[a] != root[b]:
-                    common = int(mark[code[starts[b]:starts[b] + sizes[b]]].sum())
-                    if 100 * common >= percent * (n[a] + n[b] - common):
-                        root[root == root[b]] = root[a]
-                        yield int(min(node[a], node[b])), int(max(node[a], node[b]))
-            mark[own] = False
+                    root[root == root[b]] = root[a]
+                    yield int(min(node[a], node[b])), int(max(node[a], node[b]))
 
 
 def late_links(members: DataFrame, texts: DataFrame, reps: DataFrame, shingle: int = SHINGLE, block: int = BLOCK,
                percent: int = PERCENT) -> DataFrame:
     """(u, v) links between components among the members (k, node, c) of keys that hold several components ``c``. Members are
-    dealt into blocks by hash, one cell for each pair of blocks. Sketches first name, in each cell, the members that may
+    dealt into blocks by hash, one cell for each pair of blocks. A pair is compared under the least key that it shares: of
+    different components, it shares no key but those of ``members`` and keys of its own, which have compared it. Sketches first name, in each cell, the members that may
     link to another component; only their whole sets are then brought to the cell and compared, and of
     the links found a cell returns those that join components."""
     size = members.groupBy("k").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi")).where(
@@ -298,13 +339,14 @@ def late_links(members: DataFrame, texts: DataFrame, reps: DataFrame, shingle: i
     dealt = members.join(size, "k").withColumn("x", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     cells = dealt.select("k", F.explode(F.expr(
         "transform(sequence(0, blocks - 1), y -> struct(least(x, y) AS p, greatest(x, y) AS q))")).alias("cell"),
-        "x", "node", "c").join(reps.select("node", "n", "sketch"), "node").select(
-        "k", "cell.p", "cell.q", "x", "node", "c", "n", "sketch")
+        "x", "node", "c").join(reps.select("node", "n", "sketch", "keys"), "node").select(
+        "k", "cell.p", "cell.q", "x", "node", "c", "n", "sketch", F.expr("filter(keys, y -> y < k)").alias("earlier"))
 
     def candidates(cell):
         if cell.num_rows > 1:
             busy = np.zeros(cell.num_rows, dtype=bool)
-            for i, j in _cell_candidates(cell, _matrix(cell.column(7).combine_chunks()), percent):
+            regs, earlier = _matrix(cell.column(7).combine_chunks()), _earlier(cell.column(8).combine_chunks())
+            for i, j in _cell_candidates(cell, regs, percent, earlier):
                 busy[i] = busy[j] = True
             if busy.any():
                 yield from cell.select(range(7)).filter(pa.array(busy)).to_batches()

@@ -124,3 +124,29 @@ def test_estimate_is_corrected_and_rejects_unrelated_sets():
         shared += len(set(hm.keys_of(a, ra, orders).tolist()) & set(hm.keys_of(b, rb, orders).tolist()))
         assert not hm.may_link(ra[None], rb[None], np.array([3000]), np.array([3000]))[0]
     assert shared == 0 and abs(same - expected) <= 5 * expected ** 0.5 + 5
+
+
+def test_a_pair_of_several_keys_is_compared_in_one_cell():
+    import pyarrow as pa
+
+    rnd = random.Random(9)
+    base = [rnd.getrandbits(64) for _ in range(200)]
+    sets = [np.array(sorted(base[:190] + [rnd.getrandbits(64) for _ in range(10)]), dtype=np.uint64) for _ in range(6)]
+    regs = np.stack([hm.registers(h) for h in sets])
+    cell = pa.table({"k": [7] * 6, "p": [0] * 6, "q": [0] * 6, "x": [0] * 6, "node": list(range(6)), "c": list(range(6)),
+                     "n": [200] * 6})
+    # the first three share key 5 as well, the last three share no key below 7
+    earlier = hm._earlier(pa.array([[5, 1], [5, 2], [5, 3], [4], [], [6]], pa.list_(pa.int64())))
+    pairs = [(int(a), int(b)) for i, j in hm._cell_candidates(cell, regs, 80, earlier) for a, b in zip(i, j)]
+    assert sorted(pairs) == [(a, b) for a in range(6) for b in range(a + 1, 6) if b > 2]
+
+
+def test_stars_need_no_second_round(spark, monkeypatch):
+    from oratio.llm import components
+
+    written = []
+    cut = components.cut_lineage
+    monkeypatch.setattr(components, "cut_lineage", lambda df: written.append(1) or cut(df))
+    edges = spark.createDataFrame([(5, 1), (1, 4), (4, 4), (9, 7), (5, 1), (None, 3)], "u long, v long")
+    got = {r.node: r.component for r in components.connected_components(edges).collect()}
+    assert got == {1: 1, 4: 1, 5: 1, 7: 7, 9: 7} and len(written) == 1
