@@ -28,6 +28,8 @@ from ..functions import text as T
 from ..functions.lexicons import EMOTION_LABELS, SENTIMENT_LABELS
 from ..session import cut_lineage
 
+BLOCK_MB = 8.0  # training rows that a task stacks into one matrix
+
 
 def _capitalize(s: str) -> str:
     return s[:1].upper() + s[1:].lower()
@@ -127,14 +129,15 @@ def fit_labels(df: DataFrame, text: str, label: str, max_terms: int = 512, num_f
     if not 2 <= len(labels) <= max_labels:
         raise ValueError(f"{len(labels)} labels; 2 to {max_labels} can be told apart")
     index = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("__name")).cast("double") - 1
-    train = cut_lineage(labelled.select("__tok", index.alias("__label")))  # the fit reads it many times
-    pipe = Pipeline(stages=[
-        HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=num_features),
-        IDF(inputCol="__tf", outputCol="__features"),
-        LogisticRegression(featuresCol="__features", labelCol="__label", family="multinomial", maxIter=max_iter, regParam=reg,
-                           probabilityCol="__prob", predictionCol="__pred", rawPredictionCol="__raw"),
-    ])
-    return LabelModel(pipe.fit(train), labels, max_terms)
+    tf = HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=num_features)
+    # the fits read it many times: texts are cut into terms and hashed once, only the sparse counts are kept
+    train = cut_lineage(tf.transform(labelled.select("__tok", index.alias("__label"))).select("__tf", "__label"))
+    idf = IDF(inputCol="__tf", outputCol="__features").fit(train)
+    # a block costs a pass over labels x features besides its rows, so blocks hold many rows
+    fitted = LogisticRegression(featuresCol="__features", labelCol="__label", family="multinomial", maxIter=max_iter, regParam=reg,
+                                probabilityCol="__prob", predictionCol="__pred", rawPredictionCol="__raw",
+                                maxBlockSizeInMB=BLOCK_MB).fit(idf.transform(train).select("__features", "__label"))
+    return LabelModel(PipelineModel([tf, idf, fitted]), labels, max_terms)
 
 
 def add_toxicity_model(df: DataFrame, model: PipelineModel, text: str = "speech",

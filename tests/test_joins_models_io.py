@@ -392,3 +392,16 @@ def test_score_text_query(spark, sf_dir):
     assert got.keys() == lang.keys()
     right = sum(got[i] == lang[i].capitalize() for i in got if lang[i])
     assert right / len(got) > 0.8
+
+
+def test_fit_labels_keeps_hashed_counts_not_terms(spark, monkeypatch):  # M1-M3
+    from oratio.operators import models
+
+    kept = []
+    cut = models.cut_lineage
+    monkeypatch.setattr(models, "cut_lineage", lambda df: kept.append(dict(df.dtypes)) or cut(df))
+    rows = [(i, f"{'red' if i % 2 else 'blue'} word{i % 7} text", "warm" if i % 2 else "cold") for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, text string, lang string")
+    model = models.fit_labels(df, "text", "lang", num_features=1 << 8, max_iter=10)
+    assert kept == [{"__tf": "vector", "__label": "double"}]
+    assert {(r.lang, r.label) for r in model.score(df, "text", "label").collect()} == {("warm", "Warm"), ("cold", "Cold")}
