@@ -73,9 +73,9 @@ def tokenize_cut(df: DataFrame, tokenizer: str, end_id: int, id_col: str, text:
 
         for b in batches:
             docs, texts = b.column("id").to_pylist(), b.column("t")
-            for a in range(0, len(docs), 500):
+            for a in range(0, len(docs), 2000):
                 rows = []
-                for d, raw in zip(docs[a:a + 500], enc(texts.slice(a, 500).to_pylist())):
+                for d, raw in zip(docs[a:a + 2000], enc(texts.slice(a, 2000).to_pylist())):
                     ids = np.append(np.frombuffer(raw, enc.dtype), enc.dtype.type(end_id))
                     n = len(ids)
                     at = np.arange(n)
@@ -118,28 +118,32 @@ def corpus_stats(cut: DataFrame) -> tuple[np.ndarray, int, float]:
     return out, docs, (total.ids / docs if docs else 1.0)
 
 
+def distinct(ids: np.ndarray) -> np.ndarray:
+    s = np.sort(ids)
+    return s[np.concatenate([[True], s[1:] != s[:-1]])]
+
+
 class Index:
     """Inverted index of one shard with BM25 weights: postings sorted by id, the longest ones (at most ``DENSE``) as rows of a
     matrix, so that the common ids of several queries are scored by one product."""
 
     def __init__(self, pieces: list[np.ndarray], df: np.ndarray, docs: int, mean: float):
         n = len(pieces)
-        distinct = [np.unique(p, return_counts=True) for p in pieces]
-        flat = np.concatenate([d[0] for d in distinct])
-        order = np.argsort(flat, kind="stable")  # by id, then remainder
-        ids = flat[order].astype(np.int64)
-        self.doc = np.repeat(np.arange(n), [len(d[0]) for d in distinct])[order]
-        tf = np.concatenate([d[1] for d in distinct])[order]
+        lengths, bits = np.array([len(p) for p in pieces]), n.bit_length()
+        both = np.concatenate(pieces).astype(np.int64) << bits | np.repeat(np.arange(n), lengths)
+        both.sort()  # by id, then remainder
+        first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+        tf = np.diff(np.append(first, len(both)))
+        ids, self.doc = both[first] >> bits, both[first] & (1 << bits) - 1
         idf = np.log1p((docs - df[ids] + 0.5) / (df[ids] + 0.5))
-        length = np.array([len(p) for p in pieces], dtype=np.float64)[self.doc]
-        self.weight = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
+        self.weight = idf * tf * (K1 + 1) / (tf + (K1 * (1 - B + B * lengths / mean))[self.doc])
         held = np.bincount(ids, minlength=len(df))
         long = np.argsort(-held, kind="stable")[:DENSE]
         long = long[held[long] * SPARSE >= max(n, SPARSE)]
         self.row = np.full(len(df), -1)
         self.row[long] = np.arange(len(long))
         self.columns = np.arange(n)  # the remainders that the matrix holds
-        self.dense = np.zeros((len(long), n))
+        self.dense = np.zeros((len(long), n), np.float32)
         in_dense = self.row[ids] >= 0
         self.dense[self.row[ids[in_dense]], self.doc[in_dense]] = self.weight[in_dense]
         self.doc, self.weight = self.doc[~in_dense], self.weight[~in_dense]
@@ -158,11 +162,11 @@ class Index:
 
     def common(self, queries: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """(remainders, a row a query of their scores by the ids in the matrix)."""
-        asked = np.zeros((len(queries), len(self.dense)))
+        asked = np.zeros((len(queries), len(self.dense)), np.float32)
         for i, q in enumerate(queries):
             rows = self.row[q]
             asked[i, rows[rows >= 0]] = 1
-        out = np.empty((len(queries), len(self.columns)))
+        out = np.empty((len(queries), len(self.columns)), np.float32)
         for a in range(0, len(self.columns), STRIP):
             np.matmul(asked, self.dense[:, a:a + STRIP], out=out[:, a:a + STRIP])
         return self.columns, out
@@ -207,7 +211,7 @@ def pack_shard(rest: list, window: int, stats, carry: list):
     done = []
     while True:
         if carry:
-            open_window, query, common = carry, np.unique(carry[0][2]), None
+            open_window, query, common = carry, distinct(carry[0][2]), None
         else:
             while at < len(longest) and not unused[longest[at]]:
                 at += 1
@@ -221,7 +225,7 @@ def pack_shard(rest: list, window: int, stats, carry: list):
                 known = {i: (columns, p) for i, p in zip(ahead, parts)}
             start, ids = pool[seed]
             unused[seed] = False
-            open_window, query, common = [(rest[seed][0], start, ids, rest[seed][3])], np.unique(rest[seed][2]), known[seed]
+            open_window, query, common = [(rest[seed][0], start, ids, rest[seed][3])], distinct(rest[seed][2]), known[seed]
         carry = []
         space = window - sum(len(p[2]) for p in open_window)
         if space:

@@ -165,8 +165,8 @@ def tokenize_sorted(df: DataFrame, tokenizer: str, end_id: int, id_col: str, tex
 
         for b in batches:
             ids, texts = b.column("id").to_pylist(), b.column("t")
-            for a in range(0, len(ids), 500):
-                for d, raw in zip(ids[a:a + 500], enc(texts.slice(a, 500).to_pylist())):
+            for a in range(0, len(ids), 2000):
+                for d, raw in zip(ids[a:a + 2000], enc(texts.slice(a, 2000).to_pylist())):
                     raw += end
                     k = len(raw) // width
                     if docs and held + k > block:

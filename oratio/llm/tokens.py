@@ -16,9 +16,10 @@ import numpy as np
 from .common import worker_cache
 
 MEMO_WORDS = 500_000  # bound of the memo in each Python worker (about 110 MB)
-
+CHUNK = 4_000_000  # characters whose distinct pieces are looked up together (some 60 MB of words and ids)
 
 MARK = "\x01"  # starts a piece that no space precedes
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 # Byte-level files spell each byte as one character: bytes without a printable Latin-1 character follow U+0100 in order.
 _UNPRINTED = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
 BYTE_CHARS = {b: 256 + i for i, b in enumerate(_UNPRINTED)}
@@ -61,8 +62,6 @@ class TextEncoder:
         self.memo = worker_cache("memo " + path)
         self.bound = memo_words
         self.spill = worker_cache("spill " + path)
-        # white space besides space and line feed
-        self.odd_space = re.compile("[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
         after = "A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
         self.marks = [(c, re.compile(rf"{re.escape(c)}(?<=[{after}].)(?=[ \n]|\Z)"), f" {MARK}{c}") for c in ".,;:!?"]
         spec = worker_cache("spec")
@@ -73,6 +72,9 @@ class TextEncoder:
             spec[path] = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
                           and j.get("normalizer") is None, [t["content"] for t in j.get("added_tokens", [])])
         self.cuttable, self.added = spec[path]
+        # texts encoded whole (RE2); the brackets hold white space besides space and line feed
+        self.odd = "|".join([f"  | \n|\n |\n\n\n|\n\n\\z|{MARK}", *map(re.escape, self.added),
+                             "[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"])
         self.line = np.frombuffer(self._whole(["\n"])[0], self.dtype)
         self._start()
 
@@ -90,9 +92,9 @@ class TextEncoder:
         if not self.cuttable:
             return self._whole(texts)
         out, at = [], 0
-        while at < len(texts):  # about a million characters at a time
+        while at < len(texts):  # some million characters at a time
             end, size = at, 0
-            while end < len(texts) and (end == at or size < 1_000_000):
+            while end < len(texts) and (end == at or size < CHUNK):
                 size += len(texts[end])
                 end += 1
             collecting = gc.isenabled()
@@ -106,68 +108,90 @@ class TextEncoder:
         return out
 
     def _some(self, texts: list[str]) -> list[bytes]:
-        memo, spill = self.memo, self.spill
-        pieces, whole = [], []
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        odd = pc.match_substring_regex(pa.array(texts, pa.large_string()), self.odd).to_pylist()
+        out, places, cut, whole = [b""] * len(texts), [], [], []
         for i, t in enumerate(texts):
-            if ("  " in t or " \n" in t or "\n " in t or "\n\n\n" in t or t.endswith("\n\n") or MARK in t
-                    or self.odd_space.search(t) is not None or any(a in t for a in self.added)):
+            if odd[i]:
                 whole.append(i)
-                pieces.append(())
             else:
                 for c, pattern, put in self.marks:
                     if c in t:
                         t = pattern.sub(put, t)
-                pieces.append((MARK + t.replace("\n", f" {MARK}\n {MARK}")).split(" "))
-        out, late, missing, get, join = [], [], set(), memo.get, b"".join
-        for i, p in enumerate(pieces):
-            ids = list(map(get, p))
-            try:
-                out.append(join(ids))
-            except TypeError:  # some piece is new
-                holes = [k for k, x in enumerate(ids) if x is None]
-                missing.update([p[k] for k in holes])
-                late.append((i, ids, holes))
-                out.append(b"")
-        if len(memo) >= self.bound and 2 * len(missing) > len(set().union(*pieces)):
-            memo.clear()  # the texts have changed their vocabulary
-            self._start()
-        new = list(missing.difference(spill))
-        memo.update((w, spill[w]) for w in missing if w in spill)
-        self._learn(new)
-        for i, ids, holes in late:
-            p = pieces[i]
-            for k in holes:
-                ids[k] = memo[p[k]]
-            out[i] = join(ids)
-        if len(memo) > self.bound:  # full: words first seen now wait in the smaller dict
-            if len(spill) > self.bound // 5:
-                spill.clear()
-            for w in missing:
-                spill[w] = memo.pop(w)
+                places.append(i)
+                cut.append(MARK + t.replace("\n", f" {MARK}\n {MARK}"))
+        if cut:
+            parts = pc.split_pattern(pa.array(cut, pa.large_string()), " ")
+            coded = parts.flatten().dictionary_encode()  # each distinct piece is looked up once
+            distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+            joined = pa.array(self._ids(distinct), pa.large_binary()).take(coded.indices)
+            _, ends, raw = joined.buffers()
+            ends, raw = np.frombuffer(ends, np.int64)[parts.offsets.to_numpy()].tolist(), memoryview(raw or b"")
+            for i, start, end in zip(places, ends, ends[1:]):
+                out[i] = raw[start:end].tobytes()
         for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
             out[i] = ids
         return out
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode pieces into the memo. A word of Latin letters goes straight to the tokenizer's model; others are
-        encoded many in one call, where a line break between two pieces is a token of its own."""
-        memo, model, code, rest = self.memo, self.tok.model, "HI"[self.dtype.itemsize // 4], []
-        for w in pieces:
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces, by the memo; new pieces are learnt."""
+        memo, spill = self.memo, self.spill
+        ids = list(map(memo.get, pieces))
+        holes = [k for k, x in enumerate(ids) if x is None]
+        if len(memo) >= self.bound and 2 * len(holes) > len(pieces):
+            memo.clear()  # the texts have changed their vocabulary
+            self._start()
+        missing = [pieces[k] for k in holes]
+        found = list(map(spill.get, missing))
+        new = [k for k, x in enumerate(found) if x is None]
+        for k, x in zip(new, self._learn([missing[k] for k in new])):
+            found[k] = x
+        for k, x in zip(holes, found):
+            ids[k] = x
+        room = max(0, self.bound - len(memo))
+        memo.update(zip(missing[:room], found))
+        if room < len(missing):  # full: words first seen now wait in the smaller dict
+            if len(spill) > self.bound // 5:
+                spill.clear()
+            spill.update(zip(missing[room:], found[room:]))
+        return ids
+
+    def _learn(self, pieces: list[str]) -> list[bytes]:
+        """Encode new pieces. A word of Latin letters goes straight to the tokenizer's model, and so does the punctuation
+        that ends it, which the split parts from it; others are encoded many in one call, where a line break between two
+        pieces is a token of its own."""
+        tokenize, tails, code, rest = self.tok.model.tokenize, {}, "HI"[self.dtype.itemsize // 4], []
+        out = [b""] * len(pieces)
+        for k, w in enumerate(pieces):
             word = w[1:] if w[0] == MARK else w
-            if word.isalpha() and (word.isascii() or max(word) < "\u0250"):
-                if not word.isascii():
-                    word = word.encode().decode("latin-1").translate(BYTE_CHARS)
-                memo[w] = array(code, [t.id for t in model.tokenize(word if w[0] == MARK else SPACE + word)]).tobytes()
+            head, tail = word, ""
+            if not word.isalpha():
+                head = word.rstrip(PUNCTUATION)
+                tail = word[len(head):]
+            if head.isalpha() and (head.isascii() or max(head) < "\u0250"):
+                if not head.isascii():
+                    head = head.encode().decode("latin-1").translate(BYTE_CHARS)
+                ids = array(code, [t.id for t in tokenize(head if w[0] == MARK else SPACE + head)])
+                if tail:
+                    if tail not in tails:
+                        tails[tail] = array(code, [t.id for t in tokenize(tail)])
+                    ids += tails[tail]
+                out[k] = ids.tobytes()
             else:
-                rest.append(w)
+                rest.append(k)
         for a in range(0, len(rest), 10_000):
             part = rest[a:a + 10_000]
-            texts = [w[1:] if w[0] == MARK else " " + w for w in part]
+            texts = [w[1:] if w[0] == MARK else " " + w for w in (pieces[k] for k in part)]
             ids = np.frombuffer(self._whole(["\n".join(texts)])[0], self.dtype)
             ends = np.flatnonzero(ids == self.line[0])
             if len(self.line) == 1 and len(ends) == len(part) - 1:
                 raw, size = ids.tobytes(), self.dtype.itemsize
                 lo, hi = [0, *((ends + 1) * size).tolist()], [*(ends * size).tolist(), len(raw)]
-                memo.update((w, raw[i:j]) for w, i, j in zip(part, lo, hi))
+                encoded = [raw[i:j] for i, j in zip(lo, hi)]
             else:
-                memo.update(zip(part, self._whole(texts)))
+                encoded = self._whole(texts)
+            for k, x in zip(part, encoded):
+                out[k] = x
+        return out

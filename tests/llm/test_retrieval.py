@@ -1,6 +1,8 @@
 """BM25 of a shard against plain Python, before and after used remainders leave the postings; order of equal scores."""
 
 import math
+import random
+import string
 import zlib
 
 import numpy as np
@@ -51,3 +53,42 @@ def test_digest_is_the_checksum_of_the_ids(spark):
     raw = np.array([1, 70_000, 5], "<u4").tobytes()
     pieces = spark.createDataFrame([(7, 0, 3, bytearray(raw), 3, 9, 0)], packing.PIECES)
     assert packing.digest(pieces).select("ids_crc32").first()[0] == zlib.crc32(raw)
+
+
+def test_a_piece_is_looked_up_once_a_chunk():
+    from collections import Counter
+
+    from oratio.llm.tokens import TextEncoder, default_path
+
+    asked = Counter()
+
+    class Memo(dict):
+        def get(self, key, default=None):
+            asked[key] += 1
+            return super().get(key, default)
+
+    enc = TextEncoder(default_path())
+    enc.memo = Memo(enc.memo)
+    got = enc(["the same words, the same words."] * 50)
+    want = enc.tok.encode("the same words, the same words.", add_special_tokens=False).ids
+    assert all(np.frombuffer(g, enc.dtype).tolist() == want for g in got)
+    assert max(asked.values()) == 1
+
+
+def test_words_with_punctuation_behind_are_learnt_by_the_model():
+    from oratio.llm.tokens import TextEncoder, default_path
+
+    rnd = random.Random(5)
+    enc = TextEncoder(default_path())
+    words = ["".join(rnd.choice("abcdeéñß") for _ in range(rnd.randint(1, 9))) + "".join(rnd.choices(string.punctuation, k=rnd.randint(1, 4)))
+             for _ in range(3000)]
+    want = [enc.tok.encode(w, add_special_tokens=False).ids for w in words]
+    together = enc.tok.encode(" ".join(words), add_special_tokens=False).ids
+    enc.memo, enc.spill = {}, {}
+    enc._start()
+    whole = []
+    encode = enc._whole
+    enc._whole = lambda texts: whole.extend(texts) or encode(texts)
+    assert [np.frombuffer(g, enc.dtype).tolist() for g in enc(words)] == want
+    assert np.frombuffer(enc([" ".join(words)])[0], enc.dtype).tolist() == together
+    assert sum(map(len, whole)) < 100  # the slower way takes none of them
