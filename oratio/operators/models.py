@@ -29,6 +29,7 @@ from ..functions.lexicons import EMOTION_LABELS, SENTIMENT_LABELS
 from ..session import cut_lineage
 
 BLOCK_MB = 8.0  # training rows that a task stacks into one matrix
+SPLIT = "16MB"  # of stored counts in one training task: it keeps about ten times as much in memory
 
 
 def _capitalize(s: str) -> str:
@@ -105,7 +106,12 @@ class LabelModel:
 
     def score(self, df: DataFrame, text: str, out: str, prob_out: str | None = None) -> DataFrame:
         """``df`` with the label of the greatest probability, capitalised; of equal ones the first label. JVM only."""
-        scored = self.model.transform(df.withColumn("__tok", first_terms(text, self.max_terms)))
+        tf = self.model.stages[0]
+        return self.score_counts(tf.transform(df.withColumn("__tok", first_terms(text, self.max_terms))), out, prob_out)
+
+    def score_counts(self, df: DataFrame, out: str, prob_out: str | None = None) -> DataFrame:
+        """``score`` of rows that ``term_counts`` has cut and hashed."""
+        scored = PipelineModel(self.model.stages[1:]).transform(df)
         p = vector_to_array("__prob")
         names = F.array(*[F.lit(_capitalize(x)) for x in self.labels])
         scored = scored.withColumn("__p", p).withColumn(out, F.element_at(names, F.array_position("__p", F.array_max("__p")).cast("int")))
@@ -119,24 +125,53 @@ def first_terms(text: str, max_terms: int) -> Column:
     return F.coalesce(F.slice(T.terms(text), 1, max_terms), F.array().cast("array<string>"))
 
 
+def term_counts(df: DataFrame, text: str, max_terms: int = 512, num_features: int = 1 << 16) -> DataFrame:
+    """``df`` with the hashed counts of a text's first terms (``__tf``) in place of the text."""
+    tf = HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=num_features)
+    return tf.transform(df.withColumn("__tok", first_terms(text, max_terms)).drop(text)).drop("__tok")
+
+
+def label_names(df: DataFrame, label: str, max_labels: int) -> tuple[list[str], Column]:
+    """The distinct labels in ascending order and a row's place among them."""
+    labels = sorted(r[0] for r in df.where(F.col(label).isNotNull()).select(label).distinct().limit(max_labels + 1).collect())
+    if not 2 <= len(labels) <= max_labels:
+        raise ValueError(f"{len(labels)} labels; 2 to {max_labels} can be told apart")
+    return labels, F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(label)).cast("double") - 1
+
+
 def fit_labels(df: DataFrame, text: str, label: str, max_terms: int = 512, num_features: int = 1 << 16, max_iter: int = 30,
                reg: float = 0.01, max_labels: int = 1000) -> LabelModel:
     """M1-M3 trained where labels exist: multinomial logistic regression over hashed terms, one class for each distinct
     label in ascending order. Rows without a label are not used. ``max_labels`` bounds the model (labels x features
     in the driver); more labels are an error."""
-    labelled = df.where(F.col(label).isNotNull()).select(first_terms(text, max_terms).alias("__tok"), F.col(label).alias("__name"))
-    labels = sorted(r[0] for r in labelled.select("__name").distinct().limit(max_labels + 1).collect())
-    if not 2 <= len(labels) <= max_labels:
-        raise ValueError(f"{len(labels)} labels; 2 to {max_labels} can be told apart")
-    index = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("__name")).cast("double") - 1
-    tf = HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=num_features)
+    labels, index = label_names(df, label, max_labels)
+    labelled = df.where(F.col(label).isNotNull()).select(F.col(text).alias("__text"), index.alias("__label"))
     # the fits read it many times: texts are cut into terms and hashed once, only the sparse counts are kept
-    train = cut_lineage(tf.transform(labelled.select("__tok", index.alias("__label"))).select("__tf", "__label"))
-    idf = IDF(inputCol="__tf", outputCol="__features").fit(train)
-    # a block costs a pass over labels x features besides its rows, so blocks hold many rows
-    fitted = LogisticRegression(featuresCol="__features", labelCol="__label", family="multinomial", maxIter=max_iter, regParam=reg,
-                                probabilityCol="__prob", predictionCol="__pred", rawPredictionCol="__raw",
-                                maxBlockSizeInMB=BLOCK_MB).fit(idf.transform(train).select("__features", "__label"))
+    train = cut_lineage(term_counts(labelled, "__text", max_terms, num_features).select("__tf", "__label"))
+    return _fit(train, labels, max_terms, num_features, max_iter, reg)
+
+
+def fit_counts(counts: DataFrame, label: str, max_terms: int = 512, num_features: int = 1 << 16, max_iter: int = 30,
+               reg: float = 0.01, max_labels: int = 1000) -> LabelModel:
+    """``fit_labels`` over stored rows of ``term_counts`` (made with the same limits), which scoring can use too."""
+    labels, index = label_names(counts, label, max_labels)
+    train = counts.where(F.col(label).isNotNull()).select("__tf", index.alias("__label"))
+    return _fit(train, labels, max_terms, num_features, max_iter, reg)
+
+
+def _fit(train: DataFrame, labels: list[str], max_terms: int, num_features: int, max_iter: int, reg: float) -> LabelModel:
+    conf = train.sparkSession.conf
+    before = conf.get("spark.sql.files.maxPartitionBytes")
+    conf.set("spark.sql.files.maxPartitionBytes", SPLIT)
+    try:
+        idf = IDF(inputCol="__tf", outputCol="__features").fit(train)
+        # a block costs a pass over labels x features besides its rows, so blocks hold many rows
+        fitted = LogisticRegression(featuresCol="__features", labelCol="__label", family="multinomial", maxIter=max_iter, regParam=reg,
+                                    probabilityCol="__prob", predictionCol="__pred", rawPredictionCol="__raw",
+                                    maxBlockSizeInMB=BLOCK_MB).fit(idf.transform(train).select("__features", "__label"))
+    finally:
+        conf.set("spark.sql.files.maxPartitionBytes", before)
+    tf = HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=num_features)
     return LabelModel(PipelineModel([tf, idf, fitted]), labels, max_terms)
 
 

@@ -421,9 +421,10 @@ def q_toxic_model(spark, d):
 
 def q_score_text(spark, d):
     """M1-M3: a model of all languages of ``documents``, trained on its rows and applied to every row."""
-    from ..operators.models import fit_labels
-    t = docs_with(spark, d, "lang")
-    out = fit_labels(t, "text", "lang").score(t, "text", "label", "p")
+    from ..operators.models import fit_counts, term_counts
+    from ..session import cut_lineage
+    counts = cut_lineage(term_counts(docs_with(spark, d, "lang"), "text"))  # one cut of the texts for fit and scoring
+    out = fit_counts(counts, "lang").score_counts(counts, "label", "p")
     return out.select("doc_id", "label", _r(F.col("p")).alias("p"))
 
 

@@ -405,3 +405,18 @@ def test_fit_labels_keeps_hashed_counts_not_terms(spark, monkeypatch):  # M1-M3
     model = models.fit_labels(df, "text", "lang", num_features=1 << 8, max_iter=10)
     assert kept == [{"__tf": "vector", "__label": "double"}]
     assert {(r.lang, r.label) for r in model.score(df, "text", "label").collect()} == {("warm", "Warm"), ("cold", "Cold")}
+
+
+def test_score_text_cuts_each_text_once(spark, sf_dir):  # M1-M3
+    from oratio.operators import models
+    from oratio.plans import catalog
+
+    out = catalog.q_score_text(spark, sf_dir)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan  # scoring reads the counts that the fit was made of
+    t = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    want = models.fit_labels(t, "text", "lang").score(t, "text", "label", "p")
+    got = {r.doc_id: (r.label, r.p) for r in out.collect()}
+    assert len(got) == t.count()
+    for r in want.collect():
+        assert got[r.doc_id][0] == r.label and abs(got[r.doc_id][1] - r.p) < 1e-5
