@@ -26,13 +26,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, free_name
+from .common import cut_lineage, free_name, partitions_for
 from .components import connected_components
 
 SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
 BLOCK = 2048
+PART = 8192  # fingerprints whose ring keys one task makes and counts
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -111,7 +112,8 @@ def spanning_links(fp: np.ndarray) -> list[tuple[int, int]]:
 def fingerprint_links(fps: DataFrame, block: int = BLOCK) -> DataFrame:
     """(u, v) links that connect all fingerprints of ``fps`` (distinct, column ``fp``) whose Hamming
     distance is at most 3, up to transitivity."""
-    keys = ring_keys(fps)
+    # 64 keys a fingerprint: a small table is read by a task or two, whose partial counts would hold all keys of the corpus
+    keys = ring_keys(fps.repartition(partitions_for(fps, fps.count(), PART), "fp"))
     count = cut_lineage(keys.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"),
                                               F.max("fp").alias("b")).where("n > 1"))
     hamming = F.expr("bit_count(a ^ b)")

@@ -103,6 +103,20 @@ def test_simhash_documents(spark):
     assert simhash.simhash_dedup(df.limit(0)).count() == 0
 
 
+def test_simhash_ring_keys_are_dealt_over_tasks(spark, monkeypatch):
+    """A small table lies in one partition; its 64 keys a fingerprint must not be counted by one task."""
+    sizes, made = [], simhash.ring_keys
+
+    def keys(fps):
+        sizes.extend(r["count"] for r in fps.groupBy(F.spark_partition_id()).count().collect())
+        return made(fps)
+
+    monkeypatch.setattr(simhash, "ring_keys", keys)
+    fps = spark.range(4000).coalesce(1).select(F.xxhash64("id").alias("fp"))
+    simhash.fingerprint_links(fps)
+    assert sum(sizes) == 4000 and max(sizes) <= 1000
+
+
 @pytest.mark.parametrize("block", [4, 2048])
 def test_simhash_links_of_dense_groups(spark, block):
     rnd = random.Random(3)
