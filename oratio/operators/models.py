@@ -14,6 +14,7 @@ Two ways to attach a classifier column:
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -21,7 +22,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -29,7 +30,7 @@ from ..functions.lexicons import EMOTION_LABELS, SENTIMENT_LABELS
 from ..session import cut_lineage
 
 BLOCK_MB = 8.0  # training rows that a task stacks into one matrix
-SPLIT = "16MB"  # of stored counts in one training task: it keeps about ten times as much in memory
+SPLIT = 16 << 20  # bytes of texts in a cutting task and of stored counts in a training task, which keeps about ten times as much in memory
 
 
 def _capitalize(s: str) -> str:
@@ -120,9 +121,13 @@ class LabelModel:
         return scored.drop("__tok", "__tf", "__features", "__prob", "__pred", "__raw", "__p")
 
 
-def first_terms(text: str, max_terms: int) -> Column:
-    """The first ``max_terms`` terms of a text; none for a null text."""
-    return F.coalesce(F.slice(T.terms(text), 1, max_terms), F.array().cast("array<string>"))
+def first_terms(text: str, max_terms: int, start: int = 8) -> Column:
+    """The first ``max_terms`` terms of a text; none for a null text. A long text is searched to its end only if its first
+    ``start * max_terms`` characters hold no more terms than wanted (the last one found there may be cut)."""
+    head = F.regexp_extract_all(F.substring(F.lower(text), 1, start * max_terms), F.lit(T.TERM), 0)
+    found = F.when(F.length(text) <= start * max_terms, T.terms(text)).otherwise(
+        T.let(head, lambda t: F.when(F.size(t) > max_terms, t).otherwise(T.terms(text))))
+    return F.coalesce(F.slice(found, 1, max_terms), F.array().cast("array<string>"))
 
 
 def term_counts(df: DataFrame, text: str, max_terms: int = 512, num_features: int = 1 << 16) -> DataFrame:
@@ -131,6 +136,27 @@ def term_counts(df: DataFrame, text: str, max_terms: int = 512, num_features: in
     return tf.transform(df.withColumn("__tok", first_terms(text, max_terms)).drop(text)).drop("__tok")
 
 
+@contextmanager
+def _split(spark: SparkSession):
+    """Files are read in parts of ``SPLIT`` bytes and written with row groups of that size (a part of a file is rows only if
+    it holds a row group), so that tasks stay many and alike however few files the input has."""
+    settings = {"spark.sql.files.maxPartitionBytes": f"{SPLIT}b", "parquet.block.size": str(SPLIT)}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def stored_counts(df: DataFrame, text: str, max_terms: int = 512, num_features: int = 1 << 16) -> DataFrame:
+    """``term_counts`` written and read back."""
+    with _split(df.sparkSession):
+        return cut_lineage(term_counts(df, text, max_terms, num_features))
+
+
 def label_names(df: DataFrame, label: str, max_labels: int) -> tuple[list[str], Column]:
     """The distinct labels in ascending order and a row's place among them."""
     labels = sorted(r[0] for r in df.where(F.col(label).isNotNull()).select(label).distinct().limit(max_labels + 1).collect())
@@ -147,30 +173,26 @@ def fit_labels(df: DataFrame, text: str, label: str, max_terms: int = 512, num_f
     labels, index = label_names(df, label, max_labels)
     labelled = df.where(F.col(label).isNotNull()).select(F.col(text).alias("__text"), index.alias("__label"))
     # the fits read it many times: texts are cut into terms and hashed once, only the sparse counts are kept
-    train = cut_lineage(term_counts(labelled, "__text", max_terms, num_features).select("__tf", "__label"))
+    with _split(df.sparkSession):
+        train = cut_lineage(term_counts(labelled, "__text", max_terms, num_features).select("__tf", "__label"))
     return _fit(train, labels, max_terms, num_features, max_iter, reg)
 
 
 def fit_counts(counts: DataFrame, label: str, max_terms: int = 512, num_features: int = 1 << 16, max_iter: int = 30,
                reg: float = 0.01, max_labels: int = 1000) -> LabelModel:
-    """``fit_labels`` over stored rows of ``term_counts`` (made with the same limits), which scoring can use too."""
+    """``fit_labels`` over rows of ``stored_counts`` (made with the same limits), which scoring can use too."""
     labels, index = label_names(counts, label, max_labels)
     train = counts.where(F.col(label).isNotNull()).select("__tf", index.alias("__label"))
     return _fit(train, labels, max_terms, num_features, max_iter, reg)
 
 
 def _fit(train: DataFrame, labels: list[str], max_terms: int, num_features: int, max_iter: int, reg: float) -> LabelModel:
-    conf = train.sparkSession.conf
-    before = conf.get("spark.sql.files.maxPartitionBytes")
-    conf.set("spark.sql.files.maxPartitionBytes", SPLIT)
-    try:
+    with _split(train.sparkSession):
         idf = IDF(inputCol="__tf", outputCol="__features").fit(train)
         # a block costs a pass over labels x features besides its rows, so blocks hold many rows
         fitted = LogisticRegression(featuresCol="__features", labelCol="__label", family="multinomial", maxIter=max_iter, regParam=reg,
                                     probabilityCol="__prob", predictionCol="__pred", rawPredictionCol="__raw",
                                     maxBlockSizeInMB=BLOCK_MB).fit(idf.transform(train).select("__features", "__label"))
-    finally:
-        conf.set("spark.sql.files.maxPartitionBytes", before)
     tf = HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=num_features)
     return LabelModel(PipelineModel([tf, idf, fitted]), labels, max_terms)
 

@@ -420,3 +420,38 @@ def test_score_text_cuts_each_text_once(spark, sf_dir):  # M1-M3
     assert len(got) == t.count()
     for r in want.collect():
         assert got[r.doc_id][0] == r.label and abs(got[r.doc_id][1] - r.p) < 1e-5
+
+
+def test_first_terms_of_long_texts(spark):  # M1-M3
+    from oratio.functions import text as T
+    from oratio.operators import models
+
+    texts = [None, "", "ab " * 3, "ab cd ef gh", "x " * 200 + "late terms at the very end", "word\u03a3 " * 30, "aa bb cc" + "d" * 90,
+             "\u0130\u0130 " * 20, "ab " * 7 + "- " * 50 + "cd", "a" * 500]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    for n in (1, 3, 7, 8, 40):
+        got = df.select("id", models.first_terms("text", n, 2).alias("got"), T.terms("text").alias("all"))
+        assert "substring" in got._jdf.queryExecution().optimizedPlan().toString()  # not the whole of every text
+        for r in got.collect():
+            assert r.got == (r.all or [])[:n], (n, r)
+
+
+def test_counts_of_one_file_are_dealt_over_tasks(spark, monkeypatch):  # M1-M3
+    from oratio.operators import models
+
+    monkeypatch.setattr(models, "SPLIT", 64 << 10)
+    block = spark.conf.get("parquet.block.size", None)
+    df = spark.range(6000).coalesce(1).selectExpr("id", "concat_ws(' ', transform(sequence(1, 20), i -> hex(hash(id, i)))) AS text",
+                                                  "IF(id % 2 = 0, 'even', 'odd') AS lang")
+    sizes, fit = [], models._fit
+
+    def seen(train, *rest):
+        with models._split(spark):
+            sizes.extend(r["count"] for r in train.groupBy(F.spark_partition_id()).count().collect())
+        return fit(train, *rest)
+
+    monkeypatch.setattr(models, "_fit", seen)
+    counts = models.stored_counts(df, "text", 32, 1 << 10)
+    models.fit_counts(counts, "lang", 32, 1 << 10, 2)
+    assert sum(sizes) == 6000 and max(sizes) <= 2000
+    assert spark.conf.get("parquet.block.size", None) == block
