@@ -73,6 +73,17 @@ def worker_cache(name: str) -> dict:
     return holder.__dict__.setdefault(name, {})
 
 
+def forget() -> None:
+    """Empty all dicts of ``worker_cache``: called by tasks of operators that keep nothing, since a worker that is
+    used again by another operator would hold the last one's words (some 100 MB) beside its own."""
+    import sys
+
+    holder = sys.modules.get("_oratio_worker_cache")
+    for held in vars(holder).values() if holder else ():
+        if isinstance(held, dict):
+            held.clear()
+
+
 def partitions_for(df: DataFrame, rows: int, per_partition: int) -> int:
     """Partitions so that each holds about ``per_partition`` of ``rows``, the session's number at least."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -80,4 +91,4 @@ def partitions_for(df: DataFrame, rows: int, per_partition: int) -> int:
 
 
 __all__ = ["WORD", "GAP", "SQL_GAP", "SQL_WORD_CHAR", "F", "table", "words_sql", "let_sql", "free_name",
-           "worker_cache", "partitions_for", "cut_lineage", "release", "ensure_checkpoint_dir"]
+           "worker_cache", "forget", "partitions_for", "cut_lineage", "release", "ensure_checkpoint_dir"]

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SQL_GAP, cut_lineage, free_name, release
+from .common import SQL_GAP, cut_lineage, forget, free_name, release
 from .periodic_runs import _nearest_smaller
 
 WINDOW = 13
@@ -291,6 +291,7 @@ def first_ids(words: np.ndarray, lengths: np.ndarray, ids: np.ndarray, groups: n
 
 def _anchor_rows(docs: DataFrame, window: int) -> DataFrame:
     def run(batches):
+        forget()
         for b in _bounded(batches):
             values, off = _flat(b.column("w"))
             d, a, z, g = anchors(values, off, window)
@@ -396,6 +397,7 @@ def _first_rows(dealt: DataFrame, window: int) -> DataFrame:
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(firsts[kept]))], names=["gram", "salt", "chash", "firsts"])
 
     def run(batches):
+        forget()
         held, shard = [], None
         for b in batches:
             number = b.column("shard").to_numpy(zero_copy_only=False)

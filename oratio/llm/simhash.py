@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, free_name, partitions_for
+from .common import cut_lineage, forget, free_name, partitions_for
 from .components import connected_components
 
 SHINGLE = 3
@@ -57,6 +57,7 @@ def add_fingerprint(df: DataFrame, text: str, out: str, shingle: int = SHINGLE)
     """``df`` with the fingerprint as a signed long column."""
     @F.pandas_udf("long")
     def simhash(s: pd.Series) -> pd.Series:
+        forget()
         return pd.Series(np.array([fingerprint(t, shingle) for t in s], dtype=np.uint64).view(np.int64))
 
     return df.withColumn(out, simhash(F.col(text)))

@@ -150,3 +150,25 @@ def test_neighbours_with_other_least_ids_share_a_sequence(spark):
         where[r.doc_id].add(r.sequence_id)
     together = sum(bool(where[2 * p] & where[2 * p + 1]) for p in range(700))
     assert together > 0.5 * 700, together  # others go to windows that were filled before
+
+
+def test_workers_of_other_operators_drop_the_memo():
+    import pyarrow as pa
+
+    from oratio.llm import fm_dedup
+    from oratio.llm.common import worker_cache
+
+    class Frame:  # hands out the function that a task would run
+        def mapInArrow(self, run, schema):
+            return run
+
+    path = default_path()
+    words = pa.RecordBatch.from_arrays([pa.array([[1, 2]], pa.list_(pa.int64())), pa.array([1]), pa.array([2])], names=["w", "id", "th"])
+    for task in (lambda: list(fm_dedup._anchor_rows(Frame(), 13)(iter([words]))), lambda: list(fm_dedup._first_rows(Frame(), 13)(iter([])))):
+        enc = TextEncoder(path)
+        want = enc(["some words, kept by a worker"])
+        held = len(worker_cache("memo " + path))
+        assert held > 3
+        task()
+        assert not worker_cache("memo " + path) and not worker_cache("tokenizers")
+        assert TextEncoder(path)(["some words, kept by a worker"]) == want
