@@ -151,10 +151,12 @@ def _split(spark: SparkSession):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def stored_counts(df: DataFrame, text: str, max_terms: int = 512, num_features: int = 1 << 16) -> DataFrame:
-    """``term_counts`` written and read back."""
+def stored_counts(df: DataFrame, text: str, max_terms: int = 512, num_features: int = 1 << 16, by: str | None = None) -> DataFrame:
+    """``term_counts`` written and read back. A task's rows are laid by the label ``by``: neighbours then share more terms,
+    and the passes of a fit find more of its weights (labels x features) in the processor's cache."""
+    counts = term_counts(df, text, max_terms, num_features)
     with _split(df.sparkSession):
-        return cut_lineage(term_counts(df, text, max_terms, num_features))
+        return cut_lineage(counts.sortWithinPartitions(by) if by else counts)
 
 
 def label_names(df: DataFrame, label: str, max_labels: int) -> tuple[list[str], Column]:
@@ -173,8 +175,7 @@ def fit_labels(df: DataFrame, text: str, label: str, max_terms: int = 512, num_f
     labels, index = label_names(df, label, max_labels)
     labelled = df.where(F.col(label).isNotNull()).select(F.col(text).alias("__text"), index.alias("__label"))
     # the fits read it many times: texts are cut into terms and hashed once, only the sparse counts are kept
-    with _split(df.sparkSession):
-        train = cut_lineage(term_counts(labelled, "__text", max_terms, num_features).select("__tf", "__label"))
+    train = stored_counts(labelled, "__text", max_terms, num_features, "__label").select("__tf", "__label")
     return _fit(train, labels, max_terms, num_features, max_iter, reg)
 
 

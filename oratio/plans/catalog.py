@@ -422,7 +422,7 @@ def q_toxic_model(spark, d):
 def q_score_text(spark, d):
     """M1-M3: a model of all languages of ``documents``, trained on its rows and applied to every row."""
     from ..operators.models import fit_counts, stored_counts
-    counts = stored_counts(docs_with(spark, d, "lang"), "text")  # one cut of the texts for fit and scoring
+    counts = stored_counts(docs_with(spark, d, "lang"), "text", by="lang")  # one cut of the texts for fit and scoring
     out = fit_counts(counts, "lang").score_counts(counts, "label", "p")
     return out.select("doc_id", "label", _r(F.col("p")).alias("p"))
 

@@ -455,3 +455,20 @@ def test_counts_of_one_file_are_dealt_over_tasks(spark, monkeypatch):  # M1-M3
     models.fit_counts(counts, "lang", 32, 1 << 10, 2)
     assert sum(sizes) == 6000 and max(sizes) <= 2000
     assert spark.conf.get("parquet.block.size", None) == block
+
+
+def test_stored_counts_lie_by_label(spark, monkeypatch):  # M1-M3
+    from oratio.operators import models
+
+    rows = spark.range(0, 400, 1, 3).selectExpr(
+        "id", "concat_ws(' ', 'term', hex(hash(id))) AS text", "IF(id % 7 = 0, NULL, concat('l', id % 4)) AS lang")
+    kept, cut = [], models.cut_lineage
+    monkeypatch.setattr(models, "cut_lineage", lambda df: kept.append(cut(df)) or kept[-1])
+    counts = models.stored_counts(rows, "text", 8, 1 << 8, "lang")
+    models.fit_labels(rows, "text", "lang", 8, 1 << 8, 2)
+    assert sorted(r.id for r in counts.collect()) == list(range(400))
+    for df, label in zip(kept, ("lang", "__label"), strict=True):
+        files = {}
+        for r in df.select(F.input_file_name().alias("file"), label).collect():
+            files.setdefault(r.file, []).append((r[label] is not None, r[label]))
+        assert len(files) == 3 and all(x == sorted(x) for x in files.values())
