@@ -54,3 +54,35 @@ def test_components_beyond_single_precision(spark):
         got.setdefault(r.query_id, []).append(r.vec_id)
         assert r.score == pytest.approx(float(np.linalg.norm(x[r.vec_id] - x[r.query_id])))
     assert sum(len(set(got[q]) & set(nearest_ids(x, q, 10))) for q in range(0, 600, 50)) >= 0.95 * 10 * 12
+
+
+def test_only_the_sample_walks_until_the_beam_is_found(spark, caplog):
+    x = np.random.default_rng(9).standard_normal((2000, 32)).astype(np.float32).astype(np.float64)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    with caplog.at_level("INFO", logger=nn_descent.__name__):
+        got = {}
+        for r in nn_descent.nearest(df, F.expr("id % 10 = 0"), degree=6, rounds=1, beam=20).collect():
+            got.setdefault(r.query_id, set()).add(r.vec_id)
+    walks = [r.args[0] for r in caplog.records if "walks took" in r.msg]
+    assert len(walks) > 2 and walks[-1] == 200 - nn_descent.SAMPLE  # the others walk once
+    assert all(n % nn_descent.SAMPLE == 0 for n in walks[:-1])
+    assert sum(len(got[q] & set(nearest_ids(x, q, 10))) for q in range(0, 2000, 10)) >= 0.93 * 10 * 200
+
+
+def test_nearest_of_a_row_are_those_of_a_sort():
+    d = np.random.default_rng(10).integers(0, 40, (50, 900)).astype(np.float32)
+    at, near = nn_descent._nearest_of(d, 24)
+    assert (np.sort(near, axis=1) == np.sort(d, axis=1)[:, :24]).all()
+    assert (np.take_along_axis(d, at, 1) == near).all() and all(len(set(r)) == 24 for r in at.tolist())
+
+
+def test_parcels_reach_their_blocks_whole():
+    rng = np.random.default_rng(11)
+    ids, block = np.arange(10_000), rng.integers(0, 3, 10_000)
+    x = rng.standard_normal((10_000, 5)).astype("<f4")
+    b = nn_descent._sent(nn_descent.VECTOR, block, ids, x, x[:, 0])
+    for one in range(3):
+        rows = [r for r, to in zip(nn_descent._received([b]), b.column("block").to_pylist()) if to == one]
+        got, y, _ = nn_descent._arrived(rows, nn_descent.VECTOR)
+        assert got.tolist() == np.flatnonzero(block == one).tolist() and (y == x[got]).all()
+        assert max(len(r[1].as_buffer()) for r in rows) <= 8 * nn_descent.ITEMS
