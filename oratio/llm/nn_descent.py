@@ -189,6 +189,12 @@ def _starts(*sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(change)
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """The sorted values, each once (by sorting: ``np.unique`` hashes, which takes many times as long here)."""
+    x = np.sort(x)
+    return x[_starts(x)]
+
+
 def _cut(raw: bytes, ends: np.ndarray, width: int) -> pa.Array:
     """Slices of ``raw`` that end at ``ends`` (in items of ``width`` bytes), as a binary column."""
     offsets = np.concatenate([[0], ends]).astype(np.int32) * np.int32(width)
@@ -201,7 +207,8 @@ def _ranked(ids, at, d, old):
         return ids, at, d, old, np.zeros(0, np.int64)
     low = int(at.min())
     span = int(at.max()) - low + 1
-    own, row = np.unique(ids, return_inverse=True)
+    own = _distinct(ids)
+    row = np.searchsorted(own, ids)
     o = np.argsort(row * span + (at - low)) if len(own) * span < 2**62 else np.lexsort((at, row))
     row, at, d, old = row[o], at[o], d[o], old[o]
     s = _starts(row, at)
@@ -341,8 +348,12 @@ def _packed(vectors: DataFrame, blocks: Blocks) -> DataFrame:
 
 
 def _distances(x: np.ndarray, rows: slice = slice(None)) -> np.ndarray:
-    sq = (x * x).sum(axis=1)
-    d = np.maximum(sq[rows, None] + sq[None, :] - 2 * (x[rows] @ x.T), 0)
+    sq = np.einsum("ij,ij->i", x, x)
+    d = x[rows] @ x.T
+    d *= -2
+    d += sq[rows, None]
+    d += sq
+    np.maximum(d, 0, out=d)
     d[np.arange(len(d)), np.arange(len(x))[rows]] = np.inf
     return d
 
@@ -350,14 +361,15 @@ def _distances(x: np.ndarray, rows: slice = slice(None)) -> np.ndarray:
 def _nearest_of(d: np.ndarray, k: int):
     """(positions, distances) of the ``k`` least of each row. A first part of the columns bounds what the others can add."""
     m = d.shape[1]
-    first = max(4 * k, m // 8)
+    first = max(4 * k, m // 4)
     if m <= 2 * first:
         at = np.argpartition(d, k - 1, axis=1)[:, :k]
         return at, np.take_along_axis(d, at, 1)
     bound = np.partition(d[:, :first], k - 1, axis=1)[:, k - 1]
-    row, col = np.divmod(np.flatnonzero(d <= bound[:, None]), m)
-    value = d[row, col]
-    o = np.argsort(row << 32 | value.view(np.uint32).astype(np.int64), kind="stable")
+    flat = np.flatnonzero(d <= bound[:, None])
+    value, row = d.reshape(-1)[flat], flat // m
+    col = flat - row * m
+    o = np.argsort(row << 32 | value.view(np.uint32).astype(np.int64))
     s = _starts(row)  # each row has k at least
     o = o[(s[:, None] + np.arange(k)).reshape(-1)]
     return col[o].reshape(-1, k), value[o].reshape(-1, k)
@@ -414,7 +426,7 @@ def _listed(blocks: Blocks, degree: int):
         nodes = np.sort(_arrived(rows, VECTOR)[0])
         ids, at, d, old = _arrived(rows, LIST)
         to, one, far = _arrived(rows, PROPOSAL)
-        own = np.unique(np.concatenate([nodes, ids]))
+        own = _distinct(np.concatenate([nodes, ids]))
         del rows
         for a in range(0, len(own), ITEMS):  # bounded sorts
             low, high = own[a], own[min(a + ITEMS, len(own)) - 1]
@@ -486,7 +498,7 @@ def _proposals(graph: DataFrame, packed: DataFrame, blocks: Blocks, degree: int,
             yield _sent(GROUP, blocks.of(ids[some]), ids[some], members[some], news[some])
         # a vector goes to each block with a vector near it or one that it is near to
         is_one = at.reshape(-1) >= 0
-        keys = np.unique(np.concatenate([np.repeat(np.arange(len(ids)), degree)[is_one] * blocks.count + blocks.of(at.reshape(-1)[is_one]),
+        keys = _distinct(np.concatenate([np.repeat(np.arange(len(ids)), degree)[is_one] * blocks.count + blocks.of(at.reshape(-1)[is_one]),
                                          row * blocks.count + blocks.of(who), np.arange(len(ids)) * blocks.count + blocks.of(ids)]))
         for a in range(0, len(keys), 4 * ITEMS):
             row, to = np.divmod(keys[a:a + 4 * ITEMS], blocks.count)
@@ -499,7 +511,9 @@ def _proposals(graph: DataFrame, packed: DataFrame, blocks: Blocks, degree: int,
         del rows
         if not len(u):
             return
-        ids, o = np.unique(ids, return_index=True)
+        o = np.argsort(ids, kind="stable")
+        o = o[_starts(ids[o])]
+        ids = ids[o]
         held, n = [], 0
         for a in range(0, len(u), 512):
             m = np.concatenate([members[a:a + 512], u[a:a + 512, None]], axis=1)
@@ -600,7 +614,7 @@ def reach_of(sample: list, vectors: DataFrame, k: int) -> list:
 
 def _links(graph: DataFrame, blocks: Blocks) -> DataFrame:
     """Parcels of the nodes that a walk goes on to from each node: its neighbours and a sample of those that point at it."""
-    def both(batches):
+    def edges(batches):
         held, n = [], 0
         for b in batches:
             held.append((b.column("id").to_numpy(), b.column("nbr").to_numpy()))
@@ -621,7 +635,9 @@ def _links(graph: DataFrame, blocks: Blocks) -> DataFrame:
         ids, at, _ = _arrived(rows, PROPOSAL)
         to, who, _ = _arrived(rows, POINTER)
         del rows
-        own, row = np.unique(np.concatenate([ids, to]), return_inverse=True)
+        both = np.concatenate([ids, to])
+        own = _distinct(both)
+        row = np.searchsorted(own, both)
         which, _ = _sampled(row[len(ids):], who, REVERSE, -1)
         row = np.concatenate([row[:len(ids)], row[len(ids):][which]])
         _, at, _, _, rank = _ranked(row, np.concatenate([at, who[which]]), np.zeros(len(row), np.float32), np.zeros(len(row), np.uint8))
@@ -634,7 +650,7 @@ def _links(graph: DataFrame, blocks: Blocks) -> DataFrame:
                  pa.array([at[first[a]:first[z]].astype("<i8").tobytes()], pa.binary()), pa.nulls(1, pa.binary())],
                 names=["block", "kind", "open", "a", "b", "c", "e"])
 
-    return cut_lineage(_at_blocks(graph.select("id", "nbr").mapInArrow(both, PARCEL), blocks, linked))
+    return cut_lineage(_at_blocks(graph.select("id", "nbr").mapInArrow(edges, PARCEL), blocks, linked))
 
 
 def _pairs(rows: DataFrame, blocks: Blocks) -> DataFrame:
@@ -673,13 +689,13 @@ def _measured(batches, exact: bool):
     ids, x, own, q, worst, beam = ids[o], x[o], own[w], q[w], worst[w], beam[w]
     gapless = ids[-1] - ids[0] + 1 == len(ids)
     i, j = node - ids[0] if gapless else np.searchsorted(ids, node), np.searchsorted(own, walk)
-    key = np.unique(j * len(ids) + i)  # several nodes of a beam lead to the same one
+    key = _distinct(j * len(ids) + i)  # several nodes of a beam lead to the same one
     j, i = np.divmod(key, len(ids))
-    ends = [*range(0, len(j), 4 * ITEMS), len(j)]
     d = np.empty(len(j), np.float64 if exact else np.float32)
-    for a, z in zip(ends, ends[1:]):
-        off = x[i[a:z]].astype(d.dtype) - q[j[a:z]].astype(d.dtype)
-        d[a:z] = (off ** 2).sum(axis=1) if exact else np.einsum("ij,ij->i", off, off)
+    for a in range(0, len(j), ITEMS // 4):  # few enough to stay in the processor's cache
+        off = np.take(x, i[a:a + ITEMS // 4], axis=0).astype(d.dtype, copy=False)
+        off -= np.take(q, j[a:a + ITEMS // 4], axis=0)
+        d[a:a + ITEMS // 4] = (off ** 2).sum(axis=1) if exact else np.einsum("ij,ij->i", off, off)
     yield own[j], ids[i], d, worst[j], beam[j]
 
 
